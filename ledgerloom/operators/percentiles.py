@@ -56,7 +56,7 @@ def _spread_out(df: DataFrame, keys: Sequence[str], targets: Targets, partitions
     def between(i: int) -> Column:
         at, lo, hi = F.col(f"_at{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")
         mixed = (F.ceil(at) - at) * lo + (at - F.floor(at)) * hi
-        return F.when(F.floor(at) == F.ceil(at), lo).otherwise(mixed)
+        return F.when((F.floor(at) == F.ceil(at)) | (lo == hi), lo).otherwise(mixed)
 
     return found.select(*keys, *[between(i).alias(name) for i, name in enumerate(targets)])
 

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..session import setting
+
 
 def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
@@ -97,5 +99,7 @@ def insert_overwrite(df: DataFrame, table: str, dynamic: bool = True) -> None:
     """Replace the partitions present in ``df`` (or the whole table)."""
     spark = df.sparkSession
     columns = spark.table(table).columns
-    writer = df.select(*columns).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").insertInto(table)
+    # insertInto takes the mode from the session, not from a writer option
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static"):
+        df.select(*columns).write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)

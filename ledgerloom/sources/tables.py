@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.ordered import same_keys
 from ..session import materialise
+from .registry import insert_overwrite
 
 BUCKET = "_key_bucket"
 
@@ -140,11 +141,10 @@ def upsert(
     emptied = _emptied(merged, touched, parts)
     ordered = merged.select(*target.columns).hint("rebalance", *[F.col(p) for p in parts])
     ordered = ordered.sortWithinPartitions(*parts, *cluster_by)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    insert_overwrite(ordered, table)
     for row in emptied:
         spec = ", ".join(f"`{p}` = '{row[p]}'" for p in parts)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    spark.catalog.refreshTable(table)
     return spark.table(table).drop(BUCKET)
 
 
