@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from .ordered import HOT_ROWS, hot_keys, positions, row_counts, same_keys, split_hot
+from .ordered import HOT_ROWS, find_hot, positions, same_keys, split_hot
 from .percentiles import Targets, complete_percentiles
 
 Framed = Mapping[str, Callable[[WindowSpec], Column]]
@@ -22,6 +22,7 @@ def keyed_windows(
     percentiles: Targets | None = None,
     rows_back: int = 0,
     counts: DataFrame | None = None,
+    at_most: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -35,9 +36,9 @@ def keyed_windows(
     Keys of at most ``hot_rows`` rows share one exchange, one sort and one
     window. A larger key is cut into blocks of consecutive positions; each
     block also gets the ``rows_back`` rows before it, and sums of earlier blocks
-    are added on. Its totals are plain aggregates joined back. ``counts`` (keys
-    and ``_n``) saves counting the rows of ``df``. Without keys the whole table
-    is one group and always takes the split form.
+    are added on. Its totals are plain aggregates joined back. ``counts`` and
+    ``at_most`` as in ``find_hot``. Without keys the whole table is one group
+    and always takes the split form.
     """
     framed, running, totals = dict(framed or {}), dict(running or {}), dict(totals or {})
     percentiles = dict(percentiles or {})
@@ -54,8 +55,8 @@ def keyed_windows(
 
     if not keys:
         return _typed_like(plain(df), _in_blocks(df, None, keys, order_by, framed, running, totals, percentiles, rows_back, hot_rows, partitions))
-    listed = hot_keys(row_counts(df, keys) if counts is None else counts, keys, hot_rows)
-    if listed.isEmpty():
+    listed = find_hot(df, keys, hot_rows, counts, at_most)
+    if listed is None:
         return plain(df)
     hot, cold = split_hot(df, listed, keys)
     bounded = plain(cold)

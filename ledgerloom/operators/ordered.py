@@ -31,13 +31,29 @@ def row_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, at most all rows / ``hot_rows`` of them."""
-    return materialise(counts.filter(F.col("_n") > hot_rows).select(*keys), "hot")
+def find_hot(
+    df: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int,
+    counts: DataFrame | None = None,
+    at_most: DataFrame | None = None,
+) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, None if there are none.
+
+    There are at most all rows / ``hot_rows`` of them. ``at_most`` is a table
+    with no fewer rows than ``df`` that is cheap to count, such as the scan
+    below it: if it is small no key can be hot, and nothing else is read.
+    ``counts`` (keys and ``_n``) saves counting the rows of ``df`` per key.
+    """
+    if at_most is not None and at_most.count() <= hot_rows:
+        return None
+    counted = row_counts(df, keys) if counts is None else counts
+    listed = materialise(counted.filter(F.col("_n") > hot_rows).select(*keys), "hot")
+    return None if listed.isEmpty() else listed
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows of hot keys, all other rows); ``hot`` has the bound of ``hot_keys``."""
+    """(rows of hot keys, all other rows); ``hot`` has the bound of ``find_hot``."""
     left, right = df.alias("l"), F.broadcast(hot.alias("h"))
     on = same_keys("l", "h", keys)
     return left.join(right, on, "left_semi"), left.join(right, on, "left_anti")
@@ -68,6 +84,18 @@ def _before(parts: DataFrame, keys: Sequence[str], amount: str) -> Column:
     return F.coalesce(F.sum(amount).over(window), F.lit(0))
 
 
+def _numbered(
+    df: DataFrame, order_by: Sequence[Column], keys: Sequence[str], name: str, partitions: int | None
+) -> DataFrame:
+    """``df`` with its row number, and ``_pid`` and ``_at`` of its range partition."""
+    spread = _spread(df, keys, order_by, partitions)
+    parts = spread.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    offsets = parts.withColumn("_offset", _before(parts, keys, "_n") - F.col("_first")).drop("_n", "_first")
+    on = (F.col("s._pid") == F.col("o._pid")) & same_keys("s", "o", keys)
+    joined = spread.alias("s").join(F.broadcast(offsets.alias("o")), on)
+    return joined.select("s.*", (F.col("s._at") + F.col("o._offset") + 1).alias(name))
+
+
 def positions(
     df: DataFrame,
     order_by: Sequence[Column],
@@ -79,12 +107,7 @@ def positions(
 
     ``order_by`` must be a total order for a repeatable result.
     """
-    spread = _spread(df, keys, order_by, partitions)
-    parts = spread.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    offsets = parts.withColumn("_offset", _before(parts, keys, "_n") - F.col("_first")).drop("_n", "_first")
-    on = (F.col("s._pid") == F.col("o._pid")) & same_keys("s", "o", keys)
-    joined = spread.alias("s").join(F.broadcast(offsets.alias("o")), on)
-    return joined.select(*[F.col(f"s.`{c}`") for c in df.columns], (F.col("s._at") + F.col("o._offset") + 1).alias(name))
+    return _numbered(df, order_by, keys, name, partitions).drop("_pid", "_at")
 
 
 def prefix_sums(
@@ -121,9 +144,14 @@ def global_rank_ntile(
     Rows of equal value share a rank; ``tie_break`` decides their order for the
     tiles. The first ``n % tiles`` tiles are one row longer.
     """
-    placed = positions(df, [F.col(value).desc(), F.col(tie_break).asc()], name="_pos", partitions=partitions)
-    # one row per distinct value, folded inside the tasks before the shuffle
-    ranks = placed.groupBy(value).agg(F.min("_pos").alias("_rank"))
+    placed = _numbered(df, [F.col(value).desc(), F.col(tie_break).asc()], (), "_pos", partitions)
+    # a tie starts inside its partition, unless it is the partition's first value;
+    # those values, at most one per partition, are looked up over all partitions
+    inside = placed.withColumn("_inside", F.min("_pos").over(Window.partitionBy("_pid", value)))
+    edges = placed.filter(F.col("_at") == 0).select(value).distinct()
+    reaching = placed.alias("p").join(F.broadcast(edges.alias("e")), same_keys("p", "e", [value]), "left_semi")
+    starts = reaching.groupBy(value).agg(F.min("_pos").alias("_start"))
+    rank = F.coalesce(F.col("_start"), F.col("_inside"))
     total = F.broadcast(placed.agg(F.count(F.lit(1)).alias("_total")))
     small = F.floor(F.col("_total") / tiles)
     longer = F.col("_total") % tiles
@@ -131,7 +159,7 @@ def global_rank_ntile(
     tile = F.when(F.col("_pos") <= in_longer, F.ceil(F.col("_pos") / (small + 1))).otherwise(
         longer + F.ceil(F.try_divide(F.col("_pos") - in_longer, small))
     )
-    joined = placed.alias("p").join(ranks.alias("r"), same_keys("p", "r", [value]))
+    joined = inside.alias("p").join(F.broadcast(starts.alias("r")), same_keys("p", "r", [value]), "left")
     return joined.crossJoin(total).select(
-        *[F.col(f"p.`{c}`") for c in df.columns], F.col("_rank").alias(rank_name), tile.cast("int").alias(tile_name)
+        *[F.col(f"p.`{c}`") for c in df.columns], rank.alias(rank_name), tile.cast("int").alias(tile_name)
     )

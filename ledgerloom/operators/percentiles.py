@@ -6,12 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .ordered import HOT_ROWS, hot_keys, prefix_sums, row_counts, same_keys, split_hot
+from .ordered import HOT_ROWS, find_hot, prefix_sums, same_keys, split_hot
 
 Targets = Mapping[str, tuple[str, float]]
 
 
-def _bounded(df: DataFrame, keys: Sequence[str], targets: Targets) -> DataFrame:
+def _bounded(df: DataFrame, keys: Sequence[str], targets: Targets, aggregates: Mapping[str, Column] | None = None) -> DataFrame:
     """Spark's own percentile: a group's distinct values in one buffer."""
     by_column: dict[str, list[tuple[str, float]]] = {}
     for name, (c, p) in targets.items():
@@ -21,8 +21,9 @@ def _bounded(df: DataFrame, keys: Sequence[str], targets: Targets) -> DataFrame:
         for i, (c, wanted) in enumerate(by_column.items())
     ]
     place = {name: (i, j) for i, wanted in enumerate(by_column.values()) for j, (name, _) in enumerate(wanted)}
-    found = df.groupBy(*keys).agg(*arrays)
-    return found.select(*keys, *[F.col(f"_{i}")[j].alias(n) for n in targets for i, j in [place[n]]])
+    plain = dict(aggregates or {})
+    found = df.groupBy(*keys).agg(*[a.alias(n) for n, a in plain.items()], *arrays)
+    return found.select(*keys, *plain, *[F.col(f"_{i}")[j].alias(n) for n in targets for i, j in [place[n]]])
 
 
 def _spread_out(df: DataFrame, keys: Sequence[str], targets: Targets, partitions: int | None) -> DataFrame:
@@ -65,7 +66,9 @@ def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
     targets: Targets,
+    aggregates: Mapping[str, Column] | None = None,
     counts: DataFrame | None = None,
+    at_most: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -74,21 +77,34 @@ def exact_percentiles(
     Groups of at most ``hot_rows`` rows use the built-in aggregate; larger ones
     are ranked over range partitions of their value frequencies. The values are
     the same: linear interpolation between neighbours, NULLs ignored, double.
+    ``aggregates`` maps further result columns to plain aggregates, taken in the
+    same pass where possible. ``counts`` and ``at_most`` as in ``find_hot``.
     """
-    listed = hot_keys(row_counts(df, keys) if counts is None else counts, keys, hot_rows) if keys else None
-    if keys:
-        if listed.isEmpty():
-            return _bounded(df, keys, targets)
-        hot, cold = split_hot(df, listed, keys)
-        return _bounded(cold, keys, targets).unionByName(complete_percentiles(hot, listed, keys, targets, partitions))
-    size = (row_counts(df, []) if counts is None else counts).first()["_n"]
-    if size <= hot_rows:
-        return _bounded(df, [], targets)
-    return _spread_out(df, [], targets, partitions)
-
-
-def complete_percentiles(hot: DataFrame, listed: DataFrame, keys: Sequence[str], targets: Targets, partitions: int | None) -> DataFrame:
-    """Keep hot groups that hold no value at all, with NULL results."""
+    extra = dict(aggregates or {})
+    if not keys:
+        size = (df if at_most is None else at_most).count()
+        if size <= hot_rows:
+            return _bounded(df, [], targets, extra)
+        marks = _spread_out(df, [], targets, partitions)
+        return df.agg(*[a.alias(n) for n, a in extra.items()]).crossJoin(F.broadcast(marks)) if extra else marks
+    listed = find_hot(df, keys, hot_rows, counts, at_most)
+    if listed is None:
+        return _bounded(df, keys, targets, extra)
+    hot, cold = split_hot(df, listed, keys)
+    large = complete_percentiles(hot, listed, keys, targets, partitions)
+    if extra:
+        sums = hot.groupBy(*keys).agg(*[a.alias(n) for n, a in extra.items()])
+        joined = sums.alias("a").join(F.broadcast(large.alias("p")), same_keys("a", "p", keys))
+        large = joined.select("a.*", *[F.col(f"p.`{n}`") for n in targets])
+    return _bounded(cold, keys, targets, extra).unionByName(large)
+
+
+def complete_percentiles(
+    hot: DataFrame, listed: DataFrame | None, keys: Sequence[str], targets: Targets, partitions: int | None
+) -> DataFrame:
+    """Percentiles of large groups, those holding no value at all included."""
     found = _spread_out(hot, keys, targets, partitions)
+    if listed is None:
+        return found
     joined = listed.alias("k").join(found.alias("f"), same_keys("k", "f", keys), "left")
     return joined.select(*[F.col(f"k.`{k}`") for k in keys], *[F.col(f"f.`{n}`") for n in targets])

@@ -7,6 +7,24 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expressions import EARTH_RADIUS_MILES, KM_PER_MILE, haversine_distance
+from ..session import materialise
+
+CELL = ["_band", "_cell"]
+
+
+def _crowded(points: DataFrame, name: str, hot_rows: int) -> DataFrame:
+    """Slices needed by the cells with more than ``hot_rows`` points, and only those."""
+    counts = points.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    return counts.select(*CELL, F.ceil(F.col("_n") / hot_rows).alias(name))
+
+
+def _sliced(points: DataFrame, slices: DataFrame, own: str, own_count: str, key: str, other: str, other_count: str) -> DataFrame:
+    """Put each point into one slice of its own side, once per slice of the other side."""
+    one = F.lit(1).cast("bigint")
+    joined = points.join(F.broadcast(slices), CELL, "left")  # at most all points / hot_rows cells
+    mine = F.pmod(F.xxhash64(key), F.coalesce(F.col(own_count), one))
+    theirs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(other_count), one) - 1))
+    return joined.withColumn(own, mine).withColumn(other, theirs).drop(own_count, other_count)
 
 
 def proximity_pairs(
@@ -18,15 +36,15 @@ def proximity_pairs(
     lon: str = "lon",
     left_id: str = "left_id",
     right_id: str = "right_id",
-    salts: int = 1,
+    hot_rows: int = 20_000,
 ) -> DataFrame:
     """All (left_id, right_id, distance) with distance <= ``radius``.
 
     Points meet in latitude bands and longitude cells about one radius wide.
     Cells of a band are sized for its end nearest to the pole, so one step
     sideways always covers the radius; bands where that is impossible have one
-    cell. ``salts`` spreads the left points of a crowded cell over that many
-    tasks, at the price of as many copies of the right points.
+    cell. A cell with more than ``hot_rows`` points of a side is cut into slices
+    of that size, and each slice meets every slice of the other side once.
     """
     if unit not in ("mi", "km"):
         raise ValueError(f"unit must be 'mi' or 'km', got {unit!r}")
@@ -56,7 +74,6 @@ def proximity_pairs(
     a = left.select(F.col(left_id).alias("left_id"), F.col(lat).cast("double").alias("a_lat"), F.col(lon).cast("double").alias("a_lon"))
     a = a.filter(F.col("a_lat").isNotNull() & F.col("a_lon").isNotNull()).withColumn("_band", band(F.col("a_lat")))
     a = a.withColumn("_cell", cell(F.col("a_lon"), cells_in(F.col("_band"))))
-    a = a.withColumn("_salt", F.pmod(F.xxhash64("left_id"), F.lit(salts)))
 
     b = right.select(F.col(right_id).alias("right_id"), F.col(lat).cast("double").alias("b_lat"), F.col(lon).cast("double").alias("b_lon"))
     b = b.filter(F.col("b_lat").isNotNull() & F.col("b_lon").isNotNull()).withColumn("_own", band(F.col("b_lat")))
@@ -64,8 +81,14 @@ def proximity_pairs(
     b = b.withColumn("_cells", cells_in(F.col("_band"))).withColumn("_at", cell(F.col("b_lon"), F.col("_cells")))
     around = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(F.col("_at") + d, F.col("_cells"))))
     b = b.withColumn("_cell", F.explode(around))
-    b = b.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
 
-    met = a.join(b, ["_band", "_cell", "_salt"])
+    slices = _crowded(a, "_na", hot_rows).join(_crowded(b, "_nb", hot_rows), CELL, "full")
+    slices = materialise(slices.na.fill(1, ["_na", "_nb"]), "cells")
+    if slices.isEmpty():
+        met = a.join(b, CELL)
+    else:
+        a = _sliced(a, slices, "_sa", "_na", "left_id", "_sb", "_nb")
+        b = _sliced(b, slices, "_sb", "_nb", "right_id", "_sa", "_na")
+        met = a.join(b, [*CELL, "_sa", "_sb"])
     distance = haversine_distance("a_lat", "a_lon", "b_lat", "b_lon", unit)
     return met.select("left_id", "right_id", distance.alias("distance")).filter(F.col("distance") <= radius)

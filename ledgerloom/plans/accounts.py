@@ -16,27 +16,32 @@ ACTIVITY = [(50, "Very Active"), (20, "Active"), (5, "Moderate")]
 
 def transaction_metrics(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     amount, when = F.col("amount_usd"), F.col("transaction_date")
-    sums = transactions.groupBy("account_id").agg(
-        F.count("transaction_id").alias("transaction_count"),
-        F.sum(amount).alias("total_transaction_amount"),
-        F.avg(amount).alias("avg_transaction_amount"),
-        F.min(amount).alias("min_transaction_amount"),
-        F.max(amount).alias("max_transaction_amount"),
-        F.min(when).alias("first_transaction_date"),
-        F.max(when).alias("last_transaction_date"),
-        F.count_distinct("merchant_id").alias("distinct_merchants"),
-        F.count_if(amount > 10000).alias("high_value_transactions"),
+    sums = exact_percentiles(
+        transactions,
+        ["account_id"],
+        {"median_transaction_amount": ("amount_usd", 0.5)},
+        aggregates={
+            "transaction_count": F.count("transaction_id"),
+            "total_transaction_amount": F.sum(amount),
+            "avg_transaction_amount": F.avg(amount),
+            "min_transaction_amount": F.min(amount),
+            "max_transaction_amount": F.max(amount),
+            "first_transaction_date": F.min(when),
+            "last_transaction_date": F.max(when),
+            "distinct_merchants": F.count_distinct("merchant_id"),
+            "high_value_transactions": F.count_if(amount > 10000),
+        },
+        at_most=transactions,
+        hot_rows=hot_rows,
     )
     first, last = F.col("first_transaction_date"), F.col("last_transaction_date")
     months = F.nullif(date_diff(first, last, "month"), F.lit(0).cast("bigint"))
-    sums = sums.withColumns(
+    return sums.withColumns(
         {
             "transaction_span_days": date_diff(first, last, "day"),
             "transactions_per_month": F.col("transaction_count") / months,
         }
     )
-    median = exact_percentiles(transactions, ["account_id"], {"median_transaction_amount": ("amount_usd", 0.5)}, hot_rows=hot_rows)
-    return sums.join(median, "account_id", "left")
 
 
 def summary_rows(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.casts import AsOf, date_diff, moment
 from ..functions.expressions import banded, ladder
 from ..functions.windows import rolling_mean, share_percent
-from ..operators.ordered import HOT_ROWS, same_keys
+from ..operators.ordered import HOT_ROWS
 from ..operators.percentiles import exact_percentiles
 
 # Margin, and lower ends (exclusive) of the value tiers.
@@ -90,31 +90,34 @@ def clv_analysis(facts: DataFrame, customers: DataFrame, as_of: AsOf = None) ->
     )
 
 
-def segment_analysis(dim: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per customer segment, from the customer dimension."""
+def segment_analysis(dim: DataFrame, customers: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row per customer segment, from the customer dimension.
+
+    ``customers``, the table below the dimension, is only counted.
+    """
     known = dim.filter(F.col("customer_segment").isNotNull())
     health = F.col("financial_health_status")
-    sums = known.groupBy("customer_segment").agg(
-        F.count("customer_id").alias("customer_count"),
-        F.sum("total_balance_usd").alias("total_portfolio_value"),
-        F.avg("total_balance_usd").alias("avg_balance"),
-        F.sum("net_worth").alias("total_net_worth"),
-        F.avg("credit_score").alias("avg_credit_score"),
-        F.count_if(health == "Excellent").alias("healthy_customers"),
-        F.count_if(health == "Needs Attention").alias("at_risk_customers"),
-    )
-    medians = exact_percentiles(
+    sums = exact_percentiles(
         known,
         ["customer_segment"],
         {"median_balance": ("total_balance_usd", 0.5), "median_net_worth": ("net_worth", 0.5)},
+        aggregates={
+            "customer_count": F.count("customer_id"),
+            "total_portfolio_value": F.sum("total_balance_usd"),
+            "avg_balance": F.avg("total_balance_usd"),
+            "total_net_worth": F.sum("net_worth"),
+            "avg_credit_score": F.avg("credit_score"),
+            "healthy_customers": F.count_if(health == "Excellent"),
+            "at_risk_customers": F.count_if(health == "Needs Attention"),
+        },
+        at_most=customers,
         hot_rows=hot_rows,
     )
     # at most one row per segment label from here on
     everything = F.sum("total_portfolio_value").over(Window.partitionBy())
     part = lambda name: F.round(F.try_divide(F.col(name), F.col("customer_count")) * 100, 2)
     return (
-        sums.join(medians, "customer_segment")
-        .select(
+        sums.select(
             "customer_segment",
             "customer_count",
             "total_portfolio_value",
@@ -136,21 +139,26 @@ def segment_analysis(dim: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 PERIOD = ["transaction_year", "transaction_month", "transaction_dayofweek", "time_of_day", "day_type", "is_holiday"]
 
 
-def transaction_patterns(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Totals, anomaly rate and trend per calendar slot, from the fact table."""
+def transaction_patterns(facts: DataFrame, transactions: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Totals, anomaly rate and trend per calendar slot, from the fact table.
+
+    ``transactions``, the table below the facts, is only counted.
+    """
     amount, flag = F.col("amount_usd"), F.col("transaction_risk_flag")
-    sums = facts.groupBy(*PERIOD).agg(
-        F.count("transaction_id").alias("transaction_count"),
-        F.sum(amount).alias("total_amount"),
-        F.avg(amount).alias("avg_amount"),
-        F.count_if(flag == "Anomaly").alias("anomaly_count"),
-        F.count_if(flag == "Suspicious").alias("suspicious_count"),
-    )
-    marks = exact_percentiles(
-        facts, PERIOD, {"median_amount": ("amount_usd", 0.5), "p95_amount": ("amount_usd", 0.95)}, hot_rows=hot_rows
+    slots = exact_percentiles(
+        facts,
+        PERIOD,
+        {"median_amount": ("amount_usd", 0.5), "p95_amount": ("amount_usd", 0.95)},
+        aggregates={
+            "transaction_count": F.count("transaction_id"),
+            "total_amount": F.sum(amount),
+            "avg_amount": F.avg(amount),
+            "anomaly_count": F.count_if(flag == "Anomaly"),
+            "suspicious_count": F.count_if(flag == "Suspicious"),
+        },
+        at_most=transactions,
+        hot_rows=hot_rows,
     )
-    left, right = sums.alias("s"), marks.alias("m")
-    slots = left.join(right, same_keys("s", "m", PERIOD)).select("s.*", "m.median_amount", "m.p95_amount")
     # the calendar bounds the number of slots, so one ordered window holds them;
     # the further group columns make the order total
     timeline = Window.partitionBy(F.lit(1)).orderBy(*PERIOD)

@@ -15,15 +15,15 @@ def loan_portfolio(loans: DataFrame, customers: DataFrame, as_of: AsOf = None, h
     """One row per loan, from the staged tables."""
     now = moment(as_of)
     borrower = customers.select("customer_id", "first_name", "last_name", "credit_score", "credit_rating", "customer_tier")
-    # one-row statistics in place of windows over the whole table
-    total = loans.agg(F.sum("loan_amount").alias("_total"))
+    # one row of statistics in place of windows over the whole table
     marks = exact_percentiles(
         loans,
         [],
         {"interest_rate_75th_percentile": ("interest_rate", 0.75), "loan_amount_90th_percentile": ("loan_amount", 0.9)},
+        aggregates={"_total": F.sum("loan_amount")},
         hot_rows=hot_rows,
     )
-    joined = loans.join(borrower, "customer_id", "left").crossJoin(F.broadcast(total)).crossJoin(F.broadcast(marks))
+    joined = loans.join(borrower, "customer_id", "left").crossJoin(F.broadcast(marks))
     rate, score, left = F.col("interest_rate"), F.col("credit_score"), date_diff(now, "maturity_date", "month")
     risk = ladder([((rate > 10) & (score < 670), "High Risk"), ((rate > 7) & (score < 700), "Medium Risk")], "Low Risk")
     maturity = ladder([(F.col("maturity_date") < now, "Matured"), (left <= 6, "Near Maturity")], "Active")
@@ -63,23 +63,33 @@ RISK_WEIGHTS = {"High Risk": 1.5, "Medium Risk": 1.0}
 OTHER_WEIGHT = 0.5
 
 
-def loan_portfolio_analysis(portfolio: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Portfolio totals by status, risk, interest band and maturity."""
+def loan_portfolio_analysis(
+    portfolio: DataFrame, as_of: AsOf = None, loans: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Portfolio totals by status, risk, interest band and maturity.
+
+    ``loans``, the table below the portfolio, is only counted: a small one
+    rules out large groups without evaluating the portfolio for it.
+    """
     amount, risk = F.col("loan_amount"), F.col("risk_category")
     weight = F
     for label, factor in RISK_WEIGHTS.items():
         weight = weight.when(risk == label, amount * F.lit(factor).cast("decimal(2,1)"))
     weighted = weight.otherwise(amount * F.lit(OTHER_WEIGHT).cast("decimal(2,1)"))
-    sums = portfolio.groupBy(*GROUP).agg(
-        F.count("loan_id").alias("loan_count"),
-        F.sum(amount).alias("total_loan_value"),
-        F.avg("interest_rate").alias("avg_interest_rate"),
-        F.sum("projected_annual_interest_income").alias("total_annual_interest_income"),
-        F.avg("credit_score").alias("avg_borrower_credit_score"),
-        F.sum(weighted).alias("risk_weighted_assets"),
-    )
-    marks = exact_percentiles(
-        portfolio, GROUP, {"median_interest_rate": ("interest_rate", 0.5), "p90_loan_amount": ("loan_amount", 0.9)}, hot_rows=hot_rows
+    sums = exact_percentiles(
+        portfolio,
+        GROUP,
+        {"median_interest_rate": ("interest_rate", 0.5), "p90_loan_amount": ("loan_amount", 0.9)},
+        aggregates={
+            "loan_count": F.count("loan_id"),
+            "total_loan_value": F.sum(amount),
+            "avg_interest_rate": F.avg("interest_rate"),
+            "total_annual_interest_income": F.sum("projected_annual_interest_income"),
+            "avg_borrower_credit_score": F.avg("credit_score"),
+            "risk_weighted_assets": F.sum(weighted),
+        },
+        at_most=loans,
+        hot_rows=hot_rows,
     )
     # one row per risk category, so joining it cannot multiply groups
     value = F.col("total_loan_value")
@@ -97,10 +107,8 @@ def loan_portfolio_analysis(portfolio: DataFrame, as_of: AsOf = None, hot_rows:
         ],
         "Healthy Portfolio",
     )
-    # the groups are never NULL: every one ends in an ELSE label
     return (
-        sums.join(marks, GROUP)
-        .join(concentration, "risk_category", "left")
+        sums.join(concentration, "risk_category", "left")
         .select(
             *GROUP,
             "loan_count",

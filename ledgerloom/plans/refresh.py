@@ -45,7 +45,7 @@ def read_enriched(stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 def refresh_facts(table: str, batch: DataFrame, enriched: DataFrame, accounts: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``enriched``: the stored enriched rows after their own refresh."""
     affected = rows_of_affected(enriched, with_customer(batch, accounts), "customer_id")
-    return upsert(fact_rows(affected, as_of, hot_rows), table, "transaction_sk", PARTITIONS, CLUSTER)
+    return upsert(fact_rows(affected, as_of, at_most=enriched, hot_rows=hot_rows), table, "transaction_sk", PARTITIONS, CLUSTER)
 
 
 def refresh_accounts(

@@ -33,7 +33,13 @@ def customer_counts(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     return owned.groupBy("customer_id").agg(F.sum("_n").alias("_n"))
 
 
-def rolling_measures(rows: DataFrame, counts: DataFrame | None = None, hot_rows: int = HOT_ROWS, partitions: int | None = None) -> DataFrame:
+def rolling_measures(
+    rows: DataFrame,
+    counts: DataFrame | None = None,
+    at_most: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    partitions: int | None = None,
+) -> DataFrame:
     """Rolling means, running spend, gap, z-score and flag per ``customer_id``.
 
     ``rolling_7day_avg`` and ``rolling_30day_avg`` cover that many rows before
@@ -53,6 +59,7 @@ def rolling_measures(rows: DataFrame, counts: DataFrame | None = None, hot_rows:
         totals={"_mean": F.avg(amount), "_deviation": F.stddev_samp(amount)},
         rows_back=MONTH_ROWS,
         counts=counts,
+        at_most=at_most,
         hot_rows=hot_rows,
         partitions=partitions,
     )
@@ -81,7 +88,7 @@ def enriched_rows(
     shops = merchants.select("merchant_id", "merchant_name", F.col("city").alias("merchant_city"))
     located = with_customer(transactions.join(shops, "merchant_id", "left"), accounts)
     counts = customer_counts(transactions, accounts)
-    measured = rolling_measures(located, counts, hot_rows, partitions)
+    measured = rolling_measures(located, counts, transactions, hot_rows, partitions)
     people = customers.select("customer_id", "first_name", "last_name", "credit_score", "credit_rating", "customer_tier")
     joined = measured.join(people, "customer_id", "left")
     return joined.select(
@@ -143,8 +150,19 @@ def transaction_enriched(
     return with_marks(rows, amount_marks(transactions, hot_rows))
 
 
-def fact_rows(enriched: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS, partitions: int | None = None) -> DataFrame:
-    """The fact table's rows without the global percentiles."""
+def fact_rows(
+    enriched: DataFrame,
+    as_of: AsOf = None,
+    counts: DataFrame | None = None,
+    at_most: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    partitions: int | None = None,
+) -> DataFrame:
+    """The fact table's rows, with whatever global percentiles ``enriched`` holds.
+
+    ``counts``: rows per customer (``customer_counts``); ``at_most``: the table
+    of transactions, only counted. Both spare evaluating ``enriched`` twice.
+    """
     amount, when, customer = F.col("amount_usd"), F.col("transaction_date"), F.col("customer_id")
     totals = {
         "total_transactions": F.count("transaction_id"),
@@ -166,6 +184,8 @@ def fact_rows(enriched: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS,
         running={"cumulative_customer_spend": "amount_usd"},
         totals=totals,
         percentiles=points,
+        counts=counts,
+        at_most=at_most,
         hot_rows=hot_rows,
         partitions=partitions,
     )
@@ -185,6 +205,14 @@ def fact_rows(enriched: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS,
     )
 
 
-def fct_transactions(enriched: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The transaction fact table, from the enriched transactions."""
-    return fact_rows(enriched, as_of, hot_rows)
+def fct_transactions(
+    transactions: DataFrame,
+    accounts: DataFrame,
+    customers: DataFrame,
+    merchants: DataFrame,
+    as_of: AsOf = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """The transaction fact table, from the staged tables."""
+    enriched = transaction_enriched(transactions, accounts, customers, merchants, hot_rows)
+    return fact_rows(enriched, as_of, customer_counts(transactions, accounts), transactions, hot_rows)

@@ -43,8 +43,23 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+_written: dict[str, list[str]] = {}  # application id -> folders it wrote
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this application; call it once its results are saved."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -25,6 +25,12 @@ def write_table(df: DataFrame, table: str, table_format: str = "parquet") -> Dat
     return df.sparkSession.table(table)
 
 
+def create_view(df: DataFrame, name: str) -> DataFrame:
+    """A named, unmaterialised plan."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def write_partitioned(
     df: DataFrame, table: str, partition_by: Sequence[str], cluster_by: Sequence[str] = (), table_format: str = "parquet"
 ) -> DataFrame:
@@ -143,7 +149,7 @@ def upsert(
     ordered = ordered.sortWithinPartitions(*parts, *cluster_by)
     insert_overwrite(ordered, table)
     for row in emptied:
-        spec = ", ".join(f"`{p}` = '{row[p]}'" for p in parts)
+        spec = ", ".join(f"`{p}` = {_literal(row[p])}" for p in parts)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
     return spark.table(table).drop(BUCKET)
 
@@ -154,6 +160,13 @@ def _emptied(merged: DataFrame, touched: list, parts: Sequence[str]) -> list:
     return [row for row in touched if tuple(row) not in left]
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def high_water_mark(target: DataFrame, mark: str):
     """Largest value of ``mark`` in the target, None if it has none."""
     return target.agg(F.max(mark).alias("mark")).first()["mark"]

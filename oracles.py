@@ -430,8 +430,8 @@ QUERY_SQL = {
     "union_relations_exclude": """SELECT o_orderkey AS id, o_orderstatus AS status, o_custkey FROM orders
         UNION ALL SELECT l_orderkey, l_linestatus, NULL FROM lineitem""",
     "relations_by_prefix_union": "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'",
-    "series_missing_order_keys": """SELECT g AS generated_number FROM (SELECT unnest(generate_series(1, (SELECT max(c_custkey) FROM customer))) AS g)
-        WHERE g NOT IN (SELECT o_custkey FROM orders)""",
+    "series_orders_without_lines": """SELECT g AS generated_number FROM (SELECT unnest(generate_series(1, (SELECT max(o_orderkey) FROM orders))) AS g)
+        WHERE g NOT IN (SELECT l_orderkey FROM lineitem)""",
     "date_spine_daily_orders": f"""SELECT s.o_orderstatus, {day('g.p')} AS order_day, count(o.o_orderkey) AS n_orders, count(DISTINCT o.o_custkey) AS n_customers
         FROM (SELECT DISTINCT o_orderstatus FROM orders) s CROSS JOIN ({GRID.format('1994-12-25', '2002-01-09', 'DAY')}) g
         LEFT JOIN orders o ON o.o_orderstatus = s.o_orderstatus AND o.o_orderdate = g.p GROUP BY s.o_orderstatus, g.p""",
@@ -514,8 +514,8 @@ QUERY_SQL = {
     "check_not_null": "SELECT l_orderkey, CAST(NULL AS BIGINT) AS n FROM lineitem WHERE l_linenumber = 4",
     "check_not_null_proportion": """SELECT o_custkey, round(v::DOUBLE / n, 4) AS not_null_proportion FROM (SELECT o_custkey,
         count(*) FILTER (o_orderstatus <> 'P') AS v, count(*) AS n FROM orders GROUP BY 1) WHERE v::DOUBLE / n < 0.5 OR v::DOUBLE / n > 0.9""",
-    "check_recency": f"""SELECT user_id, {ts('m')} AS most_recent, {ts("TIMESTAMP '2024-01-28 12:00:00'")} AS threshold
-        FROM (SELECT user_id, max(ts) AS m FROM events GROUP BY 1) WHERE m < TIMESTAMP '2024-01-28 12:00:00'""",
+    "check_recency": f"""SELECT user_id, {ts('m')} AS most_recent, {ts("TIMESTAMP '2024-01-29 06:00:00'")} AS threshold
+        FROM (SELECT user_id, max(ts) AS m FROM events GROUP BY 1) WHERE m < TIMESTAMP '2024-01-29 06:00:00'""",
     "check_recency_dates": """SELECT o_custkey, strftime(m, '%Y-%m-%d') AS most_recent, '2001-07-01' AS threshold
         FROM (SELECT o_custkey, max(o_orderdate) AS m FROM orders GROUP BY 1) WHERE CAST(m AS DATE) < DATE '2001-07-01'""",
     "check_relationships_where": """SELECT o_orderkey AS id, CAST(NULL AS BIGINT) AS right_id FROM orders WHERE o_orderstatus <> 'P'

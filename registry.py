@@ -81,7 +81,7 @@ class Bank:
         return transactions.transaction_enriched(self.transactions, self.accounts, self.customers, self.merchants)
 
     def facts(self) -> DataFrame:
-        return transactions.fct_transactions(self.enriched(), AS_OF)
+        return transactions.fct_transactions(self.transactions, self.accounts, self.customers, self.merchants, AS_OF)
 
     def summary(self) -> DataFrame:
         return accounts.account_summary(self.accounts, self.customers, self.transactions, AS_OF)
@@ -169,7 +169,8 @@ def loan_portfolio(spark, folder):
 
 @query
 def loan_portfolio_analysis(spark, folder):
-    return loans.loan_portfolio_analysis(Bank(spark, folder).portfolio(), AS_OF)
+    bank = Bank(spark, folder)
+    return loans.loan_portfolio_analysis(bank.portfolio(), AS_OF, bank.loans)
 
 
 @query
@@ -206,19 +207,21 @@ def _txn(spark, folder):
 
 @query
 def segment_analysis(spark, folder):
-    return analytics.segment_analysis(Bank(spark, folder).dim())
+    bank = Bank(spark, folder)
+    return analytics.segment_analysis(bank.dim(), bank.customers)
 
 
 @query
 def transaction_patterns(spark, folder):
-    return analytics.transaction_patterns(Bank(spark, folder).enriched())
+    bank = Bank(spark, folder)
+    return analytics.transaction_patterns(bank.enriched(), bank.transactions)
 
 
 @query
 def event_patterns(spark, folder):
     """Spending patterns of transactions with a time of day."""
     rows = Bank(spark, folder).events.withColumn("customer_id", F.col("account_id"))
-    return analytics.transaction_patterns(transactions.rolling_measures(rows))
+    return analytics.transaction_patterns(transactions.rolling_measures(rows), rows)
 
 
 @query
@@ -407,11 +410,11 @@ def relations_by_prefix_union(spark, folder):
 
 
 @query
-def series_missing_order_keys(spark, folder):
-    """Numbers up to the largest part key in a line that no order of that key exists for."""
-    top = table(spark, folder, "customer").agg(F.max("c_custkey").alias("top")).first()["top"]
-    buyers = table(spark, folder, "orders").select(F.col("o_custkey").alias("generated_number"))
-    return generators.generate_series(spark, top).join(buyers, "generated_number", "left_anti")
+def series_orders_without_lines(spark, folder):
+    """Numbers up to the largest order key that no line refers to."""
+    top = table(spark, folder, "orders").agg(F.max("o_orderkey").alias("top")).first()["top"]
+    delivered = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("generated_number"))
+    return generators.generate_series(spark, top).join(delivered, "generated_number", "left_anti")
 
 
 @query
@@ -772,7 +775,7 @@ def check_not_null_proportion(spark, folder):
 
 @query
 def check_recency(spark, folder):
-    return table_checks.recency(table(spark, folder, "events"), "ts", "hour", 60, group_by=["user_id"], as_of="2024-01-31 00:00:00")
+    return table_checks.recency(table(spark, folder, "events"), "ts", "hour", 18, group_by=["user_id"], as_of="2024-01-30 00:00:00")
 
 
 @query
