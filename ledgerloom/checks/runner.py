@@ -9,8 +9,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.reshape import COMPARE
 from . import rows, tables
 
+THRESHOLD = re.compile(r"\s*(=|!=|<>|<|<=|>|>=)\s*(\d+)\s*")
+
 RowsOf = Callable[[DataFrame], DataFrame]
 
 # How a check's failures are counted, where that is not the number of its rows.
@@ -46,7 +49,7 @@ class Check:
         if self.severity not in ("error", "warn"):
             raise ValueError(f"{self.name}: severity must be 'error' or 'warn'")
         for bound in (self.error_if, self.warn_if):
-            if not re.fullmatch(r"\s*(=|!=|<>|<|<=|>|>=)\s*\d+\s*", bound):
+            if not THRESHOLD.fullmatch(bound):
                 raise ValueError(f"{self.name}: cannot read threshold {bound!r}")
 
 
@@ -79,9 +82,14 @@ def accepted_range_check(c: str, min_value=None, max_value=None, inclusive: bool
     return Check(f"accepted_range_{c}", violated=rows.out_of_range(c, min_value, max_value, inclusive), **options)
 
 
+def _beyond(failures: Column, bound: str) -> Column:
+    sign, number = THRESHOLD.fullmatch(bound).groups()
+    return COMPARE[sign](failures, F.lit(int(number)))
+
+
 def _status(one: Check, failures: Column) -> Column:
-    fails = F.expr(f"failures {one.error_if}") if one.severity == "error" else F.lit(False)
-    return F.when(fails, "error").when(F.expr(f"failures {one.warn_if}"), "warn").otherwise("pass")
+    fails = _beyond(failures, one.error_if) if one.severity == "error" else F.lit(False)
+    return F.when(fails, "error").when(_beyond(failures, one.warn_if), "warn").otherwise("pass")
 
 
 def run_checks(df: DataFrame, suite: Sequence[Check], table: str = "table") -> DataFrame:
@@ -98,12 +106,12 @@ def run_checks(df: DataFrame, suite: Sequence[Check], table: str = "table") -> D
             for i, one in enumerate(by_row)
         ]
         totals = df.agg(*counted)
-        entries = F.array(*[F.struct(F.lit(one.name).alias("name"), F.col(f"_{i}").alias("failures")) for i, one in enumerate(by_row)])
-        spread = totals.select(F.explode(entries).alias("_e")).select("_e.*")
-        status = reduce(
-            lambda case, one: case.when(F.col("name") == one.name, _status(one, F.col("failures"))), by_row, F
-        )
-        results.append(spread.select(F.lit(table).alias("table"), F.col("name").alias("check_name"), "failures", status.alias("status")))
+        entries = [
+            F.struct(F.lit(one.name).alias("check_name"), F.col(f"_{i}").alias("failures"), _status(one, F.col(f"_{i}")).alias("status"))
+            for i, one in enumerate(by_row)
+        ]
+        spread = totals.select(F.explode(F.array(*entries)).alias("_e"))
+        results.append(spread.select(F.lit(table).alias("table"), "_e.*"))
     for one in suite:
         if one.violations is None:
             continue
