@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from .ordered import HOT_ROWS, find_hot, positions, same_keys, split_hot
+from .ordered import HOT_ROWS, find_hot, partitions_for, positions, same_keys, size_of, split_hot
 from .percentiles import Targets, complete_percentiles
 
 Framed = Mapping[str, Callable[[WindowSpec], Column]]
@@ -22,7 +22,7 @@ def keyed_windows(
     percentiles: Targets | None = None,
     rows_back: int = 0,
     counts: DataFrame | None = None,
-    at_most: DataFrame | None = None,
+    at_most: DataFrame | int | None = None,
     hot_rows: int = HOT_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -54,10 +54,13 @@ def keyed_windows(
         return rows.select("*", *added)
 
     if not keys:
+        partitions = partitions or partitions_for(size_of(df if at_most is None else at_most))
         return _typed_like(plain(df), _in_blocks(df, None, keys, order_by, framed, running, totals, percentiles, rows_back, hot_rows, partitions))
-    listed = find_hot(df, keys, hot_rows, counts, at_most)
-    if listed is None:
+    found = find_hot(df, keys, hot_rows, counts, at_most)
+    if found is None:
         return plain(df)
+    listed, size = found
+    partitions = partitions or partitions_for(size)
     hot, cold = split_hot(df, listed, keys)
     bounded = plain(cold)
     large = _in_blocks(hot, listed, keys, order_by, framed, running, totals, percentiles, rows_back, hot_rows, partitions)

@@ -18,12 +18,12 @@ def key_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     More than one input behind a key is a collision, otherwise the rows are
     duplicates. Rows are folded per distinct input first, so a hot input costs
-    one row per task.
+    one row per task and only distinct inputs are hashed.
     """
-    keyed = with_surrogate_key(df.select(*cols), cols, "_key")
-    inputs = keyed.groupBy("_key", *cols).agg(F.count(F.lit(1)).alias("_n"))
+    inputs = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     return (
-        inputs.groupBy(F.col("_key").alias("surrogate_key"))
+        with_surrogate_key(inputs, cols, "_key")
+        .groupBy(F.col("_key").alias("surrogate_key"))
         .agg(F.sum("_n").alias("n_rows"), F.count(F.lit(1)).alias("n_inputs"))
         .filter(F.col("n_rows") > 1)
         .withColumn("is_collision", F.col("n_inputs") > 1)

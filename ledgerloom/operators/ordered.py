@@ -8,7 +8,8 @@ or one huge tie is spread over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -18,6 +19,11 @@ from ..session import materialise
 # A key with more rows than this is split over several tasks.
 HOT_ROWS = 1_000_000
 
+# Range partitions are sized by rows; their number is limited because the driver
+# samples about a hundred sort keys for each of them.
+ROWS_PER_PARTITION = 1_000_000
+MAX_PARTITIONS = 10_000
+
 _IN_PARTITION = (1 << 33) - 1  # monotonically_increasing_id: partition above, row below bit 33
 
 
@@ -31,25 +37,34 @@ def row_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def partitions_for(rows: int) -> int:
+    return min(max(math.ceil(rows / ROWS_PER_PARTITION), 1), MAX_PARTITIONS)
+
+
+def size_of(at_most: DataFrame | int) -> int:
+    return at_most if isinstance(at_most, int) else at_most.count()
+
+
 def find_hot(
     df: DataFrame,
     keys: Sequence[str],
     hot_rows: int,
     counts: DataFrame | None = None,
-    at_most: DataFrame | None = None,
-) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, None if there are none.
-
-    There are at most all rows / ``hot_rows`` of them. ``at_most`` is a table
-    with no fewer rows than ``df`` that is cheap to count, such as the scan
-    below it: if it is small no key can be hot, and nothing else is read.
-    ``counts`` (keys and ``_n``) saves counting the rows of ``df`` per key.
+    at_most: DataFrame | int | None = None,
+) -> tuple[DataFrame, int] | None:
+    """Keys with more than ``hot_rows`` rows and their rows in all; None if there are none.
+
+    There are at most all rows / ``hot_rows`` such keys. ``at_most`` is a bound
+    on the rows of ``df``, or a table with no fewer rows that is cheap to count,
+    such as the scan below it: if it is small no key can be hot, and nothing
+    else is read. ``counts`` (keys and ``_n``) saves counting ``df`` per key.
     """
-    if at_most is not None and at_most.count() <= hot_rows:
+    if at_most is not None and size_of(at_most) <= hot_rows:
         return None
     counted = row_counts(df, keys) if counts is None else counts
-    listed = materialise(counted.filter(F.col("_n") > hot_rows).select(*keys), "hot")
-    return None if listed.isEmpty() else listed
+    listed = materialise(counted.filter(F.col("_n") > hot_rows).select(*keys, "_n"), "hot")
+    rows = listed.agg(F.sum("_n").alias("rows")).first()["rows"]
+    return None if rows is None else (listed.drop("_n"), rows)
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -137,13 +152,17 @@ def global_rank_ntile(
     tiles: int = 5,
     rank_name: str = "rank",
     tile_name: str = "tile",
+    percentiles: Mapping[str, float] | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """``rank()`` and ``ntile(tiles)`` over the whole table by ``value`` descending.
 
     Rows of equal value share a rank; ``tie_break`` decides their order for the
-    tiles. The first ``n % tiles`` tiles are one row longer.
+    tiles. The first ``n % tiles`` tiles are one row longer. ``percentiles``
+    adds exact percentiles of ``value`` over all rows, read off the same sort.
     """
+    points = dict(percentiles or {})
+    partitions = partitions or partitions_for(df.count())
     placed = _numbered(df, [F.col(value).desc(), F.col(tie_break).asc()], (), "_pos", partitions)
     # a tie starts inside its partition, unless it is the partition's first value;
     # those values, at most one per partition, are looked up over all partitions
@@ -152,7 +171,16 @@ def global_rank_ntile(
     reaching = placed.alias("p").join(F.broadcast(edges.alias("e")), same_keys("p", "e", [value]), "left_semi")
     starts = reaching.groupBy(value).agg(F.min("_pos").alias("_start"))
     rank = F.coalesce(F.col("_start"), F.col("_inside"))
-    total = F.broadcast(placed.agg(F.count(F.lit(1)).alias("_total")))
+
+    total = placed.agg(F.count(F.lit(1)).alias("_total"), F.count(value).alias("_known"))
+    if points:
+        # descending, with NULLs last: the a-th smallest value is at _known - a
+        wanted = {name: (F.col("_known") - 1) * F.lit(float(p)) for name, p in points.items()}
+        at = lambda a: F.max(F.when(F.col("_pos") == F.col("_known") - a, F.col(value).cast("double")))
+        ends = [at(edge(a)).alias(f"{end}_{n}") for n, a in wanted.items() for end, edge in (("_lo", F.floor), ("_hi", F.ceil))]
+        found = placed.crossJoin(F.broadcast(total)).groupBy("_total", "_known").agg(*ends)
+        total = found.select("_total", *[interpolate(a, F.col(f"_lo_{n}"), F.col(f"_hi_{n}")).alias(n) for n, a in wanted.items()])
+
     small = F.floor(F.col("_total") / tiles)
     longer = F.col("_total") % tiles
     in_longer = longer * (small + 1)
@@ -160,6 +188,12 @@ def global_rank_ntile(
         longer + F.ceil(F.try_divide(F.col("_pos") - in_longer, small))
     )
     joined = inside.alias("p").join(F.broadcast(starts.alias("r")), same_keys("p", "r", [value]), "left")
-    return joined.crossJoin(total).select(
-        *[F.col(f"p.`{c}`") for c in df.columns], rank.alias(rank_name), tile.cast("int").alias(tile_name)
+    return joined.crossJoin(F.broadcast(total)).select(
+        *[F.col(f"p.`{c}`") for c in df.columns], rank.alias(rank_name), tile.cast("int").alias(tile_name), *points
     )
+
+
+def interpolate(at: Column, low: Column, high: Column) -> Column:
+    """Value at position ``at`` between its neighbours, as Spark's percentile has it."""
+    mixed = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+    return F.when((F.floor(at) == F.ceil(at)) | (low == high), low).otherwise(mixed)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .ordered import HOT_ROWS, find_hot, prefix_sums, same_keys, split_hot
+from .ordered import HOT_ROWS, find_hot, interpolate, partitions_for, prefix_sums, same_keys, size_of, split_hot
 
 Targets = Mapping[str, tuple[str, float]]
 
@@ -54,11 +54,7 @@ def _spread_out(df: DataFrame, keys: Sequence[str], targets: Targets, partitions
         ]
     found = ranked.groupBy(*keys).agg(*parts)
 
-    def between(i: int) -> Column:
-        at, lo, hi = F.col(f"_at{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        mixed = (F.ceil(at) - at) * lo + (at - F.floor(at)) * hi
-        return F.when((F.floor(at) == F.ceil(at)) | (lo == hi), lo).otherwise(mixed)
-
+    between = lambda i: interpolate(F.col(f"_at{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}"))
     return found.select(*keys, *[between(i).alias(name) for i, name in enumerate(targets)])
 
 
@@ -68,7 +64,7 @@ def exact_percentiles(
     targets: Targets,
     aggregates: Mapping[str, Column] | None = None,
     counts: DataFrame | None = None,
-    at_most: DataFrame | None = None,
+    at_most: DataFrame | int | None = None,
     hot_rows: int = HOT_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -82,16 +78,17 @@ def exact_percentiles(
     """
     extra = dict(aggregates or {})
     if not keys:
-        size = (df if at_most is None else at_most).count()
+        size = size_of(df if at_most is None else at_most)
         if size <= hot_rows:
             return _bounded(df, [], targets, extra)
-        marks = _spread_out(df, [], targets, partitions)
+        marks = _spread_out(df, [], targets, partitions or partitions_for(size))
         return df.agg(*[a.alias(n) for n, a in extra.items()]).crossJoin(F.broadcast(marks)) if extra else marks
-    listed = find_hot(df, keys, hot_rows, counts, at_most)
-    if listed is None:
+    found = find_hot(df, keys, hot_rows, counts, at_most)
+    if found is None:
         return _bounded(df, keys, targets, extra)
+    listed, size = found
     hot, cold = split_hot(df, listed, keys)
-    large = complete_percentiles(hot, listed, keys, targets, partitions)
+    large = complete_percentiles(hot, listed, keys, targets, partitions or partitions_for(size))
     if extra:
         sums = hot.groupBy(*keys).agg(*[a.alias(n) for n, a in extra.items()])
         joined = sums.alias("a").join(F.broadcast(large.alias("p")), same_keys("a", "p", keys))

@@ -14,7 +14,7 @@ from ..operators.percentiles import exact_percentiles
 ACTIVITY = [(50, "Very Active"), (20, "Active"), (5, "Moderate")]
 
 
-def transaction_metrics(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def transaction_metrics(transactions: DataFrame, size: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     amount, when = F.col("amount_usd"), F.col("transaction_date")
     sums = exact_percentiles(
         transactions,
@@ -31,7 +31,7 @@ def transaction_metrics(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> Da
             "distinct_merchants": F.count_distinct("merchant_id"),
             "high_value_transactions": F.count_if(amount > 10000),
         },
-        at_most=transactions,
+        at_most=transactions if size is None else size,
         hot_rows=hot_rows,
     )
     first, last = F.col("first_transaction_date"), F.col("last_transaction_date")
@@ -45,12 +45,20 @@ def transaction_metrics(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> Da
 
 
 def summary_rows(
-    accounts: DataFrame, customers: DataFrame, transactions: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS
+    accounts: DataFrame,
+    customers: DataFrame,
+    transactions: DataFrame,
+    as_of: AsOf = None,
+    size: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Everything about an account that depends on its own rows only."""
+    """Everything about an account that depends on its own rows only.
+
+    ``size``: a bound on the number of transactions, if known.
+    """
     now = moment(as_of)
     people = customers.select("customer_id", "first_name", "last_name", "credit_score", "credit_rating", "customer_tier")
-    joined = accounts.join(people, "customer_id", "left").join(transaction_metrics(transactions, hot_rows), "account_id", "left")
+    joined = accounts.join(people, "customer_id", "left").join(transaction_metrics(transactions, size, hot_rows), "account_id", "left")
     zero = lambda name: F.coalesce(F.col(name), F.lit(0))
     balance, count, age = F.col("balance_usd"), zero("transaction_count"), age_years("open_date", as_of)
     total = F.col("total_transaction_amount")
@@ -110,8 +118,13 @@ def with_balance_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def account_summary(
-    accounts: DataFrame, customers: DataFrame, transactions: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS
+    accounts: DataFrame,
+    customers: DataFrame,
+    transactions: DataFrame,
+    as_of: AsOf = None,
+    size: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per account, from the staged tables."""
-    rows = summary_rows(accounts, customers, transactions, as_of, hot_rows)
+    rows = summary_rows(accounts, customers, transactions, as_of, size, hot_rows)
     return with_balance_marks(rows, balance_marks(accounts, hot_rows))

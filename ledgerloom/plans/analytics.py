@@ -139,10 +139,10 @@ def segment_analysis(dim: DataFrame, customers: DataFrame | None = None, hot_row
 PERIOD = ["transaction_year", "transaction_month", "transaction_dayofweek", "time_of_day", "day_type", "is_holiday"]
 
 
-def transaction_patterns(facts: DataFrame, transactions: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def transaction_patterns(facts: DataFrame, transactions: DataFrame | int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Totals, anomaly rate and trend per calendar slot, from the fact table.
 
-    ``transactions``, the table below the facts, is only counted.
+    ``transactions``: their number, or the table below the facts to be counted.
     """
     amount, flag = F.col("amount_usd"), F.col("transaction_risk_flag")
     slots = exact_percentiles(

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.casts import AsOf, date_diff, moment
 from ..functions.expressions import banded, business_key, hash_column, ladder, surrogate_key
-from ..operators.ordered import HOT_ROWS, global_rank_ntile, same_keys
-from ..operators.percentiles import exact_percentiles
+from ..operators.ordered import global_rank_ntile
+from ..session import materialise
 
 # Quintile 1 is the richest.
 WEALTH_LABELS = {1: "Top 20%", 2: "Upper Middle 20%", 3: "Middle 20%", 4: "Lower Middle 20%"}
@@ -61,21 +61,24 @@ def card_totals(cards: DataFrame, accounts: DataFrame) -> DataFrame:
     return owned.groupBy("customer_id").agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def wealth_scores(totals: DataFrame, hot_rows: int = HOT_ROWS, partitions: int | None = None) -> DataFrame:
-    """Rank, quintile and 90th percentile of the balance over all account holders."""
+def wealth_scores(totals: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rank, quintile and 90th percentile of the balance over all account holders.
+
+    All three come from one distributed sort. The percentile is that of the
+    balance, under the name its users know.
+    """
     held = totals.select("customer_id", "total_balance_usd")
-    ranked = global_rank_ntile(held, "total_balance_usd", "customer_id", 5, "balance_rank", "wealth_quintile", partitions)
-    # the percentile of the balance, under the name its users know
-    p90 = exact_percentiles(held, [], {"credit_score_90th_percentile": ("total_balance_usd", 0.9)}, hot_rows=hot_rows)
-    return ranked.drop("total_balance_usd").crossJoin(F.broadcast(p90))
+    return global_rank_ntile(
+        held, "total_balance_usd", "customer_id", 5, "balance_rank", "wealth_quintile", {"credit_score_90th_percentile": 0.9}, partitions
+    ).drop("total_balance_usd")
 
 
 def customer_360(
-    customers: DataFrame, accounts: DataFrame, loans: DataFrame, cards: DataFrame, hot_rows: int = HOT_ROWS, partitions: int | None = None
+    customers: DataFrame, accounts: DataFrame, loans: DataFrame, cards: DataFrame, partitions: int | None = None
 ) -> DataFrame:
     """One row per customer, from the staged tables."""
-    totals = account_totals(accounts)
-    scores = wealth_scores(totals, hot_rows, partitions)
+    totals = materialise(account_totals(accounts), "totals")  # counted, sorted and joined below
+    scores = wealth_scores(totals, partitions)
     joined = (
         customers.alias("c")
         .join(totals.alias("a"), F.col("c.customer_id") == F.col("a.customer_id"), "left")

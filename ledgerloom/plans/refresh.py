@@ -33,13 +33,13 @@ def refresh_enriched(
     """``batch``: the new staged transactions; ``history``: all of them, batch included."""
     changed = with_customer(batch, accounts)
     affected = rows_of_affected(with_customer(history, accounts), changed, "customer_id").select(*history.columns)
-    rows = enriched_rows(affected, accounts, customers, merchants, hot_rows)
+    rows = enriched_rows(affected, accounts, customers, merchants, history.count(), hot_rows)
     return upsert(rows, table, "transaction_sk", PARTITIONS, CLUSTER)
 
 
 def read_enriched(stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The stored rows with today's percentiles over all amounts."""
-    return with_marks(stored, amount_marks(stored, hot_rows))
+    return with_marks(stored, amount_marks(stored, hot_rows=hot_rows))
 
 
 def refresh_facts(table: str, batch: DataFrame, enriched: DataFrame, accounts: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -60,7 +60,7 @@ def refresh_accounts(
         changed = accounts.select("account_id")
     owned = rows_of_affected(accounts, changed, "account_id")
     moved = rows_of_affected(history, changed, "account_id")
-    return upsert(summary_rows(owned, customers, moved, as_of, hot_rows), table, "account_id")
+    return upsert(summary_rows(owned, customers, moved, as_of, history.count(), hot_rows), table, "account_id")
 
 
 def read_accounts(stored: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -36,7 +36,7 @@ def customer_counts(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
 def rolling_measures(
     rows: DataFrame,
     counts: DataFrame | None = None,
-    at_most: DataFrame | None = None,
+    at_most: DataFrame | int | None = None,
     hot_rows: int = HOT_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -77,18 +77,21 @@ def enriched_rows(
     accounts: DataFrame,
     customers: DataFrame,
     merchants: DataFrame,
+    size: int | None = None,
     hot_rows: int = HOT_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
     """Everything about a transaction that depends on its own customer only.
 
+    ``size``: a bound on the number of transactions, if known.
+
     The merchant and account joins come first: the windows and the customer
     join then share one distribution by customer.
     """
     shops = merchants.select("merchant_id", "merchant_name", F.col("city").alias("merchant_city"))
     located = with_customer(transactions.join(shops, "merchant_id", "left"), accounts)
     counts = customer_counts(transactions, accounts)
-    measured = rolling_measures(located, counts, transactions, hot_rows, partitions)
+    measured = rolling_measures(located, counts, transactions if size is None else size, hot_rows, partitions)
     people = customers.select("customer_id", "first_name", "last_name", "credit_score", "credit_rating", "customer_tier")
     joined = measured.join(people, "customer_id", "left")
     return joined.select(
@@ -125,9 +128,10 @@ def enriched_rows(
     )
 
 
-def amount_marks(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def amount_marks(transactions: DataFrame, size: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row of percentiles over all amounts."""
-    return exact_percentiles(transactions, [], {n: ("amount_usd", p) for n, p in MARKS.items()}, hot_rows=hot_rows)
+    points = {n: ("amount_usd", p) for n, p in MARKS.items()}
+    return exact_percentiles(transactions, [], points, at_most=size, hot_rows=hot_rows)
 
 
 def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
@@ -144,24 +148,31 @@ def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def transaction_enriched(
-    transactions: DataFrame, accounts: DataFrame, customers: DataFrame, merchants: DataFrame, hot_rows: int = HOT_ROWS
+    transactions: DataFrame,
+    accounts: DataFrame,
+    customers: DataFrame,
+    merchants: DataFrame,
+    size: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    rows = enriched_rows(transactions, accounts, customers, merchants, hot_rows)
-    return with_marks(rows, amount_marks(transactions, hot_rows))
+    """One row per transaction, from the staged tables."""
+    size = transactions.count() if size is None else size
+    rows = enriched_rows(transactions, accounts, customers, merchants, size, hot_rows)
+    return with_marks(rows, amount_marks(transactions, size, hot_rows))
 
 
 def fact_rows(
     enriched: DataFrame,
     as_of: AsOf = None,
     counts: DataFrame | None = None,
-    at_most: DataFrame | None = None,
+    at_most: DataFrame | int | None = None,
     hot_rows: int = HOT_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
     """The fact table's rows, with whatever global percentiles ``enriched`` holds.
 
-    ``counts``: rows per customer (``customer_counts``); ``at_most``: the table
-    of transactions, only counted. Both spare evaluating ``enriched`` twice.
+    ``counts``: rows per customer (``customer_counts``); ``at_most``: the number
+    of transactions or their table. Both spare evaluating ``enriched`` twice.
     """
     amount, when, customer = F.col("amount_usd"), F.col("transaction_date"), F.col("customer_id")
     totals = {
@@ -211,8 +222,10 @@ def fct_transactions(
     customers: DataFrame,
     merchants: DataFrame,
     as_of: AsOf = None,
+    size: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The transaction fact table, from the staged tables."""
-    enriched = transaction_enriched(transactions, accounts, customers, merchants, hot_rows)
-    return fact_rows(enriched, as_of, customer_counts(transactions, accounts), transactions, hot_rows)
+    size = transactions.count() if size is None else size
+    enriched = transaction_enriched(transactions, accounts, customers, merchants, size, hot_rows)
+    return fact_rows(enriched, as_of, customer_counts(transactions, accounts), size, hot_rows)

@@ -139,9 +139,8 @@ def upsert(
         only = F.col(parts[0]).isin([row[0] for row in touched])
     else:
         only = reduce(Column.__or__, wanted)
-    _, new = reconcile(plain_old, plain_new, on_schema_change)
     old = target.filter(only).drop(BUCKET)  # prunes to the touched partitions
-    merged = merge_rows(old, new, keys)
+    merged = merge_rows(old, aligned_new, keys)
     merged = merged if partition_by else with_bucket(merged, keys, buckets)
     merged = materialise(merged, "merged")  # never overwrite what is being read
     emptied = _emptied(merged, touched, parts)

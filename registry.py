@@ -68,6 +68,9 @@ class Bank:
     transactions = property(lambda self: staging.stg_transactions(star.transactions(self.spark, self.folder)))
     events = property(lambda self: staging.stg_transactions(star.event_transactions(self.spark, self.folder)))
 
+    # one transaction per order: known from the file footers
+    size = property(lambda self: star.read(self.spark, self.folder, "orders").count())
+
     def c360(self) -> DataFrame:
         return customers.customer_360(self.customers, self.accounts, self.loans, self.cards)
 
@@ -78,13 +81,13 @@ class Bank:
         return loans.loan_portfolio(self.loans, self.customers, AS_OF)
 
     def enriched(self) -> DataFrame:
-        return transactions.transaction_enriched(self.transactions, self.accounts, self.customers, self.merchants)
+        return transactions.transaction_enriched(self.transactions, self.accounts, self.customers, self.merchants, self.size)
 
     def facts(self) -> DataFrame:
-        return transactions.fct_transactions(self.transactions, self.accounts, self.customers, self.merchants, AS_OF)
+        return transactions.fct_transactions(self.transactions, self.accounts, self.customers, self.merchants, AS_OF, self.size)
 
     def summary(self) -> DataFrame:
-        return accounts.account_summary(self.accounts, self.customers, self.transactions, AS_OF)
+        return accounts.account_summary(self.accounts, self.customers, self.transactions, AS_OF, self.size)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -214,14 +217,14 @@ def segment_analysis(spark, folder):
 @query
 def transaction_patterns(spark, folder):
     bank = Bank(spark, folder)
-    return analytics.transaction_patterns(bank.enriched(), bank.transactions)
+    return analytics.transaction_patterns(bank.enriched(), bank.size)
 
 
 @query
 def event_patterns(spark, folder):
     """Spending patterns of transactions with a time of day."""
     rows = Bank(spark, folder).events.withColumn("customer_id", F.col("account_id"))
-    return analytics.transaction_patterns(transactions.rolling_measures(rows), rows)
+    return analytics.transaction_patterns(transactions.rolling_measures(rows, at_most=rows), rows)
 
 
 @query
@@ -239,7 +242,7 @@ def mart_checks(spark, folder):
 def txn_rolling_measures(spark, folder):
     """Rolling means, running spend, gaps, z-scores and flags per user."""
     rows = Bank(spark, folder).events.withColumn("customer_id", F.col("account_id"))
-    return transactions.rolling_measures(rows).select(
+    return transactions.rolling_measures(rows, at_most=rows).select(
         "transaction_id", "customer_id", "rolling_7day_avg", "rolling_30day_avg", "cumulative_spend",
         "transaction_z_score", "transaction_risk_flag", "hours_since_last_transaction",
     )
@@ -258,7 +261,7 @@ def txn_rolling_measures_split(spark, folder):
 @query
 def txn_percentile_bands(spark, folder):
     txn = Bank(spark, folder).transactions.select("transaction_id", "amount_usd")
-    return transactions.with_marks(txn, transactions.amount_marks(txn))
+    return transactions.with_marks(txn, transactions.amount_marks(txn, Bank(spark, folder).size))
 
 
 @query

@@ -73,11 +73,8 @@ def test_without_keys_the_table_is_one_group(skewed, rows, hot_rows):
 
 
 def test_small_table_skips_the_count(skewed):
-    class Counted:
-        def count(self):
-            return 900
-
-    out = keyed_windows(skewed, ["k"], [F.col("id").asc()], running={"s": "t"}, at_most=Counted(), counts=None)
+    broken = skewed.filter(F.raise_error(F.lit("counted")).isNull())  # must not be evaluated
+    out = keyed_windows(skewed, ["k"], [F.col("id").asc()], running={"s": "t"}, at_most=900, counts=broken)
     assert out.count() == 900
 
 
@@ -99,6 +96,13 @@ def test_rank_and_ntile_equal_plain_windows(skewed, rows, tiles, value):
     assert rows(global_rank_ntile(df, value, "id", tiles, partitions=6)) == rows(want)
 
 
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_rank_ntile_percentiles_ignore_nulls(skewed, partitions):
+    got = global_rank_ntile(skewed.select("id", "amount"), "amount", "id", percentiles={"p9": 0.9, "p0": 0.0, "p1": 1.0}, partitions=partitions)
+    want = skewed.agg(*[F.percentile("amount", F.lit(p)) for p in (0.9, 0.0, 1.0)]).first()
+    assert [tuple(r) for r in got.select("p9", "p0", "p1").distinct().collect()] == [pytest.approx(tuple(want))]
+
+
 @pytest.mark.parametrize("hot_rows", [20, 299, 10_000])
 @pytest.mark.parametrize("keys", [["k"], []])
 def test_percentiles_equal_built_in(skewed, rows, hot_rows, keys):
