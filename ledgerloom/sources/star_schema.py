@@ -115,15 +115,17 @@ def event_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def branches(spark: SparkSession, folder: str) -> DataFrame:
-    """A branch per nation; some have no city or country."""
-    key = F.col("n_nationkey")
+    """A branch per supplier; some have no city or country."""
+    key = F.col("s_suppkey")
+    nation = read(spark, folder, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "n_regionkey")
     region = read(spark, folder, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     return (
-        read(spark, folder, "nation")
+        read(spark, folder, "supplier")
+        .join(nation, "s_nationkey", "left")
         .join(region, "n_regionkey", "left")
         .select(
             key.alias("branch_id"),
-            F.concat(F.lit("Branch "), F.col("n_name")).alias("branch_name"),
+            F.concat(F.lit("Branch "), F.col("s_name")).alias("branch_name"),
             F.concat(F.lit("Manager "), key.cast("string")).alias("manager_name"),
             F.when(key % 4 == 0, "").otherwise(F.col("n_name")).alias("city"),
             F.when(key % 5 == 0, "").otherwise(F.col("r_name")).alias("country"),

@@ -129,14 +129,14 @@ def test_fill_periods_has_every_period_and_key(spark, rows):
 
 
 def test_union_relations_golden(spark, rows):
-    one = spark.createDataFrame([(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
+    one = spark.createDataFrame([(1, "dora", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
     two = spark.createDataFrame([(1, "green", 7), (2, "pink", 13)], "id int, favorite_color string, favorite_number int")
     tables = {"t1": one, "t2": two}
     out = unions.union_relations(tables, source_column_name=None)
     assert out.columns == ["id", "name", "favorite_number", "favorite_color"] and out.count() == 5
     assert rows(out, "id", "name", "favorite_color", "favorite_number") == rows(
         spark.createDataFrame(
-            [(1, "drew", None, "pi"), (2, "bob", None, "e"), (3, "alice", None, "4"), (1, None, "green", "7"), (2, None, "pink", "13")],
+            [(1, "dora", None, "pi"), (2, "bob", None, "e"), (3, "alice", None, "4"), (1, None, "green", "7"), (2, None, "pink", "13")],
             "id int, name string, c string, n string",
         )
     )
