@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.casts import AsOf, column, moment
 from ..functions.expressions import slugify
 from ..operators.keyed import keyed_windows
-from ..operators.ordered import HOT_ROWS
 
 
 def at_least_one(df: DataFrame, c: str, group_by: Sequence[str] = ()) -> DataFrame:
@@ -135,7 +134,7 @@ def mutually_exclusive_ranges(
     partition_by: str | Column | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Ranges that are empty, reversed, unbounded or that clash with the next one."""
     if gaps not in GAPS:
@@ -180,7 +179,7 @@ def sequential_values(
     interval: int = 1,
     datepart: str | None = None,
     group_by: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Rows that do not follow the previous value by ``interval``."""

@@ -6,8 +6,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from .ordered import HOT_ROWS, find_hot, partitions_for, positions, same_keys, size_of, split_hot
-from .percentiles import Targets, complete_percentiles
+from .ordered import HOT_ROWS, Hot, find_hot, fitting, partitions_for, positions, same_keys, size_of, split_hot
+from .percentiles import Targets, exact_percentiles, large_percentiles
 
 Framed = Mapping[str, Callable[[WindowSpec], Column]]
 
@@ -23,7 +23,7 @@ def keyed_windows(
     rows_back: int = 0,
     counts: DataFrame | None = None,
     at_most: DataFrame | int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Add window columns per ``keys`` in ``order_by``, which must be a total order.
@@ -42,6 +42,7 @@ def keyed_windows(
     """
     framed, running, totals = dict(framed or {}), dict(running or {}), dict(totals or {})
     percentiles = dict(percentiles or {})
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
 
     def plain(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order_by)
@@ -53,18 +54,19 @@ def keyed_windows(
         added += [F.percentile(F.col(c).cast("double"), F.lit(p)).over(whole).alias(n) for n, (c, p) in percentiles.items()]
         return rows.select("*", *added)
 
+    def split(rows: DataFrame, large: Hot, like: DataFrame) -> DataFrame:
+        spread = partitions or partitions_for(large.rows)
+        out = _in_blocks(rows, large, keys, order_by, framed, running, totals, percentiles, rows_back, hot_rows, spread)
+        return _typed_like(like, out)
+
     if not keys:
-        partitions = partitions or partitions_for(size_of(df if at_most is None else at_most))
-        return _typed_like(plain(df), _in_blocks(df, None, keys, order_by, framed, running, totals, percentiles, rows_back, hot_rows, partitions))
-    found = find_hot(df, keys, hot_rows, counts, at_most)
-    if found is None:
+        return split(df, Hot(df.limit(0), 1, size_of(df if at_most is None else at_most)), plain(df))
+    large = find_hot(df, keys, hot_rows, counts, at_most)
+    if large is None:
         return plain(df)
-    listed, size = found
-    partitions = partitions or partitions_for(size)
-    hot, cold = split_hot(df, listed, keys)
+    hot, cold = split_hot(df, large, keys)
     bounded = plain(cold)
-    large = _in_blocks(hot, listed, keys, order_by, framed, running, totals, percentiles, rows_back, hot_rows, partitions)
-    return bounded.unionByName(_typed_like(bounded, large))
+    return bounded.unionByName(split(hot, large, bounded))
 
 
 def _typed_like(model: DataFrame, rows: DataFrame) -> DataFrame:
@@ -73,7 +75,7 @@ def _typed_like(model: DataFrame, rows: DataFrame) -> DataFrame:
 
 def _in_blocks(
     df: DataFrame,
-    listed: DataFrame | None,
+    large: Hot,
     keys: Sequence[str],
     order_by: Sequence[Column],
     framed: Framed,
@@ -82,10 +84,10 @@ def _in_blocks(
     percentiles: Targets,
     rows_back: int,
     hot_rows: int,
-    partitions: int | None,
+    partitions: int,
 ) -> DataFrame:
     block = max(hot_rows, rows_back, 1)
-    placed = positions(df, order_by, keys, "_pos", partitions)
+    placed = positions(df, order_by, keys, large.groups, "_pos", partitions)
     placed = placed.withColumn("_block", F.floor((F.col("_pos") - 1) / block))
 
     here = F.struct(F.col("_block").alias("block"), F.lit(False).alias("copy"))
@@ -110,7 +112,8 @@ def _in_blocks(
         sums = placed.groupBy(*keys, "_block").agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in running.items()])
         earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.select(*keys, "_block", *[F.sum(f"_sum_{n}").over(earlier).alias(f"_off_{n}") for n in running])
-        joined = result.alias("w").join(F.broadcast(sums.alias("b")), same_keys("w", "b", [*keys, "_block"]))
+        blocks = large.rows // block + large.groups
+        joined = result.alias("w").join(fitting(sums.alias("b"), blocks), same_keys("w", "b", [*keys, "_block"]))
 
         def total(n: str) -> Column:
             local, offset = F.col(f"w.`{n}`"), F.col(f"b._off_{n}")
@@ -123,10 +126,12 @@ def _in_blocks(
 
     # one row per large key
     groups = [placed.groupBy(*keys).agg(*[agg.alias(n) for n, agg in totals.items()])] if totals else []
-    if percentiles:
-        groups.append(complete_percentiles(df, listed, keys, percentiles, partitions))
+    if percentiles and keys:
+        groups.append(large_percentiles(df, large, keys, percentiles, partitions))
+    elif percentiles:
+        groups.append(exact_percentiles(df, [], percentiles, at_most=large.rows, hot_rows=hot_rows, partitions=partitions))
     for group in groups:
         names = [c for c in group.columns if c not in keys]
-        joined = result.alias("w").join(F.broadcast(group.alias("g")), same_keys("w", "g", keys))
+        joined = result.alias("w").join(fitting(group.alias("g"), large.groups), same_keys("w", "g", keys))
         result = joined.select(*[F.col(f"w.`{c}`") for c in result.columns], *[F.col(f"g.`{n}`") for n in names])
     return result

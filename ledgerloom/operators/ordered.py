@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -24,6 +25,10 @@ HOT_ROWS = 1_000_000
 ROWS_PER_PARTITION = 1_000_000
 MAX_PARTITIONS = 10_000
 
+# A helper table is broadcast only if it is known to have no more rows than this;
+# beyond it the join is left to the planner.
+BROADCAST_ROWS = 1_000_000
+
 _IN_PARTITION = (1 << 33) - 1  # monotonically_increasing_id: partition above, row below bit 33
 
 
@@ -45,43 +50,56 @@ def size_of(at_most: DataFrame | int) -> int:
     return at_most if isinstance(at_most, int) else at_most.count()
 
 
+def fitting(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if its bound of ``rows`` allows it."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+@dataclass(frozen=True)
+class Hot:
+    """Large keys: a table of them, their number, and their rows in all."""
+
+    keys: DataFrame
+    groups: int
+    rows: int
+
+
 def find_hot(
     df: DataFrame,
     keys: Sequence[str],
     hot_rows: int,
     counts: DataFrame | None = None,
     at_most: DataFrame | int | None = None,
-) -> tuple[DataFrame, int] | None:
-    """Keys with more than ``hot_rows`` rows and their rows in all; None if there are none.
+) -> Hot | None:
+    """Keys with more than ``hot_rows`` rows, None if there are none.
 
-    There are at most all rows / ``hot_rows`` such keys. ``at_most`` is a bound
-    on the rows of ``df``, or a table with no fewer rows that is cheap to count,
-    such as the scan below it: if it is small no key can be hot, and nothing
-    else is read. ``counts`` (keys and ``_n``) saves counting ``df`` per key.
+    ``at_most`` is a bound on the rows of ``df``, or a table with no fewer rows
+    that is cheap to count, such as the scan below it: if it is small no key can
+    be hot, and nothing else is read. ``counts`` (keys and ``_n``) saves
+    counting the rows of ``df`` per key.
     """
     if at_most is not None and size_of(at_most) <= hot_rows:
         return None
     counted = row_counts(df, keys) if counts is None else counts
     listed = materialise(counted.filter(F.col("_n") > hot_rows).select(*keys, "_n"), "hot")
-    rows = listed.agg(F.sum("_n").alias("rows")).first()["rows"]
-    return None if rows is None else (listed.drop("_n"), rows)
+    size = listed.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).first()
+    return Hot(listed.drop("_n"), size["groups"], size["rows"]) if size["groups"] else None
 
 
-def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows of hot keys, all other rows); ``hot`` has the bound of ``find_hot``."""
-    left, right = df.alias("l"), F.broadcast(hot.alias("h"))
+def split_hot(df: DataFrame, hot: Hot, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of hot keys, all other rows)."""
+    left, right = df.alias("l"), fitting(hot.keys.alias("h"), hot.groups)
     on = same_keys("l", "h", keys)
     return left.join(right, on, "left_semi"), left.join(right, on, "left_anti")
 
 
-def _spread(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], partitions: int | None) -> DataFrame:
+def _spread(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], partitions: int) -> DataFrame:
     """Sorted range partitions, written once so that the bounds cannot change.
 
     ``_pid`` is the partition and ``_at`` the row number inside it, from 0.
     """
     order = [*[F.col(f"`{k}`").asc() for k in keys], *order_by]
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    numbered = ranged.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+    numbered = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
     stored = materialise(numbered, "sorted")
     return (
         stored.withColumn("_pid", F.shiftright("_mid", 33))
@@ -100,14 +118,15 @@ def _before(parts: DataFrame, keys: Sequence[str], amount: str) -> Column:
 
 
 def _numbered(
-    df: DataFrame, order_by: Sequence[Column], keys: Sequence[str], name: str, partitions: int | None
+    df: DataFrame, order_by: Sequence[Column], keys: Sequence[str], groups: int, name: str, partitions: int
 ) -> DataFrame:
     """``df`` with its row number, and ``_pid`` and ``_at`` of its range partition."""
     spread = _spread(df, keys, order_by, partitions)
     parts = spread.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     offsets = parts.withColumn("_offset", _before(parts, keys, "_n") - F.col("_first")).drop("_n", "_first")
     on = (F.col("s._pid") == F.col("o._pid")) & same_keys("s", "o", keys)
-    joined = spread.alias("s").join(F.broadcast(offsets.alias("o")), on)
+    # a key's partitions follow each other, so there are at most this many pairs
+    joined = spread.alias("s").join(fitting(offsets.alias("o"), partitions + groups), on)
     return joined.select("s.*", (F.col("s._at") + F.col("o._offset") + 1).alias(name))
 
 
@@ -115,14 +134,16 @@ def positions(
     df: DataFrame,
     order_by: Sequence[Column],
     keys: Sequence[str] = (),
+    groups: int = 1,
     name: str = "position",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Exact row number 1..n over the whole table, or per key of a few large keys.
+    """Exact row number 1..n over the whole table, or per key of ``groups`` large keys.
 
     ``order_by`` must be a total order for a repeatable result.
     """
-    return _numbered(df, order_by, keys, name, partitions).drop("_pid", "_at")
+    partitions = partitions or partitions_for(df.count())
+    return _numbered(df, order_by, keys, groups, name, partitions).drop("_pid", "_at")
 
 
 def prefix_sums(
@@ -130,10 +151,12 @@ def prefix_sums(
     order_by: Sequence[Column],
     weight: str,
     keys: Sequence[str] = (),
+    groups: int = 1,
     name: str = "cumulative",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Running sum of ``weight`` over the whole table, or per key of a few large keys."""
+    """Running sum of ``weight`` over the whole table, or per key of ``groups`` large keys."""
+    partitions = partitions or partitions_for(df.count())
     spread = _spread(df, keys, order_by, partitions)
     parts = spread.groupBy("_pid", *keys).agg(F.sum(weight).alias("_w"))
     offsets = parts.withColumn("_offset", _before(parts, keys, "_w")).drop("_w")
@@ -141,7 +164,7 @@ def prefix_sums(
     local = Window.partitionBy("_pid", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = spread.withColumn("_local", F.sum(weight).over(local))
     on = (F.col("s._pid") == F.col("o._pid")) & same_keys("s", "o", keys)
-    joined = summed.alias("s").join(F.broadcast(offsets.alias("o")), on)
+    joined = summed.alias("s").join(fitting(offsets.alias("o"), partitions + groups), on)
     return joined.select(*[F.col(f"s.`{c}`") for c in df.columns], (F.col("s._local") + F.col("o._offset")).alias(name))
 
 
@@ -163,12 +186,13 @@ def global_rank_ntile(
     """
     points = dict(percentiles or {})
     partitions = partitions or partitions_for(df.count())
-    placed = _numbered(df, [F.col(value).desc(), F.col(tie_break).asc()], (), "_pos", partitions)
+    placed = _numbered(df, [F.col(value).desc(), F.col(tie_break).asc()], (), 1, "_pos", partitions)
     # a tie starts inside its partition, unless it is the partition's first value;
-    # those values, at most one per partition, are looked up over all partitions
+    # those values, at most one per partition (and there are at most
+    # MAX_PARTITIONS, unless the caller asks for more), are looked up everywhere
     inside = placed.withColumn("_inside", F.min("_pos").over(Window.partitionBy("_pid", value)))
     edges = placed.filter(F.col("_at") == 0).select(value).distinct()
-    reaching = placed.alias("p").join(F.broadcast(edges.alias("e")), same_keys("p", "e", [value]), "left_semi")
+    reaching = placed.alias("p").join(fitting(edges.alias("e"), partitions), same_keys("p", "e", [value]), "left_semi")
     starts = reaching.groupBy(value).agg(F.min("_pos").alias("_start"))
     rank = F.coalesce(F.col("_start"), F.col("_inside"))
 
@@ -187,7 +211,7 @@ def global_rank_ntile(
     tile = F.when(F.col("_pos") <= in_longer, F.ceil(F.col("_pos") / (small + 1))).otherwise(
         longer + F.ceil(F.try_divide(F.col("_pos") - in_longer, small))
     )
-    joined = inside.alias("p").join(F.broadcast(starts.alias("r")), same_keys("p", "r", [value]), "left")
+    joined = inside.alias("p").join(fitting(starts.alias("r"), partitions), same_keys("p", "r", [value]), "left")
     return joined.crossJoin(F.broadcast(total)).select(
         *[F.col(f"p.`{c}`") for c in df.columns], rank.alias(rank_name), tile.cast("int").alias(tile_name), *points
     )

@@ -6,10 +6,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .ordered import HOT_ROWS, find_hot, interpolate, partitions_for, prefix_sums, same_keys, size_of, split_hot
+from .ordered import HOT_ROWS, Hot, find_hot, fitting, interpolate, partitions_for, prefix_sums, same_keys, size_of, split_hot
 
 Targets = Mapping[str, tuple[str, float]]
 
+# Spark's percentile holds the distinct values of many groups of a task at once,
+# so groups stay smaller here than for windows, which see one group at a time.
+GROUP_ROWS = 100_000
+
 
 def _bounded(df: DataFrame, keys: Sequence[str], targets: Targets, aggregates: Mapping[str, Column] | None = None) -> DataFrame:
     """Spark's own percentile: a group's distinct values in one buffer."""
@@ -26,16 +30,16 @@ def _bounded(df: DataFrame, keys: Sequence[str], targets: Targets, aggregates: M
     return found.select(*keys, *plain, *[F.col(f"_{i}")[j].alias(n) for n in targets for i, j in [place[n]]])
 
 
-def _spread_out(df: DataFrame, keys: Sequence[str], targets: Targets, partitions: int | None) -> DataFrame:
+def _spread_out(df: DataFrame, keys: Sequence[str], groups: int, targets: Targets, partitions: int) -> DataFrame:
     """Value frequencies, range-partitioned and summed up to the wanted ranks."""
     columns = list(dict.fromkeys(c for c, _ in targets.values()))
     measures = F.array(*[F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
     cells = df.select(*keys, F.explode(measures).alias("_c")).select(*keys, F.col("_c.m").alias("_m"), F.col("_c.v").alias("_v"))
     frequency = cells.filter(F.col("_v").isNotNull()).groupBy(*keys, "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    group = [*keys, "_m"]
-    summed = prefix_sums(frequency, [F.col("_v").asc()], "_n", group, "_upto", partitions)
+    group, groups = [*keys, "_m"], groups * len(columns)
+    summed = prefix_sums(frequency, [F.col("_v").asc()], "_n", group, groups, "_upto", partitions)
     totals = summed.groupBy(*group).agg(F.max("_upto").alias("_total"))
-    ranked = summed.alias("s").join(F.broadcast(totals.alias("t")), same_keys("s", "t", group))
+    ranked = summed.alias("s").join(fitting(totals.alias("t"), groups), same_keys("s", "t", group))
     ranked = ranked.select(*[F.col(f"s.`{k}`") for k in group], "s._v", "s._n", "s._upto", "t._total")
 
     def rank(p: float) -> Column:
@@ -65,7 +69,7 @@ def exact_percentiles(
     aggregates: Mapping[str, Column] | None = None,
     counts: DataFrame | None = None,
     at_most: DataFrame | int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """``targets`` maps a result column to (column, fraction); one row per key.
@@ -75,33 +79,30 @@ def exact_percentiles(
     the same: linear interpolation between neighbours, NULLs ignored, double.
     ``aggregates`` maps further result columns to plain aggregates, taken in the
     same pass where possible. ``counts`` and ``at_most`` as in ``find_hot``.
+    ``hot_rows`` is ``GROUP_ROWS`` for keyed groups and ``HOT_ROWS`` for the
+    whole table unless given.
     """
     extra = dict(aggregates or {})
     if not keys:
         size = size_of(df if at_most is None else at_most)
-        if size <= hot_rows:
+        if size <= (HOT_ROWS if hot_rows is None else hot_rows):
             return _bounded(df, [], targets, extra)
-        marks = _spread_out(df, [], targets, partitions or partitions_for(size))
+        marks = _spread_out(df, [], 1, targets, partitions or partitions_for(size))
         return df.agg(*[a.alias(n) for n, a in extra.items()]).crossJoin(F.broadcast(marks)) if extra else marks
-    found = find_hot(df, keys, hot_rows, counts, at_most)
-    if found is None:
+    large = find_hot(df, keys, GROUP_ROWS if hot_rows is None else hot_rows, counts, at_most)
+    if large is None:
         return _bounded(df, keys, targets, extra)
-    listed, size = found
-    hot, cold = split_hot(df, listed, keys)
-    large = complete_percentiles(hot, listed, keys, targets, partitions or partitions_for(size))
+    hot, cold = split_hot(df, large, keys)
+    found = large_percentiles(hot, large, keys, targets, partitions)
     if extra:
         sums = hot.groupBy(*keys).agg(*[a.alias(n) for n, a in extra.items()])
-        joined = sums.alias("a").join(F.broadcast(large.alias("p")), same_keys("a", "p", keys))
-        large = joined.select("a.*", *[F.col(f"p.`{n}`") for n in targets])
-    return _bounded(cold, keys, targets, extra).unionByName(large)
+        joined = sums.alias("a").join(fitting(found.alias("p"), large.groups), same_keys("a", "p", keys))
+        found = joined.select("a.*", *[F.col(f"p.`{n}`") for n in targets])
+    return _bounded(cold, keys, targets, extra).unionByName(found)
 
 
-def complete_percentiles(
-    hot: DataFrame, listed: DataFrame | None, keys: Sequence[str], targets: Targets, partitions: int | None
-) -> DataFrame:
-    """Percentiles of large groups, those holding no value at all included."""
-    found = _spread_out(hot, keys, targets, partitions)
-    if listed is None:
-        return found
-    joined = listed.alias("k").join(found.alias("f"), same_keys("k", "f", keys), "left")
+def large_percentiles(rows: DataFrame, hot: Hot, keys: Sequence[str], targets: Targets, partitions: int | None = None) -> DataFrame:
+    """Percentiles of the large groups, those holding no value at all included."""
+    found = _spread_out(rows, keys, hot.groups, targets, partitions or partitions_for(hot.rows))
+    joined = hot.keys.alias("k").join(found.alias("f"), same_keys("k", "f", keys), "left")
     return joined.select(*[F.col(f"k.`{k}`") for k in keys], *[F.col(f"f.`{n}`") for n in targets])

@@ -7,14 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.casts import AsOf, age_years, date_diff, moment
 from ..functions.expressions import banded, hash_column, ladder
 from ..functions.windows import share_percent
-from ..operators.ordered import HOT_ROWS
 from ..operators.percentiles import exact_percentiles
 
 # Lower ends (exclusive) of the activity bands.
 ACTIVITY = [(50, "Very Active"), (20, "Active"), (5, "Moderate")]
 
 
-def transaction_metrics(transactions: DataFrame, size: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def transaction_metrics(transactions: DataFrame, size: int | None = None, hot_rows: int | None = None) -> DataFrame:
     amount, when = F.col("amount_usd"), F.col("transaction_date")
     sums = exact_percentiles(
         transactions,
@@ -50,7 +49,7 @@ def summary_rows(
     transactions: DataFrame,
     as_of: AsOf = None,
     size: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Everything about an account that depends on its own rows only.
 
@@ -102,7 +101,7 @@ def summary_rows(
     )
 
 
-def balance_marks(accounts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def balance_marks(accounts: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """One row of percentiles over all balances."""
     points = {"balance_90th_percentile": ("balance_usd", 0.9), "balance_median": ("balance_usd", 0.5)}
     return exact_percentiles(accounts, [], points, hot_rows=hot_rows)
@@ -123,7 +122,7 @@ def account_summary(
     transactions: DataFrame,
     as_of: AsOf = None,
     size: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per account, from the staged tables."""
     rows = summary_rows(accounts, customers, transactions, as_of, size, hot_rows)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.casts import AsOf, date_diff, moment
 from ..functions.expressions import banded, ladder
 from ..functions.windows import rolling_mean, share_percent
-from ..operators.ordered import HOT_ROWS
+from ..operators.ordered import row_counts
 from ..operators.percentiles import exact_percentiles
 
 # Margin, and lower ends (exclusive) of the value tiers.
@@ -90,7 +90,7 @@ def clv_analysis(facts: DataFrame, customers: DataFrame, as_of: AsOf = None) ->
     )
 
 
-def segment_analysis(dim: DataFrame, customers: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def segment_analysis(dim: DataFrame, customers: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """One row per customer segment, from the customer dimension.
 
     ``customers``, the table below the dimension, is only counted.
@@ -139,10 +139,13 @@ def segment_analysis(dim: DataFrame, customers: DataFrame | None = None, hot_row
 PERIOD = ["transaction_year", "transaction_month", "transaction_dayofweek", "time_of_day", "day_type", "is_holiday"]
 
 
-def transaction_patterns(facts: DataFrame, transactions: DataFrame | int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def transaction_patterns(
+    facts: DataFrame, transactions: DataFrame | None = None, size: int | None = None, hot_rows: int | None = None
+) -> DataFrame:
     """Totals, anomaly rate and trend per calendar slot, from the fact table.
 
-    ``transactions``: their number, or the table below the facts to be counted.
+    ``transactions``, the staged table below the facts, is counted per slot in
+    their place; ``size`` is a bound on the number of rows, if known.
     """
     amount, flag = F.col("amount_usd"), F.col("transaction_risk_flag")
     slots = exact_percentiles(
@@ -156,7 +159,8 @@ def transaction_patterns(facts: DataFrame, transactions: DataFrame | int | None
             "anomaly_count": F.count_if(flag == "Anomaly"),
             "suspicious_count": F.count_if(flag == "Suspicious"),
         },
-        at_most=transactions,
+        counts=None if transactions is None else row_counts(transactions, PERIOD),
+        at_most=size,
         hot_rows=hot_rows,
     )
     # the calendar bounds the number of slots, so one ordered window holds them;

@@ -125,7 +125,8 @@ def customer_card_info(customers: DataFrame, accounts: DataFrame, cards: DataFra
     holder = customers.select("customer_id", "first_name", "last_name", "email_masked", "credit_score", "credit_rating")
     held = accounts.select("customer_id", "account_id", "account_type", "balance_usd")
     issued = cards.select("account_id", "card_id", "card_type", "expiration_date", "is_expired", "months_until_expiry")
-    joined = holder.join(held, "customer_id", "left").join(issued, "account_id", "left")
+    # cards join accounts first: customers without account would all meet on NULL
+    joined = holder.join(held.join(issued, "account_id", "left"), "customer_id", "left")
     status = ladder([(F.col("is_expired"), "Expired"), (F.col("months_until_expiry") <= 3, "Expiring Soon")], "Active")
     category = ladder([(F.col("card_type") == "Credit", "Credit Card"), (F.col("card_type") == "Debit", "Debit Card")], "Other")
     return joined.select(

@@ -7,11 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.casts import AsOf, age_years, date_diff, moment, safe_decimal
 from ..functions.expressions import ladder, surrogate_key
 from ..functions.windows import share_percent
-from ..operators.ordered import HOT_ROWS
 from ..operators.percentiles import exact_percentiles
 
 
-def loan_portfolio(loans: DataFrame, customers: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def loan_portfolio(loans: DataFrame, customers: DataFrame, as_of: AsOf = None, hot_rows: int | None = None) -> DataFrame:
     """One row per loan, from the staged tables."""
     now = moment(as_of)
     borrower = customers.select("customer_id", "first_name", "last_name", "credit_score", "credit_rating", "customer_tier")
@@ -64,7 +63,7 @@ OTHER_WEIGHT = 0.5
 
 
 def loan_portfolio_analysis(
-    portfolio: DataFrame, as_of: AsOf = None, loans: DataFrame | None = None, hot_rows: int = HOT_ROWS
+    portfolio: DataFrame, as_of: AsOf = None, loans: DataFrame | None = None, hot_rows: int | None = None
 ) -> DataFrame:
     """Portfolio totals by status, risk, interest band and maturity.
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.casts import AsOf
-from ..operators.ordered import HOT_ROWS
 from ..sources.tables import rows_of_affected, upsert
 from .accounts import balance_marks, summary_rows, with_balance_marks
 from .analytics import clv_analysis
@@ -28,7 +27,7 @@ def refresh_enriched(
     accounts: DataFrame,
     customers: DataFrame,
     merchants: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``batch``: the new staged transactions; ``history``: all of them, batch included."""
     changed = with_customer(batch, accounts)
@@ -37,19 +36,19 @@ def refresh_enriched(
     return upsert(rows, table, "transaction_sk", PARTITIONS, CLUSTER)
 
 
-def read_enriched(stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def read_enriched(stored: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """The stored rows with today's percentiles over all amounts."""
     return with_marks(stored, amount_marks(stored, hot_rows=hot_rows))
 
 
-def refresh_facts(table: str, batch: DataFrame, enriched: DataFrame, accounts: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def refresh_facts(table: str, batch: DataFrame, enriched: DataFrame, accounts: DataFrame, as_of: AsOf = None, hot_rows: int | None = None) -> DataFrame:
     """``enriched``: the stored enriched rows after their own refresh."""
     affected = rows_of_affected(enriched, with_customer(batch, accounts), "customer_id")
     return upsert(fact_rows(affected, as_of, at_most=enriched, hot_rows=hot_rows), table, "transaction_sk", PARTITIONS, CLUSTER)
 
 
 def refresh_accounts(
-    table: str, batch: DataFrame, history: DataFrame, accounts: DataFrame, customers: DataFrame, as_of: AsOf = None, hot_rows: int = HOT_ROWS
+    table: str, batch: DataFrame, history: DataFrame, accounts: DataFrame, customers: DataFrame, as_of: AsOf = None, hot_rows: int | None = None
 ) -> DataFrame:
     """Accounts with new transactions, and accounts not stored yet."""
     spark = batch.sparkSession
@@ -63,7 +62,7 @@ def refresh_accounts(
     return upsert(summary_rows(owned, customers, moved, as_of, history.count(), hot_rows), table, "account_id")
 
 
-def read_accounts(stored: DataFrame, accounts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def read_accounts(stored: DataFrame, accounts: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """The stored rows with today's percentiles over all balances."""
     return with_balance_marks(stored, balance_marks(accounts, hot_rows))
 

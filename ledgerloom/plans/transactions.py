@@ -8,7 +8,6 @@ from ..functions.casts import AsOf, date_diff, moment
 from ..functions.expressions import banded, business_key, hash_column, surrogate_key
 from ..functions.windows import rolling_mean
 from ..operators.keyed import keyed_windows
-from ..operators.ordered import HOT_ROWS
 from ..operators.percentiles import exact_percentiles
 
 # Marks over all amounts, and look-back in rows.
@@ -37,7 +36,7 @@ def rolling_measures(
     rows: DataFrame,
     counts: DataFrame | None = None,
     at_most: DataFrame | int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Rolling means, running spend, gap, z-score and flag per ``customer_id``.
@@ -78,7 +77,7 @@ def enriched_rows(
     customers: DataFrame,
     merchants: DataFrame,
     size: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Everything about a transaction that depends on its own customer only.
@@ -128,7 +127,7 @@ def enriched_rows(
     )
 
 
-def amount_marks(transactions: DataFrame, size: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def amount_marks(transactions: DataFrame, size: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """One row of percentiles over all amounts."""
     points = {n: ("amount_usd", p) for n, p in MARKS.items()}
     return exact_percentiles(transactions, [], points, at_most=size, hot_rows=hot_rows)
@@ -153,7 +152,7 @@ def transaction_enriched(
     customers: DataFrame,
     merchants: DataFrame,
     size: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per transaction, from the staged tables."""
     size = transactions.count() if size is None else size
@@ -166,7 +165,7 @@ def fact_rows(
     as_of: AsOf = None,
     counts: DataFrame | None = None,
     at_most: DataFrame | int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """The fact table's rows, with whatever global percentiles ``enriched`` holds.
@@ -223,7 +222,7 @@ def fct_transactions(
     merchants: DataFrame,
     as_of: AsOf = None,
     size: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The transaction fact table, from the staged tables."""
     size = transactions.count() if size is None else size

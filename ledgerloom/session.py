@@ -36,6 +36,9 @@ def scratch_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if chosen.isDefined():
+        return chosen.get().rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="ledgerloom-")

@@ -243,7 +243,7 @@ def segment_analysis(spark, folder):
 @query
 def transaction_patterns(spark, folder):
     bank = Bank(spark, folder)
-    return analytics.transaction_patterns(bank.enriched(), bank.size)
+    return analytics.transaction_patterns(bank.enriched(), bank.transactions, bank.size)
 
 
 @query
