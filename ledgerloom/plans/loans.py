@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.casts import AsOf, age_years, date_diff, moment, safe_decimal
 from ..functions.expressions import ladder, surrogate_key
@@ -90,14 +90,12 @@ def loan_portfolio_analysis(
         at_most=loans,
         hot_rows=hot_rows,
     )
-    # one row per risk category, so joining it cannot multiply groups
     value = F.col("total_loan_value")
-    by_risk = sums.filter(risk.isNotNull()).groupBy("risk_category").agg(F.sum(value).alias("_risk_value"))
-    whole = by_risk.agg(F.sum("_risk_value").alias("_whole"))
-    concentration = by_risk.crossJoin(F.broadcast(whole)).select(
-        "risk_category",
-        F.round(share_percent(F.col("_risk_value"), F.nullif("_whole", F.lit(0))), 2).alias("portfolio_concentration_percentage"),
-    )
+    # the labels bound the number of groups, so windows over them stay small;
+    # a category's share is taken over all its groups
+    by_risk = F.sum(value).over(Window.partitionBy("risk_category"))
+    whole = F.sum(value).over(Window.partitionBy())
+    concentration = F.round(share_percent(by_risk, F.nullif(whole, F.lit(0))), 2)
     health = ladder(
         [
             ((risk == "High Risk") & (value > 1000000), "Critical Exposure"),
@@ -107,7 +105,7 @@ def loan_portfolio_analysis(
         "Healthy Portfolio",
     )
     return (
-        sums.join(concentration, "risk_category", "left")
+        sums.withColumn("portfolio_concentration_percentage", concentration)
         .select(
             *GROUP,
             "loan_count",
