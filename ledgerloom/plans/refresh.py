@@ -1,50 +1,72 @@
 """Incremental refresh of the stored tables.
 
-A batch changes the rolling, running and total figures of all older rows of its
-customers, so those customers (or accounts) are recomputed in full and upserted;
-all others stay as they are. Figures over the whole table are not stored but
-joined on read, so any number of batches gives the result of one full run.
+Running and rolling figures look back in time, so a batch changes them for rows
+from its earliest one per customer on; only those rows are written again, which
+for a batch in order means the newest partitions. Figures over all rows of a
+customer go to a table of one row per customer, and figures over the whole
+table are not stored at all; both are joined on read. Any number of batches,
+late rows included, gives the result of one full run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.casts import AsOf
+from ..functions.expressions import surrogate_key
+from ..operators.ordered import same_keys
 from ..sources.tables import rows_of_affected, upsert
 from .accounts import balance_marks, summary_rows, with_balance_marks
 from .analytics import clv_analysis
-from .transactions import amount_marks, enriched_rows, fact_rows, with_customer, with_marks
+from .transactions import amount_marks, customer_stats, enriched_rows, facts_from_stats, with_customer, with_marks, with_scores
 
 PARTITIONS = ("transaction_year", "transaction_month")
 CLUSTER = ("customer_id", "transaction_date")
+STATS_KEY = "stats_sk"  # the customer id may be NULL, which no merge would match
 
 
-def refresh_enriched(
+def changed_from(changed: DataFrame) -> DataFrame:
+    """Per customer, the time of the first row that a batch can change.
+
+    Rows without time come first of all, so one of them changes every row.
+    """
+    when = F.col("transaction_date")
+    return changed.groupBy("customer_id").agg(F.min(when).alias("_from"), F.bool_or(when.isNull()).alias("_all"))
+
+
+def refresh_transactions(
     table: str,
+    stats_table: str,
     batch: DataFrame,
     history: DataFrame,
     accounts: DataFrame,
     customers: DataFrame,
     merchants: DataFrame,
     hot_rows: int | None = None,
-) -> DataFrame:
-    """``batch``: the new staged transactions; ``history``: all of them, batch included."""
+) -> tuple[DataFrame, DataFrame]:
+    """``batch``: the new staged transactions; ``history``: all of them, batch included.
+
+    Returns the stored rows and the statistics of their customers.
+    """
+    size = history.count()
     changed = with_customer(batch, accounts)
-    affected = rows_of_affected(with_customer(history, accounts), changed, "customer_id").select(*history.columns)
-    rows = enriched_rows(affected, accounts, customers, merchants, history.count(), hot_rows)
-    return upsert(rows, table, "transaction_sk", PARTITIONS, CLUSTER)
+    affected = rows_of_affected(with_customer(history, accounts), changed, "customer_id")
+    rows = enriched_rows(affected.select(*history.columns), accounts, customers, merchants, size, hot_rows, scores=False)
+    joined = rows.alias("r").join(changed_from(changed).alias("c"), same_keys("r", "c", ["customer_id"]))
+    later = joined.filter(F.col("_all") | (F.col("transaction_date") >= F.col("_from"))).select("r.*")
+    stored = upsert(later, table, "transaction_sk", PARTITIONS, CLUSTER)
+    stats = customer_stats(affected, size=size, hot_rows=hot_rows).withColumn(STATS_KEY, surrogate_key(["customer_id"]))
+    return stored, upsert(stats, stats_table, STATS_KEY).drop(STATS_KEY)
 
 
-def read_enriched(stored: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    """The stored rows with today's percentiles over all amounts."""
-    return with_marks(stored, amount_marks(stored, hot_rows=hot_rows))
+def read_enriched(stored: DataFrame, stats: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """The enriched transactions of today."""
+    return with_marks(with_scores(stored, stats), amount_marks(stored, hot_rows=hot_rows))
 
 
-def refresh_facts(table: str, batch: DataFrame, enriched: DataFrame, accounts: DataFrame, as_of: AsOf = None, hot_rows: int | None = None) -> DataFrame:
-    """``enriched``: the stored enriched rows after their own refresh."""
-    affected = rows_of_affected(enriched, with_customer(batch, accounts), "customer_id")
-    return upsert(fact_rows(affected, as_of, at_most=enriched, hot_rows=hot_rows), table, "transaction_sk", PARTITIONS, CLUSTER)
+def read_facts(stored: DataFrame, stats: DataFrame, as_of: AsOf = None, hot_rows: int | None = None) -> DataFrame:
+    """The fact table of today."""
+    return facts_from_stats(read_enriched(stored, stats, hot_rows), stats, as_of)
 
 
 def refresh_accounts(
@@ -68,7 +90,7 @@ def read_accounts(stored: DataFrame, accounts: DataFrame, hot_rows: int | None =
 
 
 def refresh_clv(table: str, batch: DataFrame, facts: DataFrame, accounts: DataFrame, customers: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """``facts``: the stored fact rows after their own refresh."""
+    """``facts``: the stored transactions, enriched or not, after their own refresh."""
     affected = rows_of_affected(facts, with_customer(batch, accounts), "customer_id")
     known = clv_analysis(affected, customers, as_of)
     return upsert(known.filter("customer_id is not null"), table, "customer_id")

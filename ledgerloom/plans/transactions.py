@@ -8,6 +8,7 @@ from ..functions.casts import AsOf, date_diff, moment
 from ..functions.expressions import banded, business_key, hash_column, surrogate_key
 from ..functions.windows import rolling_mean
 from ..operators.keyed import keyed_windows
+from ..operators.ordered import same_keys
 from ..operators.percentiles import exact_percentiles
 
 # Marks over all amounts, and look-back in rows.
@@ -32,17 +33,18 @@ def customer_counts(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     return owned.groupBy("customer_id").agg(F.sum("_n").alias("_n"))
 
 
-def rolling_measures(
+def time_measures(
     rows: DataFrame,
+    totals: dict[str, Column] | None = None,
     counts: DataFrame | None = None,
     at_most: DataFrame | int | None = None,
     hot_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Rolling means, running spend, gap, z-score and flag per ``customer_id``.
+    """Rolling means, running spend and gap per ``customer_id``: what looks back in time only.
 
     ``rolling_7day_avg`` and ``rolling_30day_avg`` cover that many rows before
-    the current one, not days.
+    the current one, not days. ``totals`` adds aggregates over all rows.
     """
     amount, when = F.col("amount_usd"), F.col("transaction_date")
     windowed = keyed_windows(
@@ -55,20 +57,27 @@ def rolling_measures(
             "_previous": lambda w: F.lag(when).over(w),
         },
         running={"cumulative_spend": "amount_usd"},
-        totals={"_mean": F.avg(amount), "_deviation": F.stddev_samp(amount)},
+        totals=totals,
         rows_back=MONTH_ROWS,
         counts=counts,
         at_most=at_most,
         hot_rows=hot_rows,
         partitions=partitions,
     )
-    score = (amount - F.col("_mean")) / F.nullif("_deviation", F.lit(0.0))
-    return (
-        windowed.withColumn("transaction_z_score", score)
-        .withColumn("transaction_risk_flag", banded(F.abs("transaction_z_score"), [(3, "Anomaly"), (2, "Suspicious")], "Normal", strict=True))
-        .withColumn("hours_since_last_transaction", date_diff("_previous", when, "hour"))
-        .drop("_previous", "_mean", "_deviation")
-    )
+    return windowed.withColumn("hours_since_last_transaction", date_diff("_previous", when, "hour")).drop("_previous")
+
+
+def scored(rows: DataFrame, mean: str, deviation: str) -> DataFrame:
+    """Add the z-score of the amount and the risk flag taken from it."""
+    score = (F.col("amount_usd") - F.col(mean)) / F.nullif(deviation, F.lit(0.0))
+    flag = banded(F.abs("transaction_z_score"), [(3, "Anomaly"), (2, "Suspicious")], "Normal", strict=True)
+    return rows.withColumn("transaction_z_score", score).withColumn("transaction_risk_flag", flag)
+
+
+def rolling_measures(rows: DataFrame, **options) -> DataFrame:
+    """``time_measures`` with z-score and flag, all over one window."""
+    totals = {"_mean": F.avg("amount_usd"), "_deviation": F.stddev_samp("amount_usd")}
+    return scored(time_measures(rows, totals, **options), "_mean", "_deviation").drop("_mean", "_deviation")
 
 
 def enriched_rows(
@@ -79,10 +88,12 @@ def enriched_rows(
     size: int | None = None,
     hot_rows: int | None = None,
     partitions: int | None = None,
+    scores: bool = True,
 ) -> DataFrame:
     """Everything about a transaction that depends on its own customer only.
 
-    ``size``: a bound on the number of transactions, if known.
+    ``size``: a bound on the number of transactions, if known. Without
+    ``scores`` a row depends on the customer's rows up to its own time only.
 
     The merchant and account joins come first: the windows and the customer
     join then share one distribution by customer.
@@ -90,7 +101,9 @@ def enriched_rows(
     shops = merchants.select("merchant_id", "merchant_name", F.col("city").alias("merchant_city"))
     located = with_customer(transactions.join(shops, "merchant_id", "left"), accounts)
     counts = customer_counts(transactions, accounts)
-    measured = rolling_measures(located, counts, transactions if size is None else size, hot_rows, partitions)
+    measure = rolling_measures if scores else time_measures
+    bound = transactions if size is None else size
+    measured = measure(located, counts=counts, at_most=bound, hot_rows=hot_rows, partitions=partitions)
     people = customers.select("customer_id", "first_name", "last_name", "credit_score", "credit_rating", "customer_tier")
     joined = measured.join(people, "customer_id", "left")
     return joined.select(
@@ -120,8 +133,7 @@ def enriched_rows(
         "is_holiday",
         "rolling_7day_avg",
         "rolling_30day_avg",
-        "transaction_z_score",
-        "transaction_risk_flag",
+        *(["transaction_z_score", "transaction_risk_flag"] if scores else []),
         "cumulative_spend",
         "hours_since_last_transaction",
     )
@@ -160,6 +172,52 @@ def transaction_enriched(
     return with_marks(rows, amount_marks(transactions, size, hot_rows))
 
 
+# Percentiles of a customer's amounts in the fact table.
+CUSTOMER_POINTS = {
+    "median_transaction_amount": ("amount_usd", 0.5),
+    "p75_transaction_amount": ("amount_usd", 0.75),
+    "p90_transaction_amount": ("amount_usd", 0.9),
+}
+CUSTOMER_FIGURES = ["total_transactions", "total_spend", "avg_spend", "high_value_transactions", *CUSTOMER_POINTS]
+
+
+def customer_totals() -> dict[str, Column]:
+    amount, when = F.col("amount_usd"), F.col("transaction_date")
+    return {
+        "total_transactions": F.count("transaction_id"),
+        "total_spend": F.sum(amount),
+        "avg_spend": F.avg(amount),
+        "high_value_transactions": F.count_if(amount > 10000),
+        "first_transaction_date": F.min(when),
+        "last_transaction_date": F.max(when),
+    }
+
+
+def customer_stats(rows: DataFrame, counts: DataFrame | None = None, size: int | None = None, hot_rows: int | None = None) -> DataFrame:
+    """One row per ``customer_id``: totals, percentiles and deviation of its amounts."""
+    totals = {**customer_totals(), "spend_deviation": F.stddev_samp("amount_usd")}
+    return exact_percentiles(rows, ["customer_id"], CUSTOMER_POINTS, totals, counts, size, hot_rows)
+
+
+def _as_facts(rows: DataFrame, as_of: AsOf) -> DataFrame:
+    """Velocity, keys and hashes on rows that hold the customer's totals."""
+    months = date_diff("first_transaction_date", "last_transaction_date", "month")
+    velocity = F.round(F.col("total_transactions") / F.nullif(months, F.lit(0).cast("bigint")), 2)
+    rows = rows.withColumn("transactions_per_month", velocity).drop("first_transaction_date", "last_transaction_date")
+    # transactions without a customer get no customer figures
+    known = F.col("customer_id").isNotNull()
+    return rows.withColumns(
+        {
+            **{n: F.when(known, F.col(n)) for n in [*CUSTOMER_FIGURES, "transactions_per_month"]},
+            "period_customer_key": business_key(["transaction_year", "transaction_month", "customer_id"]),
+            "transaction_hash": hash_column(
+                F.concat(*[F.col(c).cast("string") for c in ("transaction_id", "amount_usd", "transaction_date")])
+            ),
+            "dbt_updated_at": moment(as_of),
+        }
+    )
+
+
 def fact_rows(
     enriched: DataFrame,
     as_of: AsOf = None,
@@ -173,46 +231,35 @@ def fact_rows(
     ``counts``: rows per customer (``customer_counts``); ``at_most``: the number
     of transactions or their table. Both spare evaluating ``enriched`` twice.
     """
-    amount, when, customer = F.col("amount_usd"), F.col("transaction_date"), F.col("customer_id")
-    totals = {
-        "total_transactions": F.count("transaction_id"),
-        "total_spend": F.sum(amount),
-        "avg_spend": F.avg(amount),
-        "high_value_transactions": F.count_if(amount > 10000),
-        "_first": F.min(when),
-        "_last": F.max(when),
-    }
-    points = {
-        "median_transaction_amount": ("amount_usd", 0.5),
-        "p75_transaction_amount": ("amount_usd", 0.75),
-        "p90_transaction_amount": ("amount_usd", 0.9),
-    }
     rows = keyed_windows(
         enriched.drop("cumulative_spend", "hours_since_last_transaction", "transaction_75th_percentile"),
         ["customer_id"],
         in_order(),
         running={"cumulative_customer_spend": "amount_usd"},
-        totals=totals,
-        percentiles=points,
+        totals=customer_totals(),
+        percentiles=CUSTOMER_POINTS,
         counts=counts,
         at_most=at_most,
         hot_rows=hot_rows,
         partitions=partitions,
     )
-    months = date_diff("_first", "_last", "month")
-    rows = rows.withColumn("transactions_per_month", F.round(F.col("total_transactions") / F.nullif(months, F.lit(0).cast("bigint")), 2))
-    # transactions without a customer get no customer figures
-    figures = [*[n for n in totals if not n.startswith("_")], *points, "transactions_per_month"]
-    rows = rows.withColumns({n: F.when(customer.isNotNull(), F.col(n)) for n in figures}).drop("_first", "_last")
-    return rows.withColumns(
-        {
-            "period_customer_key": business_key(["transaction_year", "transaction_month", "customer_id"]),
-            "transaction_hash": hash_column(
-                F.concat(*[F.col(c).cast("string") for c in ("transaction_id", "amount_usd", "transaction_date")])
-            ),
-            "dbt_updated_at": moment(as_of),
-        }
-    )
+    return _as_facts(rows, as_of)
+
+
+def with_scores(rows: DataFrame, stats: DataFrame) -> DataFrame:
+    """Scores from stored customer statistics instead of a window."""
+    own = stats.select("customer_id", F.col("avg_spend").alias("_mean"), F.col("spend_deviation").alias("_deviation"))
+    joined = rows.alias("r").join(own.alias("s"), same_keys("r", "s", ["customer_id"]), "left").select("r.*", "_mean", "_deviation")
+    return scored(joined, "_mean", "_deviation").drop("_mean", "_deviation")
+
+
+def facts_from_stats(enriched: DataFrame, stats: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """``fact_rows`` from stored customer statistics instead of a window."""
+    rows = enriched.drop("hours_since_last_transaction", "transaction_75th_percentile")
+    rows = rows.withColumnRenamed("cumulative_spend", "cumulative_customer_spend")
+    own = stats.drop("spend_deviation")
+    joined = rows.alias("r").join(own.alias("s"), same_keys("r", "s", ["customer_id"]), "left")
+    return _as_facts(joined.select("r.*", *[f"s.{c}" for c in own.columns if c != "customer_id"]), as_of)
 
 
 def fct_transactions(

@@ -255,27 +255,42 @@ def test_mart_checks(spark, c360, customers, accounts, transactions, merchants):
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 3])
 def test_batches_equal_a_full_run(spark, transactions, accounts, customers, merchants, hot_rows):
-    names = [f"inc_{kind}_{hot_rows}" for kind in ("enriched", "facts", "accounts", "clv")]
+    names = [f"inc_{kind}_{hot_rows}" for kind in ("enriched", "stats", "accounts", "clv")]
     # late rows of old days in every batch
     batch_of = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
     for i in range(3):
         batch, known = transactions.filter(batch_of == i), transactions.filter(batch_of <= i)
-        enriched = refresh.refresh_enriched(names[0], batch, known, accounts, customers, merchants, hot_rows)
-        facts = refresh.refresh_facts(names[1], batch, enriched, accounts, AS_OF, hot_rows)
+        stored, stats = refresh.refresh_transactions(names[0], names[1], batch, known, accounts, customers, merchants, hot_rows)
         summary = refresh.refresh_accounts(names[2], batch, known, accounts, customers, AS_OF, hot_rows)
-        clv = refresh.refresh_clv(names[3], batch, facts, accounts, customers, AS_OF)
+        clv = refresh.refresh_clv(names[3], batch, stored, accounts, customers, AS_OF)
     full = txn_plans.transaction_enriched(transactions, accounts, customers, merchants)
     full_facts = txn_plans.fct_transactions(transactions, accounts, customers, merchants, AS_OF)
 
     def tidy(df, like):
         return sorted((tuple(r) for r in df.select([F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in like.dtypes]).collect()), key=repr)
 
-    assert tidy(refresh.read_enriched(enriched), full) == tidy(full, full)
-    some = full_facts.drop("transaction_95th_percentile", "transaction_99th_percentile", "value_category")
-    assert tidy(facts, some) == tidy(some, some)
+    assert tidy(refresh.read_enriched(stored, stats), full) == tidy(full, full)
+    facts = refresh.read_facts(stored, stats, AS_OF, hot_rows)
+    assert sorted(facts.columns) == sorted(full_facts.columns)
+    assert tidy(facts, full_facts) == tidy(full_facts, full_facts)
     whole = account_plans.account_summary(accounts, customers, transactions, AS_OF)
     assert tidy(refresh.read_accounts(summary, accounts), whole) == tidy(whole, whole)
     value = analytics.clv_analysis(full_facts, customers, AS_OF).filter("customer_id is not null")
     assert tidy(clv, value) == tidy(value, value)
     for name in names:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_batch_in_order_leaves_old_partitions_alone(spark, transactions, accounts, customers, merchants):
+    go = lambda batch, known: refresh.refresh_transactions("inc_order", "inc_order_stats", batch, known, accounts, customers, merchants)
+    files = lambda: {r.f for r in spark.table("inc_order").select(F.input_file_name().alias("f")).distinct().collect()}
+    march = F.col("transaction_date") >= "2024-03-01"
+    go(transactions.filter(~march), transactions.filter(~march))
+    before = files()
+    stored, stats = go(transactions.filter(march), transactions)
+    assert before <= files() and stored.count() == transactions.count()
+    full = txn_plans.transaction_enriched(transactions, accounts, customers, merchants)
+    scores = lambda df: sorted((r.transaction_id, r.transaction_risk_flag, r.cumulative_spend) for r in df.collect() if r.cumulative_spend is not None)
+    assert scores(refresh.read_enriched(stored, stats)) == scores(full)
+    for name in ("inc_order", "inc_order_stats"):
+        spark.sql(f"DROP TABLE {name}")
