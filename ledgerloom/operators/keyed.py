@@ -64,7 +64,7 @@ def keyed_windows(
     large = find_hot(df, keys, hot_rows, counts, at_most)
     if large is None:
         return plain(df)
-    hot, cold = split_hot(df, large, keys)
+    hot, cold = split_hot(df, large, keys, store=True)
     bounded = plain(cold)
     return bounded.unionByName(split(hot, large, bounded))
 

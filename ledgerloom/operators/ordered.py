@@ -86,8 +86,18 @@ def find_hot(
     return Hot(listed.drop("_n"), size["groups"], size["rows"]) if size["groups"] else None
 
 
-def split_hot(df: DataFrame, hot: Hot, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows of hot keys, all other rows)."""
+def split_hot(df: DataFrame, hot: Hot, keys: Sequence[str], store: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows of hot keys, all other rows).
+
+    ``store`` evaluates ``df`` once and writes the two parts to separate
+    folders, for a ``df`` that is costly to evaluate for each of them.
+    """
+    if store:
+        flagged = hot.keys.withColumn("_hot", F.lit(1))
+        joined = df.alias("l").join(fitting(flagged.alias("h"), hot.groups), same_keys("l", "h", keys), "left")
+        parts = joined.select(*[F.col(f"l.`{c}`") for c in df.columns], F.coalesce("_hot", F.lit(0)).alias("_hot"))
+        stored = materialise(parts, "parts", ["_hot"])
+        return stored.filter("_hot = 1").drop("_hot"), stored.filter("_hot = 0").drop("_hot")
     left, right = df.alias("l"), fitting(hot.keys.alias("h"), hot.groups)
     on = same_keys("l", "h", keys)
     return left.join(right, on, "left_semi"), left.join(right, on, "left_anti")

@@ -71,6 +71,7 @@ def exact_percentiles(
     at_most: DataFrame | int | None = None,
     hot_rows: int | None = None,
     partitions: int | None = None,
+    store: bool = False,
 ) -> DataFrame:
     """``targets`` maps a result column to (column, fraction); one row per key.
 
@@ -79,6 +80,8 @@ def exact_percentiles(
     the same: linear interpolation between neighbours, NULLs ignored, double.
     ``aggregates`` maps further result columns to plain aggregates, taken in the
     same pass where possible. ``counts`` and ``at_most`` as in ``find_hot``.
+    ``store`` evaluates ``df`` once if there are large groups: for a ``df`` of
+    joins, cut to the columns needed.
     ``hot_rows`` is ``GROUP_ROWS`` for keyed groups and ``HOT_ROWS`` for the
     whole table unless given.
     """
@@ -92,7 +95,7 @@ def exact_percentiles(
     large = find_hot(df, keys, GROUP_ROWS if hot_rows is None else hot_rows, counts, at_most)
     if large is None:
         return _bounded(df, keys, targets, extra)
-    hot, cold = split_hot(df, large, keys)
+    hot, cold = split_hot(df, large, keys, store)
     found = large_percentiles(hot, large, keys, targets, partitions)
     if extra:
         sums = hot.groupBy(*keys).agg(*[a.alias(n) for n, a in extra.items()])

@@ -95,7 +95,8 @@ def segment_analysis(dim: DataFrame, customers: DataFrame | None = None, hot_row
 
     ``customers``, the table below the dimension, is only counted.
     """
-    known = dim.filter(F.col("customer_segment").isNotNull())
+    needed = ["customer_id", "customer_segment", "total_balance_usd", "net_worth", "credit_score", "financial_health_status"]
+    known = dim.filter(F.col("customer_segment").isNotNull()).select(*needed)
     health = F.col("financial_health_status")
     sums = exact_percentiles(
         known,
@@ -112,6 +113,7 @@ def segment_analysis(dim: DataFrame, customers: DataFrame | None = None, hot_row
         },
         at_most=customers,
         hot_rows=hot_rows,
+        store=True,
     )
     # at most one row per segment label from here on
     everything = F.sum("total_portfolio_value").over(Window.partitionBy())
@@ -149,7 +151,7 @@ def transaction_patterns(
     """
     amount, flag = F.col("amount_usd"), F.col("transaction_risk_flag")
     slots = exact_percentiles(
-        facts,
+        facts.select(*PERIOD, "transaction_id", "amount_usd", "transaction_risk_flag"),
         PERIOD,
         {"median_amount": ("amount_usd", 0.5), "p95_amount": ("amount_usd", 0.95)},
         aggregates={
@@ -162,6 +164,7 @@ def transaction_patterns(
         counts=None if transactions is None else row_counts(transactions, PERIOD),
         at_most=size,
         hot_rows=hot_rows,
+        store=True,
     )
     # the calendar bounds the number of slots, so one ordered window holds them;
     # the further group columns make the order total

@@ -75,8 +75,9 @@ def loan_portfolio_analysis(
     for label, factor in RISK_WEIGHTS.items():
         weight = weight.when(risk == label, amount * F.lit(factor).cast("decimal(2,1)"))
     weighted = weight.otherwise(amount * F.lit(OTHER_WEIGHT).cast("decimal(2,1)"))
+    needed = [*GROUP, "loan_id", "loan_amount", "interest_rate", "projected_annual_interest_income", "credit_score"]
     sums = exact_percentiles(
-        portfolio,
+        portfolio.select(*needed),
         GROUP,
         {"median_interest_rate": ("interest_rate", 0.5), "p90_loan_amount": ("loan_amount", 0.9)},
         aggregates={
@@ -89,6 +90,7 @@ def loan_portfolio_analysis(
         },
         at_most=loans,
         hot_rows=hot_rows,
+        store=True,
     )
     value = F.col("total_loan_value")
     # the labels bound the number of groups, so windows over them stay small;

@@ -9,13 +9,34 @@ from ..functions.expressions import banded, business_key, hash_column, surrogate
 from ..functions.windows import rolling_mean
 from ..operators.keyed import keyed_windows
 from ..operators.ordered import same_keys
-from ..operators.percentiles import exact_percentiles
+from ..operators.percentiles import Targets, exact_percentiles
 
 # Marks over all amounts, and look-back in rows.
 MARKS = {"transaction_95th_percentile": 0.95, "transaction_99th_percentile": 0.99, "transaction_75th_percentile": 0.75}
 WEEK_ROWS, MONTH_ROWS = 7, 30
 
 
+# Percentiles of a customer's amounts in the fact table.
+CUSTOMER_POINTS = {
+    "median_transaction_amount": ("amount_usd", 0.5),
+    "p75_transaction_amount": ("amount_usd", 0.75),
+    "p90_transaction_amount": ("amount_usd", 0.9),
+}
+CUSTOMER_FIGURES = ["total_transactions", "total_spend", "avg_spend", "high_value_transactions", *CUSTOMER_POINTS]
+
+
+def customer_totals() -> dict[str, Column]:
+    amount, when = F.col("amount_usd"), F.col("transaction_date")
+    return {
+        "total_transactions": F.count("transaction_id"),
+        "total_spend": F.sum(amount),
+        "avg_spend": F.avg(amount),
+        "high_value_transactions": F.count_if(amount > 10000),
+        "first_transaction_date": F.min(when),
+        "last_transaction_date": F.max(when),
+    }
+
+
 def in_order() -> list[Column]:
     """A customer's transactions in time; the id settles equal times."""
     return [F.col("transaction_date").asc(), F.col("transaction_id").asc()]
@@ -36,6 +57,7 @@ def customer_counts(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
 def time_measures(
     rows: DataFrame,
     totals: dict[str, Column] | None = None,
+    percentiles: Targets | None = None,
     counts: DataFrame | None = None,
     at_most: DataFrame | int | None = None,
     hot_rows: int | None = None,
@@ -44,7 +66,8 @@ def time_measures(
     """Rolling means, running spend and gap per ``customer_id``: what looks back in time only.
 
     ``rolling_7day_avg`` and ``rolling_30day_avg`` cover that many rows before
-    the current one, not days. ``totals`` adds aggregates over all rows.
+    the current one, not days. ``totals`` and ``percentiles`` add figures over
+    all rows of the customer.
     """
     amount, when = F.col("amount_usd"), F.col("transaction_date")
     windowed = keyed_windows(
@@ -58,6 +81,7 @@ def time_measures(
         },
         running={"cumulative_spend": "amount_usd"},
         totals=totals,
+        percentiles=percentiles,
         rows_back=MONTH_ROWS,
         counts=counts,
         at_most=at_most,
@@ -74,10 +98,17 @@ def scored(rows: DataFrame, mean: str, deviation: str) -> DataFrame:
     return rows.withColumn("transaction_z_score", score).withColumn("transaction_risk_flag", flag)
 
 
-def rolling_measures(rows: DataFrame, **options) -> DataFrame:
-    """``time_measures`` with z-score and flag, all over one window."""
-    totals = {"_mean": F.avg("amount_usd"), "_deviation": F.stddev_samp("amount_usd")}
-    return scored(time_measures(rows, totals, **options), "_mean", "_deviation").drop("_mean", "_deviation")
+def rolling_measures(rows: DataFrame, figures: bool = False, **options) -> DataFrame:
+    """``time_measures`` with z-score and flag, all over one window.
+
+    ``figures`` keeps the customer's totals and percentiles of the fact table.
+    """
+    totals = {**customer_totals(), "spend_deviation": F.stddev_samp("amount_usd")}
+    if not figures:
+        totals = {n: totals[n] for n in ("avg_spend", "spend_deviation")}
+    measured = time_measures(rows, totals, CUSTOMER_POINTS if figures else None, **options)
+    out = scored(measured, "avg_spend", "spend_deviation").drop("spend_deviation")
+    return out if figures else out.drop("avg_spend")
 
 
 def enriched_rows(
@@ -89,11 +120,13 @@ def enriched_rows(
     hot_rows: int | None = None,
     partitions: int | None = None,
     scores: bool = True,
+    figures: bool = False,
 ) -> DataFrame:
     """Everything about a transaction that depends on its own customer only.
 
     ``size``: a bound on the number of transactions, if known. Without
-    ``scores`` a row depends on the customer's rows up to its own time only.
+    ``scores`` a row depends on the customer's rows up to its own time only;
+    ``figures`` adds the customer's totals and percentiles.
 
     The merchant and account joins come first: the windows and the customer
     join then share one distribution by customer.
@@ -101,9 +134,8 @@ def enriched_rows(
     shops = merchants.select("merchant_id", "merchant_name", F.col("city").alias("merchant_city"))
     located = with_customer(transactions.join(shops, "merchant_id", "left"), accounts)
     counts = customer_counts(transactions, accounts)
-    measure = rolling_measures if scores else time_measures
-    bound = transactions if size is None else size
-    measured = measure(located, counts=counts, at_most=bound, hot_rows=hot_rows, partitions=partitions)
+    options = dict(counts=counts, at_most=transactions if size is None else size, hot_rows=hot_rows, partitions=partitions)
+    measured = rolling_measures(located, figures, **options) if scores else time_measures(located, **options)
     people = customers.select("customer_id", "first_name", "last_name", "credit_score", "credit_rating", "customer_tier")
     joined = measured.join(people, "customer_id", "left")
     return joined.select(
@@ -136,6 +168,7 @@ def enriched_rows(
         *(["transaction_z_score", "transaction_risk_flag"] if scores else []),
         "cumulative_spend",
         "hours_since_last_transaction",
+        *([*CUSTOMER_FIGURES, "first_transaction_date", "last_transaction_date"] if figures else []),
     )
 
 
@@ -172,27 +205,6 @@ def transaction_enriched(
     return with_marks(rows, amount_marks(transactions, size, hot_rows))
 
 
-# Percentiles of a customer's amounts in the fact table.
-CUSTOMER_POINTS = {
-    "median_transaction_amount": ("amount_usd", 0.5),
-    "p75_transaction_amount": ("amount_usd", 0.75),
-    "p90_transaction_amount": ("amount_usd", 0.9),
-}
-CUSTOMER_FIGURES = ["total_transactions", "total_spend", "avg_spend", "high_value_transactions", *CUSTOMER_POINTS]
-
-
-def customer_totals() -> dict[str, Column]:
-    amount, when = F.col("amount_usd"), F.col("transaction_date")
-    return {
-        "total_transactions": F.count("transaction_id"),
-        "total_spend": F.sum(amount),
-        "avg_spend": F.avg(amount),
-        "high_value_transactions": F.count_if(amount > 10000),
-        "first_transaction_date": F.min(when),
-        "last_transaction_date": F.max(when),
-    }
-
-
 def customer_stats(rows: DataFrame, counts: DataFrame | None = None, size: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """One row per ``customer_id``: totals, percentiles and deviation of its amounts."""
     totals = {**customer_totals(), "spend_deviation": F.stddev_samp("amount_usd")}
@@ -271,7 +283,12 @@ def fct_transactions(
     size: int | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """The transaction fact table, from the staged tables."""
+    """The transaction fact table, from the staged tables.
+
+    Enriched rows and customer figures come from one pass over the customers.
+    """
     size = transactions.count() if size is None else size
-    enriched = transaction_enriched(transactions, accounts, customers, merchants, size, hot_rows)
-    return fact_rows(enriched, as_of, customer_counts(transactions, accounts), size, hot_rows)
+    rows = enriched_rows(transactions, accounts, customers, merchants, size, hot_rows, figures=True)
+    marked = with_marks(rows, amount_marks(transactions, size, hot_rows))
+    marked = marked.drop("hours_since_last_transaction", "transaction_75th_percentile")
+    return _as_facts(marked.withColumnRenamed("cumulative_spend", "cumulative_customer_spend"), as_of)

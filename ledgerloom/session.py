@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,7 +65,7 @@ def drop_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, label: str = "stage", partition_by: Sequence[str] = ()) -> DataFrame:
     """Evaluate once into the scratch folder and continue from the written table.
 
     The lineage ends there: a lost executor re-reads files and never
@@ -73,7 +73,7 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
