@@ -12,7 +12,7 @@ Targets = Mapping[str, tuple[str, float]]
 
 # Spark's percentile holds the distinct values of many groups of a task at once,
 # so groups stay smaller here than for windows, which see one group at a time.
-GROUP_ROWS = 100_000
+GROUP_ROWS = 200_000
 
 
 def _bounded(df: DataFrame, keys: Sequence[str], targets: Targets, aggregates: Mapping[str, Column] | None = None) -> DataFrame:

@@ -37,6 +37,8 @@ def stream_upsert(
     rows = spark.readStream.format(source_format).schema(schema).options(**(source_options or {})).load(source)
     query = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    if not spark.catalog.tableExists(table):  # nothing has arrived yet
+        return spark.createDataFrame([], schema)
     # batches ran in a session of their own; forget the files this one has listed
     spark.catalog.refreshTable(table)
     return spark.table(table).drop(BUCKET)

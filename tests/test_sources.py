@@ -146,8 +146,10 @@ def test_rows_of_affected_includes_null(spark, rows):
 def test_stream_upsert_picks_up_late_files(spark, tmp_path, name, rows):
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
     first = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, version int, v string")
-    first.write.parquet(source)
     go = lambda: stream_upsert(spark, source, first.schema, name, "k", "version", checkpoint, buckets=2)
+    (tmp_path / "in").mkdir()
+    assert rows(go()) == []
+    first.write.mode("append").parquet(source)
     assert rows(go()) == [(1, 2, "b"), (2, 1, "c")]
     spark.createDataFrame([(2, 0, "late"), (3, 5, "new")], first.schema).write.mode("append").parquet(source)
     assert rows(go()) == [(1, 2, "b"), (2, 0, "late"), (3, 5, "new")]
