@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+# Fixed value: default name of the column that says where a row came from.
 SOURCE_COLUMN = "_dbt_source_relation"
 
 
