@@ -14,6 +14,9 @@ from ..session import tune
 NO_ID = -(2**63)
 
 
+#: rows and bytes handed to a Python worker at a time; texts are long, and an executor has several workers
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
 _shipped: set[str] = set()  # applications that have the package
 
 
@@ -28,6 +31,8 @@ def prepare(spark: SparkSession) -> SparkSession:
                 out.write(module, module.relative_to(package.parent))
         spark.sparkContext.addPyFile(str(archive))
         _shipped.add(application)
+    for key, value in ARROW.items():
+        spark.conf.set(key, value)
     return tune(spark)
 
 

@@ -12,7 +12,7 @@ import numpy as np
 
 BASE = 0x9E6C63D0876A9A47  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(BASE, -1, 1 << 64)
-BATCH_BYTES = 1 << 20  # texts hashed together; a longer text is hashed alone
+BATCH_BYTES = 1 << 18  # texts hashed together; a longer text is hashed alone
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
