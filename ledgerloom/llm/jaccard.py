@@ -250,15 +250,22 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
     counts = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = materialise(postings.join(materialise(counts, "counts"), "token"), "postings")
 
-    lists = shared.filter(F.col("df") <= rare).groupBy("token").agg(F.collect_list(F.struct("sign", "n")).alias("list"))
-    pairs = lists.select(F.explode("list").alias("x"), "list").select("x", F.explode("list").alias("y")).filter("x.sign < y.sign")
-    fits = percent * F.greatest("x.n", "y.n") <= 100 * F.least("x.n", "y.n")
-    edges = materialise(pairs.filter(fits).select(F.col("x.sign").alias("a"), F.col("y.sign").alias("b")).distinct(), "pairs")
-
-    smallest = F.floor((percent * F.col("n") + 99) / 100)  # enough_frequent(n) as an expression
-    enough = F.least(3 + F.floor(smallest / 32), F.greatest(smallest, F.lit(1)))
+    smallest = lambda n: F.floor((percent * n + 99) / 100)  # noqa: E731  must_share(n)
+    guaranteed = lambda n: 3 + F.floor(n / 32)  # noqa: E731  extension(n)
     frequent = shared.filter(F.col("df") > rare).groupBy("sign").agg(F.count(F.lit(1)).alias("frequent"), F.max("n").alias("n"))
+    frequent = materialise(frequent, "frequent")
+    enough = F.least(guaranteed(smallest(F.col("n"))), F.greatest(smallest(F.col("n")), F.lit(1)))  # enough_frequent(n)
     combined = frequent.filter(F.col("frequent") >= enough).select("sign", F.lit(True).alias("combined"))
+
+    rare_ones = shared.filter(F.col("df") <= rare).join(frequent.drop("n"), "sign", "left").na.fill(0, ["frequent"])
+    lists = rare_ones.groupBy("token").agg(F.collect_list(F.struct("sign", "n", "frequent")).alias("list"))
+    pairs = lists.select(F.explode("list").alias("x"), "list").select("x", F.explode("list").alias("y")).filter("x.sign < y.sign")
+    low, high = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    pairs = pairs.filter(percent * high <= 100 * low).groupBy(F.col("x.sign").alias("a"), F.col("y.sign").alias("b")).agg(
+        F.count(F.lit(1)).alias("rare"), F.max(F.least("x.frequent", "y.frequent")).alias("most"), F.max(F.least(guaranteed(low), smallest(high))).alias("least")
+    )
+    # shingles that both prefixes hold: the rare ones counted here, and no more frequent ones than either has
+    edges = materialise(pairs.filter(F.col("rare") + F.col("most") >= F.col("least")).select("a", "b"), "pairs")
     paired = edges.select(F.explode(F.array("a", "b")).alias("sign")).distinct()
     wanted = paired.join(combined, "sign", "full").join(classes.drop("n"), "sign")
     texts = rows.join(materialise(wanted, "wanted"), ["doc_id", "version"])
