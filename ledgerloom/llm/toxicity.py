@@ -23,9 +23,12 @@ from ..session import materialise
 from .common import as_row, whole_text
 
 TRAINING_ROWS = 100_000  # most labelled rows that fit trees and calibration; the lexicon counts them all
-LEXICON_WORDS = 2_000  # most words in the lexicon
-LEXICON_DOCUMENTS = 4  # fewest toxic documents of a lexicon word
-LEXICON_RATIO = 8.0  # a lexicon word is so many times as frequent in toxic documents
+LEXICON_WORDS = 2_000  # most forms in the lexicon
+CANDIDATES = 100_000  # most forms of toxic documents that are looked up in the others
+STEMS = (4, 5, 6, 7, 8)  # beginnings of words that may be lexicon forms
+STEM_GAIN = 1.5  # a beginning must stand in so many times the documents of any one word with it
+LEXICON_DOCUMENTS = 3  # fewest toxic documents of a lexicon form
+LEXICON_RATIO = 8.0  # a lexicon form is so many times as frequent in toxic documents
 TREES, DEPTH = 20, 4
 NEAR_WORDS = 6
 CACHED_WORDS = 200_000
@@ -70,7 +73,7 @@ def words_of(text: str) -> list[str]:
 
 
 class Features:
-    """Feature rows of texts for one lexicon (plain word -> weight)."""
+    """Feature rows of texts for one lexicon (form -> weight)."""
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
@@ -78,10 +81,10 @@ class Features:
 
     def _look(self, word: str) -> tuple[float, int]:
         """Weight, and flags: 1 second person, 2 hidden hit, 4 capitals, 8 letters and digits mixed."""
-        exact, undone = bare(word), plain(word)
-        weight = max(self.lexicon.get(exact, 0.0), self.lexicon.get(undone, 0.0))
+        exact, lexicon = bare(word), self.lexicon
+        weight = max(lexicon.get(f, 0.0) for f in (forms_of(word) or {""}))
         flags = 1 if exact in SECOND_PERSON else 0
-        flags |= 2 if weight and exact not in self.lexicon else 0
+        flags |= 2 if weight and not any(f in lexicon for f in (exact, *(f"{exact[:k]}*" for k in STEMS if len(exact) > k))) else 0
         flags |= 4 if len(word) > 2 and word.isupper() else 0
         flags |= 8 if re.search(r"[^\W\d_][\d@$*]+[^\W\d_]", word) else 0
         if len(self.known) > CACHED_WORDS:
@@ -130,28 +133,72 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
-    """Plain words that are much more frequent in toxic documents, with their log odds.
+def forms_of(word: str) -> set[str]:
+    """What a word is known by in the lexicon: bare, plain, and the beginnings of its plain form."""
+    full = plain(word)
+    return {f for f in (bare(word), full) if 2 <= len(f) <= 40} | {f"{full[:k]}*" for k in STEMS if len(full) > k}
 
-    Document counts over all labelled rows, pre-aggregated; at most ``LEXICON_WORDS`` rows reach the driver.
-    """
+
+def _counted(chosen: frozenset | None):
+    """Documents per form of a task's rows, of the chosen forms or of all."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: dict[str, int] = {}
+        known: dict[str, set[str]] = {}
         for frame in frames:
-            counts: dict[str, list[int]] = {}
-            for text, toxic in zip(frame["whole"], frame["toxic"]):
-                for word in {form for w in set(words_of(text)) for form in (bare(w), plain(w))}:
-                    if 2 <= len(word) <= 40:
-                        counts.setdefault(word, [0, 0])[int(toxic)] += 1
-            yield pd.DataFrame([(w, a, b) for w, (a, b) in counts.items()], columns=["word", "clean", "toxic"])
-
-    totals = labelled.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
-    toxic_all, clean_all = (totals[0] or 0) + 1.0, (totals[1] or 0) + 1.0
-    words = labelled.mapInPandas(run, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    odds = F.log(((F.col("toxic") + 0.5) / toxic_all) / ((F.col("clean") + 0.5) / clean_all))
-    kept = words.withColumn("odds", odds).filter((F.col("toxic") >= LEXICON_DOCUMENTS) & (F.col("odds") >= math.log(LEXICON_RATIO)))
-    top = kept.orderBy((F.col("odds") * F.log1p("toxic")).desc(), "word").limit(LEXICON_WORDS)
-    return {r["word"]: float(r["odds"]) for r in top.collect()}
+            for text in frame["whole"]:
+                found: set[str] = set()
+                for word in set(words_of(text)):
+                    if (forms := known.get(word)) is None:
+                        if len(known) > CACHED_WORDS:
+                            known.clear()
+                        forms = known[word] = forms_of(word) if chosen is None else forms_of(word) & chosen
+                    found |= forms
+                for form in found:
+                    counts[form] = counts.get(form, 0) + 1
+            if len(counts) > CACHED_WORDS:
+                yield pd.DataFrame(counts.items(), columns=["form", "documents"])
+                counts = {}
+        yield pd.DataFrame(counts.items(), columns=["form", "documents"])
+
+    return run
+
+
+def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
+    """Forms that stand in toxic documents much more often than chance allows, with their log odds.
+
+    All labelled rows count. First the forms of toxic documents, of which the ``CANDIDATES`` most frequent
+    reach the driver; then those forms in the others. A form must be ``LEXICON_RATIO`` times as frequent in
+    toxic documents, and its counts less likely than one in the number of forms, so that with many rare
+    words none gets in by luck.
+    """
+
+    def count(rows: DataFrame, chosen: frozenset | None) -> DataFrame:
+        found = rows.select("whole").mapInPandas(_counted(chosen), "form string, documents long")
+        return found.groupBy("form").agg(F.sum("documents").alias("documents"))
+
+    toxic_all, all_rows = labelled.agg(F.sum("toxic"), F.count(F.lit(1))).first()
+    toxic = materialise(count(labelled.filter("toxic = 1"), None), "forms")
+    chances = toxic.count()
+    frequent = toxic.filter(F.col("documents") >= LEXICON_DOCUMENTS).orderBy(F.desc("documents"), "form").limit(CANDIDATES)
+    in_toxic = {r["form"]: r["documents"] for r in frequent.collect()}
+    in_clean = {r["form"]: r["documents"] for r in count(labelled.filter("toxic = 0"), frozenset(in_toxic)).collect()}
+    share, kept = toxic_all / all_rows, {}
+    longest: dict[str, int] = {}  # documents of the most frequent word with a beginning
+    for form, hits in in_toxic.items():
+        for stem in {f"{form[:k]}*" for k in STEMS if len(form) > k and form[-1] != "*"}:
+            longest[stem] = max(longest.get(stem, 0), hits)
+    for form, hits in in_toxic.items():
+        if form[-1] == "*" and hits < STEM_GAIN * longest.get(form, 0):
+            continue  # one word explains it
+        misses = in_clean.get(form, 0)
+        odds = math.log((hits + 0.5) / (toxic_all + 1) * (all_rows - toxic_all + 1) / (misses + 0.5))
+        own = hits / (hits + misses)
+        surprise = hits * math.log(own / share) + (misses * math.log((1 - own) / (1 - share)) if misses else 0.0)
+        if odds >= math.log(LEXICON_RATIO) and surprise >= math.log(chances) + 1:
+            kept[form] = odds
+    best = sorted(kept, key=lambda f: (-kept[f] * math.log1p(in_toxic[f]), f))[:LEXICON_WORDS]
+    return {form: kept[form] for form in best}
 
 
 class ToxicityModel:
