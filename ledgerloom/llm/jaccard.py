@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import materialise
 from .common import partitions, whole_text
 from .components import Forest, components
+from .filters import Filter
 from .hashing import lower_bytes, mix, shingle_sets
 
 PERCENT = 90
@@ -247,8 +248,9 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
     # one posting per class: the one of its first document
     firsts = usable.join(classes.drop("n"), ["sign", "doc_id", "version"], "left_semi").dropDuplicates(["sign", "doc_id", "version"])
     postings = firsts.select("sign", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
-    counts = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    shared = materialise(postings.join(materialise(counts, "counts"), "token"), "postings")
+    counts = materialise(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "counts")
+    repeated = Filter.of(counts.select(F.col("token").alias("h")))  # most shingles stand in one document only
+    shared = materialise(postings.filter(repeated.column("token")).join(counts, "token"), "postings")
 
     smallest = lambda n: F.floor((percent * n + 99) / 100)  # noqa: E731  must_share(n)
     guaranteed = lambda n: 3 + F.floor(n / 32)  # noqa: E731  extension(n)
@@ -268,7 +270,9 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
     edges = materialise(pairs.filter(F.col("rare") + F.col("most") >= F.col("least")).select("a", "b"), "pairs")
     paired = edges.select(F.explode(F.array("a", "b")).alias("sign")).distinct()
     wanted = paired.join(combined, "sign", "full").join(classes.drop("n"), "sign")
-    texts = rows.join(materialise(wanted, "wanted"), ["doc_id", "version"])
+    wanted = materialise(wanted, "wanted")
+    needed = Filter.of(wanted.select(F.col("version").alias("h")))
+    texts = rows.filter(needed.column("version")).join(wanted, ["doc_id", "version"])
     texts = materialise(texts.select("sign", "text", F.coalesce("combined", F.lit(False)).alias("combined")), "texts")
 
     keyed = texts.filter("combined").select("sign", "text").mapInPandas(_keys(words, percent), "sign long, keys array<long>")

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
 from .common import as_row, id_key, partitions, whole_text, with_text
+from .filters import Filter
 from .hashing import BATCH_BYTES, Substrings, batches
 from .jaccard import _groups
 
@@ -32,14 +33,12 @@ LENGTH = 200
 GRAM = 24
 HOT_SUFFIXES = 2_000  # a gram with more suffixes is dealt to many tasks
 RUN_ROWS = 20_000  # suffixes sorted together
-FILTER_BITS = 1 << 27  # of the filter of repeated grams: 16 MB, whatever the input
 HOT_BITS = 1 << 23
 SAMPLED_GRAMS = 20_000  # most grams the range bounds are taken from
 SEGMENT = 1 << 22  # bytes of a long text that are hashed at a time
 
 _SPAN = LENGTH - GRAM + 1  # grams of a window, and the most bytes before its minimizer plus one
 _KEY = LENGTH + 9  # suffix, its length, hash of what stands before it
-_CHUNK_BITS = 1 << 19
 
 
 def minimizers(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -96,39 +95,6 @@ def anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         yield np.full(len(begin), a), hashes[begin], place[begin], first[begin], last[end]
 
 
-class Filter:
-    """A Bloom filter with one bit per value; wrong hits only cost work."""
-
-    def __init__(self, words: np.ndarray):
-        self.words, self.mask = words, np.uint64(len(words) * 8 - 1)
-
-    def holds(self, values: np.ndarray) -> np.ndarray:
-        bits = values & self.mask
-        return (self.words[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-    @classmethod
-    def of(cls, values: DataFrame, bits: int) -> Filter:
-        """From the column h of ``values``: chunks of the filter are filled in tasks, ``bits`` in all reach the driver."""
-        size = min(bits, _CHUNK_BITS)
-
-        def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            chunks: dict[int, np.ndarray] = {}
-            for frame in frames:
-                at = frame["h"].to_numpy().view(np.uint64) & np.uint64(bits - 1)
-                chunk, inside = at // np.uint64(size), at % np.uint64(size)
-                for c in np.unique(chunk).tolist():
-                    own = inside[chunk == c]
-                    words = chunks.setdefault(c, np.zeros(size // 8, dtype=np.uint8))
-                    np.bitwise_or.at(words, own >> np.uint64(3), np.uint8(1) << (own & np.uint64(7)).astype(np.uint8))
-            yield pd.DataFrame({"chunk": list(chunks), "words": [w.tobytes() for w in chunks.values()]})
-
-        dealt = values.select("h").repartition(partitions(values), F.shiftright(F.col("h").bitwiseAND(bits - 1), size.bit_length() - 1))
-        words = np.zeros(bits // 8, dtype=np.uint8)
-        for chunk, part in dealt.mapInPandas(fill, "chunk long, words binary").collect():
-            words[chunk * size // 8 : (chunk + 1) * size // 8] |= np.frombuffer(part, dtype=np.uint8)
-        return cls(words)
-
-
 def _grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Gram hashes of the minimizers; a gram in a thousand comes with its bytes."""
     for frame in frames:
@@ -387,7 +353,7 @@ def repeated_windows(docs: DataFrame, hot_suffixes: int = HOT_SUFFIXES) -> DataF
     texts = texts.filter(F.octet_length("text") >= LENGTH)
     grams = texts.select("text").mapInPandas(_grams, "h long, head binary")
     counted = materialise(grams.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("head").alias("head")).filter("n > 1"), "grams")
-    repeated, hot = Filter.of(counted, FILTER_BITS), Filter.of(counted.filter(F.col("n") > hot_suffixes), HOT_BITS)
+    repeated, hot = Filter.of(counted), Filter.of(counted.filter(F.col("n") > hot_suffixes), HOT_BITS)
     bounds = _bounds(counted.filter(F.col("n") <= hot_suffixes), parts)
 
     runs = texts.select("doc", "version", "text").mapInPandas(_sorted_runs(repeated, hot, bounds, parts), _RUN)
