@@ -267,7 +267,12 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
         F.count(F.lit(1)).alias("rare"), F.max(F.least("x.frequent", "y.frequent")).alias("most"), F.max(F.least(guaranteed(low), smallest(high))).alias("least")
     )
     # shingles that both prefixes hold: the rare ones counted here, and no more frequent ones than either has
-    edges = materialise(pairs.filter(F.col("rare") + F.col("most") >= F.col("least")).select("a", "b"), "pairs")
+    likely = materialise(pairs.filter(F.col("rare") + F.col("most") >= F.col("least")).select("a", "b", "least"), "pairs")
+    # and then counted in full
+    known = Filter.of(likely.select(F.explode(F.array("a", "b")).alias("h")))
+    prefixes = materialise(firsts.filter(known.column("sign")).select("sign", "prefix"), "prefixes")
+    both = likely.join(prefixes.toDF("a", "of_a"), "a").join(prefixes.toDF("b", "of_b"), "b")
+    edges = materialise(both.filter(F.size(F.array_intersect("of_a", "of_b")) >= F.col("least")).select("a", "b"), "edges")
     paired = edges.select(F.explode(F.array("a", "b")).alias("sign")).distinct()
     wanted = paired.join(combined, "sign", "full").join(classes.drop("n"), "sign")
     wanted = materialise(wanted, "wanted")
