@@ -34,6 +34,7 @@ GRAM = 24
 HOT_SUFFIXES = 2_000  # a gram with more suffixes is dealt to many tasks
 RUN_ROWS = 20_000  # suffixes sorted together
 HOT_BITS = 1 << 23
+TARGETS_PER_PARTITION = 6  # ranges merged one after the other in a task, so that it holds only one
 SAMPLED_GRAMS = 20_000  # most grams the range bounds are taken from
 SEGMENT = 1 << 22  # bytes of a long text that are hashed at a time
 
@@ -354,9 +355,10 @@ def repeated_windows(docs: DataFrame, hot_suffixes: int = HOT_SUFFIXES) -> DataF
     grams = texts.select("text").mapInPandas(_grams, "h long, head binary")
     counted = materialise(grams.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("head").alias("head")).filter("n > 1"), "grams")
     repeated, hot = Filter.of(counted), Filter.of(counted.filter(F.col("n") > hot_suffixes), HOT_BITS)
-    bounds = _bounds(counted.filter(F.col("n") <= hot_suffixes), parts)
+    targets = parts * TARGETS_PER_PARTITION
+    bounds = _bounds(counted.filter(F.col("n") <= hot_suffixes), targets)
 
-    runs = texts.select("doc", "version", "text").mapInPandas(_sorted_runs(repeated, hot, bounds, parts), _RUN)
+    runs = texts.select("doc", "version", "text").mapInPandas(_sorted_runs(repeated, hot, bounds, targets), _RUN)
     dealt = runs.repartition(parts, "target").sortWithinPartitions("target")
     found = materialise(dealt.mapInPandas(_settle(len(bounds) + 1), _FOUND), "found")
 
