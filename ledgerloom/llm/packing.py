@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,16 +24,24 @@ SEQUENCE_TOKENS = 2048
 DOCUMENTS_PER_GROUP = 1024
 END_ID = 1  # ends every document
 QUADRATIC = 1.0 / 4096  # cost of a token pair within a piece, against 1 for a token
-CACHED_CHUNKS = 200_000  # per worker; the cache is emptied when full
+CACHED_CHUNKS = 500_000  # per worker; a cache is emptied when full
+CACHED_WORDS = 500_000
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks; the apostrophe begins pre-tokens of its own
+# the byte-level step shows printable bytes as themselves, the others as the characters from 256 on
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 _PIECES = "group long, doc_id long, row long, start long, tokens long, doc_tokens long, ids binary"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class ChunkEncoder:
-    """Token ids of texts as little-endian uint16, from a cache of chunks between spaces and line ends.
+    """Token ids of texts as little-endian uint16, from caches of chunks and of their words.
 
-    The tokenizer drops white space and never joins over it, so ids of a text are the ids of its chunks.
+    The tokenizer drops white space and never joins over it, so ids of a text are the ids of its chunks
+    between spaces and line ends. Nor does it join letters with marks: a chunk of letters with ASCII marks
+    at its end has the ids of the word, then those of the marks. Words of Latin letters go to the
+    tokenizer's model directly, in the form its byte-level step gives them.
     """
 
     def __init__(self, path: str):
@@ -42,30 +51,43 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit into 16 bits")
-        self.known: dict[str, bytes] = {}
-        self.marks = {c: self._ids(c) for c in ".,"}
-
-    def _ids(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u2").tobytes()
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Words with a full stop or comma at their end are two pre-tokens, so only the word is looked up."""
-        known, marks = self.known, self.marks
-        stems = {c: c[:-1] for c in chunks if c[-1:] in marks and c[:-1].isalpha()}
-        plain = [c for c in {stems.get(c, c) for c in chunks} if c not in known]
-        for chunk, encoded in zip(plain, self.tokenizer.encode_batch(plain, add_special_tokens=False)):
-            known[chunk] = np.array(encoded.ids, dtype="<u2").tobytes()
-        for chunk, stem in stems.items():
-            known[chunk] = known[stem] + marks[chunk[-1]]
+        self.model = self.tokenizer.model
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}H", *ids)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a piece of a chunk that is a pre-token sequence of its own."""
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) >= CACHED_WORDS:
+                self.words.clear()
+            if word.isalpha() and max(word) < "\u0180":
+                plain = word.lower()
+                shown = plain if plain.isascii() else plain.encode().decode("latin-1").translate(_SHOWN)
+                ids = self._packed([t.id for t in self.model.tokenize(shown)])
+            else:
+                ids = self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            self.words[word] = ids
+        return ids
+
+    def _chunk(self, chunk: str) -> bytes:
+        stem = chunk.rstrip(MARKS)
+        if stem == chunk or not stem.isalpha():
+            return self._word(chunk.lower() if chunk.isascii() and chunk.isalpha() else chunk)
+        return self._word(stem.lower() if stem.isascii() else stem) + self._word(chunk[len(stem) :])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = set().union(*chunks).difference(self.known)
-        self._learn(missing)
-        known = self.known
-        for own in chunks:
+        if len(self.chunks) > CACHED_CHUNKS:
+            self.chunks.clear()
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        known = self.chunks
+        for chunk in set().union(*split).difference(known):
+            known[chunk] = self._chunk(chunk)
+        for own in split:
             yield b"".join([known[c] for c in own])
 
 
