@@ -192,12 +192,12 @@ def _unite(members: DataFrame, links: DataFrame) -> DataFrame:
     return joined.withColumn("label", F.coalesce("found", "sign")).drop("found")
 
 
-def _links(texts: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): links whose components are those of all links inside the clusters."""
-    parts = partitions(texts)
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    members = texts.join(materialise(clusters.join(sizes, "cluster"), "clusters"), "sign").withColumn("label", F.col("sign"))
-    members = materialise(members, "members")
+def _links(members: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links whose components are those of all links inside the clusters.
+
+    ``members``: cluster, its size, sign, text, and the sign again as label.
+    """
+    parts = partitions(members)
 
     def compare(blocks: DataFrame, *keys: str) -> DataFrame:
         dealt = blocks.select(*keys, "sign", "text", "label", "side").repartition(parts, *keys).sortWithinPartitions(*keys)
@@ -247,6 +247,7 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
 
     # one posting per class: the one of its first document
     firsts = usable.join(classes.drop("n"), ["sign", "doc_id", "version"], "left_semi").dropDuplicates(["sign", "doc_id", "version"])
+    firsts = materialise(firsts.select("sign", "n", "prefix"), "firsts")
     postings = firsts.select("sign", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
     counts = materialise(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "counts")
     repeated = Filter.of(counts.select(F.col("token").alias("h")))  # most shingles stand in one document only
@@ -257,7 +258,7 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
     frequent = shared.filter(F.col("df") > rare).groupBy("sign").agg(F.count(F.lit(1)).alias("frequent"), F.max("n").alias("n"))
     frequent = materialise(frequent, "frequent")
     enough = F.least(guaranteed(smallest(F.col("n"))), F.greatest(smallest(F.col("n")), F.lit(1)))  # enough_frequent(n)
-    combined = frequent.filter(F.col("frequent") >= enough).select("sign", F.lit(True).alias("combined"))
+    combined = frequent.filter(F.col("frequent") >= enough).select("sign")
 
     rare_ones = shared.filter(F.col("df") <= rare).join(frequent.drop("n"), "sign", "left").na.fill(0, ["frequent"])
     lists = rare_ones.groupBy("token").agg(F.collect_list(F.struct("sign", "n", "frequent")).alias("list"))
@@ -273,20 +274,24 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
     prefixes = materialise(firsts.filter(known.column("sign")).select("sign", "prefix"), "prefixes")
     both = likely.join(prefixes.toDF("a", "of_a"), "a").join(prefixes.toDF("b", "of_b"), "b")
     edges = materialise(both.filter(F.size(F.array_intersect("of_a", "of_b")) >= F.col("least")).select("a", "b"), "edges")
-    paired = edges.select(F.explode(F.array("a", "b")).alias("sign")).distinct()
-    wanted = paired.join(combined, "sign", "full").join(classes.drop("n"), "sign")
-    wanted = materialise(wanted, "wanted")
-    needed = Filter.of(wanted.select(F.col("version").alias("h")))
-    texts = rows.filter(needed.column("version")).join(wanted, ["doc_id", "version"])
-    texts = materialise(texts.select("sign", "text", F.coalesce("combined", F.lit(False)).alias("combined")), "texts")
-
-    keyed = texts.filter("combined").select("sign", "text").mapInPandas(_keys(words, percent), "sign long, keys array<long>")
+
+    def texts_of(signs: DataFrame, name: str) -> DataFrame:
+        """``signs`` with the text of their class; only texts that a small filter lets through are exchanged."""
+        heads = materialise(signs.join(classes.drop("n"), "sign"), "heads")
+        needed = Filter.of(heads.select(F.col("version").alias("h")))
+        found = rows.filter(needed.column("version")).join(heads.hint("merge"), ["doc_id", "version"])
+        # repeated rows stand next to each other here, and change nothing later
+        return materialise(found.select("text", *signs.columns), name)
+
+    keyed = texts_of(combined, "texts").mapInPandas(_keys(words, percent), "sign long, keys array<long>")
     keyed = materialise(keyed.select("sign", F.explode("keys").alias("key")), "keys")
     heads = keyed.groupBy("key").agg(F.min("sign").alias("a"), F.max("sign").alias("z")).filter("a <> z").select("key", "a")
     stars = keyed.join(materialise(heads, "heads"), "key").select("a", F.col("sign").alias("b")).distinct()
     clusters = components(edges.union(stars)).select(F.col("node").alias("sign"), F.col("component").alias("cluster"))
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    members = texts_of(clusters.join(sizes, "cluster"), "members").withColumn("label", F.col("sign"))
 
-    links = _links(texts.select("sign", "text"), clusters, words, percent)
+    links = _links(members, words, percent)
     # a document with several sets joins their classes
     several = usable.groupBy("doc_id").agg(F.min("sign").alias("a"), F.max("sign").alias("z")).filter("a <> z").select("doc_id", "a")
     several = usable.select("doc_id", F.col("sign").alias("b")).join(several, "doc_id").select("a", "b")
