@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import materialise
 from .common import as_row, whole_text
 
-TRAINING_ROWS = 100_000  # most labelled rows that fit trees and calibration; the lexicon counts them all
+TRAINING_ROWS = 40_000  # most labelled rows that lexicon, trees and calibration are learned from
 LEXICON_WORDS = 2_000  # most forms in the lexicon
 CANDIDATES = 100_000  # most forms of toxic documents that are looked up in the others
 STEMS = (4, 5, 6, 7, 8)  # beginnings of words that may be lexicon forms
@@ -46,69 +46,109 @@ FEATURES = (
 _REPEATED = re.compile(r"(.)\1{2,}")
 _INNER = re.compile(r"(?<=\w)[*._\-~^+]+(?=\w)")
 _SPACED = re.compile(r"(?<!\w)(?:\w[ .*_\-]){3,}\w(?!\w)")
-_CAPITALS = re.compile("[A-Z]")
+_MAYBE_SPACED = re.compile(r"[ .*_\-]\w[ .*_\-]\w[ .*_\-]\w")
 _MARKS = re.compile(r"[!?]{2,}|[#$%&*@^~]{3,}")
+_MIXED = re.compile(r"[^\W\d_][\d@$*]+[^\W\d_]")
+_CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ENDS = ".,;:!?\"'()[]{}<>#%&*_~-+=/\\"
 
 
 def bare(word: str) -> str:
     """Lower case without marks at its ends."""
-    return word.lower().strip(".,;:!?\"'()[]{}<>#%&*_~-+=/\\")
+    return word.strip(_ENDS).lower()
 
 
 def plain(word: str) -> str:
     """The bare word with look-alikes, inner marks and stretched letters undone."""
-    word = word.lower().strip(".,;:?\"'()[]{}<>#%&*_~-+=/\\").rstrip("!")
-    if not word.isalpha():
-        word = _INNER.sub("", word)
-        if any(c.isalpha() for c in word):
-            word = word.translate(LOOKALIKES)
-    return _REPEATED.sub(r"\1", word)
+    core = word.strip(_ENDS).lower()
+    if not core.isalpha():
+        core = word.lower().strip(_ENDS.replace("!", "")).rstrip("!")
+        core = _INNER.sub("", core)
+        if any(c.isalpha() for c in core):
+            core = core.translate(LOOKALIKES)
+    return _REPEATED.sub(r"\1", core)
 
 
 def words_of(text: str) -> list[str]:
-    """Words; single characters set apart by spaces or marks are put together first."""
-    if _SPACED.search(text):
+    """Words; four or more single characters set apart by spaces or marks are put together first."""
+    if _MAYBE_SPACED.search(text):
         text = _SPACED.sub(lambda m: re.sub(r"[ .*_\-]", "", m[0]), text)
     return text.split()
 
 
+def forms_of(word: str) -> set[str]:
+    """What a word is known by in the lexicon: bare, plain, and the beginnings of its plain form."""
+    full = plain(word)
+    return {f for f in (bare(word), full) if 2 <= len(f) <= 40} | {f"{full[:k]}*" for k in STEMS if len(full) > k}
+
+
+SECOND, HIDDEN, CAPITAL, MIXED, MARKED = 1, 2, 4, 8, 16
+
+
 class Features:
     """Feature rows of texts for one lexicon (form -> weight)."""
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
-        self.known: dict[str, tuple[float, int]] = {}
+        # how a lexicon word may begin, stretched letters included
+        self.heads = {f[:2] for f in lexicon} | {f[0] * 2 for f in lexicon}
+        self.notable: dict[str, tuple[float, int]] = {}  # words with a weight or a flag
+        self.common: set[str] = set()  # words without
 
     def _look(self, word: str) -> tuple[float, int]:
-        """Weight, and flags: 1 second person, 2 hidden hit, 4 capitals, 8 letters and digits mixed."""
-        exact, lexicon = bare(word), self.lexicon
-        weight = max(lexicon.get(f, 0.0) for f in (forms_of(word) or {""}))
-        flags = 1 if exact in SECOND_PERSON else 0
-        flags |= 2 if weight and not any(f in lexicon for f in (exact, *(f"{exact[:k]}*" for k in STEMS if len(exact) > k))) else 0
-        flags |= 4 if len(word) > 2 and word.isupper() else 0
-        flags |= 8 if re.search(r"[^\W\d_][\d@$*]+[^\W\d_]", word) else 0
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        self.known[word] = weight, flags
+        """Weight and flags of a word."""
+        core = bare(word)
+        letters = core.isalpha()
+        flags = SECOND if core in SECOND_PERSON else 0
+        flags |= CAPITAL if len(word) > 2 and word.isupper() else 0
+        if not letters:
+            flags |= MIXED if _MIXED.search(word) else 0
+        if len(word) > len(core):
+            flags |= MARKED if _MARKS.search(word) else 0
+        weight = 0.0
+        if not letters or core[:2] in self.heads:
+            lexicon = self.lexicon
+            weight = max(lexicon.get(f, 0.0) for f in (forms_of(word) or {""}))
+            if weight and core not in lexicon and not any(f"{core[:k]}*" in lexicon for k in STEMS if len(core) > k):
+                flags |= HIDDEN
         return weight, flags
 
-    def row(self, text: str) -> list[float]:
-        words, known = words_of(text), self.known
-        looked = [known.get(w) or self._look(w) for w in words]
-        n, marked = len(words), [(i, w, f) for i, (w, f) in enumerate(looked) if w or f]
-        hits = [(i, w) for i, w, _ in marked if w]
-        persons = [i for i, _, f in marked if f & 1]
+    def _learn(self, words: set[str]) -> None:
+        if len(self.notable) > CACHED_WORDS:
+            self.notable.clear()
+        if len(self.common) > CACHED_WORDS:
+            self.common.clear()
+        for word in words.difference(self.notable, self.common):
+            found = self._look(word)
+            if found == (0.0, 0):
+                self.common.add(word)
+            else:
+                self.notable[word] = found
+
+    def rows(self, texts: list[str]) -> list[list[float]]:
+        split = [words_of(t) for t in texts]
+        self._learn(set().union(*split))
+        return [self._row(t, words) for t, words in zip(texts, split)]
+
+    def _row(self, text: str, words: list[str]) -> list[float]:
+        notable = self.notable
+        marked = [(i, w, *notable[w]) for i, w in enumerate(words) if w in notable]
+        hits = [(i, word, weight) for i, word, weight, _ in marked if weight]
+        persons = [i for i, _, _, flags in marked if flags & SECOND]
         near = 0
         if hits and persons:
             at = np.array(persons)
-            near = sum(bool(np.any(np.abs(at - i) <= NEAR_WORDS)) for i, _ in hits)
-        total, letters = max(n, 1), max(len(text), 1)
-        count = lambda flag: sum(1 for *_, f in marked if f & flag)
-        capitals = len(_CAPITALS.findall(text))
+            near = sum(bool(np.any(np.abs(at - i) <= NEAR_WORDS)) for i, _, _ in hits)
+        n, data = len(words), text.encode()
+        total, letters = max(n, 1), max(len(data), 1)
+        weights = [w for *_, w in hits]
+        count = lambda flag: sum(1 for *_, flags in marked if flags & flag)
         return [
-            math.log1p(n), float(len(hits)), 100 * len(hits) / total, 100 * sum(w for _, w in hits) / total, max((w for _, w in hits), default=0.0),
-            float(len({plain(words[i]) for i, _ in hits})), 100 * len(persons) / total, float(near), capitals / letters, 100 * count(4) / total,
-            100 * text.count("!") / letters, 100 * len(_MARKS.findall(text)) / total, float(count(2)), 100 * count(8) / total, float(len(_SPACED.findall(text))),
+            math.log1p(n), float(len(hits)), 100 * len(hits) / total, 100 * sum(weights) / total, max(weights, default=0.0),
+            float(len({plain(word) for _, word, _ in hits})), 100 * len(persons) / total, float(near),
+            (len(data) - len(data.translate(None, _CAPITALS))) / letters, 100 * count(CAPITAL) / total, 100 * data.count(b"!") / letters,
+            100 * count(MARKED) / total, float(count(HIDDEN)), 100 * count(MIXED) / total,
+            float(len(_SPACED.findall(text))) if _MAYBE_SPACED.search(text) else 0.0,
         ]
 
 
@@ -119,7 +159,8 @@ def _with_features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = Features(lexicon)
         for texts in batches:
-            yield pd.Series([of.row(t) for t in texts], dtype=object)
+            values = texts.tolist()
+            yield pd.Series([row for a in range(0, len(values), 256) for row in of.rows(values[a : a + 256])], dtype=object)
 
     return rows.withColumn("features_of", features("whole"))
 
@@ -133,12 +174,6 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def forms_of(word: str) -> set[str]:
-    """What a word is known by in the lexicon: bare, plain, and the beginnings of its plain form."""
-    full = plain(word)
-    return {f for f in (bare(word), full) if 2 <= len(f) <= 40} | {f"{full[:k]}*" for k in STEMS if len(full) > k}
-
-
 def _counted(chosen: frozenset | None):
     """Documents per form of a task's rows, of the chosen forms or of all."""
 
@@ -167,7 +202,7 @@ def _counted(chosen: frozenset | None):
 def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     """Forms that stand in toxic documents much more often than chance allows, with their log odds.
 
-    All labelled rows count. First the forms of toxic documents, of which the ``CANDIDATES`` most frequent
+    All given rows count. First the forms of toxic documents, of which the ``CANDIDATES`` most frequent
     reach the driver; then those forms in the others. A form must be ``LEXICON_RATIO`` times as frequent in
     toxic documents, and its counts less likely than one in the number of forms, so that with many rare
     words none gets in by luck.
@@ -211,14 +246,17 @@ class ToxicityModel:
     def fit(cls, docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         """Learns from the rows of ``docs`` with a 0/1 label whose id is not held out.
 
-        Labels are joined by doc_id; rows without label or id are passed over. A fifth of the training rows
-        fits the calibration, the others lexicon and trees. With one class only, every score is that class.
+        Labels are joined by doc_id; rows without label or id are passed over. Of more than ``TRAINING_ROWS``
+        labels so many are drawn. A fifth of the rows fits the calibration, the others lexicon and trees.
+        With one class only, every score is that class.
         """
         known = labels.filter(F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("long").alias("labelled"), F.col("toxic").cast("int").alias("toxic"))
         known = known.filter(~is_held_out(F.col("labelled"))).groupBy("labelled").agg(F.max("toxic").alias("toxic"))
+        # drawn by the id, bounded, and so fit to be sent to the documents
+        known = known.withColumn("draw", F.pmod(F.xxhash64("labelled", F.lit("fold")), F.lit(1_000_000_007)))
+        known = F.broadcast(known.orderBy("draw", "labelled").limit(TRAINING_ROWS))
         rows = docs.select(docs["doc_id"].cast("long").alias("labelled"), whole_text(docs).alias("whole")).join(known, "labelled")
-        draw = F.pmod(F.xxhash64("labelled", F.lit("fold")), F.lit(1_000_000))
-        rows = materialise(rows.select("whole", "toxic", draw.alias("draw")), "labelled")
+        rows = materialise(rows.select("whole", "toxic", "draw"), "labelled")
         total, toxic = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
         if not total or toxic in (0, total):
             return cls({}, None, None, 1.0 if total and toxic == total else 0.0)
@@ -227,9 +265,7 @@ class ToxicityModel:
         if len(classes) < 4:  # too few rows to hold some back: calibrate on the rows that fit the trees
             fitting = F.lit(True)
         lexicon = learn_lexicon(rows.filter(fitting))
-        # of more rows, a drawn share of about TRAINING_ROWS
-        share = rows.filter(F.floor(F.col("draw") / 5) * total < TRAINING_ROWS * 200_000)
-        ready = materialise(_with_features(share, lexicon).select("features_of", F.col("toxic").cast("double").alias("toxic"), fitting.alias("fitting")), "features")
+        ready = materialise(_with_features(rows, lexicon).select("features_of", F.col("toxic").cast("double").alias("toxic"), fitting.alias("fitting")), "features")
         vectors = _vectors(ready)
         trees = GBTClassifier(featuresCol="features", labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(vectors.filter("fitting"))
         held_back = vectors if len(classes) < 4 else vectors.filter("NOT fitting")
