@@ -159,5 +159,6 @@ def training_order(docs: DataFrame, schedule: Schedule = rising_and_falling, **o
     at = position_at(schedule, F.col("place") + F.col("use") * F.col("source_size"))
     words = F.when((F.col("use") < F.col("rounds")) | (F.col("size") == 0), F.col("size")).otherwise(rest)
     text = F.when(words < F.col("size"), first_words(F.col("row.text"), words)).otherwise(F.col("row.text"))
-    ordered = use.select("row", text.alias("used"), at.alias("at")).repartitionByRange(partitions(docs), "at").sortWithinPartitions("at")
+    placed = use.select("row", text.alias("used"), at.alias("at"), F.xxhash64("row.doc_id", "row.text").alias("tie"))
+    ordered = placed.repartitionByRange(partitions(docs), "at", "tie").sortWithinPartitions("at", "tie")
     return ordered.select(*with_text(F.col("row"), docs.columns, F.col("used")))

@@ -31,7 +31,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3, repeating, in training order."""
     mixed = mixing.mix(table(spark, folder, "documents"), keep=["doc_id"])
-    ordered = mixed.repartitionByRange(partitions(mixed), F.col("position").asc_nulls_last()).sortWithinPartitions(F.col("position").asc_nulls_last())
+    # the id settles ties and spreads the documents without a position
+    order = [F.col("position").asc_nulls_last(), F.col("row.doc_id").asc_nulls_last()]
+    ordered = mixed.repartitionByRange(partitions(mixed), *order).sortWithinPartitions(*order)
     return ordered.select("row.doc_id", "size", "source_size", "target", "taken", "position")
 
 
