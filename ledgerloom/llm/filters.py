@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import partitions
 
-FILTER_BITS = 1 << 27  # 16 MB, whatever the input; a full filter lets everything pass
+FILTER_BITS = 1 << 27  # at most 16 MB, whatever the input; a full filter lets everything pass
+BITS_PER_VALUE = 32
+_LEAST_BITS = 1 << 10
 _CHUNK_BITS = 1 << 19
 
 
@@ -25,8 +27,9 @@ class Filter:
         return (self.words[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
     @classmethod
-    def of(cls, values: DataFrame, bits: int = FILTER_BITS) -> Filter:
-        """From the column h of ``values``: chunks of the filter are filled in tasks, ``bits`` in all reach the driver."""
+    def of(cls, values: DataFrame, most: int = FILTER_BITS) -> Filter:
+        """From the column h of ``values``: chunks of the filter are filled in tasks, ``most`` bits in all reach the driver."""
+        bits = min(max(1 << (values.count() * BITS_PER_VALUE).bit_length(), _LEAST_BITS), most)
         size = min(bits, _CHUNK_BITS)
 
         def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
