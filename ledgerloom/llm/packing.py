@@ -65,8 +65,8 @@ class ChunkEncoder:
         if ids is None:
             if len(self.words) >= CACHED_WORDS:
                 self.words.clear()
-            if word.isalpha() and max(word) < "\u0180":
-                plain = word.lower()
+            plain = word.lower()
+            if word.isalpha() and plain.isalpha() and max(word) < "\u0180":  # one pre-token, in lower case too
                 shown = plain if plain.isascii() else plain.encode().decode("latin-1").translate(_SHOWN)
                 ids = self._packed([t.id for t in self.model.tokenize(shown)])
             else:
