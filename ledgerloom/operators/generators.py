@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.casts import column
 
+PERIODS_PER_BLOCK = 4096
 PARTS = ("second", "minute", "hour", "day", "week", "month", "quarter", "year")
 
 
@@ -54,10 +55,13 @@ def fill_periods(
     kind = spine.schema[period].dataType
     grid = spine
     if keys:
-        # each key gets its own copy of the spine by exploding, not by a cross join
-        bounds = spine.agg(F.sort_array(F.collect_list(period)).alias("_periods"))
-        # (the one row of ``bounds`` holds them all: start and end fix its size)
-        grid = facts.select(*keys).distinct().crossJoin(F.broadcast(bounds)).withColumn(period, F.explode("_periods")).drop("_periods")
+        # each key makes the periods itself, in two steps so that no row holds more than a block of them
+        first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+        blocks = F.sequence(F.lit(0).cast("bigint"), F.timestamp_diff(part, first, last), F.lit(PERIODS_PER_BLOCK).cast("bigint"))
+        inside = F.sequence(F.col("_block"), F.col("_block") + (PERIODS_PER_BLOCK - 1))
+        numbered = facts.select(*keys).distinct().filter(first < last).withColumn("_block", F.explode(blocks)).withColumn("_i", F.explode(inside))
+        at = F.timestamp_add(part, F.col("_i").cast("int"), first)
+        grid = numbered.withColumn(period, at).filter(F.col(period) < last).withColumn(period, F.col(period).cast(kind)).drop("_block", "_i")
     inside = (column(moment) >= F.lit(start).cast("timestamp")) & (column(moment) < F.lit(end).cast("timestamp"))
     # periods are counted from the start, as the spine does
     offset = F.timestamp_diff(part, F.lit(start).cast("timestamp"), column(moment).cast("timestamp")).cast("int")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from ..session import scratch_dir
 from .ordered import HOT_ROWS, Hot, find_hot, fitting, partitions_for, positions, same_keys, size_of, split_hot
 from .percentiles import Targets, exact_percentiles, large_percentiles
 
@@ -38,11 +39,13 @@ def keyed_windows(
     block also gets the ``rows_back`` rows before it, and sums of earlier blocks
     are added on. Its totals are plain aggregates joined back. ``counts`` and
     ``at_most`` as in ``find_hot``. Without keys the whole table is one group
-    and always takes the split form.
+    and always takes the split form. Both forms give the same values where sums are
+    exact: aggregates over decimals and integers, not over doubles.
     """
     framed, running, totals = dict(framed or {}), dict(running or {}), dict(totals or {})
     percentiles = dict(percentiles or {})
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    scratch_dir(df.sparkSession)  # wanted at every size, so that a growing key changes no requirement
 
     def plain(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order_by)

@@ -15,19 +15,23 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialise
+from ..session import materialise, setting
 
 # A key with more rows than this is split over several tasks.
 HOT_ROWS = 1_000_000
 
-# Range partitions are sized by rows; their number is limited because the driver
-# samples about a hundred sort keys for each of them.
+# Range partitions are sized by rows. The driver samples sort keys for their bounds:
+# a hundred for each, or fewer where that would be more than SAMPLED_KEYS in all.
 ROWS_PER_PARTITION = 1_000_000
-MAX_PARTITIONS = 10_000
+SAMPLED_KEYS = 1_000_000
+FEWEST_SAMPLED = 4
 
-# A helper table is broadcast only if it is known to have no more rows than this;
-# beyond it the join is left to the planner.
-BROADCAST_ROWS = 1_000_000
+# A helper table is broadcast only if its known number of rows, at the width of its
+# columns, stays below this; beyond it the join is left to the planner.
+BROADCAST_BYTES = 32_000_000
+# Bytes taken for a value: fixed widths as in a row, a long text for anything else.
+WIDTHS = {"boolean": 8, "tinyint": 8, "smallint": 8, "int": 8, "bigint": 8, "float": 8, "double": 8, "date": 8, "timestamp": 8, "timestamp_ntz": 8}
+OTHER_WIDTH = 128
 
 _IN_PARTITION = (1 << 33) - 1  # monotonically_increasing_id: partition above, row below bit 33
 
@@ -43,7 +47,7 @@ def row_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def partitions_for(rows: int) -> int:
-    return min(max(math.ceil(rows / ROWS_PER_PARTITION), 1), MAX_PARTITIONS)
+    return max(math.ceil(rows / ROWS_PER_PARTITION), 1)
 
 
 def size_of(at_most: DataFrame | int) -> int:
@@ -51,8 +55,9 @@ def size_of(at_most: DataFrame | int) -> int:
 
 
 def fitting(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked for broadcast if its bound of ``rows`` allows it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """``df``, of at most ``rows`` rows, marked for broadcast if that is a bound on its bytes too."""
+    width = sum(WIDTHS.get(kind, OTHER_WIDTH) for _, kind in df.dtypes)
+    return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
 
 
 @dataclass(frozen=True)
@@ -110,7 +115,9 @@ def _spread(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], part
     """
     order = [*[F.col(f"`{k}`").asc() for k in keys], *order_by]
     numbered = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
-    stored = materialise(numbered, "sorted")
+    sampled = min(max(SAMPLED_KEYS // partitions, FEWEST_SAMPLED), 100)
+    with setting(df.sparkSession, "spark.sql.execution.rangeExchange.sampleSizePerPartition", str(sampled)):
+        stored = materialise(numbered, "sorted")
     return (
         stored.withColumn("_pid", F.shiftright("_mid", 33))
         .withColumn("_at", F.col("_mid").bitwiseAND(_IN_PARTITION))
@@ -198,8 +205,7 @@ def global_rank_ntile(
     partitions = partitions or partitions_for(df.count())
     placed = _numbered(df, [F.col(value).desc(), F.col(tie_break).asc()], (), 1, "_pos", partitions)
     # a tie starts inside its partition, unless it is the partition's first value;
-    # those values, at most one per partition (and there are at most
-    # MAX_PARTITIONS, unless the caller asks for more), are looked up everywhere
+    # those values, at most one per partition, are looked up everywhere
     inside = placed.withColumn("_inside", F.min("_pos").over(Window.partitionBy("_pid", value)))
     edges = placed.filter(F.col("_at") == 0).select(value).distinct()
     reaching = placed.alias("p").join(fitting(edges.alias("e"), partitions), same_keys("p", "e", [value]), "left_semi")

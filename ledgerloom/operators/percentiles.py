@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import scratch_dir
 from .ordered import HOT_ROWS, Hot, find_hot, fitting, interpolate, partitions_for, prefix_sums, same_keys, size_of, split_hot
 
 Targets = Mapping[str, tuple[str, float]]
@@ -86,6 +87,7 @@ def exact_percentiles(
     whole table unless given.
     """
     extra = dict(aggregates or {})
+    scratch_dir(df.sparkSession)  # wanted at every size, so that a growing group changes no requirement
     if not keys:
         size = size_of(df if at_most is None else at_most)
         if size <= (HOT_ROWS if hot_rows is None else hot_rows):

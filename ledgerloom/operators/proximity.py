@@ -7,8 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expressions import EARTH_RADIUS_MILES, KM_PER_MILE, haversine_distance
-from ..session import materialise
+from ..session import materialise, scratch_dir
 
+LEAST_REACH = 1e-6  # degrees
 CELL = ["_band", "_cell"]
 
 
@@ -21,7 +22,7 @@ def _crowded(points: DataFrame, name: str, hot_rows: int) -> DataFrame:
 def _sliced(points: DataFrame, slices: DataFrame, own: str, own_count: str, key: str, other: str, other_count: str) -> DataFrame:
     """Put each point into one slice of its own side, once per slice of the other side."""
     one = F.lit(1).cast("bigint")
-    joined = points.join(F.broadcast(slices), CELL, "left")  # at most all points / hot_rows cells
+    joined = points.join(slices, CELL, "left")  # the planner sees the written table's size
     mine = F.pmod(F.xxhash64(key), F.coalesce(F.col(own_count), one))
     theirs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(other_count), one) - 1))
     return joined.withColumn(own, mine).withColumn(other, theirs).drop(own_count, other_count)
@@ -42,15 +43,18 @@ def proximity_pairs(
 
     Points meet in latitude bands and longitude cells about one radius wide.
     Cells of a band are sized for its end nearest to the pole, so one step
-    sideways always covers the radius; bands where that is impossible have one
-    cell. A cell with more than ``hot_rows`` points of a side is cut into slices
+    sideways always covers the radius; bands where that is impossible, near the
+    poles or for a radius of thousands of kilometres, have one cell, and all pairs of
+    such a band are candidates. A cell with more than ``hot_rows`` points of a side is cut into slices
     of that size, and each slice meets every slice of the other side once.
     """
+    scratch_dir(left.sparkSession)
     if unit not in ("mi", "km"):
         raise ValueError(f"unit must be 'mi' or 'km', got {unit!r}")
     miles = radius / (KM_PER_MILE if unit == "km" else 1)
-    reach = math.degrees(miles / EARTH_RADIUS_MILES)
-    band_height = max(reach * 1.000001, 1e-6)
+    # a tenth of a metre at least, so that a radius of 0 has cells too
+    reach = max(math.degrees(miles / EARTH_RADIUS_MILES), LEAST_REACH)
+    band_height = reach * 1.000001
 
     def band(c: Column) -> Column:
         return F.floor((c + 90) / band_height)

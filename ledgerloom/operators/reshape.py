@@ -98,7 +98,7 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[t
     elif directions == {"asc"}:
         picked = F.min_by(best, order)
     else:
-        # mixed directions: reverse the descending numbers and moments
+        # mixed directions: reverse what is descending
         types = {f.name: f.dataType for f in df.schema.fields}
         parts = []
         for name, direction in order_by:
@@ -109,6 +109,12 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[t
                     c = F.datediff(c, F.lit("1970-01-01").cast("date"))
                 elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
                     c = F.unix_micros(c.cast("timestamp"))
+                elif isinstance(kind, T.BooleanType):
+                    c = c.cast("int")
+                elif isinstance(kind, (T.StringType, T.BinaryType)):
+                    # complement of the bytes; the end mark puts a longer text before its own beginning
+                    parts += [c.isNull(), F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))]
+                    continue
                 elif not isinstance(kind, T.NumericType):
                     raise ValueError(f"cannot mix directions on {name}: {kind.simpleString()}")
                 parts += [c.isNull(), -c]

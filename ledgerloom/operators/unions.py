@@ -21,8 +21,9 @@ def union_relations(
 ) -> DataFrame:
     """Union all of named tables over the superset of their columns.
 
-    Columns keep the order in which they are first seen and the type they first
-    have, unless overridden; a table lacking a column contributes NULLs.
+    Columns keep the order in which they are first seen and the name and type they
+    first have, unless overridden; names that differ in case only are one column. A
+    table lacking a column contributes NULLs.
     """
     if include and exclude:
         raise ValueError("give include or exclude, not both")
@@ -33,19 +34,20 @@ def union_relations(
         return name.lower() not in excluded and (not included or name.lower() in included)
 
     types: dict[str, T.DataType | str] = {}
+    names: dict[str, str] = {}  # lower case -> name first seen
     for df in relations.values():
         for field in df.schema.fields:
             if wanted(field.name):
-                types.setdefault(field.name, field.dataType)
+                types.setdefault(names.setdefault(field.name.lower(), field.name), field.dataType)
     if not types:
         raise ValueError(f"no column to union in {', '.join(relations)}")
-    types.update({name: kind for name, kind in override.items() if name in types})
+    types.update({names[name.lower()]: kind for name, kind in override.items() if name.lower() in names})
 
     def aligned(name: str, df: DataFrame) -> DataFrame:
         rows = df.filter(where) if where else df
         source = [F.lit(name).alias(source_column_name)] if source_column_name else []
-        own = set(df.columns)
-        cells = [(F.col(f"`{c}`") if c in own else F.lit(None)).cast(t).alias(c) for c, t in types.items()]
+        own = {c.lower(): c for c in df.columns}
+        cells = [(F.col(f"`{own[c.lower()]}`") if c.lower() in own else F.lit(None)).cast(t).alias(c) for c, t in types.items()]
         return rows.select(*source, *cells)
 
     return reduce(DataFrame.unionAll, [aligned(name, df) for name, df in relations.items()])

@@ -28,14 +28,16 @@ def column_values(
     spark: SparkSession,
     table: str | DataFrame,
     name: str,
-    max_records: int = 1000,
+    max_records: int | None = None,
     default: list | None = None,
     where: str | None = None,
+    order_by: Sequence[Column] | None = None,
+    refuse_above: int = 1000,
 ) -> list:
-    """The most frequent values as a Python list, to name the columns of a pivot.
+    """The values as a Python list, most frequent first or by ``order_by``, to name the columns of a pivot.
 
-    At most ``max_records`` values reach the driver; more distinct values than
-    that raise instead of being left out.
+    ``max_records`` keeps the first so many. Without it all values are meant, and more than
+    ``refuse_above`` of them raise instead of being left out: they have to fit on the driver.
     """
     if isinstance(table, str):
         if not spark.catalog.tableExists(table):
@@ -43,9 +45,10 @@ def column_values(
                 raise ValueError(f"table {table} does not exist and no default is given")
             return default
         table = spark.table(table)
-    found = value_frequencies(table, name, max_records=max_records + 1, where=where).collect()
-    if len(found) > max_records:
-        raise ValueError(f"{name} has more than {max_records} distinct values")
+    most = refuse_above + 1 if max_records is None else max_records
+    found = value_frequencies(table, name, order_by, most, where).collect()
+    if max_records is None and len(found) > refuse_above:
+        raise ValueError(f"{name} has more than {refuse_above} distinct values")
     return [row["value"] for row in found] or (default if default is not None else [])
 
 

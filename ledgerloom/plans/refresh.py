@@ -1,28 +1,52 @@
 """Incremental refresh of the stored tables.
 
-Running and rolling figures look back in time, so a batch changes them for rows
-from its earliest one per customer on; only those rows are written again, which
-for a batch in order means the newest partitions. Figures over all rows of a
-customer go to a table of one row per customer, and figures over the whole
-table are not stored at all; both are joined on read. Any number of batches,
-late rows included, gives the result of one full run.
+A batch holds new transactions and amended ones (a known ``transaction_id`` with other values). Running and
+rolling figures look back in time, so it changes them for a customer's rows from the earliest changed one on,
+where both the old and the new time and owner of an amended row count. Only those rows are written again,
+which for a batch in order means the newest partitions. Their look-back, 30 rows and a running sum, is read
+from the stored rows; nothing before is windowed again.
+
+Figures over all rows of a customer go to a table of one row per customer; they are taken again for the
+batch's customers from four stored columns. Figures over the whole table are not stored at all. Both are
+joined on read. Any number of batches, late and amended rows included, gives the result of one full run.
+
+Accounts, customers and merchants are taken as they are when a transaction is written: a change of theirs
+is not carried to rows already stored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.casts import AsOf
 from ..functions.expressions import surrogate_key
 from ..operators.ordered import same_keys
+from ..session import materialise
 from ..sources.tables import rows_of_affected, upsert
 from .accounts import balance_marks, summary_rows, with_balance_marks
 from .analytics import clv_analysis
-from .transactions import amount_marks, customer_stats, enriched_rows, facts_from_stats, with_customer, with_marks, with_scores
+from .transactions import MONTH_ROWS, amount_marks, customer_stats, enriched_rows, facts_from_stats, time_measures, with_customer, with_marks, with_scores
 
 PARTITIONS = ("transaction_year", "transaction_month")
 CLUSTER = ("customer_id", "transaction_date")
-STATS_KEY = "stats_sk"  # the customer id may be NULL, which no merge would match
+STATS_KEY = "stats_sk"
+LOOK_BACK = ("rolling_7day_avg", "rolling_30day_avg", "cumulative_spend", "hours_since_last_transaction")
+STATS_COLUMNS = ("customer_id", "transaction_id", "amount_usd", "transaction_date")
+
+
+def replaced_rows(table: str, batch: DataFrame) -> DataFrame:
+    """What the table holds for the transactions of ``batch``: none before the first run."""
+    spark = batch.sparkSession
+    if not spark.catalog.tableExists(table):
+        return enriched_shape(batch).limit(0)
+    known, ids = spark.table(table).alias("k"), batch.select("transaction_id").alias("b")
+    return known.join(ids, same_keys("k", "b", ["transaction_id"]), "left_semi")
+
+
+def enriched_shape(batch: DataFrame) -> DataFrame:
+    """The columns of a replaced row that refreshes look at."""
+    nothing = F.lit(None).cast("string")
+    return batch.select("transaction_id", "account_id", nothing.alias("customer_id"), "transaction_date", *PARTITIONS)
 
 
 def changed_from(changed: DataFrame) -> DataFrame:
@@ -34,28 +58,61 @@ def changed_from(changed: DataFrame) -> DataFrame:
     return changed.groupBy("customer_id").agg(F.min(when).alias("_from"), F.bool_or(when.isNull()).alias("_all"))
 
 
+def _reached(first: str = "") -> Column:
+    """Rows that a change of their customer touches."""
+    return F.col("_all") | (F.col(f"{first}transaction_date") >= F.col("_from"))
+
+
+def _later_rows(stored: DataFrame, fresh: DataFrame, starts: DataFrame, hot_rows: int | None) -> DataFrame:
+    """Stored and fresh rows from each customer's first change on, their look-back figures renewed."""
+    kept = stored.alias("s").join(fresh.select("transaction_id").alias("f"), same_keys("s", "f", ["transaction_id"]), "left_anti")
+    own = kept.alias("r").join(starts.alias("c"), same_keys("r", "c", ["customer_id"])).select("r.*", "_from", "_all")
+    later = own.filter(_reached()).drop("_from", "_all")
+    # the rows just before: enough for the rolling means, and the running sum so far
+    newest = Window.partitionBy("customer_id").orderBy(F.col("transaction_date").desc(), F.col("transaction_id").desc())
+    before = own.filter(~F.coalesce(_reached(), F.lit(False))).withColumn("_back", F.row_number().over(newest))
+    before = before.filter(F.col("_back") <= MONTH_ROWS).drop("_from", "_all", "_back")
+    rows = later.withColumn("_write", F.lit(True)).unionByName(fresh.withColumn("_write", F.lit(True))).unionByName(before.withColumn("_write", F.lit(False)))
+    rows = materialise(rows, "tails")
+    base = rows.filter("NOT _write").groupBy("customer_id").agg(
+        F.min_by(F.col("cumulative_spend") - F.coalesce("amount_usd", F.lit(0)), F.struct("transaction_date", "transaction_id")).alias("_base")
+    )
+    measured = time_measures(rows.drop(*LOOK_BACK), hot_rows=hot_rows).filter("_write").drop("_write")
+    joined = measured.alias("m").join(base.alias("b"), same_keys("m", "b", ["customer_id"]), "left").select("m.*", "_base")
+    # a running sum stays NULL until its first value
+    total = F.coalesce(F.col("cumulative_spend") + F.coalesce("_base", F.lit(0)), F.col("_base"))
+    kind = stored.schema["cumulative_spend"].dataType
+    return joined.withColumn("cumulative_spend", total.cast(kind)).drop("_base").select(stored.columns)
+
+
 def refresh_transactions(
     table: str,
     stats_table: str,
     batch: DataFrame,
-    history: DataFrame,
     accounts: DataFrame,
     customers: DataFrame,
     merchants: DataFrame,
     hot_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``batch``: the new staged transactions; ``history``: all of them, batch included.
-
-    Returns the stored rows and the statistics of their customers.
-    """
-    size = history.count()
-    changed = with_customer(batch, accounts)
-    affected = rows_of_affected(with_customer(history, accounts), changed, "customer_id")
-    rows = enriched_rows(affected.select(*history.columns), accounts, customers, merchants, size, hot_rows, scores=False)
-    joined = rows.alias("r").join(changed_from(changed).alias("c"), same_keys("r", "c", ["customer_id"]))
-    later = joined.filter(F.col("_all") | (F.col("transaction_date") >= F.col("_from"))).select("r.*")
-    stored = upsert(later, table, "transaction_sk", PARTITIONS, CLUSTER)
-    stats = customer_stats(affected, size=size, hot_rows=hot_rows).withColumn(STATS_KEY, surrogate_key(["customer_id"]))
+    """``batch``: new and amended staged transactions. Returns the stored rows and the statistics per customer."""
+    spark = batch.sparkSession
+    if not spark.catalog.tableExists(table):
+        rows = enriched_rows(batch, accounts, customers, merchants, batch.count(), hot_rows, scores=False)
+        stored = upsert(rows, table, "transaction_id", PARTITIONS, CLUSTER)
+        changed = stored
+    else:
+        stored = spark.table(table)
+        batch = materialise(batch, "batch")
+        fresh = materialise(enriched_rows(batch, accounts, customers, merchants, batch.count(), hot_rows, scores=False), "fresh")
+        old = materialise(replaced_rows(table, batch).select("transaction_id", "customer_id", "transaction_date", *PARTITIONS), "replaced")
+        changed = materialise(old.select("customer_id", "transaction_date").unionByName(fresh.select("customer_id", "transaction_date")), "changed")
+        later = _later_rows(stored, fresh, changed_from(changed), hot_rows)
+        # rows that only move in time keep their partition; the batch's own may leave one
+        stored = upsert(later, table, "transaction_id", PARTITIONS, CLUSTER, moved=old)
+    affected = rows_of_affected(stored.select(*STATS_COLUMNS), changed.select("customer_id"), "customer_id")
+    stats = customer_stats(materialise(affected, "affected"), hot_rows=hot_rows)
+    gone = changed.select("customer_id").distinct().alias("c").join(stats.select("customer_id").alias("s"), same_keys("c", "s", ["customer_id"]), "left_anti")
+    stats = stats.unionByName(gone, allowMissingColumns=True).withColumn(STATS_KEY, surrogate_key(["customer_id"]))
     return stored, upsert(stats, stats_table, STATS_KEY).drop(STATS_KEY)
 
 
@@ -70,18 +127,33 @@ def read_facts(stored: DataFrame, stats: DataFrame, as_of: AsOf = None, hot_rows
 
 
 def refresh_accounts(
-    table: str, batch: DataFrame, history: DataFrame, accounts: DataFrame, customers: DataFrame, as_of: AsOf = None, hot_rows: int | None = None
+    table: str,
+    batch: DataFrame,
+    history: DataFrame,
+    accounts: DataFrame,
+    customers: DataFrame,
+    as_of: AsOf = None,
+    hot_rows: int | None = None,
+    replaced: DataFrame | None = None,
 ) -> DataFrame:
-    """Accounts with new transactions, and accounts not stored yet."""
+    """Accounts with new or amended transactions, and accounts not stored yet.
+
+    ``history``: all transactions as they are now; ``replaced``: the rows that the batch amended, as they were
+    (``replaced_rows``), since an account that lost one changes too.
+    """
     spark = batch.sparkSession
     changed = batch.select("account_id")
+    if replaced is not None:
+        changed = changed.unionByName(replaced.select("account_id"))
     if spark.catalog.tableExists(table):
-        changed = changed.unionByName(accounts.select("account_id").join(spark.table(table).select("account_id"), "account_id", "left_anti"))
+        known = spark.table(table).select("account_id")
+        changed = changed.unionByName(accounts.select("account_id").join(known, "account_id", "left_anti"))
     else:
         changed = accounts.select("account_id")
+    changed = materialise(changed.distinct(), "changed")
     owned = rows_of_affected(accounts, changed, "account_id")
     moved = rows_of_affected(history, changed, "account_id")
-    return upsert(summary_rows(owned, customers, moved, as_of, history.count(), hot_rows), table, "account_id")
+    return upsert(summary_rows(owned, customers, moved, as_of, hot_rows=hot_rows), table, "account_id")
 
 
 def read_accounts(stored: DataFrame, accounts: DataFrame, hot_rows: int | None = None) -> DataFrame:
@@ -89,8 +161,27 @@ def read_accounts(stored: DataFrame, accounts: DataFrame, hot_rows: int | None =
     return with_balance_marks(stored, balance_marks(accounts, hot_rows))
 
 
-def refresh_clv(table: str, batch: DataFrame, facts: DataFrame, accounts: DataFrame, customers: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """``facts``: the stored transactions, enriched or not, after their own refresh."""
-    affected = rows_of_affected(facts, with_customer(batch, accounts), "customer_id")
-    known = clv_analysis(affected, customers, as_of)
-    return upsert(known.filter("customer_id is not null"), table, "customer_id")
+def refresh_clv(
+    table: str,
+    batch: DataFrame,
+    facts: DataFrame,
+    accounts: DataFrame,
+    customers: DataFrame,
+    as_of: AsOf = None,
+    replaced: DataFrame | None = None,
+) -> DataFrame:
+    """``facts``: the stored transactions after their own refresh; ``replaced``: as they were before it.
+
+    A customer left without transactions keeps a row without figures, which ``read_clv`` passes over.
+    """
+    changed = with_customer(batch, accounts).select("customer_id")
+    if replaced is not None:
+        changed = changed.unionByName(replaced.select("customer_id"))
+    changed = materialise(changed.filter("customer_id IS NOT NULL").distinct(), "changed")
+    known = clv_analysis(rows_of_affected(facts, changed, "customer_id"), customers, as_of)
+    gone = changed.join(known.select("customer_id"), "customer_id", "left_anti")
+    return upsert(known.unionByName(gone, allowMissingColumns=True), table, "customer_id")
+
+
+def read_clv(stored: DataFrame) -> DataFrame:
+    return stored.filter("total_transactions IS NOT NULL")

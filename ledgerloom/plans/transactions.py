@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.casts import AsOf, date_diff, moment
 from ..functions.expressions import banded, business_key, hash_column, surrogate_key
-from ..functions.windows import rolling_mean
+from ..functions.windows import deviation, deviation_parts, rolling_mean
 from ..operators.keyed import keyed_windows
 from ..operators.ordered import same_keys
 from ..operators.percentiles import Targets, exact_percentiles
@@ -103,11 +103,12 @@ def rolling_measures(rows: DataFrame, figures: bool = False, **options) -> DataF
 
     ``figures`` keeps the customer's totals and percentiles of the fact table.
     """
-    totals = {**customer_totals(), "spend_deviation": F.stddev_samp("amount_usd")}
+    totals = customer_totals()
     if not figures:
-        totals = {n: totals[n] for n in ("avg_spend", "spend_deviation")}
-    measured = time_measures(rows, totals, CUSTOMER_POINTS if figures else None, **options)
-    out = scored(measured, "avg_spend", "spend_deviation").drop("spend_deviation")
+        totals = {"avg_spend": totals["avg_spend"]}
+    parts = deviation_parts("amount_usd")
+    measured = time_measures(rows, {**totals, **parts}, CUSTOMER_POINTS if figures else None, **options)
+    out = scored(measured.withColumn("spend_deviation", deviation()), "avg_spend", "spend_deviation").drop("spend_deviation", *parts)
     return out if figures else out.drop("avg_spend")
 
 
@@ -207,8 +208,9 @@ def transaction_enriched(
 
 def customer_stats(rows: DataFrame, counts: DataFrame | None = None, size: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """One row per ``customer_id``: totals, percentiles and deviation of its amounts."""
-    totals = {**customer_totals(), "spend_deviation": F.stddev_samp("amount_usd")}
-    return exact_percentiles(rows, ["customer_id"], CUSTOMER_POINTS, totals, counts, size, hot_rows)
+    parts = deviation_parts("amount_usd")
+    found = exact_percentiles(rows, ["customer_id"], CUSTOMER_POINTS, {**customer_totals(), **parts}, counts, size, hot_rows)
+    return found.withColumn("spend_deviation", deviation()).drop(*parts)
 
 
 def _as_facts(rows: DataFrame, as_of: AsOf) -> DataFrame:
@@ -230,34 +232,6 @@ def _as_facts(rows: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
-def fact_rows(
-    enriched: DataFrame,
-    as_of: AsOf = None,
-    counts: DataFrame | None = None,
-    at_most: DataFrame | int | None = None,
-    hot_rows: int | None = None,
-    partitions: int | None = None,
-) -> DataFrame:
-    """The fact table's rows, with whatever global percentiles ``enriched`` holds.
-
-    ``counts``: rows per customer (``customer_counts``); ``at_most``: the number
-    of transactions or their table. Both spare evaluating ``enriched`` twice.
-    """
-    rows = keyed_windows(
-        enriched.drop("cumulative_spend", "hours_since_last_transaction", "transaction_75th_percentile"),
-        ["customer_id"],
-        in_order(),
-        running={"cumulative_customer_spend": "amount_usd"},
-        totals=customer_totals(),
-        percentiles=CUSTOMER_POINTS,
-        counts=counts,
-        at_most=at_most,
-        hot_rows=hot_rows,
-        partitions=partitions,
-    )
-    return _as_facts(rows, as_of)
-
-
 def with_scores(rows: DataFrame, stats: DataFrame) -> DataFrame:
     """Scores from stored customer statistics instead of a window."""
     own = stats.select("customer_id", F.col("avg_spend").alias("_mean"), F.col("spend_deviation").alias("_deviation"))
@@ -266,7 +240,7 @@ def with_scores(rows: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def facts_from_stats(enriched: DataFrame, stats: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """``fact_rows`` from stored customer statistics instead of a window."""
+    """The fact table's rows from stored customer statistics instead of a window."""
     rows = enriched.drop("hours_since_last_transaction", "transaction_75th_percentile")
     rows = rows.withColumnRenamed("cumulative_spend", "cumulative_customer_spend")
     own = stats.drop("spend_deviation")

@@ -47,6 +47,8 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 _written: dict[str, list[str]] = {}  # application id -> folders it wrote
+_tables: dict[str, list[str]] = {}  # application id -> scratch tables it named
+SCRATCH_DATABASE = "ledgerloom_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -55,9 +57,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def scratch_table(spark: SparkSession, label: str) -> str:
+    """A fresh table name in a database whose files lie in the shared scratch folder."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{scratch_dir(spark)}/{SCRATCH_DATABASE}'")
+    name = f"{SCRATCH_DATABASE}.{label}_{uuid.uuid4().hex}"
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
 def drop_scratch(spark: SparkSession) -> int:
-    """Delete the intermediate tables of this application; call it once its results are saved."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+    """Delete the intermediate files and tables of this application; call it once its results are saved."""
+    application = spark.sparkContext.applicationId
+    for name in _tables.pop(application, []):
+        database, prefix = name.split(".")
+        for found in spark.sql(f"SHOW TABLES IN {database} LIKE '{prefix}*'").collect():
+            kind = spark.catalog.getTable(f"{database}.{found['tableName']}").tableType
+            spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} IF EXISTS {database}.{found['tableName']}")
+    paths = _written.pop(application, [])
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -13,6 +14,8 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
+_OVERWRITING = threading.Lock()
+
 # Everything is read as text; the staging plans cast it. No inference pass.
 SCHEMAS = {
     "customers": _strings("customer_id", "first_name", "last_name", "email", "city", "credit_score", "created_at"),
@@ -99,7 +102,8 @@ def insert_overwrite(df: DataFrame, table: str, dynamic: bool = True) -> None:
     """Replace the partitions present in ``df`` (or the whole table)."""
     spark = df.sparkSession
     columns = spark.table(table).columns
-    # insertInto takes the mode from the session, not from a writer option
-    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static"):
+    # insertInto takes the mode from the session, not from a writer option; the lock keeps two writers of a
+    # session from changing it under each other
+    with _OVERWRITING, setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static"):
         df.select(*columns).write.mode("overwrite").insertInto(table)
     spark.catalog.refreshTable(table)

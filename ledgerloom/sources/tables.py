@@ -1,28 +1,43 @@
-"""Write tables: full rebuilds, schema changes and upserts by key."""
+"""Write tables: full rebuilds, schema changes and upserts by key.
+
+A table without partitions is rebuilt under another name and then takes the old one's place, so the plan may
+read the table it replaces, everything is written once, and a failure leaves the old table. (Catalogs may
+keep the place of every partition through a rename, so partitioned tables are not swapped like this.)
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.ordered import same_keys
 from ..session import materialise
 from .registry import insert_overwrite
 
 BUCKET = "_key_bucket"
+BUCKETS = 64  # of a new table without partition columns
+BUCKETS_PROPERTY = "ledgerloom.key_buckets"
 
 
-def write_table(df: DataFrame, table: str, table_format: str = "parquet") -> DataFrame:
-    """Full rebuild; the new rows are complete before the old table goes.
+def _replace(spark: SparkSession, table: str, write: Callable[[str], None]) -> DataFrame:
+    """Writes a table aside and swaps it in."""
+    following, previous = f"{table}__next", f"{table}__previous"
+    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    write(following)
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
-    They are written aside first, so the plan may read the table it replaces
-    and a failure while computing leaves that table as it was.
-    """
-    ready = materialise(df, "rebuild")
-    ready.write.mode("overwrite").format(table_format).saveAsTable(table)
-    return df.sparkSession.table(table)
+
+def write_table(df: DataFrame, table: str, table_format: str = "parquet") -> DataFrame:
+    """Full rebuild; the plan may read the table it replaces."""
+    return _replace(df.sparkSession, table, lambda name: df.write.format(table_format).saveAsTable(name))
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:
@@ -74,17 +89,21 @@ def reconcile(target: DataFrame, batch: DataFrame, on_schema_change: str = "appe
 
 
 def refuse_duplicates(batch: DataFrame, unique_key: Sequence[str]) -> None:
+    """Two rows for one key are an error; missing values are equal here, as everywhere in an upsert."""
     repeated = batch.groupBy(*unique_key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
     example = repeated.first()
     if example is not None:
         raise ValueError(f"several batch rows for one key: {example}")
 
 
+def _without_keys(rows: DataFrame, batch: DataFrame, unique_key: Sequence[str]) -> DataFrame:
+    left, right = rows.alias("_rows"), batch.select(*unique_key).alias("_batch")
+    return left.join(right, same_keys("_rows", "_batch", unique_key), "left_anti")
+
+
 def merge_rows(target: DataFrame, batch: DataFrame, unique_key: Sequence[str]) -> DataFrame:
-    """Target after updating matched keys and inserting the others."""
-    # NULL matches nothing, as in a merge on equality
-    kept = target.join(batch.select(*unique_key), list(unique_key), "left_anti")
-    return kept.unionByName(batch)
+    """Target after updating matched keys, NULLs included, and inserting the others."""
+    return _without_keys(target, batch, unique_key).unionByName(batch)
 
 
 def with_bucket(df: DataFrame, unique_key: Sequence[str], buckets: int) -> DataFrame:
@@ -92,71 +111,130 @@ def with_bucket(df: DataFrame, unique_key: Sequence[str], buckets: int) -> DataF
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in unique_key]), F.lit(buckets)).cast("int"))
 
 
+def _buckets_of(spark: SparkSession, table: str, wanted: int | None) -> int:
+    """The bucket count stored with the table; another one would look for keys in the wrong place."""
+    stored = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(BUCKETS_PROPERTY)
+    if stored is None:
+        raise ValueError(f"{table} does not say how many key buckets it has: set its property {BUCKETS_PROPERTY}")
+    if wanted is not None and wanted != int(stored):
+        raise ValueError(f"{table} has {stored} key buckets, not {wanted}")
+    return int(stored)
+
+
+def _store_buckets(spark: SparkSession, table: str, count: int) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{count}')")
+
+
+def content_order(df: DataFrame, latest_by: str, columns: Sequence[str]) -> Column:
+    """What decides between two rows of a key: ``latest_by``, then the content, so that the order of arrival does not."""
+    content = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in sorted(columns)])
+    return F.struct(F.col(f"`{latest_by}`").alias("latest"), content.alias("content"))
+
+
+def _not_older(batch: DataFrame, stored: DataFrame, keys: Sequence[str], latest_by: str) -> DataFrame:
+    """Rows of the batch whose key has no later row in the table."""
+    shared = [c for c in batch.columns if c in stored.columns]
+    if latest_by not in shared:
+        return batch
+    ours = batch.withColumn("_order", content_order(batch, latest_by, shared)).alias("_ours")
+    theirs = stored.select(*keys, content_order(stored, latest_by, shared).alias("_order")).alias("_theirs")
+    later = same_keys("_ours", "_theirs", keys) & (F.col("_theirs._order") > F.col("_ours._order"))
+    return ours.join(theirs, later, "left_anti").drop("_order")
+
+
 def upsert(
     batch: DataFrame,
     table: str,
     unique_key: Sequence[str] | str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
-    buckets: int = 64,
+    buckets: int | None = None,
     on_schema_change: str = "append_new_columns",
     table_format: str = "parquet",
+    latest_by: str | None = None,
+    moved: DataFrame | None = None,
+    keys_stay: bool = False,
 ) -> DataFrame:
-    """Update matched keys, insert the others, rewriting only touched partitions.
+    """Update matched keys, insert the others, rewriting only touched partitions, once.
 
-    The first run creates the table. A key may occur once per batch. Tables
-    without partition columns are split into ``buckets`` by a hash of the key.
-    A row whose partition columns change leaves its old partition.
+    The first run creates the table. A key may occur once per batch; NULLs in keys are equal, so repeating
+    a batch changes nothing. Tables without partition columns are split by a hash of the key into
+    ``buckets``, a number stored with the table. New columns are added without touching old files.
+
+    With ``latest_by`` a row replaces only rows that are not later, so the result does not depend on the
+    order of batches. A row whose partition columns change leaves its old partition: the keys' present
+    partitions are looked up in the key and partition columns of the table, or taken from ``moved`` (a
+    table with the partition columns), or are the batch's own if ``keys_stay``.
     """
     spark = batch.sparkSession
     keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
     parts = list(partition_by) or [BUCKET]
-    rows = batch if partition_by else with_bucket(batch, keys, buckets)
-    rows = materialise(rows, "batch")  # read several times below
-    refuse_duplicates(rows, keys)
     if not spark.catalog.tableExists(table):
-        return write_partitioned(rows, table, parts, cluster_by, table_format).drop(BUCKET)
-
+        count = buckets or BUCKETS
+        rows = batch if partition_by else with_bucket(batch, keys, count)
+        created = write_partitioned(rows, table, parts, cluster_by, table_format)
+        try:
+            refuse_duplicates(created, keys)
+        except ValueError:
+            spark.sql(f"DROP TABLE {table}")
+            raise
+        if not partition_by:
+            _store_buckets(spark, table, count)
+        return spark.table(table).drop(BUCKET)
+
+    count = 0 if partition_by else _buckets_of(spark, table, buckets)
+    bucketed = (lambda df: df) if partition_by else (lambda df: with_bucket(df, keys, count))
+    rows = materialise(batch, "batch")  # read several times below
+    refuse_duplicates(rows, keys)
     target = spark.table(table)
-    plain_old, plain_new = target.drop(BUCKET), rows.drop(BUCKET)
-    aligned_old, aligned_new = reconcile(plain_old, plain_new, on_schema_change)
-    if [(f.name, f.dataType) for f in aligned_old.schema.fields] != [(f.name, f.dataType) for f in plain_old.schema.fields]:
-        # files of all partitions need the new columns
-        merged = materialise(merge_rows(aligned_old, aligned_new, keys), "merged")
-        merged = merged if partition_by else with_bucket(merged, keys, buckets)
-        return write_partitioned(merged, table, parts, cluster_by, table_format).drop(BUCKET)
+    plain = target.drop(BUCKET)
+    aligned_old, aligned_new = reconcile(plain, rows, on_schema_change)
+    old_types, new_types = dict(plain.dtypes), dict(aligned_old.dtypes)
+    if any(new_types.get(c) != kind for c, kind in old_types.items()):
+        # a column goes or changes its type, which files in place cannot
+        fresh = _not_older(aligned_new, aligned_old, keys, latest_by) if latest_by else aligned_new
+        merged = materialise(bucketed(merge_rows(aligned_old, fresh, keys)), "merged")
+        write_partitioned(merged, table, parts, cluster_by, table_format)
+        if not partition_by:
+            _store_buckets(spark, table, count)
+        return spark.table(table).drop(BUCKET)
+    added = [c for c in aligned_old.columns if c not in old_types]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{c}` {new_types[c]}' for c in added)})")
+        target = spark.table(table)
 
     # partitions to rewrite: those of the batch and those its keys now sit in
-    touched = rows.select(*parts)
-    if partition_by:
-        moved = target.select(*parts, *keys).join(rows.select(*keys), keys, "left_semi").select(*parts)
-        touched = touched.unionByName(moved)
-    touched = touched.distinct().collect()  # at most the table's own partitions
+    aligned_new = bucketed(aligned_new)
+    own = {tuple(r) for r in aligned_new.select(*parts).distinct().collect()}
+    touched = set(own)
+    if partition_by and not keys_stay:
+        if moved is None:
+            moved = target.select(*parts, *keys).alias("_t").join(rows.select(*keys).alias("_b"), same_keys("_t", "_b", keys), "left_semi")
+        touched |= {tuple(r) for r in moved.select(*parts).distinct().collect()}  # at most the table's partitions
     if not touched:
-        return plain_old
-    wanted = [reduce(Column.__and__, [F.col(p).eqNullSafe(F.lit(row[p])) for p in parts]) for row in touched]
-    if len(parts) == 1 and all(row[0] is not None for row in touched):
-        only = F.col(parts[0]).isin([row[0] for row in touched])
-    else:
-        only = reduce(Column.__or__, wanted)
-    old = target.filter(only).drop(BUCKET)  # prunes to the touched partitions
-    merged = merge_rows(old, aligned_new, keys)
-    merged = merged if partition_by else with_bucket(merged, keys, buckets)
-    merged = materialise(merged, "merged")  # never overwrite what is being read
-    emptied = _emptied(merged, touched, parts)
-    ordered = merged.select(*target.columns).hint("rebalance", *[F.col(p) for p in parts])
-    ordered = ordered.sortWithinPartitions(*parts, *cluster_by)
-    insert_overwrite(ordered, table)
-    for row in emptied:
-        spec = ", ".join(f"`{p}` = {_literal(row[p])}" for p in parts)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        return spark.table(table).drop(BUCKET)
+    old = target.filter(_in_partitions(parts, touched))
+    if latest_by:
+        aligned_new = materialise(_not_older(aligned_new, old, keys, latest_by), "fresh")
+    kept = _without_keys(old, aligned_new, keys)
+    left = own | ({tuple(r) for r in kept.select(*parts).distinct().collect()} if touched - own else set())
+    merged = kept.unionByName(aligned_new).select(*target.columns).hint("rebalance", *[F.col(p) for p in parts])
+    # a dynamic overwrite may read the partitions it replaces: they go when all tasks are done
+    insert_overwrite(merged.sortWithinPartitions(*parts, *cluster_by), table)
+    emptied = touched - left if touched - own else set()
+    if emptied:
+        specs = [", ".join(f"`{p}` = {_literal(v)}" for p, v in zip(parts, values)) for values in sorted(emptied, key=repr)]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs))
+        spark.catalog.refreshTable(table)
     return spark.table(table).drop(BUCKET)
 
 
-def _emptied(merged: DataFrame, touched: list, parts: Sequence[str]) -> list:
-    """Touched partitions that lost their last row, which no overwrite would clear."""
-    left = {tuple(row) for row in merged.select(*parts).distinct().collect()}
-    return [row for row in touched if tuple(row) not in left]
+def _in_partitions(parts: Sequence[str], touched: set[tuple]) -> Column:
+    """Rows of the given partitions, in a form that prunes them."""
+    if len(parts) == 1 and all(v[0] is not None for v in touched):
+        return F.col(parts[0]).isin([v[0] for v in touched])
+    each = [reduce(Column.__and__, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, values)]) for values in touched]
+    return reduce(Column.__or__, each)
 
 
 def _literal(value) -> str:

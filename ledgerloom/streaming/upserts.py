@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..operators.reshape import deduplicate
-from ..sources.tables import BUCKET, upsert
+from ..sources.tables import BUCKET, content_order, upsert
 
 
 def stream_upsert(
@@ -24,15 +24,17 @@ def stream_upsert(
 ) -> DataFrame:
     """Upsert all files that have arrived since the last call, then stop.
 
-    The checkpoint remembers the files, so late rows are never skipped as they
-    are by a high-water mark. A key met twice in a batch keeps the row that is
-    largest by ``latest_by``. Repeating a batch after a failure changes nothing.
+    The checkpoint remembers the files, so late rows are never skipped as they are by a high-water mark. A
+    key keeps the row that is largest by ``latest_by``, stored rows included (equal ones by their content),
+    so neither the order of files nor their split into batches matters, and repeating a batch after a
+    failure changes nothing.
     """
     keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
 
     def apply(batch: DataFrame, _epoch: int) -> None:
-        latest = deduplicate(batch, keys, [(latest_by, "desc")])
-        upsert(latest, table, keys, **upsert_options)
+        ordered = batch.withColumn("_order", content_order(batch, latest_by, batch.columns))
+        latest = deduplicate(ordered, keys, [("_order", "desc")]).drop("_order")
+        upsert(latest, table, keys, latest_by=latest_by, **upsert_options)
 
     rows = spark.readStream.format(source_format).schema(schema).options(**(source_options or {})).load(source)
     query = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

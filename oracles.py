@@ -283,6 +283,8 @@ def point(key: str) -> str:
     return f"(({key} * 7919) % 17900) / 100.0::DOUBLE - 89.5::DOUBLE AS lat, (({key} * 104729) % 36000) / 100.0::DOUBLE - 180.0::DOUBLE AS lon"
 
 
+FORMS = "SELECT form, CAST({0} AS BIGINT) AS n_rows, 0::BIGINT AS n_differing FROM (VALUES ('above'), ('middle'), ('one')) AS f(form)"
+
 QUERY_SQL = {
     "stg_accounts": f"""SELECT account_id, customer_id, account_type, bal / 100.0::DOUBLE AS balance_usd, {ts('open_date')} AS open_date,
         {day('open_date')} AS open_date_only, year(open_date) AS open_year, month(open_date) AS open_month, quarter(open_date) AS open_quarter FROM s_accounts""",
@@ -449,7 +451,8 @@ QUERY_SQL = {
     "net_totals": """SELECT l_returnflag, CAST(q + n + s AS BIGINT) AS net_sum, CAST(q - n - s AS BIGINT) AS net_difference, round(q::DOUBLE / nullif(n + s, 0)::DOUBLE, 4) AS net_ratio
         FROM (SELECT l_returnflag, sum(CASE WHEN l_quantity <> 7 THEN CAST(l_quantity AS BIGINT) END) AS q, sum(l_linenumber) AS n, sum(l_suppkey) AS s FROM lineitem GROUP BY 1)""",
     "safe_arithmetic": """SELECT l_linenumber, CAST(sum(q + n + l_suppkey) AS BIGINT) AS added, CAST(sum(q - n - l_suppkey) AS BIGINT) AS subtracted,
-        count(CASE WHEN l_suppkey % 10 <> 0 THEN nullif(q, 0) END) AS divided
+        count(CASE WHEN l_suppkey % 10 <> 0 THEN nullif(q, 0) END) AS divided,
+        round(sum(CASE WHEN l_suppkey % 10 <> 0 THEN nullif(q, 0)::DOUBLE / (l_suppkey % 10) END), 4) AS quotients
         FROM (SELECT l_linenumber, l_suppkey, CASE WHEN l_quantity = 5 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS q,
                 CASE WHEN l_linenumber = 2 THEN 0 ELSE l_linenumber END AS n FROM lineitem) GROUP BY 1""",
     "url_host_counts": "SELECT host, count(*) AS n_pages FROM hosts GROUP BY 1",
@@ -460,8 +463,6 @@ QUERY_SQL = {
         SELECT a.left_id, b.right_id, 2 * 3961 * asin(sqrt(least(1.0, pow(sin(radians((b.lat - a.lat) / 2)), 2)
           + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians((b.lon - a.lon) / 2)), 2)))) * 1.60934 AS d
         FROM (SELECT c_custkey AS left_id, {point('c_custkey')} FROM customer) a CROSS JOIN (SELECT s_suppkey AS right_id, {point('s_suppkey')} FROM supplier) b) WHERE d <= 300""",
-    "csv_load_customers": f"""SELECT CAST(customer_id AS VARCHAR) AS customer_id, first_name, sha256(email) AS email_hash, credit_score::DOUBLE AS credit_score,
-        {ts('created_at')} AS created_at, credit_rating, customer_tier FROM s_customers""",
     "partitioned_table_by_month": """SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, day(o_orderdate) AS day,
         CASE WHEN year(o_orderdate) = 1995 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, count(*) AS n FROM orders GROUP BY ALL""",
     "rebuild_table_in_place": "SELECT s_suppkey, s_name, s_nationkey, round(s_acctbal * 2, 4) AS s_acctbal FROM supplier",
@@ -474,11 +475,34 @@ QUERY_SQL = {
         WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')""",
     "incremental_affected_customers": f"""SELECT o_orderkey, o_custkey, {ts('o_orderdate')} AS o_orderdate FROM orders
         WHERE o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-01')""",
-    "refresh_accounts_in_batches": """SELECT account_id, coalesce(n, 0) AS transaction_count, coalesce(amt, 0) / 100.0::DOUBLE AS total_transaction_amount,
-        round(coalesce(p50, 0), 4) AS median_transaction_amount, activity_level, account_health_status, balance_category FROM summary""",
-    "refresh_clv_in_batches": """SELECT customer_id, n AS total_transactions, amt / 100.0::DOUBLE AS total_spend, clv_c::DOUBLE / 100 AS estimated_clv, clv_tier,
-        engagement_score, growth_strategy FROM clv_done WHERE customer_id IS NOT NULL""",
-    "stream_upsert_orders": """SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""",
+    "stream_upsert_orders": """SELECT k AS arrival, o_custkey, o_orderkey, o_orderstatus
+        FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1) CROSS JOIN (VALUES (0::BIGINT), (1)) AS v(k)""",
+    "upsert_null_keys": "SELECT nullif(o_orderpriority, '1-URGENT') AS priority, count(*) AS n FROM orders GROUP BY 1",
+    "upsert_other_bucket_count": "SELECT c_custkey, c_mktsegment, true AS refused FROM customer",
+    "upsert_added_column": """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 'pending' END AS label,
+        o_orderstatus <> 'P' AS untouched FROM orders""",
+    "view_of_orders": "SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL",
+    "relation_types": """SELECT event_type AS name, CASE WHEN event_type = (SELECT min(event_type) FROM events) THEN 'external' ELSE 'table' END AS table_type
+        FROM events GROUP BY 1, 2 UNION ALL SELECT 'shown', 'view'""",
+    "order_inside_files": "SELECT o_orderstatus, count(*) AS n, 0::BIGINT AS n_out_of_order FROM orders GROUP BY 1",
+    "proximity_same_place": "SELECT c_custkey AS left_id, s_suppkey AS right_id, 0.0::DOUBLE AS distance FROM customer JOIN supplier ON c_custkey % 97 = s_suppkey % 97",
+    "dedupe_mixed_text": """SELECT o_custkey, o_orderkey, nullif(o_orderstatus, 'P') AS s, o_orderpriority FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY nullif(o_orderstatus, 'P') DESC NULLS LAST, o_orderpriority DESC, o_orderkey) = 1""",
+    "pivot_top_suppliers": """SELECT l_returnflag, 's_' || CAST(l_suppkey AS VARCHAR) AS supplier, count(*) AS n FROM lineitem
+        WHERE l_suppkey IN (SELECT l_suppkey FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, l_suppkey DESC LIMIT 5) GROUP BY ALL""",
+    "forms_of_windows": FORMS.format("(SELECT count(*) FROM events)"),
+    "forms_of_percentiles": FORMS.format("(SELECT count(DISTINCT l_suppkey) FROM lineitem)"),
+    "forms_of_ranges": FORMS.format("""(SELECT count(*) FROM (SELECT hi, lead(lo) OVER (PARTITION BY k ORDER BY lo, hi) AS nxt FROM (SELECT o_custkey AS k,
+        CAST(o_orderdate AS DATE) AS lo, CAST(o_orderdate AS DATE) + 200 AS hi FROM orders)) WHERE NOT (hi < nxt))"""),
+    "forms_of_sequences": FORMS.format("""(SELECT count(*) FROM (SELECT l_orderkey, lag(l_orderkey) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) AS p
+        FROM (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem)) WHERE l_orderkey <> p + 1)"""),
+    "forms_of_proximity": FORMS.format(f"""(SELECT count(*) FROM (
+        SELECT 2 * 3961 * asin(sqrt(least(1.0, pow(sin(radians((b.lat - a.lat) / 2)), 2)
+          + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians((b.lon - a.lon) / 2)), 2)))) * 1.60934 AS d
+        FROM (SELECT {point('c_custkey')} FROM customer) a CROSS JOIN (SELECT {point('s_suppkey')} FROM supplier) b) WHERE d <= 700)"""),
+    "date_spine_minutely_events": f"""SELECT t.event_type, {ts('g.p')} AS minute, count(e.event_id) AS n_events
+        FROM ({GRID.format('2024-01-05', '2024-01-11 23:59:00', 'MINUTE')}) g CROSS JOIN (SELECT DISTINCT event_type FROM events) t
+        LEFT JOIN events e ON date_trunc('minute', e.ts) = g.p AND e.event_type = t.event_type GROUP BY ALL""",
     "check_accepted_range": "SELECT * FROM lines WHERE NOT (l_quantity > 2 AND l_quantity < 49)",
     "check_at_least_one": "SELECT o_custkey, 0 AS filler_column FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderpriority = '1-URGENT') = 0",
     "check_at_least_one_table": "SELECT count(*) AS filler_column FROM orders WHERE o_totalprice < 0 HAVING count(*) = 0",
@@ -557,6 +581,28 @@ def assemble(statement: str) -> str:
 
 
 QUERY_SQL["refresh_in_batches"] = QUERY_SQL["fct_transactions"]
+QUERY_SQL["refresh_accounts_in_batches"] = QUERY_SQL["fct_account_summary"]
+QUERY_SQL["refresh_clv_in_batches"] = f"SELECT * FROM ({QUERY_SQL['clv_analysis']}) WHERE customer_id IS NOT NULL"
+
+# loaded from CSV, keys stay text
+for _source, _keys in {
+    "customers": ["customer_id"],
+    "accounts": ["account_id", "customer_id"],
+    "branches": ["branch_id"],
+    "cards": ["card_id", "account_id"],
+    "loans": ["loan_id", "customer_id"],
+    "merchants": ["merchant_id"],
+    "transactions": ["transaction_id", "account_id", "merchant_id"],
+}.items():
+    _text = ", ".join(f"CAST({k} AS VARCHAR) AS {k}" for k in _keys)
+    QUERY_SQL[f"csv_load_{_source}"] = f"SELECT * REPLACE ({_text}) FROM ({QUERY_SQL[f'stg_{_source}']})"
+
+for _part, _start, _end in (("week", "1995-01-02", "2002-12-30"), ("quarter", "1995-01-01", "2002-10-01"), ("year", "1994-01-01", "2002-01-01")):
+    _every = {"week": "7 DAY", "quarter": "3 MONTH", "year": "1 YEAR"}[_part]
+    _grid = f"SELECT CAST(generate_series AS TIMESTAMP) AS p FROM generate_series(TIMESTAMP '{_start}', TIMESTAMP '{_end}', INTERVAL {_every})"
+    QUERY_SQL[f"date_spine_orders_per_{_part}"] = f"""SELECT s.o_orderstatus, {day('g.p')} AS starts_on, count(o.o_orderkey) AS n_orders
+        FROM ({_grid}) g CROSS JOIN (SELECT DISTINCT o_orderstatus FROM orders) s
+        LEFT JOIN orders o ON date_trunc('{_part}', o.o_orderdate) = g.p AND o.o_orderstatus = s.o_orderstatus GROUP BY ALL"""
 
 # Columns that DuckDB has as 32-bit integers; results are compared as 64-bit ones.
 NARROW = {

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -16,7 +16,7 @@ from ledgerloom.operators.keyed import keyed_windows
 from ledgerloom.operators.ordered import global_rank_ntile
 from ledgerloom.operators.percentiles import exact_percentiles
 from ledgerloom.plans import accounts, analytics, customers, loans, quality, refresh, staging, transactions
-from ledgerloom.session import materialise, scratch_path, tune
+from ledgerloom.session import SCRATCH_DATABASE, materialise, scratch_path, scratch_table, tune
 from ledgerloom.sources import catalog, registry as sources, star_schema as star, tables
 from ledgerloom.streaming.upserts import stream_upsert
 
@@ -120,14 +120,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return star.read(spark, folder, name)
 
 
-def temp_table(spark: SparkSession, label: str) -> str:
-    """A fresh table name whose files lie in the shared scratch folder."""
-    path = scratch_path(spark, label)
-    database = "ledgerloom_scratch"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{path.rsplit('/', 1)[0]}/{database}'")
-    return f"{database}.{path.rsplit('/', 1)[1].replace('-', '_')}"
-
-
 # ---------------------------------------------------------------- staging
 
 
@@ -220,8 +212,8 @@ def fct_account_summary(spark, folder):
 @query
 def clv_analysis(spark, folder):
     bank = Bank(spark, folder)
-    # lifetime value needs no window of the fact table: Catalyst prunes them all
-    return analytics.clv_analysis(bank.facts(), bank.customers, AS_OF)
+    # lifetime value needs five columns of the fact table and none of its windows
+    return analytics.clv_analysis(transactions.with_customer(bank.transactions, bank.accounts), bank.customers, AS_OF)
 
 
 @query
@@ -390,10 +382,17 @@ def dedupe_first_event(spark, folder):
     return reshape.deduplicate(table(spark, folder, "events"), ["user_id", "event_type"], [("value", "desc"), ("event_id", "asc")])
 
 
+@query
+def dedupe_mixed_text(spark, folder):
+    """Mixed directions on text: the last status and priority by name, then the earliest order."""
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("s"), "o_orderpriority")
+    return reshape.deduplicate(orders, ["o_custkey"], [("s", "desc"), ("o_orderpriority", "desc"), ("o_orderkey", "asc")])
+
+
 @query
 def pivot_priority_counts(spark, folder):
     orders = table(spark, folder, "orders")
-    found = values.column_values(spark, orders, "o_orderpriority", max_records=50)
+    found = values.column_values(spark, orders, "o_orderpriority", refuse_above=50)
     return reshape.pivot(orders, ["o_orderstatus"], "o_orderpriority", sorted(found), prefix="n ", slug=True)
 
 
@@ -430,11 +429,11 @@ def union_relations_exclude(spark, folder):
 @query
 def relations_by_prefix_union(spark, folder):
     """Event tables by type, found by their name prefix and put together again."""
-    prefix = temp_table(spark, "ev").split(".")[1]
+    prefix = scratch_table(spark, "ev").split(".")[1]
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
-    for kind in values.column_values(spark, events, "event_type", max_records=50):
-        events.filter(F.col("event_type") == kind).write.mode("overwrite").saveAsTable(f"ledgerloom_scratch.{prefix}_{kind}")
-    found = catalog.relations_by_prefix(spark, "ledgerloom_scratch", f"{prefix}_", exclude=f"{prefix}_error")
+    for kind in values.column_values(spark, events, "event_type", refuse_above=50):
+        events.filter(F.col("event_type") == kind).write.mode("overwrite").saveAsTable(f"{SCRATCH_DATABASE}.{prefix}_{kind}")
+    found = catalog.relations_by_prefix(spark, SCRATCH_DATABASE, f"{prefix}_", exclude=f"{prefix}_error")
     return unions.union_relations(catalog.open_relations(found), source_column_name=None)
 
 
@@ -468,11 +467,44 @@ def date_spine_monthly_orders(spark, folder):
     )
 
 
+def _orders_per(part: str, start: str, end: str):
+    def run(spark, folder):
+        rows = table(spark, folder, "orders")
+        return generators.fill_periods(rows, part, "o_orderdate", start, end, {"n_orders": F.count(F.lit(1))}, ["o_orderstatus"], period="starts_on")
+
+    run.__name__, run.__doc__ = f"date_spine_orders_per_{part}", f"Orders per {part} and status, periods without orders as 0."
+    return run
+
+
+for _part, _start in (("week", "1995-01-02"), ("quarter", "1995-01-01"), ("year", "1994-01-01")):
+    query(_orders_per(_part, _start, "2003-01-01"))
+
+
+@query
+def date_spine_minutely_events(spark, folder):
+    """Events per minute of a week and type: a long spine for every key."""
+    return generators.fill_periods(
+        table(spark, folder, "events"), "minute", "ts", "2024-01-05", "2024-01-12", {"n_events": F.count(F.lit(1))}, ["event_type"], period="minute"
+    )
+
+
 @query
 def column_value_freq(spark, folder):
     return values.value_frequencies(table(spark, folder, "lineitem"), "l_suppkey", max_records=25, where="l_quantity > 10")
 
 
+@query
+def pivot_top_suppliers(spark, folder):
+    """A pivot over the five suppliers that come first by their total, taken as a list."""
+    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_suppkey")
+    top = values.column_values(spark, lines, "l_suppkey", max_records=5, order_by=[F.desc("n"), F.desc("value")])
+    long = lines.filter(F.col("l_suppkey").isin(top)).groupBy("l_returnflag", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    wide = reshape.pivot(lines, ["l_returnflag"], "l_suppkey", top, prefix="s_")
+    return reshape.unpivot(wide, "bigint", ["l_returnflag"], field_name="supplier", value_name="n").filter("n > 0").join(
+        long.select("l_returnflag", F.concat(F.lit("s_"), "l_suppkey").alias("supplier"), "n"), ["l_returnflag", "supplier", "n"]
+    )
+
+
 @query
 def single_value(spark, folder):
     newest = table(spark, folder, "orders").agg(F.max("o_totalprice").alias("m"))
@@ -512,6 +544,7 @@ def safe_arithmetic(spark, folder):
         F.sum(safe_add(["q", "n", "l_suppkey"])).alias("added"),
         F.sum(safe_subtract(["q", "n", "l_suppkey"])).alias("subtracted"),
         F.count(safe_divide("q", F.col("l_suppkey") % 10)).alias("divided"),
+        F.sum(safe_divide("q", F.col("l_suppkey") % 10)).alias("quotients"),
     )
 
 
@@ -551,23 +584,136 @@ def proximity_pairs(spark, folder):
     return proximity.proximity_pairs(people, shops, 300.0, "km")
 
 
+@query
+def proximity_same_place(spark, folder):
+    """Customers and suppliers on the very same point."""
+    place = lambda key: (F.pmod(key, F.lit(97)) * 1.5 - 70, F.pmod(key, F.lit(97)) * 3.25 - 160)
+    sides = []
+    for name, key, label in (("customer", "c_custkey", "left_id"), ("supplier", "s_suppkey", "right_id")):
+        lat, lon = place(F.col(key))
+        sides.append(table(spark, folder, name).select(F.col(key).alias(label), lat.alias("lat"), lon.alias("lon")))
+    return proximity.proximity_pairs(*sides, 0.0, "km")
+
+
+# ------------------------------------------------------- forms of any size
+
+
+def _agreement(forms: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each form, and rows that differ from the first one in any column, unrounded."""
+    stored = {name: materialise(df, "form") for name, df in forms.items()}
+    first = next(iter(stored.values()))
+    parts = []
+    for name, df in stored.items():
+        differing = df.exceptAll(first).unionAll(first.exceptAll(df)).agg(F.count(F.lit(1)).alias("n_differing"))
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(F.broadcast(differing)).select(F.lit(name).alias("form"), "n_rows", "n_differing"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+THRESHOLDS = {"above": 10**9, "middle": 60, "one": 1}
+
+
+@query
+def forms_of_windows(spark, folder):
+    """Rolling and running measures, deviations and percentiles, whatever size a key is cut at."""
+    rows = Bank(spark, folder).events.withColumn("customer_id", F.col("account_id"))
+    return _agreement({n: transactions.rolling_measures(rows, figures=True, hot_rows=t, partitions=7) for n, t in THRESHOLDS.items()})
+
+
+@query
+def forms_of_percentiles(spark, folder):
+    """Percentiles per key, whatever size a group is cut at."""
+    lines = table(spark, folder, "lineitem")
+    points = {"median_price": ("l_extendedprice", 0.5), "p99_qty": ("l_quantity", 0.99)}
+    return _agreement({n: exact_percentiles(lines, ["l_suppkey"], points, hot_rows=t, partitions=5) for n, t in THRESHOLDS.items()})
+
+
+@query
+def forms_of_ranges(spark, folder):
+    """Overlapping ranges, whatever size a key is cut at."""
+    spans = table(spark, folder, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("lo"), F.date_add("o_orderdate", 200).alias("hi"))
+    find = lambda t: table_checks.mutually_exclusive_ranges(spans, "lo", "hi", "o_custkey", gaps="required", hot_rows=t)
+    return _agreement({n: find(t) for n, t in {**THRESHOLDS, "middle": 12}.items()})
+
+
+@query
+def forms_of_sequences(spark, folder):
+    """Gaps in a sequence, whatever size a key is cut at."""
+    rows = table(spark, folder, "lineitem").select("l_suppkey", "l_orderkey").distinct()
+    find = lambda t: table_checks.sequential_values(rows, "l_orderkey", group_by=["l_suppkey"], hot_rows=t)
+    return _agreement({n: find(t) for n, t in THRESHOLDS.items()})
+
+
+@query
+def forms_of_proximity(spark, folder):
+    """Pairs within a radius, whatever size a cell is cut at."""
+    people = _points(spark, folder, "customer", "c_custkey", "left_id")
+    shops = _points(spark, folder, "supplier", "s_suppkey", "right_id")
+    return _agreement({n: proximity.proximity_pairs(people, shops, 700.0, "km", hot_rows=t) for n, t in {**THRESHOLDS, "middle": 9}.items()})
+
+
 # --------------------------------------------------------- tables and upserts
 
 
+def _csv_load(source: str, stage: Callable[[DataFrame], DataFrame]):
+    def run(spark, folder):
+        root = scratch_path(spark, "csv")
+        getattr(star, source)(spark, folder).write.option("header", True).csv(f"{root}/{source}")
+        name = scratch_table(spark, source)
+        return stage(sources.create_table_from_csv(spark, name, f"{root}/{source}", sources.SCHEMAS[source]))
+
+    run.__name__, run.__doc__ = f"csv_load_{source}", f"The {source} written as CSV, loaded into a table as text and staged."
+    return run
+
+
+for _source, _stage in {
+    "customers": lambda df: staging.stg_customers(df, AS_OF),
+    "accounts": staging.stg_accounts,
+    "branches": staging.stg_branches,
+    "cards": lambda df: staging.stg_cards(df, AS_OF),
+    "loans": lambda df: staging.stg_loans(df, AS_OF),
+    "merchants": staging.stg_merchants,
+    "transactions": staging.stg_transactions,
+}.items():
+    query(_csv_load(_source, _stage))
+
+
+@query
+def view_of_orders(spark, folder):
+    """Totals read through a named view."""
+    tables.create_view(table(spark, folder, "orders").filter("o_orderstatus <> 'P'"), "settled_orders")
+    return spark.sql("SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM settled_orders GROUP BY ALL")
+
+
+@query
+def relation_types(spark, folder):
+    """Kinds of catalog entries by their names: managed tables, one with files of its own place, and a view."""
+    prefix = scratch_table(spark, "kinds").split(".")[1]
+    events = table(spark, folder, "events")
+    found_types = sorted(values.column_values(spark, events, "event_type", refuse_above=50))
+    for k, kind in enumerate(found_types):
+        name, rows = f"{SCRATCH_DATABASE}.{prefix}_{kind}", events.filter(F.col("event_type") == kind)
+        rows.write.options(**({"path": scratch_path(spark, "external")} if k == 0 else {})).saveAsTable(name)
+    spark.sql(f"CREATE VIEW {SCRATCH_DATABASE}.{prefix}_shown AS SELECT * FROM {SCRATCH_DATABASE}.{prefix}_{found_types[0]}")
+    found = catalog.relations_by_prefix(spark, SCRATCH_DATABASE, f"{prefix}_")
+    return found.select(F.replace("table_name", F.lit(f"{prefix}_"), F.lit("")).alias("name"), "table_type")
+
+
 @query
-def csv_load_customers(spark, folder):
-    """Customers written as CSV, loaded into a table as text and staged."""
-    root = scratch_path(spark, "csv")
-    star.customers(spark, folder).write.option("header", True).csv(f"{root}/customers")
-    name = temp_table(spark, "customers")
-    loaded = sources.create_table_from_csv(spark, name, f"{root}/customers", sources.SCHEMAS["customers"])
-    return staging.stg_customers(loaded, AS_OF).select("customer_id", "first_name", "email_hash", "credit_score", "created_at", "credit_rating", "customer_tier")
+def order_inside_files(spark, folder):
+    """Rows of a partitioned table that stand before a smaller one of the same file, per partition."""
+    name = scratch_table(spark, "clustered")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    tables.write_partitioned(orders, name, ["o_orderstatus"], ["o_custkey", "o_orderkey"])
+    placed = spark.table(name).withColumn("_file", F.input_file_name()).withColumn("_at", F.monotonically_increasing_id())
+    following = F.lead(F.struct("o_custkey", "o_orderkey")).over(Window.partitionBy("_file").orderBy("_at"))
+    late = F.col("_next") < F.struct("o_custkey", "o_orderkey")
+    return placed.withColumn("_next", following).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.count_if(late).alias("n_out_of_order"))
 
 
 @query
 def partitioned_table_by_month(spark, folder):
     """Orders in a table by year and month, created once; the months of 1995 replaced later."""
-    name = temp_table(spark, "orders_by_month")
+    name = scratch_table(spark, "orders_by_month")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     sources.create_partitioned_if_absent(orders, name, "o_orderdate", ("year", "month"))
     sources.create_partitioned_if_absent(orders.limit(0), name, "o_orderdate", ("year", "month"))  # exists: nothing happens
@@ -579,7 +725,7 @@ def partitioned_table_by_month(spark, folder):
 @query
 def rebuild_table_in_place(spark, folder):
     """A table rebuilt from itself."""
-    name = temp_table(spark, "rebuild")
+    name = scratch_table(spark, "rebuild")
     tables.write_table(table(spark, folder, "supplier"), name)
     return tables.write_table(spark.table(name).withColumn("s_acctbal", F.col("s_acctbal") * 2), name)
 
@@ -587,7 +733,7 @@ def rebuild_table_in_place(spark, folder):
 @query
 def upsert_orders(spark, folder):
     """Open orders first, then a batch that closes some and adds the rest."""
-    name = temp_table(spark, "upsert")
+    name = scratch_table(spark, "upsert")
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")
     )
@@ -599,7 +745,7 @@ def upsert_orders(spark, folder):
 @query
 def upsert_moved_rows(spark, folder):
     """Rows whose partition changes leave the old one; a table bucketed by key."""
-    name, other = temp_table(spark, "moved"), temp_table(spark, "bucketed")
+    name, other = scratch_table(spark, "moved"), scratch_table(spark, "bucketed")
     people = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
     tables.upsert(people, name, "c_custkey", ["c_mktsegment"])
     moved = people.filter("c_mktsegment = 'MACHINERY'").withColumn("c_mktsegment", F.lit("TOOLS"))
@@ -611,13 +757,52 @@ def upsert_moved_rows(spark, folder):
 @query
 def upsert_sync_columns(spark, folder):
     """A batch without one column and with a new one, columns kept in step."""
-    name = temp_table(spark, "sync")
+    name = scratch_table(spark, "sync")
     parts = table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
     tables.upsert(parts, name, "p_partkey", buckets=4)
     batch = parts.filter("p_size > 25").select("p_partkey", "p_size", F.lit("big").alias("label"))
     return tables.upsert(batch, name, "p_partkey", buckets=4, on_schema_change="sync_all_columns")
 
 
+@query
+def upsert_null_keys(spark, folder):
+    """A batch with a missing key, given twice: it matches itself."""
+    name = scratch_table(spark, "null_keys")
+    key = F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("priority")
+    batch = table(spark, folder, "orders").groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    tables.upsert(batch.withColumn("n", F.col("n") - 1), name, "priority", buckets=3)
+    tables.upsert(batch, name, "priority")
+    return tables.upsert(batch, name, "priority")
+
+
+@query
+def upsert_other_bucket_count(spark, folder):
+    """Another bucket count than the table's is refused and changes nothing."""
+    name = scratch_table(spark, "bucket_count")
+    people = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+    tables.upsert(people, name, "c_custkey", buckets=8)
+    try:
+        tables.upsert(people.withColumn("c_mktsegment", F.lit("X")), name, "c_custkey", buckets=64)
+        refused = False
+    except ValueError:
+        refused = True
+    return tables.upsert(people.filter("c_custkey % 2 = 0"), name, "c_custkey").withColumn("refused", F.lit(refused))
+
+
+@query
+def upsert_added_column(spark, folder):
+    """A batch with a new column: files of the partitions it does not touch stay as they are."""
+    name = scratch_table(spark, "added")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    tables.upsert(orders, name, "o_orderkey", ["o_orderstatus"])
+    files = lambda: spark.table(name).select("o_orderstatus", F.input_file_name().alias("file")).distinct()
+    before = materialise(files(), "files")
+    batch = orders.filter("o_orderstatus = 'P'").withColumn("label", F.lit("pending"))
+    result = tables.upsert(batch, name, "o_orderkey", ["o_orderstatus"])
+    kept = materialise(files(), "files").join(before, ["o_orderstatus", "file"]).select("o_orderstatus").distinct().withColumn("untouched", F.lit(True))
+    return result.join(kept, "o_orderstatus", "left").withColumn("untouched", F.coalesce("untouched", F.lit(False)))
+
+
 @query
 def newer_than_mark(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
@@ -631,52 +816,76 @@ def incremental_affected_customers(spark, folder):
     return tables.rows_of_affected(orders, orders.filter("o_orderdate >= '2001-07-01'"), "o_custkey")
 
 
+def _batches(bank: Bank):
+    """Three batches and the transactions known after each: in order, late ones of a merchant, and amended ones.
+
+    The first two hold a ninth of the transactions with another time or account, which the third puts right.
+    """
+    raw = star.transactions(bank.spark, bank.folder)
+    key = F.col("transaction_id")
+    moved = F.when(key % 18 == 0, F.date_add("transaction_date", (key % 80 - 40).cast("int")).cast("timestamp")).otherwise(F.col("transaction_date"))
+    owner = F.when(key % 18 == 9, key % 50 * 2 + 1).otherwise(F.col("account_id"))
+    first = staging.stg_transactions(raw.withColumn("transaction_date", moved).withColumn("account_id", owner))
+    late = (F.col("transaction_date") >= "2001-06-01") | F.coalesce(F.col("merchant_id") == 3, F.lit(False))
+    first, final = materialise(first, "first"), materialise(bank.transactions, "final")
+    yield first.filter(~late), first.filter(~late)
+    yield first.filter(late), first
+    yield final.filter(key % 9 == 0), final
+
+
 @query
 def refresh_in_batches(spark, folder):
-    """Fact table kept up by two batches, the second with late rows of one merchant."""
+    """Fact table kept up by three batches, with late, amended and re-owned rows."""
     bank = Bank(spark, folder)
-    history = materialise(bank.transactions, "history")
-    late = (F.col("transaction_date") >= "2001-06-01") | F.coalesce(F.col("merchant_id") == 3, F.lit(False))
-    name, stats_name = temp_table(spark, "enriched"), temp_table(spark, "stats")
-    for batch, known in ((history.filter(~late), history.filter(~late)), (history.filter(late), history)):
-        stored, stats = refresh.refresh_transactions(name, stats_name, batch, known, bank.accounts, bank.customers, bank.merchants)
+    name, stats_name = scratch_table(spark, "enriched"), scratch_table(spark, "stats")
+    for batch, _ in _batches(bank):
+        stored, stats = refresh.refresh_transactions(name, stats_name, batch, bank.accounts, bank.customers, bank.merchants)
     return refresh.read_facts(stored, stats, AS_OF)
 
 
+def _replaced(before: DataFrame | None, batch: DataFrame) -> DataFrame | None:
+    """What was known before of the batch's transactions."""
+    return None if before is None else before.join(batch.select("transaction_id"), "transaction_id", "left_semi")
+
+
 @query
 def refresh_accounts_in_batches(spark, folder):
-    """Account summary and lifetime value kept up by two batches."""
+    """Account summary kept up by three batches, with late, amended and re-owned rows."""
     bank = Bank(spark, folder)
-    history = materialise(bank.transactions, "history")
-    late = F.col("transaction_date") >= "2001-06-01"
-    name = temp_table(spark, "summary")
-    for batch, known in ((history.filter(~late), history.filter(~late)), (history.filter(late), history)):
-        stored = refresh.refresh_accounts(name, batch, known, bank.accounts, bank.customers, AS_OF)
-    return refresh.read_accounts(stored, bank.accounts).select(
-        "account_id", "transaction_count", "total_transaction_amount", "median_transaction_amount", "activity_level", "account_health_status", "balance_category"
-    )
+    name, before = scratch_table(spark, "summary"), None
+    for batch, known in _batches(bank):
+        stored = refresh.refresh_accounts(name, batch, known, bank.accounts, bank.customers, AS_OF, replaced=_replaced(before, batch))
+        before = known
+    return refresh.read_accounts(stored, bank.accounts)
 
 
 @query
 def refresh_clv_in_batches(spark, folder):
+    """Lifetime value kept up by three batches, with late, amended and re-owned rows."""
     bank = Bank(spark, folder)
-    facts = materialise(transactions.with_customer(bank.transactions, bank.accounts), "facts")
-    late = F.col("transaction_date") >= "2001-06-01"
-    name = temp_table(spark, "clv")
-    for batch, known in ((facts.filter(~late), facts.filter(~late)), (facts.filter(late), facts)):
-        new = batch.select(bank.transactions.columns)
-        stored = refresh.refresh_clv(name, new, known, bank.accounts, bank.customers, AS_OF)
-    return stored.select("customer_id", "total_transactions", "total_spend", "estimated_clv", "clv_tier", "engagement_score", "growth_strategy")
+    name, before = scratch_table(spark, "clv"), None
+    for batch, known in _batches(bank):
+        facts = transactions.with_customer(known, bank.accounts)
+        stored = refresh.refresh_clv(name, batch, facts, bank.accounts, bank.customers, AS_OF, _replaced(before, batch))
+        before = facts
+    return refresh.read_clv(stored)
 
 
 @query
 def stream_upsert_orders(spark, folder):
-    """Orders arriving as a file stream, upserted by customer: the latest order wins."""
-    name, source = temp_table(spark, "streamed"), scratch_path(spark, "arrivals")
-    schema = table(spark, folder, "orders").schema
-    return stream_upsert(
-        spark, folder, schema, name, "o_custkey", "o_orderkey", f"{source}-checkpoint", source_options={"pathGlobFilter": "orders.parquet"}
-    ).select("o_custkey", "o_orderkey", "o_orderstatus")
+    """Orders arriving as three files in two orders, each replayed at the end: the latest order of a customer wins."""
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
+    results = []
+    for k, arrivals in enumerate(((0, 1, 2), (2, 0, 1))):
+        name, source = scratch_table(spark, "streamed"), scratch_path(spark, "arrivals")
+        for file in arrivals:
+            orders.filter(part == file).write.mode("append").parquet(source)
+            stream_upsert(spark, source, orders.schema, name, "o_custkey", "o_orderkey", f"{source}-checkpoint")
+        # all files again, as after a lost checkpoint
+        again = stream_upsert(spark, source, orders.schema, name, "o_custkey", "o_orderkey", f"{source}-again")
+        results.append(again.select(F.lit(k).alias("arrival"), "o_custkey", "o_orderkey", "o_orderstatus"))
+    return results[0].unionAll(results[1])
 
 
 # ----------------------------------------------------------------- checks

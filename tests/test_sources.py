@@ -1,5 +1,6 @@
 """Sources, table writes, upserts and the stream form."""
 
+import itertools
 import random
 
 import pytest
@@ -14,7 +15,7 @@ from ledgerloom.streaming.upserts import stream_upsert
 def name(spark, request):
     table = f"t_{abs(hash(request.node.name)) % 10**9}_{random.randint(0, 10**6)}"
     yield table
-    for t in (table, f"{table}_2"):
+    for t in (table, f"{table}_2", f"{table}__next", f"{table}__previous"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
@@ -91,19 +92,51 @@ def test_upsert_equals_dictionary(spark, name, rows, parts):
     random.seed(3)
     model, table = {}, None
     for _ in range(4):
-        batch = {random.randint(0, 30): (random.choice(["a", "b", None, "it's"]), random.randint(0, 99)) for _ in range(12)}
+        batch = {random.choice([None, *range(30)]): (random.choice(["a", "b", None, "it's"]), random.randint(0, 99)) for _ in range(12)}
         model.update(batch)
         df = spark.createDataFrame([(k, p, v) for k, (p, v) in batch.items()], "k int, p string, v int")
         table = tables.upsert(df, name, "k", parts, buckets=3)
         assert rows(table, "k", "p", "v") == sorted([(k, p, v) for k, (p, v) in model.items()], key=repr)
+        assert rows(tables.upsert(df, name, "k", parts), "k", "p", "v") == rows(table, "k", "p", "v")  # a repeat changes nothing
     assert rows(tables.upsert(df.limit(0), name, "k", parts, buckets=3), "k", "p", "v") == rows(table, "k", "p", "v")
 
 
 def test_upsert_refuses_duplicate_keys(spark, name):
-    df = spark.createDataFrame([(1, 2), (1, 3)], "k int, v int")
+    for key in (1, None):
+        df = spark.createDataFrame([(key, 2), (key, 3)], "k int, v int")
+        with pytest.raises(ValueError):
+            tables.upsert(df, name, "k")
+        assert not spark.catalog.tableExists(name)
+
+
+def test_upsert_refuses_another_bucket_count(spark, name, rows):
+    df = spark.range(100).select("id", F.lit("a").alias("v"))
+    tables.upsert(df, name, "id", buckets=8)
     with pytest.raises(ValueError):
-        tables.upsert(df, name, "k")
-    assert not spark.catalog.tableExists(name)
+        tables.upsert(df, name, "id", buckets=64)
+    assert tables.upsert(df.withColumn("v", F.lit("b")), name, "id").groupBy("v").count().collect() == [("b", 100)]
+
+
+def test_upsert_moves_rows_and_empties_partitions(spark, name, rows):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "k int, p string")
+    tables.upsert(df, name, "k", ["p"])
+    moved = spark.createDataFrame([(3, "a"), (4, "c"), (1, "c")], "k int, p string")
+    assert rows(tables.upsert(moved, name, "k", ["p"])) == [(1, "c"), (2, "a"), (3, "a"), (4, "c")]
+    places = spark.createDataFrame([("c",), ("a",)], "p string")
+    back = tables.upsert(df.filter("k <> 2"), name, "k", ["p"], moved=places)
+    assert rows(back) == sorted([(1, "a"), (2, "a"), (3, "b"), (4, None)], key=repr)
+    stay = tables.upsert(spark.createDataFrame([(2, "a"), (9, "b")], "k int, p string"), name, "k", ["p"], keys_stay=True)
+    assert rows(stay) == sorted([(1, "a"), (2, "a"), (3, "b"), (4, None), (9, "b")], key=repr)
+
+
+def test_upsert_adds_columns_without_a_rewrite(spark, name, rows):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    tables.upsert(df, name, "k", ["p"])
+    files = lambda: {r.f for r in spark.table(name).select(F.input_file_name().alias("f")).distinct().collect()}
+    before = files()
+    wide = tables.upsert(spark.createDataFrame([(2, "b", 5)], "k int, p string, x int"), name, "k", ["p"])
+    assert rows(wide, "k", "p", "x") == sorted([(1, "a", None), (2, "b", 5)], key=repr)
+    assert [f for f in before & files() if "p=a" in f] and not [f for f in before & files() if "p=b" in f]
 
 
 def test_upsert_rewrites_touched_partitions_only(spark, name):
@@ -151,6 +184,29 @@ def test_stream_upsert_picks_up_late_files(spark, tmp_path, name, rows):
     assert rows(go()) == []
     first.write.mode("append").parquet(source)
     assert rows(go()) == [(1, 2, "b"), (2, 1, "c")]
+    # the file is picked up although it is late; its older row does not replace the newer one
     spark.createDataFrame([(2, 0, "late"), (3, 5, "new")], first.schema).write.mode("append").parquet(source)
-    assert rows(go()) == [(1, 2, "b"), (2, 0, "late"), (3, 5, "new")]
-    assert rows(go()) == [(1, 2, "b"), (2, 0, "late"), (3, 5, "new")]
+    assert rows(go()) == [(1, 2, "b"), (2, 1, "c"), (3, 5, "new")]
+    assert rows(go()) == [(1, 2, "b"), (2, 1, "c"), (3, 5, "new")]
+
+
+@pytest.mark.parametrize("parts", [[], ["p"]])
+def test_stream_upsert_does_not_depend_on_the_order_of_files(spark, tmp_path, name, rows, parts):
+    schema = "k int, version int, v string, p string"
+    files = [
+        [(1, 1, "a", "x"), (None, 1, "none", "x"), (2, None, "?", "y")],
+        [(1, 3, "c", "y"), (2, 1, "b", "x"), (3, 2, "tie", "x")],
+        [(1, 2, "b", "x"), (None, 2, "later", None), (3, 2, "eit", "y")],
+    ]
+    results = set()
+    for n, order in enumerate(itertools.permutations(range(3))):
+        table, source = f"{name}_o{n}", str(tmp_path / f"in{n}")
+        go = lambda run: stream_upsert(spark, source, first.schema, table, "k", "version", f"{source}-{run}", partition_by=parts)  # noqa: B023, E731
+        for k in order:
+            first = spark.createDataFrame(files[k], schema)
+            first.write.mode("append").parquet(source)
+            go("checkpoint")
+        results.add(tuple(rows(go("replayed"), "k", "version", "v", "p")))
+        spark.sql(f"DROP TABLE {table}")
+    (only,) = results
+    assert {r[:2] for r in only} == {(None, 2), (1, 3), (2, 1), (3, 2)}

@@ -1,4 +1,4 @@
-"""Table operators against golden seeds and properties."""
+"""Table operators against small tables of their own and properties."""
 
 import datetime as dt
 import math
@@ -11,40 +11,40 @@ from ledgerloom.sources import catalog
 
 
 @pytest.fixture(scope="module")
-def fields(spark):
-    return spark.createDataFrame([("a", "b", "c"), ("d", "e", "f"), ("g", "h", "i")], "field_1 string, field_2 string, field_3 string")
+def desks(spark):
+    return spark.createDataFrame([(1, "Bergen", 4.5), (2, "Oslo", 6.0)], "desk_id int, town string, hours double")
 
 
-def test_star(fields):
-    assert projection.star(fields, ["FIELD_3"]).columns == ["field_1", "field_2"]
-    assert projection.star(fields, prefix="prefix_", suffix="_suffix").columns == [f"prefix_field_{i}_suffix" for i in (1, 2, 3)]
-    assert projection.star(fields, ["field_1", "field_2", "field_3"]).columns == []
+def test_star(desks):
+    assert projection.star(desks, ["HOURS"]).columns == ["desk_id", "town"]
+    assert projection.star(desks, prefix="d_", suffix="_x").columns == ["d_desk_id_x", "d_town_x", "d_hours_x"]
+    assert projection.star(desks, ["desk_id", "town", "hours"]).columns == []
 
 
-def test_filtered_and_staging_columns(fields):
-    assert projection.filtered_columns(fields, ["Field_1"]) == ["field_2", "field_3"]
-    assert projection.staging_columns(fields, ["Field_1", "field_2"]).columns == ["field_1", "field_3"]
+def test_filtered_and_staging_columns(desks):
+    assert projection.filtered_columns(desks, ["Town"]) == ["desk_id", "hours"]
+    assert projection.staging_columns(desks, ["Desk_id", "town"]).columns == ["desk_id", "hours"]
 
 
-def test_star_aggregate(spark, rows):
-    df = spark.createDataFrame([("a", "b", 1), ("a", "b", 2), ("c", "d", 3), ("c", "e", 4)], "group_field_1 string, group_field_2 string, value_field int")
-    grouped = projection.star(df, ["value_field"]).columns
-    assert rows(df.groupBy(*grouped).agg(F.sum("value_field"))) == [("a", "b", 3), ("c", "d", 3), ("c", "e", 4)]
-    assert rows(projection.group_by_first(df, 2).agg(F.count(F.lit(1)))) == [("a", "b", 2), ("c", "d", 1), ("c", "e", 1)]
+def test_group_by_the_kept_columns(spark, rows):
+    df = spark.createDataFrame([("north", 1, 10), ("north", 1, 5), ("south", 1, 7), ("south", 2, 1)], "area string, floor int, visits int")
+    grouped = projection.star(df, ["visits"]).columns
+    assert rows(df.groupBy(*grouped).agg(F.sum("visits"))) == [("north", 1, 15), ("south", 1, 7), ("south", 2, 1)]
+    assert rows(projection.group_by_first(df, 2).agg(F.count(F.lit(1)))) == [("north", 1, 2), ("south", 1, 1), ("south", 2, 1)]
 
 
 def test_nullcheck(spark, rows):
-    df = spark.createDataFrame([("a", "", 1), ("", "b", 2), ("", "", 3), (" ", None, 4)], "field_1 string, field_2 string, field_3 int")
-    assert rows(projection.nullcheck(df).orderBy("field_3")) == sorted([("a", None, 1), (None, "b", 2), (None, None, 3), (" ", None, 4)], key=repr)
-    assert rows(projection.nullcheck(df, ["field_1"]), "field_2", "field_3")[0] == ("", 1)
+    df = spark.createDataFrame([(1, "", "x"), (2, "y", ""), (3, " ", None)], "id int, p string, q string")
+    assert rows(projection.nullcheck(df)) == sorted([(1, None, "x"), (2, "y", None), (3, " ", None)], key=repr)
+    assert rows(projection.nullcheck(df, ["p"])) == sorted([(1, None, "x"), (2, "y", ""), (3, " ", None)], key=repr)
 
 
-def test_pivot_golden(spark, rows):
-    df = spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")], "size string, color string")
-    plain = reshape.pivot(df, ["size"], "color", ["red", "blue"])
-    assert plain.columns == ["size", "red", "blue"] and rows(plain) == [("M", 1, 0), ("S", 1, 1)]
-    slugged = reshape.pivot(df, ["size"], "color", ["red", "blue", "blue's"], slug=True)
-    assert slugged.columns == ["size", "red", "blue", "blues"] and rows(slugged) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
+def test_pivot(spark, rows):
+    df = spark.createDataFrame([("d1", "card fee"), ("d1", "loan fee"), ("d1", "owner's fee"), ("d2", "card fee"), ("d2", "card fee")], "desk string, kind string")
+    plain = reshape.pivot(df, ["desk"], "kind", ["card fee", "loan fee"])
+    assert plain.columns == ["desk", "card fee", "loan fee"] and rows(plain) == [("d1", 1, 1), ("d2", 2, 0)]
+    slugged = reshape.pivot(df, ["desk"], "kind", ["card fee", "owner's fee"], slug=True, prefix="n ")
+    assert slugged.columns == ["desk", "n_card_fee", "n_owners_fee"] and rows(slugged) == [("d1", 1, 1), ("d2", 2, 0)]
 
 
 def test_pivot_options(spark, rows):
@@ -57,42 +57,35 @@ def test_pivot_options(spark, rows):
 
 
 @pytest.fixture(scope="module")
-def people(spark):
-    data = [
-        (123, dt.date(2017, 1, 1), "active", "tier 1", "name 1"),
-        (234, dt.date(2017, 2, 1), "active", "tier 3", "name 3"),
-        (567, dt.date(2017, 3, 1), "churned", "tier 2", "name 2"),
-    ]
-    return spark.createDataFrame(data, "customer_id int, created_at date, status string, segment string, name string")
-
-
-def test_unpivot_golden(people, rows):
-    out = reshape.unpivot(people, exclude=["customer_id", "created_at"], remove=["name"], field_name="prop", value_name="val")
-    assert out.columns == ["customer_id", "created_at", "prop", "val"]
-    assert rows(out, "customer_id", "prop", "val") == [
-        (123, "segment", "tier 1"), (123, "status", "active"), (234, "segment", "tier 3"),
-        (234, "status", "active"), (567, "segment", "tier 2"), (567, "status", "churned"),
-    ]
-    every = reshape.unpivot(people, exclude=["customer_id", "created_at"])
+def plans(spark):
+    data = [(7, dt.date(2021, 5, 3), "open", 3, "Ida"), (8, dt.date(2022, 6, 4), "closed", 12, "Jon"), (9, dt.date(2023, 7, 5), "open", None, "Kim")]
+    return spark.createDataFrame(data, "plan_id int, begun date, state string, months int, adviser string")
+
+
+def test_unpivot(plans, rows):
+    out = reshape.unpivot(plans, exclude=["plan_id", "begun"], remove=["adviser"], field_name="what", value_name="is")
+    assert out.columns == ["plan_id", "begun", "what", "is"]
+    want = [(7, "months", "3"), (7, "state", "open"), (8, "months", "12"), (8, "state", "closed"), (9, "months", None), (9, "state", "open")]
+    assert rows(out, "plan_id", "what", "is") == sorted(want, key=repr)
+    every = reshape.unpivot(plans, exclude=["plan_id", "begun"])
     assert every.columns[2:] == ["field_name", "value"] and every.count() == 9
 
 
 def test_unpivot_booleans_and_nulls(spark, rows):
-    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, is_updated boolean")
-    assert rows(reshape.unpivot(df, exclude=["id"]), "id", "value") == [(1, "true"), (2, "false"), (3, None)]
+    df = spark.createDataFrame([(5, False), (6, None), (7, True)], "id int, settled boolean")
+    assert rows(reshape.unpivot(df, exclude=["id"]), "id", "value") == [(5, "false"), (6, None), (7, "true")]
 
 
-def test_unpivot_then_pivot_restores_the_table(people, rows):
-    long = reshape.unpivot(people, exclude=["customer_id"], field_name="f", value_name="v")
-    names = ["created_at", "status", "segment", "name"]
-    wide = reshape.pivot(long, ["customer_id"], "f", names, agg="max", then_value="v", else_value=None)
-    assert rows(wide) == rows(people.withColumn("created_at", F.col("created_at").cast("string")))
+def test_unpivot_then_pivot_restores_the_table(plans, rows):
+    long = reshape.unpivot(plans, exclude=["plan_id"], field_name="f", value_name="v")
+    names = ["begun", "state", "months", "adviser"]
+    wide = reshape.pivot(long, ["plan_id"], "f", names, agg="max", then_value="v", else_value=None)
+    assert rows(wide) == rows(plans.select("plan_id", *[F.col(n).cast("string") for n in names]))
 
 
-def test_deduplicate_golden(spark, rows):
-    df = spark.createDataFrame([(1, "play", 1), (1, "play", 2), (2, "pause", 1)], "user_id int, event string, version int")
-    latest = reshape.deduplicate(df.filter("user_id = 1"), ["user_id"], [("version", "desc")])
-    assert rows(latest) == [(1, "play", 2)]
+def test_deduplicate(spark, rows):
+    df = spark.createDataFrame([("k", 3, "old"), ("k", 9, "new"), ("l", 1, "only")], "key string, at int, v string")
+    assert rows(reshape.deduplicate(df, ["key"], [("at", "desc")])) == [("k", 9, "new"), ("l", 1, "only")]
 
 
 def test_deduplicate_keeps_nulls_and_mixed_order(spark, rows):
@@ -100,8 +93,17 @@ def test_deduplicate_keeps_nulls_and_mixed_order(spark, rows):
     df = spark.createDataFrame(data, "k int, name string, v int")
     assert rows(reshape.deduplicate(df, ["k"], [("v", "asc"), ("name", "asc")])) == [(1, None, 5), (None, "m", None)]
     assert rows(reshape.deduplicate(df, ["k"], [("v", "desc"), ("name", "asc")])) == [(1, "a", 9), (None, "n", 1)]
+    assert rows(reshape.deduplicate(df, ["k"], [("name", "desc"), ("v", "asc")])) == [(1, "x", 5), (None, "n", 1)]
     with pytest.raises(ValueError):
-        reshape.deduplicate(df, ["k"], [("name", "desc"), ("v", "asc")])
+        reshape.deduplicate(df, ["k"], [("name", "down")])
+
+
+def test_deduplicate_orders_text_downwards_like_a_sort(spark):
+    texts = ["", "a", "ab", "b", "é", "z", "Z", "日本", "𝒳", "a\u0000", None]
+    df = spark.createDataFrame([(k, t, i) for i, t in enumerate(texts) for k in range(i, len(texts))], "k int, t string, i int")
+    got = {r.k: r.i for r in reshape.deduplicate(df, ["k"], [("t", "desc"), ("i", "asc")]).collect()}
+    rank = lambda t: (t is not None, (t or "").encode())
+    assert got == {k: max(range(k + 1), key=lambda i: (rank(texts[i]), -i)) for k in range(len(texts))}
 
 
 def test_generate_series(spark):
@@ -110,16 +112,26 @@ def test_generate_series(spark):
         generators.generate_series(spark, 0)
 
 
-def test_date_spine_golden(spark, rows):
-    spine = generators.date_spine(spark, "day", "2018-01-01", "2018-01-10")
-    assert rows(spine) == [(dt.date(2018, 1, d),) for d in range(1, 10)]
-    assert generators.date_spine(spark, "month", "2018-01-31", "2018-05-01").count() == 4
-    assert generators.date_spine(spark, "hour", "2018-01-01", "2018-01-02 00:30:00").count() == 25
-    assert generators.date_spine(spark, "day", "2018-01-10", "2018-01-01").count() == 0
+def test_date_spine(spark, rows):
+    spine = generators.date_spine(spark, "day", "2023-11-28", "2023-12-03")
+    assert [str(r[0]) for r in spine.orderBy("date_day").collect()] == ["2023-11-28", "2023-11-29", "2023-11-30", "2023-12-01", "2023-12-02"]
+    assert generators.date_spine(spark, "month", "2023-10-31", "2024-03-01").count() == 5
+    assert generators.date_spine(spark, "hour", "2023-11-28", "2023-11-29 01:30:00").count() == 26
+    assert generators.date_spine(spark, "day", "2023-11-28", "2023-11-01").count() == 0
     with pytest.raises(ValueError):
         generators.date_spine(spark, "century", "2018-01-01", "2018-01-10")
 
 
+@pytest.mark.parametrize("part, start, end, periods", [("minute", "2024-01-01", "2024-01-08", 10_080), ("week", "2024-01-03", "2024-02-01", 5), ("quarter", "2023-01-01", "2024-01-02", 5), ("year", "2020-02-29", "2024-02-28", 4), ("day", "2024-01-02", "2024-01-02", 0)])
+def test_fill_periods_makes_the_spine_for_every_key(spark, monkeypatch, part, start, end, periods):
+    monkeypatch.setattr(generators, "PERIODS_PER_BLOCK", 7)
+    facts = spark.createDataFrame([("a", start, 2), ("b", "1999-01-01", 5)], "k string, t string, v int").withColumn("t", F.col("t").cast("timestamp"))
+    out = generators.fill_periods(facts, part, "t", start, end, {"total": F.sum("v")}, ["k"], "p")
+    assert out.count() == out.select("k", "p").distinct().count() == 2 * periods
+    spine = generators.date_spine(spark, part, start, end, "p")
+    assert out.select("p").distinct().exceptAll(spine).count() == 0 and out.agg(F.sum("total")).first()[0] == (2 if periods else None)
+
+
 def test_fill_periods_has_every_period_and_key(spark, rows):
     facts = spark.createDataFrame([("a", "2024-01-01 05:00:00", 3), ("a", "2024-01-03 00:00:00", 4), (None, "2024-01-02 23:59:59", 5), ("b", "2023-12-31 10:00:00", 9)], "k string, t string, v int")
     facts = facts.withColumn("t", F.col("t").cast("timestamp"))
@@ -128,62 +140,63 @@ def test_fill_periods_has_every_period_and_key(spark, rows):
     assert rows(out.filter("total > 0"), "k", "total") == [("a", 3), ("a", 4), (None, 5)]
 
 
-def test_union_relations_golden(spark, rows):
-    one = spark.createDataFrame([(1, "dora", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
-    two = spark.createDataFrame([(1, "green", 7), (2, "pink", 13)], "id int, favorite_color string, favorite_number int")
-    tables = {"t1": one, "t2": two}
+def test_union_relations(spark, rows):
+    leases = spark.createDataFrame([(11, "Vik", "12.5"), (12, "Moe", None)], "ref int, holder string, rate string")
+    safes = spark.createDataFrame([(21, 3, "A-7"), (22, 4, "B-1")], "ref int, rate int, box string")
+    tables = {"leases": leases, "safes": safes}
     out = unions.union_relations(tables, source_column_name=None)
-    assert out.columns == ["id", "name", "favorite_number", "favorite_color"] and out.count() == 5
-    assert rows(out, "id", "name", "favorite_color", "favorite_number") == rows(
-        spark.createDataFrame(
-            [(1, "dora", None, "pi"), (2, "bob", None, "e"), (3, "alice", None, "4"), (1, None, "green", "7"), (2, None, "pink", "13")],
-            "id int, name string, c string, n string",
-        )
-    )
-    for exclude in (["name"], ["NAME"]):
-        assert unions.union_relations(tables, exclude=exclude, source_column_name=None).columns == ["id", "favorite_number", "favorite_color"]
-    assert unions.union_relations(tables, include=["ID"]).columns == ["_dbt_source_relation", "id"]
-    assert rows(unions.union_relations(tables, where="id = 1"), "id", "favorite_number") == [(1, "7"), (1, "pi")]
-    assert unions.union_relations(tables, column_override={"id": "string"}).schema["id"].dataType.simpleString() == "string"
-    with pytest.raises(ValueError):
-        unions.union_relations(tables, include=["id"], exclude=["name"])
-    with pytest.raises(ValueError):
-        unions.union_relations(tables, include=["absent"])
+    assert out.columns == ["ref", "holder", "rate", "box"] and [k for _, k in out.dtypes] == ["int", "string", "string", "string"]
+    want = [(11, "Vik", "12.5", None), (12, "Moe", None, None), (21, None, "3", "A-7"), (22, None, "4", "B-1")]
+    assert rows(out) == sorted(want, key=repr)
+    for exclude in (["holder"], ["HOLDER"]):
+        assert unions.union_relations(tables, exclude=exclude, source_column_name=None).columns == ["ref", "rate", "box"]
+    assert unions.union_relations(tables, include=["REF"]).columns == ["_dbt_source_relation", "ref"]
+    assert rows(unions.union_relations(tables, where="ref % 10 = 1"), "ref", "box") == sorted([(11, None), (21, "A-7")], key=repr)
+    assert dict(unions.union_relations(tables, column_override={"REF": "string"}).dtypes)["ref"] == "string"
+    for wrong in ({"include": ["ref"], "exclude": ["box"]}, {"include": ["absent"]}):
+        with pytest.raises(ValueError):
+            unions.union_relations(tables, **wrong)
+
+
+def test_union_relations_matches_names_without_case(spark, rows):
+    tables = {"a": spark.createDataFrame([(1, "x")], "id int, note string"), "b": spark.createDataFrame([("y", 2)], "NOTE string, ID int")}
+    out = unions.union_relations(tables, source_column_name=None)
+    assert out.columns == ["id", "note"] and rows(out) == [(1, "x"), (2, "y")]
 
 
 def test_relations_by_prefix_and_pattern(spark, rows):
-    spark.sql("CREATE DATABASE IF NOT EXISTS found")
-    for day, data in {"20180101": [(1, "play"), (2, "pause")], "20180102": [(3, "play"), (4, "pause")], "20180103": [(5, "play"), (6, "pause")]}.items():
-        spark.createDataFrame(data, "user_id int, event string").write.mode("overwrite").saveAsTable(f"found.data_events_{day}")
-    spark.range(1).createOrReplaceTempView("data_events_view")
-    found = catalog.relations_by_prefix(spark, "found", "DATA_EVENTS_")
-    assert [tuple(r) for r in found.collect()][0] == ("found", "data_events_20180101", "table")
+    spark.sql("CREATE DATABASE IF NOT EXISTS vault")
+    for n, desk in enumerate(("oslo", "bergen", "voss")):
+        spark.createDataFrame([(n, desk), (n + 10, desk)], "ticket int, desk string").write.mode("overwrite").saveAsTable(f"vault.Queue_{desk}_q{n}")
+    spark.range(1).createOrReplaceTempView("queue_shown")
+    found = catalog.relations_by_prefix(spark, "vault", "QUEUE_")
+    assert [tuple(r) for r in found.collect()][0] == ("vault", "queue_bergen_q1", "table") and found.count() == 3
     union = unions.union_relations(catalog.open_relations(found), source_column_name=None)
-    assert rows(union) == [(1, "play"), (2, "pause"), (3, "play"), (4, "pause"), (5, "play"), (6, "pause")]
-    some = catalog.relations_by_pattern(spark, "fou%", "%events_2018%", exclude="%0103")
-    assert some.count() == 2
-
-
-def test_value_frequencies_golden(spark, rows):
-    data = [(v,) for v in "abcdefggggg"]
-    df = spark.createDataFrame(data, "field string")
-    assert [tuple(r) for r in values.value_frequencies(df, "field").collect()][:2] == [("g", 5), ("a", 1)]
-    assert values.column_values(spark, df, "field") == ["g", "a", "b", "c", "d", "e", "f"]
-    assert values.column_values(spark, df, "field", where="field < 'c'") == ["a", "b"]
-    assert values.column_values(spark, "no_such_table", "field", default=["x"]) == ["x"]
-    with pytest.raises(ValueError):
-        values.column_values(spark, "no_such_table", "field")
-    with pytest.raises(ValueError):
-        values.column_values(spark, df, "field", max_records=3)
-
-
-def test_single_value_golden(spark):
-    df = spark.createDataFrame([(1, 4), (2, 5), (3, 6)], "id int, di int")
-    assert values.single_value(df.agg(F.min("id"))).first()["value"] == 1
-    assert values.single_value(df.agg(F.max("di"))).first()["value"] == 6
-    empty = df.filter("id > 9").select("id")
-    assert values.single_value(empty, 7).first()["value"] == 7
-    assert values.single_value(empty).first()["value"] is None
+    assert rows(union) == sorted([(0, "oslo"), (10, "oslo"), (1, "bergen"), (11, "bergen"), (2, "voss"), (12, "voss")], key=repr)
+    assert catalog.relations_by_pattern(spark, "vau%", "%queue%", exclude="%_q0").count() == 2
+    assert catalog.relations_by_pattern(spark, "vault", "queue__slo_q_").count() == 1
+
+
+def test_value_frequencies_and_lists(spark):
+    df = spark.createDataFrame([(v,) for v in "xyzzyxzz"], "mark string")
+    assert [tuple(r) for r in values.value_frequencies(df, "mark").collect()] == [("z", 4), ("x", 2), ("y", 2)]
+    assert values.column_values(spark, df, "mark") == ["z", "x", "y"]
+    assert values.column_values(spark, df, "mark", where="mark < 'z'") == ["x", "y"]
+    assert values.column_values(spark, df, "mark", max_records=2) == ["z", "x"]
+    assert values.column_values(spark, df, "mark", order_by=[F.desc("value")]) == ["z", "y", "x"]
+    assert values.column_values(spark, "no_such_table", "mark", default=["q"]) == ["q"]
+    assert values.column_values(spark, df.limit(0), "mark", default=["q"]) == ["q"]
+    for wrong in (lambda: values.column_values(spark, "no_such_table", "mark"), lambda: values.column_values(spark, df, "mark", refuse_above=2)):
+        with pytest.raises(ValueError):
+            wrong()
+
+
+def test_single_value(spark):
+    df = spark.createDataFrame([(31, 2.5), (32, 7.5)], "n int, share double")
+    assert values.single_value(df.agg(F.max("n"))).first()["value"] == 32
+    assert values.single_value(df.agg(F.min("share"))).first()["value"] == 2.5
+    nothing = df.filter("n > 99").select("n")
+    assert values.single_value(nothing, -5).first()["value"] == -5 and values.single_value(nothing).first()["value"] is None
     # a NULL that is there is not replaced
     assert values.single_value(spark.sql("select cast(null as int) as v"), 7).first()["value"] is None
 
@@ -212,13 +225,13 @@ def miles(a, b):
     return 2 * 3961 * math.asin(math.sqrt(min(1, h)))
 
 
-@pytest.mark.parametrize("radius, hot_rows", [(5.0, 20000), (120.0, 20000), (900.0, 20000), (900.0, 3), (20000.0, 20000)])
+@pytest.mark.parametrize("radius, hot_rows", [(0.0, 20000), (0.0, 2), (5.0, 20000), (120.0, 20000), (900.0, 20000), (900.0, 3), (20000.0, 20000)])
 def test_proximity_pairs_equals_brute_force(spark, radius, hot_rows):
     # poles, the date line, one point many times
     left = [(i, ((i * 7919) % 17999) / 100 - 90, ((i * 104729) % 36001) / 100 - 180) for i in range(150)]
     left += [(200 + i, 89.99, i * 36.0 - 180) for i in range(10)] + [(300 + i, 10.0, 179.99) for i in range(12)]
     right = [(i, ((i * 6101) % 17999) / 100 - 90, ((i * 7001) % 36001) / 100 - 180) for i in range(60)]
-    right += [(100, 10.0, -179.99), (101, 90.0, 0.0), (102, -90.0, 17.0), (103, 10.02, 180.0)] + [(110 + i, 10.0, -179.9) for i in range(9)]
+    right += [(100, 10.0, -179.99), (101, 90.0, 0.0), (102, -90.0, 17.0), (103, 10.02, 180.0), (104, 10.0, 179.99)] + [(110 + i, 10.0, -179.9) for i in range(9)]
     a = spark.createDataFrame(left, "left_id int, lat double, lon double")
     b = spark.createDataFrame(right, "right_id int, lat double, lon double")
     got = sorted((r.left_id, r.right_id) for r in proximity.proximity_pairs(a, b, radius, "mi", hot_rows=hot_rows).collect())
