@@ -82,7 +82,17 @@ def test_spelling_tricks():
 
 def test_query(ask, documents):
     report = ask("op6_toxicity")
-    labels = pq.read_table(DATA / "labels.parquet").to_pandas()
     assert len(report) == len(documents) and report.score.between(0, 1).all()
+    assert (report.predicted == (report.score >= 0.5)).all()
     assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in zip(report.doc_id, report.held_out))
-    assert (report.merge(labels, on="doc_id").eval("predicted == toxic")).mean() > 0.9
+
+
+def test_held_out_accuracy(llm):
+    from ledgerloom.llm.queries import QUERIES
+
+    folder = DATA.parent / "sf0.1"
+    if not folder.exists():
+        pytest.skip("no test data")
+    labels = pq.read_table(folder / "labels.parquet").to_pandas()
+    held = QUERIES["op6_toxicity"](llm, str(folder)).toPandas().query("held_out").merge(labels, on="doc_id")
+    assert auc(held.score, held.toxic) > 0.97 and (held.predicted == held.toxic).mean() > 0.98
