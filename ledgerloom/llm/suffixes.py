@@ -9,7 +9,7 @@ combines the runs: known prefixes are never compared again.
 Suffixes with equal surroundings form a class. A gram of one class settles its windows: they repeat.
 Where a gram has several classes, the windows in question are compared by hash, one class for all its
 members, and only as far as the neighbours in suffix order leave it open. Grams with very many suffixes
-are dealt by class to many tasks, and their windows are counted by a grouped aggregate.
+are dealt by class to many tasks; the windows that no task settles alone are counted by a grouped aggregate.
 """
 
 from __future__ import annotations
@@ -309,19 +309,30 @@ def _settle(hot_from: int):
         hashes = _window_hashes([(before, key[: key[LENGTH]]) for key, before, _, _ in probes], far, near)
         counts = far - near + 1
         of = np.repeat(np.arange(len(probes)), counts)
-        if is_hot:
-            lists = np.split(hashes.view(np.int64), np.cumsum(counts)[:-1])
-            yield pd.DataFrame({"doc": first["doc"], "version": first["version"], "first": first["place"] - far, "last": first["place"] - near, "edge": single, "windows": lists})
-            return
-        _, inverse, times = np.unique(hashes, return_inverse=True, return_counts=True)
+        distinct, inverse, times = np.unique(hashes, return_inverse=True, return_counts=True)
         start = (first["place"] - far)[of] + np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
-        hit = np.flatnonzero((times[inverse] > 1) & single[of])
-        if len(hit):
-            new = np.concatenate(([True], (np.diff(hit) != 1) | (np.diff(of[hit]) != 0)))
+        twice = times[inverse] > 1
+
+        def stretches(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Classes, first and last index of the runs of chosen windows of one class."""
+            new = np.concatenate(([True], (np.diff(chosen) != 1) | (np.diff(of[chosen]) != 0)))
             begin = np.flatnonzero(new)
-            end = np.append(begin[1:], len(hit)) - 1
-            own = first[of[hit[begin]]]
-            yield pd.DataFrame({"doc": own["doc"], "version": own["version"], "first": start[hit[begin]], "last": start[hit[end]], "edge": False, "windows": None})
+            return of[chosen[begin]], chosen[begin], chosen[np.append(begin[1:], len(chosen)) - 1]
+
+        hit = np.flatnonzero(twice & single[of])
+        if len(hit):
+            own, begin, end = stretches(hit)
+            yield pd.DataFrame({"doc": first["doc"][own], "version": first["version"][own], "first": start[begin], "last": start[end], "edge": False, "windows": None})
+        if not is_hot:
+            return
+        # other tasks have suffixes of this gram too: what is not settled here is counted there, with one of each that is
+        signed = hashes.view(np.int64)
+        yield pd.DataFrame({"doc": [0], "version": [0], "first": [0], "last": [0], "edge": [False], "windows": [distinct[times > 1].view(np.int64)]})
+        rest = np.flatnonzero(~twice)
+        if len(rest):
+            own, begin, end = stretches(rest)
+            lists = [signed[a : b + 1] for a, b in zip(begin.tolist(), end.tolist())]
+            yield pd.DataFrame({"doc": first["doc"][own], "version": first["version"][own], "first": start[begin], "last": start[end], "edge": single[own], "windows": lists})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, bounds in _groups(frames, ["target"]):
@@ -358,7 +369,7 @@ def repeated_windows(docs: DataFrame, hot_suffixes: int = HOT_SUFFIXES) -> DataF
     targets = parts * TARGETS_PER_PARTITION
     bounds = _bounds(counted.filter(F.col("n") <= hot_suffixes), targets)
 
-    runs = texts.select("doc", "version", "text").mapInPandas(_sorted_runs(repeated, hot, bounds, targets), _RUN)
+    runs = texts.select("doc", "version", "text").mapInPandas(_sorted_runs(repeated, hot, bounds, parts), _RUN)
     dealt = runs.repartition(parts, "target").sortWithinPartitions("target")
     found = materialise(dealt.mapInPandas(_settle(len(bounds) + 1), _FOUND), "found")
 
