@@ -59,43 +59,59 @@ class ChunkEncoder:
     def _packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}H", *ids)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a piece of a chunk that is a pre-token sequence of its own."""
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
-            plain = word.lower()
-            if word.isalpha() and plain.isalpha() and max(word) < "\u0180":  # one pre-token, in lower case too
-                shown = plain if plain.isascii() else plain.encode().decode("latin-1").translate(_SHOWN)
-                ids = self._packed([t.id for t in self.model.tokenize(shown)])
-            else:
-                ids = self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-            self.words[word] = ids
-        return ids
-
-    def _chunk(self, chunk: str) -> bytes:
-        stem = chunk.rstrip(MARKS)
-        if stem == chunk or not stem.isalpha():
-            return self._word(chunk.lower() if chunk.isascii() and chunk.isalpha() else chunk)
-        return self._word(stem.lower() if stem.isascii() else stem) + self._word(chunk[len(stem) :])
+    def _encode(self, word: str) -> bytes:
+        """Ids of a part of a chunk that is pre-tokens of its own."""
+        plain = word.lower()
+        if word.isalpha() and plain.isalpha() and max(word) < "\u0180":  # one pre-token, in lower case too
+            shown = plain if plain.isascii() else plain.encode().decode("latin-1").translate(_SHOWN)
+            return self._packed([t.id for t in self.model.tokenize(shown)])
+        return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def _learn(self, chunks: set[str]) -> None:
+        known, words = self.chunks, self.words
+        for chunk in chunks:
+            stem = chunk.rstrip(MARKS)
+            word = stem.lower()
+            if not (stem.isalpha() and word.isalpha()):
+                stem = word = chunk
+            elif not stem.isascii():
+                word = stem
+            ids = words.get(word)
+            if ids is None:
+                ids = words[word] = self._encode(word)
+            if len(stem) < len(chunk):
+                marks = chunk[len(stem) :]
+                end = words.get(marks)
+                if end is None:
+                    end = words[marks] = self._encode(marks)
+                ids += end
+            known[chunk] = ids
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks.clear()
+        for cache, most in ((self.chunks, CACHED_CHUNKS), (self.words, CACHED_WORDS)):
+            if len(cache) > most:
+                cache.clear()
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.chunks
-        for chunk in set().union(*split).difference(known):
-            known[chunk] = self._chunk(chunk)
+        self._learn(set().union(*split).difference(self.chunks))
+        known = self.chunks.__getitem__
         for own in split:
-            yield b"".join([known[c] for c in own])
+            yield b"".join(map(known, own))
+
+
+_encoders: dict[str, ChunkEncoder] = {}  # of this Python worker, which runs many tasks
+
+
+def encoder_of(path: str) -> ChunkEncoder:
+    if path not in _encoders:
+        _encoders[path] = ChunkEncoder(path)
+    return _encoders[path]
 
 
 def _cut(path: str, sequence: int, groups: int):
     """Pieces of whole sequences and the remainder of every document."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end, at = ChunkEncoder(path), np.array([END_ID], dtype="<u2").tobytes(), 0
+        encoder, end, at = encoder_of(path), np.array([END_ID], dtype="<u2").tobytes(), 0
         for whole in frames:
             for first in range(0, len(whole), 256):
                 frame, rows = whole.iloc[first : first + 256], []
@@ -162,7 +178,9 @@ def place(lengths: list[int], sequence: int = SEQUENCE_TOKENS, quadratic: float
 
 def _pack(sequence: int, quadratic: float):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["tokens", "doc_id", "start", "row", "ids"], ascending=[False, True, True, True, True], ignore_index=True)
+        # rows may arrive in any order; the content decides between rows of one id
+        frame = frame.assign(crc=[zlib.crc32(ids) for ids in frame["ids"]])
+        frame = frame.sort_values(["tokens", "doc_id", "start", "row", "crc"], ascending=[False, True, True, True, True], ignore_index=True)
         base = int(frame["group"].iloc[0]) << 32
         pieces = list(zip(frame["doc_id"].astype("Int64"), frame["start"], frame["doc_tokens"], frame["ids"]))
         rows = []
