@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.session import drop_scratch, materialise, scratch_dir, scratch_path
+from ledgerloom.session import drop_scratch, materialise, scratch_dir, scratch_path, scratch_table
 from ledgerloom.sources import registry, tables
 from ledgerloom.streaming.upserts import stream_upsert
 
@@ -24,7 +24,11 @@ def test_scratch_follows_the_session_setting(spark, tmp_path):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     stored = materialise(spark.range(5), "kept")
     assert stored.count() == 5
+    name = scratch_table(spark, "kept")
+    tables.upsert(spark.range(5), name, "id", buckets=2)
+    assert spark.table(name).count() == 5
     assert drop_scratch(spark) > 0 and drop_scratch(spark) == 0
+    assert not spark.catalog.tableExists(name)
 
 
 def test_csv_source_and_load(spark, tmp_path, rows):
