@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.ordered import positions
 from ..session import materialise
-from .common import as_row, partitions, whole_text, with_text
+from .common import as_row, partitions, with_text
 
 MAX_REPEATS = 3
 ROWS_PER_BUCKET = 50_000
@@ -33,7 +33,8 @@ def rising_and_falling(rank: Column) -> list[tuple[float, Column]]:
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")
+    """Words of a text; none in a null."""
+    return F.size(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
 
 
 def integral(points: Sequence[tuple[float, Column]]) -> Column:
