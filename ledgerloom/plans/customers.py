@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.casts import AsOf, date_diff, moment
-from ..functions.expressions import banded, business_key, hash_column, ladder, surrogate_key
+from ..functions.expressions import business_key, hash_column, ladder, surrogate_key
 from ..operators.ordered import global_rank_ntile
 from ..session import materialise
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from ledgerloom.checks import rows as row_checks, tables as table_checks
 from ledgerloom.checks.runner import accepted_range_check, check, not_null_check, row_check, run_checks, unique_check
 from ledgerloom.functions.expressions import business_key, hash_column, safe_add, safe_divide, safe_subtract
-from ledgerloom.functions.windows import rolling_mean
 from ledgerloom.operators import generators, keys, projection, proximity, reshape, unions, values, web
 from ledgerloom.operators.keyed import keyed_windows
 from ledgerloom.operators.ordered import global_rank_ntile

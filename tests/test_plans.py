@@ -1,6 +1,5 @@
 """The bank plans on hand-made rows at the edges of every rule."""
 
-import datetime as dt
 from decimal import Decimal as D
 
 import pytest
