@@ -1,7 +1,7 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products inside cells.
 
-Every vector lives in its nearest cell and visits those cells before its own whose centre is so little
-farther that a linked vector may live there. Inside a cell, residents are compared with residents and
+Every vector lives in its nearest cell and visits those cells before its own in which a linked vector
+can live at all, so no link is lost. Inside a cell, residents are compared with residents and
 visitors in blocks; a task returns counts per vector and the links of a spanning forest, never all pairs.
 """
 
@@ -23,7 +23,7 @@ SAMPLE_ROWS = 20_000  # most vectors that fit the centres; all vectors are index
 CELL_ROWS = 2_000  # vectors a cell is meant to hold
 MAX_CELLS = 4_096
 ITERATIONS = 8
-REACH = 3.0  # standard deviations of a linked vector's centre products within which cells are visited
+SLACK = 1e-7  # more than products of unit vectors are off by
 BLOCK = 1_024  # residents on one side of a product
 VISITOR_BLOCK = 4_096
 
@@ -56,17 +56,21 @@ def spherical_kmeans(rows: np.ndarray, cells: int, iterations: int = ITERATIONS,
     return centres
 
 
-def cell_margin(centres: np.ndarray, min_cosine: float, reach: float = REACH) -> float:
-    """How much closer its own centre may be to a vector than that of a linked one.
+def visited(products: np.ndarray, home: np.ndarray, centres: np.ndarray, min_cosine: float) -> np.ndarray:
+    """Which cells can hold a vector linked with each row, from the row's products with the centres.
 
-    A unit vector y with cosine t to x is t x + sqrt(1 - t**2) n, n orthogonal to x; over directions n the
-    products with the difference of two centres (length up to 2) vary with sqrt(1 - t**2) * length / sqrt(d).
+    Let h be the home centre of x and c that of y, both unit and with cosine t or more. y lies on the side
+    of c of the plane through 0 between c and h, and x within the angle of t of y, so x is no farther than
+    sqrt(1 - t**2) behind that plane: x.(h - c) <= sqrt(1 - t**2) * |h - c|. This holds for any vectors.
     """
-    dimensions = centres.shape[1]
-    return reach * np.sqrt(1 - min_cosine**2) * np.sqrt(2.0) / np.sqrt(dimensions) / min_cosine
+    if min_cosine <= 0:
+        return np.ones(products.shape, dtype=bool)
+    apart = np.sqrt(np.maximum(2 - 2 * (centres[home] @ centres.T), 0))
+    behind = products[np.arange(len(products)), home][:, None] - products
+    return behind <= np.sqrt(max(1 - min_cosine**2, 0)) * apart + SLACK
 
 
-def _dealt(centres: np.ndarray, margin: float):
+def _dealt(centres: np.ndarray, min_cosine: float):
     """A row per vector and cell: its home, and the cells it visits. Of two cells the first one compares."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,8 +79,7 @@ def _dealt(centres: np.ndarray, margin: float):
                 part = frame.iloc[a : a + 1024]
                 products = unit_rows(part["embedding"].tolist()) @ centres.T
                 home = products.argmax(axis=1)
-                near = products >= products[np.arange(len(part)), home][:, None] - margin
-                near &= np.arange(len(centres)) <= home[:, None]
+                near = visited(products, home, centres, min_cosine) & (np.arange(len(centres)) <= home[:, None])
                 at, cell = np.nonzero(near)
                 yield pd.DataFrame({"cell": cell.astype(np.int32), "lives": home[at] == cell, "vec": part["vec"].to_numpy()[at], "embedding": part["embedding"].array[at]})
 
@@ -133,8 +136,8 @@ def link_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, cell_rows:
     so do rows without vec_id, which have no component. Rows that share a vec_id are not linked with
     each other, but each adds its links. Labels and other columns are not read. An empty table gives no row.
 
-    Pairs are found if they share a home cell or the one with the later home visits the other's; see
-    ``cell_margin``. Tables of up to ``cell_rows`` rows are one cell, and exact.
+    All links are found, in any number of cells; see ``visited``. Cells only save products: vectors spread
+    evenly over many directions can be linked across most cells, and then nearly all pairs are compared.
     """
     parts = partitions(vectors)
     kept = vectors["embedding"] if dict(vectors.dtypes)["embedding"] == "array<float>" else vectors["embedding"].cast("array<double>")
@@ -152,7 +155,7 @@ def link_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, cell_rows:
     sample = unit_rows([r[0] for r in draw.collect()])
     centres = spherical_kmeans(sample, cells)
     schema = f"cell int, lives boolean, vec long, embedding {dict(usable.dtypes)['embedding']}"
-    dealt = materialise(usable.mapInPandas(_dealt(centres, cell_margin(centres, min_cosine)), schema), "cells")
+    dealt = materialise(usable.mapInPandas(_dealt(centres, min_cosine), schema), "cells")
 
     # the residents of a cell stand in blocks, and its visitors too; blocks of residents meet all blocks
     lives = F.col("lives")

@@ -62,6 +62,20 @@ def test_many_cells_reach_the_recall(llm):
     assert sum(got[i] for i in pairs) >= 0.95 * len(pairs)
 
 
+def test_vectors_of_few_directions_lose_no_link_in_hundreds_of_cells(llm):
+    """Pairs just above the threshold in 16 directions of 384, as real embeddings lie."""
+    rng = np.random.default_rng(6)
+    basis = np.linalg.qr(rng.normal(size=(384, 16)))[0].T
+    x = rng.normal(size=(500, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    n = rng.normal(size=x.shape)
+    n -= np.einsum("ij,ij->i", n, x)[:, None] * x
+    n /= np.linalg.norm(n, axis=1)[:, None]
+    y = 0.901 * x + np.sqrt(1 - 0.901**2) * n
+    rows = list(enumerate((np.concatenate((x, y)) @ basis).astype(np.float32).tolist()))
+    check(rows, run(llm, rows, cell_rows=5))
+
+
 def test_centres_are_unit_and_repeatable():
     rows = vectors.unit_rows(np.random.default_rng(4).normal(size=(300, 8)).tolist() + [[1.0] + [0.0] * 7] * 50)
     one, two = vectors.spherical_kmeans(rows, 12), vectors.spherical_kmeans(rows, 12)
