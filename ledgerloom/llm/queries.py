@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, jaccard, lines, mixing, packing, pages, pii, suffixes, toxicity, vectors
+from . import contamination, fim, fingerprints, jaccard, lines, mixing, packing, pages, pii, suffixes, toxicity, vectors
 from .common import partitions, prepare
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -89,3 +89,15 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes covered by strings of 200 bytes that start elsewhere too, removed from every document."""
     return suffixes.repeat_report(table(spark, folder, "documents"))
+
+
+@query
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold ten-word windows of benchmark items."""
+    return contamination.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut at token places and put into its fill-in-middle form."""
+    return fim.report(table(spark, folder, "documents"))

@@ -133,3 +133,43 @@ def auc(scores, labels) -> float:
 
 def crc(ids) -> int:
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+LATIN_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(texts: list, items: list[tuple], length: int = 10) -> list[tuple]:
+    """(n_words, n_hit, item ids) of each text; ``items``: (id, text)."""
+    words_of = lambda t: LATIN_WORD.findall((t or "").translate(LOWER))
+    windows = defaultdict(set)
+    for item, text in items:
+        w = words_of(text)
+        for i in range(max(1, len(w) - length + 1) if w else 0):
+            windows[tuple(w[i : i + length])].add("" if item is None else str(item))
+    out = []
+    for text in texts:
+        w, hit, own = words_of(text), set(), set()
+        for size in {len(x) for x in windows}:
+            for i in range(len(w) - size + 1):
+                if tuple(w[i : i + size]) in windows:
+                    hit.update(range(i, i + size))
+                    own |= windows[tuple(w[i : i + size])]
+        out.append((len(w), len(hit), sorted(own)))
+    return out
+
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fim(doc_id, text) -> tuple:
+    """(n, form, prefix_chars, middle_chars, output) of one document."""
+    text = text or ""
+    units, digest = UNIT.findall(text), sha(f"42:{'' if doc_id is None else doc_id}")
+    n, h = len(units), [int(digest[i : i + 8], 16) for i in range(0, 32, 8)]
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    form = "spm" if h[3] % 100 < 80 else "psm"
+    output = f"<S>{suffix}<P>{prefix}<M>{middle}" if form == "spm" else f"<P>{prefix}<S>{suffix}<M>{middle}"
+    return n, form, len(prefix), len(middle), output
