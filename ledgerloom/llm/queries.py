@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import contamination, fim, fingerprints, jaccard, lines, mixing, packing, pages, pii, suffixes, toxicity, vectors
+from . import alignment, contamination, fim, fingerprints, jaccard, lines, mixing, packing, pages, pii, suffixes, toxicity, vectors
 from .common import partitions, prepare
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -101,3 +102,9 @@ def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     """Every document cut at token places and put into its fill-in-middle form."""
     return fim.report(table(spark, folder, "documents"))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of tokens of two tokenizers over the same bytes of every document, and how usual their links are."""
+    return alignment.report(table(spark, folder, "documents"), BYTE_LEVEL, PIECES)

@@ -173,3 +173,41 @@ def fim(doc_id, text) -> tuple:
     form = "spm" if h[3] % 100 < 80 else "psm"
     output = f"<S>{suffix}<P>{prefix}<M>{middle}" if form == "spm" else f"<P>{prefix}<S>{suffix}<M>{middle}"
     return n, form, len(prefix), len(middle), output
+
+
+def aligned(texts: list, path_a: str, path_b: str) -> list[tuple]:
+    """(n_a, n_b, n_groups, n_links, n_best, count_sum, groups) of each text, whole texts encoded at once."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+    a.encode_special_tokens = True
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(x): x for x in printable} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in printable)}
+    piece = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("\u2581", " ").encode()
+    rows, count, best = [], Counter(), defaultdict(int)
+    for text in texts:
+        ids_a = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        bytes_a, bytes_b = [bytes(byte[c] for c in a.id_to_token(i)) for i in ids_a], [piece(i) for i in ids_b]
+        if not text or not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+            rows.append(None)
+            continue
+        ends_a, ends_b = np.cumsum([len(x) for x in bytes_a]).tolist(), np.cumsum([len(x) for x in bytes_b]).tolist()
+        at_b, groups, links, i0, j0 = {e: j for j, e in enumerate(ends_b)}, [], [], 0, 0
+        for i, e in enumerate(ends_a):
+            if e in at_b:
+                j = at_b[e]
+                groups.append((ids_a[i0 : i + 1], ids_b[j0 : j + 1]))
+                links.append((ids_a[i], ids_b[j]))
+                i0, j0 = i + 1, j + 1
+        count.update(links)
+        rows.append((len(ids_a), len(ids_b), groups, links))
+    for (_, y), n in count.items():
+        best[y] = max(best[y], n)
+    listed = lambda ids: ",".join(map(str, ids))
+    return [
+        (0, 0, 0, 0, 0, 0, None) if r is None
+        else (r[0], r[1], len(r[2]), len(r[3]), sum(count[p] == best[p[1]] for p in r[3]), sum(count[p] for p in r[3]), ";".join(f"{listed(x)}|{listed(y)}" for x, y in r[2]))
+        for r in rows
+    ]
