@@ -28,8 +28,10 @@ from .common import whole_text
 
 CHUNK_CHARS = 1 << 15  # longer texts are cut into chunks of about this size, dealt to all tasks
 FAN = 16  # fragments composed in one step of the tree
-CACHED_WORDS = 150_000  # per worker; a full cache is emptied
+CACHED_WORDS = 120_000  # per worker; of a full cache only the words that come up again are kept
 CACHED_CHARS = 64  # longer words are not kept
+JOINT_WORDS = 4096  # words encoded together
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks; the apostrophe begins parts of its own
 
 _SAFE = re.compile(r"(?<=\S) (?=\S)")  # neither tokenizer joins over such a space
 
@@ -80,6 +82,15 @@ def fragment(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int], v
     return Fragment(True, *groups[0], ";".join(f"{x}|{y}" for x, y in groups[1:]), *rest, *counts)
 
 
+class Known(NamedTuple):
+    """A word's fragment, which begins and ends with the word, written out."""
+
+    n_a: int
+    n_b: int
+    groups: str
+    links: bytes
+
+
 class Sides:
     """The two tokenizers: ids and token bytes of words. A word stands for a space and itself."""
 
@@ -104,8 +115,9 @@ class Sides:
         if rule.name != "identity" or not rule.add_dummy_prefix or rule.remove_extra_whitespaces or any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("B must keep texts as they are, add a space and have no piece with a space after other characters")
         self.b_bytes = {i: bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)}
-        if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
+        if max(*self.a_bytes, *self.b_bytes) >= 1 << 16:
             raise ValueError("ids must fit into 16 bits")
+        self.a_sizes, self.b_sizes = (np.array([len(own.get(i, b"")) for i in range(max(own) + 1)]) for own in (self.a_bytes, self.b_bytes))
 
     # fixed: printable bytes stand for themselves, the others for the characters from 256 on
     _PRINTABLE = (*range(33, 127), *range(161, 173), *range(174, 256))
@@ -116,6 +128,11 @@ class Sides:
         others = [b for b in range(256) if b not in cls._PRINTABLE]
         return {chr(b): b for b in cls._PRINTABLE} | {chr(256 + k): b for k, b in enumerate(others)}
 
+    @classmethod
+    @functools.cache
+    def _shows(cls) -> dict[int, str]:
+        return {b: c for c, b in cls._bytes_of().items()}
+
     @classmethod
     def _shown(cls, token: str) -> bytes:
         table = cls._bytes_of()
@@ -130,24 +147,49 @@ class Sides:
                 spelled[token] = spelled.get(token, 0) + 1
         return sum(spelled.get(t[k:], 0) for own in (self.a_bytes, self.b_bytes) for t in own.values() for k in range(len(t)))
 
-    def fragments(self, words: list[str]) -> Iterator[Fragment]:
-        encoded = self.a.encode_batch([" " + w for w in words], add_special_tokens=False)
-        for word, one, b in zip(words, encoded, self.b.encode(words, num_threads=1)):
-            a, whole = one.ids, (" " + word).encode()
-            a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-                yield Fragment(valid=False)
+    def _a_ids(self, words: list[str]) -> list[list[int]]:
+        """Latin words, with ASCII marks or none after them, go to the model part by part: the split before it would cut there."""
+        model, shown, found, others = self.a.model.tokenize, self._shows(), [], []
+        for at, word in enumerate(words):
+            stem = word.rstrip(MARKS)
+            if stem.isalpha() and max(stem) < "\u0250":
+                ids = [t.id for t in model((" " + stem).encode().decode("latin-1").translate(shown))]
+                if len(stem) < len(word):
+                    ids += [t.id for t in model(word[len(stem) :])]
+                found.append(ids)
             else:
-                yield fragment(a, list(itertools.accumulate(map(len, a_parts))), b, list(itertools.accumulate(map(len, b_parts))))
-
-
-class Known(NamedTuple):
-    """A word's fragment, which begins and ends with the word, written out."""
-
-    n_a: int
-    n_b: int
-    groups: str
-    links: bytes
+                others.append(at)
+                found.append([])
+        encoded = self.a.encode_batch_fast([" " + words[at] for at in others], add_special_tokens=False)
+        for at, one in zip(others, encoded):
+            found[at] = one.ids
+        return found
+
+    def known(self, words: list[str]) -> list[Known | None]:
+        """None for a word that the tokens do not spell."""
+        a_ids, b_ids = self._a_ids(words), self.b.encode(words, num_threads=1)
+        a, b = list(itertools.chain.from_iterable(a_ids)), list(itertools.chain.from_iterable(b_ids))
+        a_spelled, b_spelled = (b"".join(map(own.__getitem__, ids)) for own, ids in ((self.a_bytes, a), (self.b_bytes, b)))
+        if not words or not a_spelled == b_spelled == (" " + " ".join(words)).encode():
+            if len(words) < 2:
+                return [None] * len(words)
+            half = len(words) // 2  # words that are not spelled are few
+            return self.known(words[:half]) + self.known(words[half:])
+        a_at, b_at = np.array(a), np.array(b)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a_at]), np.cumsum(self.b_sizes[b_at])
+        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        a_to, b_to = np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1
+        links = (a_at[a_to - 1] << 16 | b_at[b_to - 1]).astype("<u4").tobytes()
+        a_shown, b_shown, groups, i, j = list(map(str, a)), list(map(str, b)), [], 0, 0
+        for i2, j2 in zip(a_to.tolist(), b_to.tolist()):
+            groups.append(f"{a_shown[i] if i2 == i + 1 else ','.join(a_shown[i:i2])}|{b_shown[j] if j2 == j + 1 else ','.join(b_shown[j:j2])}")
+            i, j = i2, j2
+        # every word ends with tokens of both sides
+        last, g, found = (np.searchsorted(a_to, np.cumsum([len(ids) for ids in a_ids])) + 1).tolist(), 0, []
+        for g2, of_a, of_b in zip(last, a_ids, b_ids):
+            found.append(Known(len(of_a), len(of_b), ";".join(groups[g:g2]), links[4 * g : 4 * g2]))
+            g = g2
+        return found
 
 
 class Aligner:
@@ -155,39 +197,44 @@ class Aligner:
 
     def __init__(self, sides: Sides, most: int = CACHED_WORDS):
         self.sides, self.most = sides, most
-        self.known: dict[str, Known | None] = {}  # None: the tokens do not spell the word
-        self.uncut: set[str] = set()  # parts between spaces that are no words: empty, or white space at an end
-
-    def _learn(self, words: set[str]) -> None:
-        listed = list(words)
-        for word, f in zip(listed, self.sides.fragments(listed)):
-            self.known[word] = Known(f.n_a, f.n_b, _listed(f"{f.head_a}|{f.head_b}", f.closed, ";"), f.links) if f.valid else None
-
-    def _words(self, texts: list[str]) -> list[list[str]]:
-        split = [t.split(" ") for t in texts]
-        fresh = set().union(*split).difference(self.known)
-        self.uncut = {w for w in fresh if not w or w[0].isspace() or w[-1].isspace()}
-        if self.uncut:
-            split = [words if self.uncut.isdisjoint(words) else _SAFE.split(text) for text, words in zip(texts, split)]
-            fresh = set().union(*split).difference(self.known)
-        self._learn(fresh)
-        return split
-
-    def fragments(self, texts: list[str]) -> Iterator[Fragment]:
+        self.words: dict[str, Known | None] = {}
+        self.older: dict[str, Known | None] = {}  # the words before the cache was last full
+
+    def _learn(self, wanted: set[str]) -> list[str]:
+        """Makes ``wanted`` known; returns those that are not to be kept."""
+        if len(self.words) > self.most:
+            self.words, self.older = {}, self.words
+        fresh = wanted.difference(self.words)
+        held = fresh.intersection(self.older)
+        self.words.update((w, self.older[w]) for w in held)
+        fresh = list(fresh - held)
+        for first in range(0, len(fresh), JOINT_WORDS):
+            part = fresh[first : first + JOINT_WORDS]
+            self.words.update(zip(part, self.sides.known(part)))
+        return [w for w in fresh if len(w) > CACHED_CHARS]
+
+    def fragments(self, texts: list[str]) -> list[Fragment]:
         """One for each text, which is not empty and stands for a space and itself."""
-        for words in self._words(texts):
-            found = list(map(self.known.__getitem__, words))
-            if None in found:
-                yield Fragment(valid=False)
-                continue
-            n_a, n_b, groups, links = zip(*found)
-            head, _, first = groups[0].partition(";")
-            head_a, _, head_b = head.partition("|")
-            closed = _listed(first, ";".join(groups[1:]), ";")
-            yield Fragment(True, head_a, head_b, closed, "", "", sum(n_a), sum(n_b), b"".join(links))
-        long = [w for w in self.known if len(w) > CACHED_CHARS] if len(self.known) <= self.most else list(self.known)
+        split = [t.split(" ") for t in texts]
+        wanted = set().union(*split)
+        uncut = {w for w in wanted if not w or w[0].isspace() or w[-1].isspace()}
+        if uncut:  # the space at such an end is no place to cut
+            split = [words if uncut.isdisjoint(words) else _SAFE.split(text) for text, words in zip(texts, split)]
+            wanted = set().union(*split)
+        long = self._learn(wanted)
+        found = [self._whole(list(map(self.words.__getitem__, words))) for words in split]
         for word in long:
-            del self.known[word]
+            del self.words[word]
+        return found
+
+    @staticmethod
+    def _whole(words: list[Known | None]) -> Fragment:
+        if None in words:
+            return Fragment(valid=False)
+        n_a, n_b, groups, links = zip(*words)
+        head, _, rest = groups[0].partition(";")
+        head_a, _, head_b = head.partition("|")
+        return Fragment(True, head_a, head_b, _listed(rest, ";".join(groups[1:]), ";"), "", "", sum(n_a), sum(n_b), b"".join(links))
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}  # of this Python worker, which runs many tasks
@@ -227,9 +274,8 @@ def _aligned(paths: tuple[str, str], schema: str, shown: Callable[[Fragment], tu
             rows = []
             for first in range(0, len(texts), TEXTS):
                 part = texts.iloc[first : first + TEXTS].tolist()
-                found = own.fragments([t for t in part if t])
+                found = iter(own.fragments([t for t in part if t]))
                 rows += [shown(next(found) if t else none) for t in part]
-                next(found, None)  # lets the cache be tidied
             yield pd.DataFrame(rows, columns=names)
 
     return align

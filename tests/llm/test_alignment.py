@@ -50,15 +50,23 @@ def test_texts_and_chunks(aligner, text, size):
     n_a, n_b, n, _, _, _, groups = plain([text], BYTE_LEVEL, PIECES)[0]
     parts = op.chunks(text, size)
     assert " ".join(parts) == text
-    for f in (next(aligner.fragments([text])), functools.reduce(op.compose, aligner.fragments(parts))):
+    for f in (aligner.fragments([text])[0], functools.reduce(op.compose, aligner.fragments(parts))):
         assert op._finished(f)[:3] == (n_a, n_b, groups) and len(op._finished(f)[3]) == 4 * n
 
 
 def test_full_cache_and_long_words(aligner):
     small = op.Aligner(aligner.sides, most=3)
     texts = ["one two three four five", "two " + "x" * 100, "one two"]
-    assert list(small.fragments(texts)) == list(aligner.fragments(texts))
-    assert len(small.known) <= 3 and all(len(w) <= op.CACHED_CHARS for w in aligner.known)
+    for _ in range(3):
+        assert small.fragments(texts) == aligner.fragments(texts)
+    assert len(small.words) <= 8 and len(small.older) <= 8 and all(len(w) <= op.CACHED_CHARS for w in aligner.words)
+
+
+def test_words_that_are_not_spelled_stand_alone(aligner):
+    words = [f"w{i}" for i in range(50)] + ["a▁b"] + [f"v{i}" for i in range(50)]
+    found = aligner.sides.known(words)
+    assert [w for w, k in zip(words, found) if k is None] == ["a▁b"]
+    assert found == [aligner.sides.known([w])[0] for w in words]
 
 
 def test_table_of_links_is_bounded(aligner):
