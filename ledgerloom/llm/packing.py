@@ -9,8 +9,10 @@ A piece that fits nowhere is cut over the roomiest sequences.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -27,6 +29,8 @@ QUADRATIC = 1.0 / 4096  # cost of a token pair within a piece, against 1 for a t
 CACHED_CHUNKS = 500_000  # per worker; a cache is emptied when full
 CACHED_WORDS = 500_000
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks; the apostrophe begins pre-tokens of its own
+# fixed: how the tokenizer splits texts
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # the byte-level step shows printable bytes as themselves, the others as the characters from 256 on
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
@@ -48,6 +52,12 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path) as file:
+            made = json.load(file)
+        steps = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
+        split = [(p["type"], p.get("pattern")) for p in (made["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        if steps != ["NFC", "Replace", "Lowercase"] or split != [("Split", {"Regex": SPLIT}), ("ByteLevel", None)]:
+            raise ValueError("the tokenizer must lower-case, drop white space and split like the one this encoder is made for")
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit into 16 bits")
@@ -72,7 +82,8 @@ class ChunkEncoder:
         for chunk in chunks:
             stem = chunk.rstrip(MARKS)
             word = stem.lower()
-            if not (stem.isalpha() and word.isalpha()):
+            # letters that the tokenizer's first step takes apart end in a mark, which joins those after them
+            if not (stem.isalpha() and word.isalpha() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))):
                 stem = word = chunk
             elif not stem.isascii():
                 word = stem

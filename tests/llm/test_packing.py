@@ -91,6 +91,32 @@ def test_chunks_have_the_ids_of_the_whole(texts):
         assert np.frombuffer(ids, dtype="<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_every_letter_before_and_after_marks(tokenizer):
+    """Letters that normalisation takes apart or puts together among them."""
+    letters = [chr(c) for c in range(0x21, 0x3000)] + [chr(c) for c in range(0xF900, 0xFB50)]
+    encoder = packing.ChunkEncoder(TOKENIZER)
+    for form in ("{}", "{},", "a{}.", "{}b!", "{}'s", "({})", "{}{},", "9{},", "\u0917\u0922\u093c{}:", "{}\u0301;"):
+        texts = [form.replace("{}", c) for c in letters]
+        for text, ids, one in zip(texts, encoder.encode(texts), tokenizer.encode_batch(texts, add_special_tokens=False)):
+            assert np.frombuffer(ids, dtype="<u2").tolist() == one.ids, ascii(text)
+
+
+def test_random_texts_of_many_scripts(tokenizer):
+    rng = random.Random(1)
+    pool = [chr(c) for lo, hi in ((0x20, 0x180), (0x300, 0x340), (0x370, 0x400), (0x900, 0xC00), (0xE00, 0x1000), (0x1E00, 0x2060)) for c in range(lo, hi)] + list(" ,.!()" * 60)
+    texts = ["".join(rng.choices(pool, k=rng.randrange(1, 12))) for _ in range(60_000)]
+    encoder = packing.ChunkEncoder(TOKENIZER)
+    for text, ids, one in zip(texts, encoder.encode(texts), tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(ids, dtype="<u2").tolist() == one.ids, ascii(text)
+
+
+def test_other_tokenizers_are_refused():
+    from ledgerloom.llm.queries import BYTE_LEVEL
+
+    with pytest.raises(ValueError):
+        packing.ChunkEncoder(BYTE_LEVEL)
+
+
 def test_query(ask, documents, tokenizer):
     texts = [(int(i), t) for i, t in zip(documents.doc_id, documents.text)]
     sequences = check(texts, ask("op8_packing").to_dict("records"), tokenizer)
