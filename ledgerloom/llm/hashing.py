@@ -9,11 +9,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import xxhash
 
 BASE = 0x9E6C63D0876A9A47  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(BASE, -1, 1 << 64)
 BATCH_BYTES = 1 << 18  # texts hashed together; a longer text is hashed alone
 
+LONG_WORD = 64
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers: dict[int, np.ndarray] = {}
@@ -67,13 +70,21 @@ def lower_bytes(texts: Iterable[str | None]) -> list[bytes]:
 
 
 def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the text, hash) of every word ``[^\\x20\\x09-\\x0D]+`` of the texts, in order."""
-    data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
+    """(number of the text, hash) of every word ``[^\\x20\\x09-\\x0D]+`` of the texts, in order.
+
+    Words of more than ``LONG_WORD`` bytes are hashed one by one: a polynomial modulo a power of two has words of
+    1024 bytes and more that are made to collide under any base.
+    """
+    joined = b" ".join(texts) + b" "
+    data = np.frombuffer(joined, dtype=np.uint8)
     inside = ~_SPACE[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside)).astype(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
     text_ends = np.cumsum([len(t) + 1 for t in texts])
-    return np.searchsorted(text_ends, starts, side="right"), Substrings(data).hashes(starts, ends)
+    hashes = Substrings(data).hashes(starts, ends)
+    for at in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        hashes[at] = xxhash.xxh3_64_intdigest(joined[starts[at] : ends[at]])
+    return np.searchsorted(text_ends, starts, side="right"), hashes
 
 
 def shingle_hashes(texts: Sequence[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:

@@ -91,3 +91,18 @@ def test_linked_sets_share_a_key(percent):
         need = max(jaccard.enough_frequent(len(s), percent) for s in (a, b))
         assert len(prefix[0] & prefix[1]) >= need
         assert jaccard.combinations(a, percent) & jaccard.combinations(b, percent)
+
+
+def test_words_made_to_collide(make):
+    """A Thue-Morse word and its complement have one value under every odd base modulo a power of two."""
+    from ledgerloom.llm.hashing import shingle_sets
+
+    for power in (10, 12, 16):
+        word = "a"
+        for _ in range(power):
+            word += word.translate(str.maketrans("ab", "ba"))
+        other = word.translate(str.maketrans("ab", "ba"))
+        one, two = shingle_sets([word.encode(), other.encode()], 3)
+        assert one.tolist() != two.tolist()
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.join_documents(make([(1, word, None), (2, other, None), (3, word, None)])).collect()}
+        assert got == {1: 1, 2: 2, 3: 1}
