@@ -8,6 +8,7 @@ in the text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import as_row, whole_text
 
 NEAR = 48  # code points of context on each side of a span
+NEIGHBOURS = 12  # matches that can lie in the context: the shortest have four code points
 THRESHOLD = 0.5
 
 
@@ -83,38 +85,64 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once per row, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(sizes: Column) -> Column:
+    """Running sums of an array: steps of doubling width, so that the work is the length times its logarithm."""
+    steps = F.slice(F.array(*[F.lit(1 << k) for k in range(31)]), F.lit(1), F.ceil(F.log2(F.greatest(F.size(sizes), F.lit(1)))).cast("int"))
+    return F.aggregate(steps, sizes, lambda sums, step: F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - step), F.lit(0))))
+
+
 def proposals(text: Column, kind: Kind) -> Column:
-    """Array of (start, end, match) of the leftmost non-overlapping matches."""
+    """Array of the leftmost non-overlapping matches, one element more than there are, which has no match.
+
+    (gap, size, match, tail, head): the lengths of the text before the match and of the match, the match, and the end and the
+    beginning of that text before, as long as context can be.
+    """
     gaps = F.split(text, kind.pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    lengths = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("match")))
-    empty = F.lit([]).cast("array<struct<start:int,end:int,match:string>>")
+    near = F.lit(NEAR)
+    return F.zip_with(
+        gaps, matches,
+        lambda g, m: F.struct(
+            F.length(g).alias("gap"), F.coalesce(F.length(m), F.lit(0)).alias("size"), m.alias("match"), F.right(g, near).alias("tail"), F.left(g, near).alias("head")
+        ),
+    )
 
-    def step(done: Column, item: Column) -> Column:
-        start = done["at"] + item["gap"]
-        end = start + F.length(item["match"])
-        return F.struct(end.alias("at"), F.concat(done["found"], F.array(F.struct(start.alias("start"), end.alias("end"), item["match"].alias("match")))).alias("found"))
 
-    placed = F.aggregate(
-        F.filter(lengths, lambda x: x["match"].isNotNull()), F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda done: done["found"]
-    )
-    some = text.contains(kind.hint) if kind.hint else F.lit(True)
-    return F.when(some & text.rlike(kind.pattern), placed).otherwise(empty)
+def around(items: Column, at: Column) -> Column:
+    """The ``NEAR`` code points before and after the match number ``at``, from the matches and gaps next to it."""
+    first, near = F.greatest(at - NEIGHBOURS, F.lit(0)), F.lit(NEAR)
+    before = F.transform(F.slice(items, first + 1, at - first), lambda x: F.concat(x["tail"], F.right(x["match"], near)))
+    after = F.transform(F.slice(items, at + 2, NEIGHBOURS + 1), lambda x: F.concat(x["head"], F.coalesce(F.left(x["match"], near), F.lit(""))))
+    return F.concat(F.right(F.concat(F.concat_ws("", before), items[at]["tail"]), near), F.lit(" "), F.left(F.concat_ws("", after), near))
 
 
 def spans_of(text: Column, kind: Kind) -> Column:
     """Array of (start, order, end, kind, score) of the valid matches of one kind."""
-    words = "|".join(kind.words)
-    around = lambda s: F.concat(
-        F.substr(text, F.greatest(s["start"] - NEAR, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR))), F.lit(" "), F.substr(text, s["end"] + 1, F.lit(NEAR))
-    )
-    bonus = lambda s: F.when(around(s).rlike(rf"(?i)(?<![\p{{L}}])({words})"), kind.bonus).otherwise(0.0)
     order = [k.name for k in KINDS].index(kind.name)
-    scored = F.transform(
-        F.filter(proposals(text, kind), lambda s: valid(kind.name, s["match"])),
-        lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"), F.lit(kind.name).alias("kind"), F.least(F.lit(kind.score) + bonus(s), F.lit(1.0)).alias("score")),
-    )
-    return scored if kind.name in BASE else F.filter(scored, lambda s: s["score"] >= THRESHOLD)
+    words = rf"(?i)(?<![\p{{L}}])({'|'.join(kind.words)})"
+
+    def scored(items: Column, ends: Column) -> Column:
+        held = F.transform(items, lambda x, i: F.struct(i.alias("at"), x["match"].alias("match")))
+        held = F.filter(held, lambda s: s["match"].isNotNull() & valid(kind.name, s["match"]))
+
+        def span(s: Column) -> Column:
+            end = F.get(ends, s["at"])
+            bonus = F.when(around(items, s["at"]).rlike(words), kind.bonus).otherwise(0.0)
+            return F.struct(
+                (end - F.length(s["match"])).alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(kind.name).alias("kind"), F.least(F.lit(kind.score) + bonus, F.lit(1.0)).alias("score")
+            )
+
+        return F.transform(held, span)
+
+    found = bound(proposals(text, kind), lambda items: bound(running(F.transform(items, lambda x: x["gap"] + x["size"])), lambda ends: scored(items, ends)))
+    some = text.contains(kind.hint) if kind.hint else F.lit(True)
+    found = F.when(some & text.rlike(kind.pattern), found).otherwise(F.array().cast("array<struct<start:int,order:int,end:int,kind:string,score:double>>"))
+    return found if kind.name in BASE else F.filter(found, lambda s: s["score"] >= THRESHOLD)
 
 
 def find_spans(docs: DataFrame) -> DataFrame:

@@ -41,6 +41,39 @@ def test_random_texts(make, texts):
     check(dict(enumerate(texts)), pii.span_report(make([(i, t, None) for i, t in enumerate(texts)])).collect())
 
 
+def test_very_many_matches(make):
+    """The work grows with the text, not with its square; context comes from the neighbours of a match."""
+    import time
+
+    took = {}
+    for n in (2_000, 16_000, 160_000):
+        text = " ".join(f"a{i}@b.cd" for i in range(n)) + " call +49301234567"
+        docs, start = make([(1, text, None)]), time.time()
+        row = pii.span_report(docs).collect()[0]
+        took[n] = time.time() - start
+        assert (row["n_email"], row["n_phone"], row["n_ip"]) == (n, 1, 0)
+        assert row["base_sha256"] == sha(listed(base_spans(text)))
+    assert took[160_000] < 10 * took[16_000] + 10
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(["ssn ", "123-45-6789", " ", "tel", "030 1234 567", "+12345678", "x" * 30, "a@b.c", "\n", "social security", "é"]), max_size=14).map("".join), min_size=20, max_size=30))
+def test_context_is_what_stands_around(llm, texts):
+    from pyspark.sql import functions as F
+
+    frame = llm.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for kind in pii.KINDS:
+        items = pii.proposals(F.col("text"), kind)
+        seen = frame.select("id", pii.bound(items, lambda x: F.transform(F.sequence(F.lit(0), F.size(x) - 1), lambda i: pii.around(x, i))).alias("c"), pii.bound(items, lambda x: x["match"]).alias("m"))
+        ends = frame.select("id", pii.running(F.transform(items, lambda x: x["gap"] + x["size"])).alias("e"))
+        for (i, contexts, matches), (_, e) in zip(seen.orderBy("id").collect(), ends.orderBy("id").collect()):
+            for context, match, end in zip(contexts, matches, e):
+                if match is not None:
+                    start = end - len(match)
+                    assert texts[i][start:end] == match
+                    assert context == texts[i][max(start - pii.NEAR, 0) : start] + " " + texts[i][end : end + pii.NEAR]
+
+
 def test_checksums(llm):
     from pyspark.sql import functions as F
 
