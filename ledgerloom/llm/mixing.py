@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.ordered import positions
 from ..session import materialise
-from .common import as_row, partitions, with_text
+from .common import as_row, partitions
 
 MAX_REPEATS = 3
 ROWS_PER_BUCKET = 50_000
@@ -140,26 +140,19 @@ def position_at(schedule: Schedule, words: Column) -> Column:
     return inverse_demand(schedule(F.col("rank")), F.coalesce(F.try_divide(words.cast("double"), F.col("target")), F.lit(0.0)))
 
 
-def first_words(text: Column, words: Column) -> Column:
-    """The text up to the end of its word number ``words``."""
-    found = F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
-    return F.concat_ws("", F.slice(found, F.lit(1), words.cast("int")))
-
-
 def training_order(docs: DataFrame, schedule: Schedule = rising_and_falling, **options) -> DataFrame:
     """``docs`` as the training run reads them: one row per use of a document, range-sorted by position.
 
-    Columns are those of ``docs``. A last use that the target cuts has the first words of the text, and
-    n_chars to match. Documents that the mix does not take are left out (see ``mix``); documents without
-    words add nothing to any target and stay once, at their place.
+    Rows and columns are those of ``docs``, texts stay whole: of the document in which a source reaches its target, the last use
+    counts if the target asks for half of it or more, so a source may miss its target by half a document.
+    Documents that the mix does not take are left out (see ``mix``); documents without words add nothing to any
+    target and stay once, at their place.
     """
     mixed = mix(docs, schedule=schedule, **options)
     rest = F.col("taken") - F.col("rounds") * F.col("size")
-    uses = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("rounds") + F.when(rest > 0, 1).otherwise(0))
+    uses = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("rounds") + F.when((rest > 0) & (2 * rest >= F.col("size")), 1).otherwise(0))
     use = mixed.withColumn("use", F.explode(F.filter(F.sequence(F.lit(0), uses.cast("int")), lambda i: i < uses)))
     at = position_at(schedule, F.col("place") + F.col("use") * F.col("source_size"))
-    words = F.when((F.col("use") < F.col("rounds")) | (F.col("size") == 0), F.col("size")).otherwise(rest)
-    text = F.when(words < F.col("size"), first_words(F.col("row.text"), words)).otherwise(F.col("row.text"))
-    placed = use.select("row", text.alias("used"), at.alias("at"), F.xxhash64("row.doc_id", "row.text").alias("tie"))
+    placed = use.select("row", at.alias("at"), F.xxhash64("row.doc_id", "row.text").alias("tie"))
     ordered = placed.repartitionByRange(partitions(docs), "at", "tie").sortWithinPartitions("at", "tie")
-    return ordered.select(*with_text(F.col("row"), docs.columns, F.col("used")))
+    return ordered.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
