@@ -23,12 +23,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialise
+from ..session import materialise, setting
 from .common import whole_text
 
 CHUNK_CHARS = 1 << 15  # longer texts are cut into chunks of about this size, dealt to all tasks
 FAN = 16  # fragments composed in one step of the tree
-CACHED_WORDS = 120_000  # per worker; of a full cache only the words that come up again are kept
+CACHED_WORDS = 200_000  # per worker; of a full cache only the words that come up again are kept
 CACHED_CHARS = 64  # longer words are not kept
 JOINT_WORDS = 4096  # words encoded together
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks; the apostrophe begins parts of its own
@@ -258,6 +258,7 @@ def chunks(text: str, size: int) -> list[str]:
 _FRAGMENT = "closes boolean, head_a string, head_b string, closed string, tail_a string, tail_b string, n_a long, n_b long, links binary, valid boolean"
 _ALIGNED = "n_a long, n_b long, groups string, links binary"
 TEXTS = 64  # aligned together
+BATCH_BYTES = "4m"  # of texts at a time: their groups and links are some times longer
 
 
 def _finished(f: Fragment) -> tuple:
@@ -380,6 +381,8 @@ def report(docs: DataFrame, path_a: str, path_b: str, chunk_chars: int = CHUNK_C
     found = align(docs, path_a, path_b, chunk_chars, keep=["doc_id"])
     n = F.floor(F.octet_length("links") / 4).cast("long")
     digest = F.coalesce(F.sha2("groups", 256), F.lit(""))
-    found = materialise(found.select("row.doc_id", "n_a", "n_b", n.alias("n_groups"), n.alias("n_links"), digest.alias("groups_sha256"), "links"), "links")
+    found = found.select("row.doc_id", "n_a", "n_b", n.alias("n_groups"), n.alias("n_links"), digest.alias("groups_sha256"), "links")
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
+        found = materialise(found, "links")
     scores = Links.of(found).scores()
     return found.withColumn("s", scores("links")).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "s.n_best", "s.count_sum", "groups_sha256")
