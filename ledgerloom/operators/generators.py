@@ -25,6 +25,16 @@ def _part(datepart: str) -> str:
     return datepart.upper()
 
 
+_MICROS = {"SECOND": 1_000_000, "MINUTE": 60_000_000, "HOUR": 3_600_000_000}
+
+
+def _later(part: str, n: Column, first: Column) -> Column:
+    """``n`` periods after ``first``; short periods may be more than 2**31."""
+    if part in _MICROS:
+        return F.timestamp_micros(F.unix_micros(first) + n.cast("bigint") * _MICROS[part])
+    return F.timestamp_add(part, n.cast("int"), first)
+
+
 def date_spine(spark: SparkSession, datepart: str, start: str, end: str, name: str | None = None) -> DataFrame:
     """One row per ``datepart`` from start up to, not including, end."""
     part, name = _part(datepart), name or f"date_{datepart}"
@@ -32,7 +42,7 @@ def date_spine(spark: SparkSession, datepart: str, start: str, end: str, name: s
     first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     count = spark.range(1).select(F.timestamp_diff(part, first, last)).first()[0]
     numbered = spark.range(max(count, 0) + 1)
-    moment = F.timestamp_add(part, F.col("id").cast("int"), first)
+    moment = _later(part, F.col("id"), first)
     return numbered.select(moment.alias("_t")).filter(F.col("_t") < last).select(F.col("_t").cast(kind).alias(name))
 
 
@@ -57,15 +67,16 @@ def fill_periods(
     if keys:
         # each key makes the periods itself, in two steps so that no row holds more than a block of them
         first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-        blocks = F.sequence(F.lit(0).cast("bigint"), F.timestamp_diff(part, first, last), F.lit(PERIODS_PER_BLOCK).cast("bigint"))
+        most = F.greatest(F.timestamp_diff(part, first, last), F.lit(0).cast("bigint"))  # an end before the start has no periods
+        blocks = F.sequence(F.lit(0).cast("bigint"), most, F.lit(PERIODS_PER_BLOCK).cast("bigint"))
         inside = F.sequence(F.col("_block"), F.col("_block") + (PERIODS_PER_BLOCK - 1))
         numbered = facts.select(*keys).distinct().filter(first < last).withColumn("_block", F.explode(blocks)).withColumn("_i", F.explode(inside))
-        at = F.timestamp_add(part, F.col("_i").cast("int"), first)
+        at = _later(part, F.col("_i"), first)
         grid = numbered.withColumn(period, at).filter(F.col(period) < last).withColumn(period, F.col(period).cast(kind)).drop("_block", "_i")
     inside = (column(moment) >= F.lit(start).cast("timestamp")) & (column(moment) < F.lit(end).cast("timestamp"))
     # periods are counted from the start, as the spine does
-    offset = F.timestamp_diff(part, F.lit(start).cast("timestamp"), column(moment).cast("timestamp")).cast("int")
-    own_period = F.timestamp_add(part, offset, F.lit(start).cast("timestamp")).cast(kind)
+    offset = F.timestamp_diff(part, F.lit(start).cast("timestamp"), column(moment).cast("timestamp"))
+    own_period = _later(part, offset, F.lit(start).cast("timestamp")).cast(kind)
     sums = facts.filter(inside).groupBy(*keys, own_period.alias(period)).agg(*[c.alias(n) for n, c in measures.items()])
     left, right = grid.alias("g"), sums.alias("s")
     same = F.col(f"g.{period}") == F.col(f"s.{period}")

@@ -130,9 +130,9 @@ def _in_blocks(
     # one row per large key
     groups = [placed.groupBy(*keys).agg(*[agg.alias(n) for n, agg in totals.items()])] if totals else []
     if percentiles and keys:
-        groups.append(large_percentiles(df, large, keys, percentiles, partitions))
+        groups.append(large_percentiles(df, large, keys, percentiles))
     elif percentiles:
-        groups.append(exact_percentiles(df, [], percentiles, at_most=large.rows, hot_rows=hot_rows, partitions=partitions))
+        groups.append(exact_percentiles(df, [], percentiles, at_most=large.rows, hot_rows=hot_rows))
     for group in groups:
         names = [c for c in group.columns if c not in keys]
         joined = result.alias("w").join(fitting(group.alias("g"), large.groups), same_keys("w", "g", keys))

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import scratch_dir
-from .ordered import HOT_ROWS, Hot, find_hot, fitting, interpolate, partitions_for, prefix_sums, same_keys, size_of, split_hot
+from ..session import materialise, scratch_dir
+from .ordered import HOT_ROWS, Hot, find_hot, fitting, interpolate, same_keys, size_of, split_hot
 
 Targets = Mapping[str, tuple[str, float]]
 
 # Spark's percentile holds the distinct values of many groups of a task at once,
 # so groups stay smaller here than for windows, which see one group at a time.
 GROUP_ROWS = 200_000
+BINS = 1 << 16  # of each pass of the radix selection
 
 
 def _bounded(df: DataFrame, keys: Sequence[str], targets: Targets, aggregates: Mapping[str, Column] | None = None) -> DataFrame:
@@ -31,35 +32,55 @@ def _bounded(df: DataFrame, keys: Sequence[str], targets: Targets, aggregates: M
     return found.select(*keys, *plain, *[F.col(f"_{i}")[j].alias(n) for n in targets for i, j in [place[n]]])
 
 
-def _spread_out(df: DataFrame, keys: Sequence[str], groups: int, targets: Targets, partitions: int) -> DataFrame:
-    """Value frequencies, range-partitioned and summed up to the wanted ranks."""
+def _narrowed(df: DataFrame, keys: Sequence[str], groups: int, targets: Targets) -> DataFrame:
+    """Radix selection: the range that holds a wanted rank is cut into ``BINS`` bins, counted, and narrowed to one of them.
+
+    Every pass counts in the tasks before the shuffle, at most a row for each bin, and keeps for each rank the least and
+    greatest value of its bin; it ends when they are equal. Nothing is sorted, and nothing but the ranks is
+    written. Doubles need two or three passes; an interval always splits, since its ends fall into different bins.
+    """
     columns = list(dict.fromkeys(c for c, _ in targets.values()))
     measures = F.array(*[F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
     cells = df.select(*keys, F.explode(measures).alias("_c")).select(*keys, F.col("_c.m").alias("_m"), F.col("_c.v").alias("_v"))
-    frequency = cells.filter(F.col("_v").isNotNull()).groupBy(*keys, "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    group, groups = [*keys, "_m"], groups * len(columns)
-    summed = prefix_sums(frequency, [F.col("_v").asc()], "_n", group, groups, "_upto", partitions)
-    totals = summed.groupBy(*group).agg(F.max("_upto").alias("_total"))
-    ranked = summed.alias("s").join(fitting(totals.alias("t"), groups), same_keys("s", "t", group))
-    ranked = ranked.select(*[F.col(f"s.`{k}`") for k in group], "s._v", "s._n", "s._upto", "t._total")
-
-    def rank(p: float) -> Column:
-        return (F.col("_total") - 1) * F.lit(float(p))
-
-    def value_at(c: str, position: Column) -> Column:
-        inside = (F.col("_upto") - F.col("_n") <= position) & (position < F.col("_upto"))
-        return F.max(F.when((F.col("_m") == columns.index(c)) & inside, F.col("_v")))
-
-    parts = []
-    for i, (c, p) in enumerate(targets.values()):
-        parts += [
-            value_at(c, F.floor(rank(p))).alias(f"_lo{i}"),
-            value_at(c, F.ceil(rank(p))).alias(f"_hi{i}"),
-            F.max(F.when(F.col("_m") == columns.index(c), rank(p))).alias(f"_at{i}"),
-        ]
-    found = ranked.groupBy(*keys).agg(*parts)
-
-    between = lambda i: interpolate(F.col(f"_at{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}"))
+    cells, group = cells.filter(F.col("_v").isNotNull()), [*keys, "_m"]
+    value, endless = F.col("_v"), F.lit(float("inf"))
+    finite = ~F.isnan(value) & (F.abs(value) < endless)
+    sums = cells.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_total"), F.count(F.when(value == -endless, 1)).alias("_below"), F.count(F.when(finite, 1)).alias("_finite"),
+        F.count(F.when(value == endless, 1)).alias("_above"), F.min(F.when(finite, value)).alias("_lo"), F.max(F.when(finite, value)).alias("_hi"),
+    )
+
+    def sides(i: int, c: str, p: float) -> list[Column]:
+        at = (F.col("_total") - 1) * F.lit(float(p))
+        return [F.struct(F.lit(columns.index(c)).alias("c"), F.lit(i).alias("i"), F.lit(side).alias("side"), at.alias("at"), to(at).alias("rank")) for side, to in (("lo", F.floor), ("hi", F.ceil))]
+
+    asked = F.explode(F.array(*[x for i, (c, p) in enumerate(targets.values()) for x in sides(i, c, p)]))
+    ranks = sums.select("*", asked.alias("_t")).select("*", "_t.i", "_t.side", "_t.at", "_t.rank").filter(F.col("_t.c") == F.col("_m"))
+    # doubles that are no numbers have their places at both ends
+    fixed = F.when(F.col("rank") < F.col("_below"), -endless).when(F.col("rank") >= F.col("_below") + F.col("_finite"), F.when(
+        F.col("rank") < F.col("_below") + F.col("_finite") + F.col("_above"), endless).otherwise(F.lit(float("nan"))))
+    held = [*group, "i", "side", "at", "rank", "_below"]
+    state = materialise(ranks.select(*held, F.coalesce(fixed, "_lo").alias("_lo"), F.coalesce(fixed, "_hi").alias("_hi")), "ranks")
+    rows = groups * 2 * len(targets)
+
+    while not (unknown := state.filter(F.col("_lo") < F.col("_hi"))).isEmpty():
+        interval = [*group, "_lo", "_hi"]
+        left, right = cells.alias("c"), fitting(unknown.select(*interval).distinct().alias("r"), rows)
+        inside = left.join(right, same_keys("c", "r", group) & F.col("c._v").between(F.col("r._lo"), F.col("r._hi")))
+        width = F.col("_hi") - F.col("_lo")
+        share = F.when(width < endless, (value - F.col("_lo")) / width).otherwise((value / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2))
+        binned = inside.select(*[F.col(f"r.`{k}`") for k in interval], "c._v").withColumn("_bin", F.least(F.floor(share * BINS), F.lit(BINS - 1)))
+        counted = binned.groupBy(*interval, "_bin").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        upto = F.sum("_n").over(Window.partitionBy(*interval).orderBy("_bin"))  # BINS rows at most
+        counted = counted.withColumn("_before", upto - F.col("_n")).alias("b")
+        here = (F.col("u.rank") - F.col("u._below")).between(F.col("b._before"), F.col("b._before") + F.col("b._n") - 1)
+        found = fitting(unknown.alias("u"), rows).join(counted, same_keys("u", "b", interval) & here)
+        found = found.select(*[F.col(f"u.`{c}`") for c in held[:-1]], (F.col("u._below") + F.col("b._before")).alias("_below"), F.col("b._least").alias("_lo"), F.col("b._most").alias("_hi"))
+        state = materialise(state.filter(~(F.col("_lo") < F.col("_hi"))).unionByName(found), "ranks")
+
+    one = lambda i, side, c: F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col(c)))
+    found = state.groupBy(*keys).agg(*[one(i, s, c).alias(f"{n}{i}") for i in range(len(targets)) for n, s, c in (("_l", "lo", "_lo"), ("_h", "hi", "_lo"), ("_at", "lo", "at"))])
+    between = lambda i: interpolate(F.col(f"_at{i}"), F.col(f"_l{i}"), F.col(f"_h{i}"))
     return found.select(*keys, *[between(i).alias(name) for i, name in enumerate(targets)])
 
 
@@ -71,14 +92,12 @@ def exact_percentiles(
     counts: DataFrame | None = None,
     at_most: DataFrame | int | None = None,
     hot_rows: int | None = None,
-    partitions: int | None = None,
     store: bool = False,
 ) -> DataFrame:
     """``targets`` maps a result column to (column, fraction); one row per key.
 
     Groups of at most ``hot_rows`` rows use the built-in aggregate; larger ones
-    are ranked over range partitions of their value frequencies. The values are
-    the same: linear interpolation between neighbours, NULLs ignored, double.
+    are found by radix selection. The values are the same: linear interpolation between neighbours, NULLs ignored, double.
     ``aggregates`` maps further result columns to plain aggregates, taken in the
     same pass where possible. ``counts`` and ``at_most`` as in ``find_hot``.
     ``store`` evaluates ``df`` once if there are large groups: for a ``df`` of
@@ -92,13 +111,13 @@ def exact_percentiles(
         size = size_of(df if at_most is None else at_most)
         if size <= (HOT_ROWS if hot_rows is None else hot_rows):
             return _bounded(df, [], targets, extra)
-        marks = _spread_out(df, [], 1, targets, partitions or partitions_for(size))
+        marks = _narrowed(df, [], 1, targets)
         return df.agg(*[a.alias(n) for n, a in extra.items()]).crossJoin(F.broadcast(marks)) if extra else marks
     large = find_hot(df, keys, GROUP_ROWS if hot_rows is None else hot_rows, counts, at_most)
     if large is None:
         return _bounded(df, keys, targets, extra)
     hot, cold = split_hot(df, large, keys, store)
-    found = large_percentiles(hot, large, keys, targets, partitions)
+    found = large_percentiles(hot, large, keys, targets)
     if extra:
         sums = hot.groupBy(*keys).agg(*[a.alias(n) for n, a in extra.items()])
         joined = sums.alias("a").join(fitting(found.alias("p"), large.groups), same_keys("a", "p", keys))
@@ -106,8 +125,8 @@ def exact_percentiles(
     return _bounded(cold, keys, targets, extra).unionByName(found)
 
 
-def large_percentiles(rows: DataFrame, hot: Hot, keys: Sequence[str], targets: Targets, partitions: int | None = None) -> DataFrame:
+def large_percentiles(rows: DataFrame, hot: Hot, keys: Sequence[str], targets: Targets) -> DataFrame:
     """Percentiles of the large groups, those holding no value at all included."""
-    found = _spread_out(rows, keys, hot.groups, targets, partitions or partitions_for(hot.rows))
+    found = _narrowed(rows, keys, hot.groups, targets)
     joined = hot.keys.alias("k").join(found.alias("f"), same_keys("k", "f", keys), "left")
     return joined.select(*[F.col(f"k.`{k}`") for k in keys], *[F.col(f"f.`{n}`") for n in targets])

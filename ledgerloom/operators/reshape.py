@@ -105,19 +105,24 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[t
             c = F.col(f"`{name}`")
             if direction.lower() == "desc":
                 kind = types[name]
-                if isinstance(kind, T.DateType):
-                    c = F.datediff(c, F.lit("1970-01-01").cast("date"))
-                elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-                    c = F.unix_micros(c.cast("timestamp"))
-                elif isinstance(kind, T.BooleanType):
-                    c = c.cast("int")
+                if isinstance(kind, (T.FloatType, T.DoubleType)):
+                    # NaN is the largest value
+                    parts += [c.isNull(), ~F.isnan(c), -F.nanvl(c, F.lit(0.0))]
+                elif isinstance(kind, T.DecimalType):
+                    parts += [c.isNull(), -c]
                 elif isinstance(kind, (T.StringType, T.BinaryType)):
                     # complement of the bytes; the end mark puts a longer text before its own beginning
                     parts += [c.isNull(), F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))]
-                    continue
-                elif not isinstance(kind, T.NumericType):
-                    raise ValueError(f"cannot mix directions on {name}: {kind.simpleString()}")
-                parts += [c.isNull(), -c]
+                else:
+                    if isinstance(kind, T.DateType):
+                        c = F.datediff(c, F.lit("1970-01-01").cast("date"))
+                    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+                        c = F.unix_micros(c.cast("timestamp"))
+                    elif isinstance(kind, T.BooleanType):
+                        c = c.cast("int")
+                    elif not isinstance(kind, T.IntegralType):
+                        raise ValueError(f"cannot mix directions on {name}: {kind.simpleString()}")
+                    parts += [c.isNull(), F.bitwise_not(c)]  # reverses the order and, unlike minus, has no overflow
             else:
                 parts.append(c)
         picked = F.min_by(best, F.struct(*parts))

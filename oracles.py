@@ -393,6 +393,16 @@ QUERY_SQL = {
         ntile(7) OVER (ORDER BY o_orderpriority DESC, o_orderkey) AS priority_tile FROM orders""",
     "segment_price_percentiles": """SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.5), 4) AS median_price,
         round(quantile_cont(o_totalprice, 0.9), 4) AS p90_price FROM orders GROUP BY 1""",
+    "order_price_percentiles_narrowed": " UNION ALL ".join(
+        f"""SELECT {k} AS o_orderstatus, round(quantile_cont(o_totalprice, 0.0), 4) AS least_price, round(quantile_cont(o_totalprice, 0.01), 4) AS p01_price,
+        round(quantile_cont(o_totalprice, 0.5), 4) AS median_price, round(quantile_cont(o_totalprice, 1.0), 4) AS top_price FROM orders GROUP BY 1"""
+        for k in ("'all'", "o_orderstatus")
+    ),
+    "latest_event_of_user": """WITH e AS (SELECT user_id, event_id, CASE WHEN event_type = 'click' THEN 'nan'::DOUBLE ELSE value END AS worth,
+            CASE WHEN event_id % 5 = 0 THEN -9223372036854775808 ELSE event_id END AS code FROM events),
+        a AS (SELECT user_id, event_id FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY worth DESC NULLS LAST, event_id) = 1),
+        b AS (SELECT user_id, event_id AS by_code FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY code DESC, event_id) = 1)
+        SELECT a.user_id, a.event_id, b.by_code FROM a JOIN b USING (user_id)""",
     "flag_price_percentiles_split": """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.5), 4) AS median_price,
         round(quantile_cont(l_extendedprice, 0.99), 4) AS p99_price, round(quantile_cont(l_quantity, 0.5), 4) AS median_qty FROM lineitem GROUP BY 1""",
     "order_running_total": f"""SELECT o_orderkey, {ts('o_orderdate')} AS o_orderdate, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
@@ -501,7 +511,7 @@ QUERY_SQL = {
           + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians((b.lon - a.lon) / 2)), 2)))) * 1.60934 AS d
         FROM (SELECT {point('c_custkey')} FROM customer) a CROSS JOIN (SELECT {point('s_suppkey')} FROM supplier) b) WHERE d <= 700)"""),
     "date_spine_minutely_events": f"""SELECT t.event_type, {ts('g.p')} AS minute, count(e.event_id) AS n_events
-        FROM ({GRID.format('2024-01-05', '2024-01-11 23:59:00', 'MINUTE')}) g CROSS JOIN (SELECT DISTINCT event_type FROM events) t
+        FROM ({GRID.format('2024-01-01', '2024-01-31 23:59:00', 'MINUTE')}) g CROSS JOIN (SELECT DISTINCT event_type FROM events) t
         LEFT JOIN events e ON date_trunc('minute', e.ts) = g.p AND e.event_type = t.event_type GROUP BY ALL""",
     "check_accepted_range": "SELECT * FROM lines WHERE NOT (l_quantity > 2 AND l_quantity < 49)",
     "check_at_least_one": "SELECT o_custkey, 0 AS filler_column FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderpriority = '1-URGENT') = 0",
@@ -597,7 +607,7 @@ for _source, _keys in {
     _text = ", ".join(f"CAST({k} AS VARCHAR) AS {k}" for k in _keys)
     QUERY_SQL[f"csv_load_{_source}"] = f"SELECT * REPLACE ({_text}) FROM ({QUERY_SQL[f'stg_{_source}']})"
 
-for _part, _start, _end in (("week", "1995-01-02", "2002-12-30"), ("quarter", "1995-01-01", "2002-10-01"), ("year", "1994-01-01", "2002-01-01")):
+for _part, _start, _end in (("week", "1994-12-26", "2002-12-30"), ("quarter", "1995-01-01", "2002-10-01"), ("year", "1994-01-01", "2002-01-01")):
     _every = {"week": "7 DAY", "quarter": "3 MONTH", "year": "1 YEAR"}[_part]
     _grid = f"SELECT CAST(generate_series AS TIMESTAMP) AS p FROM generate_series(TIMESTAMP '{_start}', TIMESTAMP '{_end}', INTERVAL {_every})"
     QUERY_SQL[f"date_spine_orders_per_{_part}"] = f"""SELECT s.o_orderstatus, {day('g.p')} AS starts_on, count(o.o_orderkey) AS n_orders

@@ -303,10 +303,10 @@ def segment_price_percentiles(spark, folder):
 
 @query
 def flag_price_percentiles_split(spark, folder):
-    """Percentiles of groups that each hold a third of all rows, over range partitions."""
+    """Percentiles of groups that each hold a third of all rows, by radix selection."""
     lines = table(spark, folder, "lineitem")
     points = {"median_price": ("l_extendedprice", 0.5), "p99_price": ("l_extendedprice", 0.99), "median_qty": ("l_quantity", 0.5)}
-    return exact_percentiles(lines, ["l_returnflag"], points, hot_rows=1000, partitions=6)
+    return exact_percentiles(lines, ["l_returnflag"], points, hot_rows=1000)
 
 
 @query
@@ -475,15 +475,15 @@ def _orders_per(part: str, start: str, end: str):
     return run
 
 
-for _part, _start in (("week", "1995-01-02"), ("quarter", "1995-01-01"), ("year", "1994-01-01")):
+for _part, _start in (("week", "1994-12-26"), ("quarter", "1995-01-01"), ("year", "1994-01-01")):
     query(_orders_per(_part, _start, "2003-01-01"))
 
 
 @query
 def date_spine_minutely_events(spark, folder):
-    """Events per minute of a week and type: a long spine for every key."""
+    """Events per minute of a month and type: a long spine for every key."""
     return generators.fill_periods(
-        table(spark, folder, "events"), "minute", "ts", "2024-01-05", "2024-01-12", {"n_events": F.count(F.lit(1))}, ["event_type"], period="minute"
+        table(spark, folder, "events"), "minute", "ts", "2024-01-01", "2024-02-01", {"n_events": F.count(F.lit(1))}, ["event_type"], period="minute"
     )
 
 
@@ -618,12 +618,31 @@ def forms_of_windows(spark, folder):
     return _agreement({n: transactions.rolling_measures(rows, figures=True, hot_rows=t, partitions=7) for n, t in THRESHOLDS.items()})
 
 
+@query
+def order_price_percentiles_narrowed(spark, folder):
+    """Percentiles of the whole table, and of each status, by radix selection."""
+    orders = table(spark, folder, "orders").select("o_orderstatus", "o_totalprice")
+    points = {"least_price": ("o_totalprice", 0.0), "p01_price": ("o_totalprice", 0.01), "median_price": ("o_totalprice", 0.5), "top_price": ("o_totalprice", 1.0)}
+    whole = exact_percentiles(orders, [], points, hot_rows=0).select(F.lit("all").alias("o_orderstatus"), *points)
+    return whole.unionByName(exact_percentiles(orders, ["o_orderstatus"], points, hot_rows=0))
+
+
+@query
+def latest_event_of_user(spark, folder):
+    """Deduplication by mixed directions over doubles that hold NaN and longs that hold the smallest one."""
+    rows = table(spark, folder, "events").select("user_id", "event_id", F.when(F.col("event_type") == "click", F.lit(float("nan"))).otherwise(F.col("value")).alias("worth"))
+    rows = rows.withColumn("code", F.when(F.col("event_id") % 5 == 0, F.lit(-(2**63))).otherwise(F.col("event_id")))
+    found = reshape.deduplicate(rows, ["user_id"], [("worth", "desc"), ("event_id", "asc")]).select("user_id", "event_id")
+    least = reshape.deduplicate(rows, ["user_id"], [("user_id", "asc"), ("code", "desc"), ("event_id", "asc")]).select("user_id", F.col("event_id").alias("by_code"))
+    return found.join(least, "user_id")
+
+
 @query
 def forms_of_percentiles(spark, folder):
     """Percentiles per key, whatever size a group is cut at."""
     lines = table(spark, folder, "lineitem")
     points = {"median_price": ("l_extendedprice", 0.5), "p99_qty": ("l_quantity", 0.99)}
-    return _agreement({n: exact_percentiles(lines, ["l_suppkey"], points, hot_rows=t, partitions=5) for n, t in THRESHOLDS.items()})
+    return _agreement({n: exact_percentiles(lines, ["l_suppkey"], points, hot_rows=t) for n, t in THRESHOLDS.items()})
 
 
 @query

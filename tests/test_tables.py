@@ -237,3 +237,27 @@ def test_proximity_pairs_equals_brute_force(spark, radius, hot_rows):
     got = sorted((r.left_id, r.right_id) for r in proximity.proximity_pairs(a, b, radius, "mi", hot_rows=hot_rows).collect())
     want = sorted((x[0], y[0]) for x in left for y in right if miles(x[1:], y[1:]) <= radius)
     assert got == want
+
+
+def test_deduplicate_mixed_directions_at_the_ends_of_types(spark):
+    least, nan = -(2**63), float("nan")
+    rows = [(1, 5.0, 1, 3), (1, nan, 2, least), (1, None, 3, 7), (2, -0.5, 1, least), (2, float("-inf"), 2, None), (3, None, 1, least), (3, None, 2, 2**63 - 1)]
+    df = spark.createDataFrame(rows, "k int, v double, id int, n long")
+    pick = lambda order: {r["k"]: r["id"] for r in reshape.deduplicate(df, ["k"], order).collect()}
+    for order in ([("v", "desc"), ("id", "asc")], [("n", "desc"), ("id", "asc")], [("id", "asc"), ("n", "desc")], [("n", "asc"), ("v", "desc")]):
+        want = {}
+        for r in reversed(df.orderBy(*[F.col(c).desc() if d == "desc" else F.col(c).asc() for c, d in order]).collect()):
+            want[r["k"]] = r["id"]
+        assert pick(order) == want, order
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_fill_periods_with_an_end_before_the_start_is_empty(spark, keys):
+    facts = spark.createDataFrame([(1, "2024-01-05 00:00:00")], "k int, t string")
+    got = generators.fill_periods(facts, "day", "t", "2024-01-08", "2024-01-05", {"n": F.count(F.lit(1))}, keys)
+    assert got.collect() == [] and got.columns == [*keys, "period", "n"]
+
+
+def test_periods_beyond_the_int_range(spark):
+    spine = generators.date_spine(spark, "second", "1900-01-01", "2024-01-01").filter("date_second >= timestamp'2023-12-31 23:59:58'")
+    assert [str(r[0]) for r in spine.orderBy("date_second").collect()] == ["2023-12-31 23:59:58", "2023-12-31 23:59:59"]
