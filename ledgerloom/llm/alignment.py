@@ -28,7 +28,7 @@ from .common import whole_text
 
 CHUNK_CHARS = 1 << 15  # longer texts are cut into chunks of about this size, dealt to all tasks
 FAN = 16  # fragments composed in one step of the tree
-CACHED_WORDS = 200_000  # per worker; of a full cache only the words that come up again are kept
+CACHED_WORDS = 120_000  # per worker; of a full cache only the words that come up again are kept
 CACHED_CHARS = 64  # longer words are not kept
 JOINT_WORDS = 4096  # words encoded together
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks; the apostrophe begins parts of its own
@@ -82,13 +82,8 @@ def fragment(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int], v
     return Fragment(True, *groups[0], ";".join(f"{x}|{y}" for x, y in groups[1:]), *rest, *counts)
 
 
-class Known(NamedTuple):
-    """A word's fragment, which begins and ends with the word, written out."""
-
-    n_a: int
-    n_b: int
-    groups: str
-    links: bytes
+#: n_a, n_b, groups, links of a word's fragment, which begins and ends with the word
+Known = tuple[int, int, str, bytes]
 
 
 class Sides:
@@ -150,10 +145,11 @@ class Sides:
     def _a_ids(self, words: list[str]) -> list[list[int]]:
         """Latin words, with ASCII marks or none after them, go to the model part by part: the split before it would cut there."""
         model, shown, found, others = self.a.model.tokenize, self._shows(), [], []
+        space = shown[32]
         for at, word in enumerate(words):
             stem = word.rstrip(MARKS)
-            if stem.isalpha() and max(stem) < "\u0250":
-                ids = [t.id for t in model((" " + stem).encode().decode("latin-1").translate(shown))]
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+                ids = [t.id for t in model(space + stem if stem.isascii() else space + stem.encode().decode("latin-1").translate(shown))]
                 if len(stem) < len(word):
                     ids += [t.id for t in model(word[len(stem) :])]
                 found.append(ids)
@@ -187,11 +183,15 @@ class Sides:
         # every word ends with tokens of both sides
         last, g, found = (np.searchsorted(a_to, np.cumsum([len(ids) for ids in a_ids])) + 1).tolist(), 0, []
         for g2, of_a, of_b in zip(last, a_ids, b_ids):
-            found.append(Known(len(of_a), len(of_b), ";".join(groups[g:g2]), links[4 * g : 4 * g2]))
+            found.append((len(of_a), len(of_b), ";".join(groups[g:g2]), links[4 * g : 4 * g2]))
             g = g2
         return found
 
 
+def _uncut(word: str) -> bool:
+    return not word or word[0].isspace() or word[-1].isspace()
+
+
 class Aligner:
     """Fragments of texts from a cache of their words."""
 
@@ -211,19 +211,20 @@ class Aligner:
         for first in range(0, len(fresh), JOINT_WORDS):
             part = fresh[first : first + JOINT_WORDS]
             self.words.update(zip(part, self.sides.known(part)))
-        return [w for w in fresh if len(w) > CACHED_CHARS]
+        return [w for w in fresh if len(w) > CACHED_CHARS or _uncut(w)]
 
     def fragments(self, texts: list[str]) -> list[Fragment]:
         """One for each text, which is not empty and stands for a space and itself."""
         split = [t.split(" ") for t in texts]
         wanted = set().union(*split)
-        uncut = {w for w in wanted if not w or w[0].isspace() or w[-1].isspace()}
-        if uncut:  # the space at such an end is no place to cut
+        # what is known has no white space at an end; the space at such an end is no place to cut
+        uncut = {w for w in wanted.difference(self.words) if _uncut(w)}
+        if uncut:
             split = [words if uncut.isdisjoint(words) else _SAFE.split(text) for text, words in zip(texts, split)]
             wanted = set().union(*split)
-        long = self._learn(wanted)
+        passing = self._learn(wanted)
         found = [self._whole(list(map(self.words.__getitem__, words))) for words in split]
-        for word in long:
+        for word in passing:
             del self.words[word]
         return found
 

@@ -62,6 +62,13 @@ def test_full_cache_and_long_words(aligner):
     assert len(small.words) <= 8 and len(small.older) <= 8 and all(len(w) <= op.CACHED_CHARS for w in aligner.words)
 
 
+def test_white_space_at_an_end_is_never_kept(aligner):
+    """A first word with white space before it must not make that space a place to cut later on."""
+    for texts in (["\nfoo bar", " foo", "foo\n"], ["a \nfoo bar", "a  foo", "foo\n b"]):
+        for text, f in zip(texts, aligner.fragments(texts)):
+            assert op._finished(f)[2] == plain([text], BYTE_LEVEL, PIECES)[0][6]
+
+
 def test_words_that_are_not_spelled_stand_alone(aligner):
     words = [f"w{i}" for i in range(50)] + ["a▁b"] + [f"v{i}" for i in range(50)]
     found = aligner.sides.known(words)
