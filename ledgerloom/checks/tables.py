@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.casts import AsOf, column, moment
 from ..functions.expressions import slugify
 from ..operators.keyed import keyed_windows
+from ..operators.ordered import HOT_ROWS, find_hot, prefix_maxima, split_hot
 
 
 def at_least_one(df: DataFrame, c: str, group_by: Sequence[str] = ()) -> DataFrame:
@@ -173,6 +174,43 @@ def mutually_exclusive_ranges(
     return judged.filter(~(F.col(length_name) & F.col(order_name)))
 
 
+def overlapping_ranges(
+    df: DataFrame,
+    lower: str | Column,
+    upper: str | Column,
+    partition_by: str | Column | None = None,
+    hot_rows: int | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Ranges that begin before an earlier one has ended, also one that lies inside an earlier, longer one.
+
+    ``mutually_exclusive_ranges`` looks at the next range only. ``reached`` is the largest upper bound of the ranges
+    before, by lower and upper bound. Upper bounds do not belong to their range; ranges without length or with a NULL
+    bound cover nothing and are left out. A key of more than ``hot_rows`` ranges is spread over range partitions.
+    """
+    keys = [] if partition_by is None else ["partition_by_col"]
+    ranges = df.select(
+        *([] if partition_by is None else [column(partition_by).alias("partition_by_col")]),
+        column(lower).alias("lower_bound"),
+        column(upper).alias("upper_bound"),
+    ).filter("lower_bound < upper_bound")
+    order = [F.col("lower_bound"), F.col("upper_bound")]
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    spread = lambda rows, groups: prefix_maxima(rows, order, "upper_bound", keys, groups, partitions=partitions)
+    if not keys:
+        seen = spread(ranges, 1)
+    else:
+        before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        plain = lambda rows: rows.withColumn("reached", F.max("upper_bound").over(before))
+        large = find_hot(ranges, keys, hot_rows)
+        if large is None:
+            seen = plain(ranges)
+        else:
+            hot, cold = split_hot(ranges, large, keys, store=True)
+            seen = plain(cold).unionByName(spread(hot, large.groups))
+    return seen.filter(F.col("lower_bound") < F.col("reached"))
+
+
 def sequential_values(
     df: DataFrame,
     c: str,

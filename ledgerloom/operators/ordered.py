@@ -185,6 +185,31 @@ def prefix_sums(
     return joined.select(*[F.col(f"s.`{c}`") for c in df.columns], (F.col("s._local") + F.col("o._offset")).alias(name))
 
 
+def prefix_maxima(
+    df: DataFrame,
+    order_by: Sequence[Column],
+    value: str,
+    keys: Sequence[str] = (),
+    groups: int = 1,
+    name: str = "reached",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Largest ``value`` of all rows before, over the whole table or per key of ``groups`` large keys; NULL at the first.
+
+    ``order_by`` must be a total order up to equal values for a repeatable result.
+    """
+    partitions = partitions or partitions_for(df.count())
+    spread = _spread(df, keys, order_by, partitions)
+    parts = spread.groupBy("_pid", *keys).agg(F.max(value).alias("_m"))
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumn("_offset", F.max("_m").over(earlier)).drop("_m")
+    local = Window.partitionBy("_pid", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    topped = spread.withColumn("_local", F.max(value).over(local))
+    on = (F.col("s._pid") == F.col("o._pid")) & same_keys("s", "o", keys)
+    joined = topped.alias("s").join(fitting(offsets.alias("o"), partitions + groups), on)
+    return joined.select(*[F.col(f"s.`{c}`") for c in df.columns], F.greatest("s._local", "o._offset").alias(name))
+
+
 def global_rank_ntile(
     df: DataFrame,
     value: str,

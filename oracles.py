@@ -483,6 +483,16 @@ QUERY_SQL = {
     "upsert_sync_columns": "SELECT p_partkey, p_size, CASE WHEN p_size > 25 THEN 'big' END AS label FROM part",
     "newer_than_mark": f"""SELECT o_orderkey, {ts('o_orderdate')} AS o_orderdate FROM orders
         WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')""",
+    "unread_files_of_orders": f"SELECT o_orderkey, {ts('o_orderdate')} AS o_orderdate, round(o_totalprice, 4) AS o_totalprice FROM orders",
+    "csv_rejects_of_orders": """WITH l AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderstatus = 'P' OR o_orderpriority = '5-LOW' AS bad FROM orders)
+        SELECT CASE WHEN NOT bad THEN o_orderkey END AS o_orderkey, CASE WHEN NOT bad THEN o_custkey END AS o_custkey, CASE WHEN NOT bad THEN cents END AS cents,
+        CASE WHEN NOT bad THEN o_orderpriority END AS o_orderpriority, CASE WHEN bad THEN concat_ws(',', o_orderkey, o_custkey,
+        CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE CAST(cents AS VARCHAR) END, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END) END AS record FROM l""",
+    "sql_text_functions": f"""SELECT CAST(CAST(m.m AS DATE) AS VARCHAR) AS date_month, c_mktsegment || '~' || o_orderpriority AS business_key,
+        min(substr(c_name, 1, 3) || '********' || right(c_name, 4)) AS masked, count(o_orderkey) AS n_orders, floor(sum(CAST(round(o_totalprice * 100) AS BIGINT)) / nullif(count(o_orderkey), 0)) AS mean_cents,
+        min({sk('c_mktsegment', 'o_orderpriority')}) AS first_key
+        FROM (SELECT unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2002-12-01', INTERVAL 1 MONTH)) AS m) m
+        LEFT JOIN orders ON date_trunc('month', o_orderdate) = m.m LEFT JOIN customer ON c_custkey = o_custkey GROUP BY ALL""",
     "incremental_affected_customers": f"""SELECT o_orderkey, o_custkey, {ts('o_orderdate')} AS o_orderdate FROM orders
         WHERE o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-01')""",
     "stream_upsert_orders": """SELECT k AS arrival, o_custkey, o_orderkey, o_orderstatus
@@ -525,6 +535,20 @@ QUERY_SQL = {
         SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""",
     "check_equality_exact": """WITH a AS (SELECT o_custkey AS k FROM orders), b AS (SELECT c_custkey AS k FROM customer)
         SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
+    "check_equality_by_checksum": """WITH a AS (SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount, l_returnflag FROM lineitem),
+        b AS (SELECT * REPLACE (CASE WHEN l_extendedprice > 104500 THEN 0.5 ELSE l_discount END AS l_discount) FROM a), ab AS (SELECT * FROM a EXCEPT ALL SELECT * FROM b),
+        ba AS (SELECT * FROM b EXCEPT ALL SELECT * FROM a), d AS (SELECT 'a_minus_b' AS which_diff, * FROM ab UNION ALL SELECT 'b_minus_a', * FROM ba)
+        SELECT * REPLACE (round(l_extendedprice, 4) AS l_extendedprice, round(l_discount, 4) AS l_discount) FROM d""",
+    "check_cardinality_by_checksum": """WITH a AS (SELECT l_orderkey, count(*) AS num_rows FROM lineitem GROUP BY 1),
+        b AS (SELECT l_orderkey, count(*) FROM lineitem WHERE l_extendedprice <= 104500 GROUP BY 1)
+        (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)""",
+    "check_overlapping_ranges": """SELECT k AS partition_by_col, CAST(lo AS VARCHAR) AS lower_bound, CAST(hi AS VARCHAR) AS upper_bound, CAST(top AS VARCHAR) AS reached
+        FROM (SELECT *, max(hi) OVER (PARTITION BY k ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+        FROM (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS lo, CAST(o_orderdate AS DATE) + CAST(floor(o_totalprice / 500) AS INT) AS hi FROM orders) WHERE lo < hi)
+        WHERE lo < top""",
+    "check_overlapping_ranges_table": """SELECT lo AS lower_bound, hi AS upper_bound, top AS reached
+        FROM (SELECT *, max(hi) OVER (ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+        FROM (SELECT o_orderkey AS lo, o_orderkey + CASE WHEN o_totalprice > 400000 THEN 50 ELSE 1 END AS hi FROM orders)) WHERE lo < top""",
     "check_expression_is_true": "SELECT * FROM lines WHERE NOT (l_discount < 0.09::DOUBLE AND l_returnflag <> 'R')",
     "check_expression_on_column": "SELECT * FROM lines WHERE NOT (l_quantity + l_linenumber <= 50)",
     "check_fewer_rows_than": """SELECT a.k AS k_a, b.k AS k_b, a.n AS count_our_model, b.n AS count_comparison_model,

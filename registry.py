@@ -7,8 +7,9 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from ledgerloom.checks import rows as row_checks, tables as table_checks
+from ledgerloom.checks import checksums, rows as row_checks, tables as table_checks
 from ledgerloom.checks.runner import accepted_range_check, check, not_null_check, row_check, run_checks, unique_check
+from ledgerloom.functions import sql as sql_functions
 from ledgerloom.functions.expressions import business_key, hash_column, safe_add, safe_divide, safe_subtract
 from ledgerloom.operators import generators, keys, projection, proximity, reshape, unions, values, web
 from ledgerloom.operators.keyed import keyed_windows
@@ -16,7 +17,7 @@ from ledgerloom.operators.ordered import global_rank_ntile
 from ledgerloom.operators.percentiles import exact_percentiles
 from ledgerloom.plans import accounts, analytics, customers, loans, quality, refresh, staging, transactions
 from ledgerloom.session import SCRATCH_DATABASE, materialise, scratch_path, scratch_table, tune
-from ledgerloom.sources import catalog, registry as sources, star_schema as star, tables
+from ledgerloom.sources import catalog, marks, registry as sources, rejects, star_schema as star, tables
 from ledgerloom.streaming.upserts import stream_upsert
 
 AS_OF = star.AS_OF
@@ -672,6 +673,34 @@ def forms_of_proximity(spark, folder):
 # --------------------------------------------------------- tables and upserts
 
 
+@query
+def csv_rejects_of_orders(spark, folder):
+    """Orders as CSV, of which some have no number for the price and some miss a field: rows taken and records rejected."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
+    price = F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(cents)
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), price)
+    line = F.when(F.col("o_orderpriority") != "5-LOW", F.concat(line, F.lit(","), "o_orderpriority")).otherwise(line)
+    path = scratch_path(spark, "lines")
+    table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("o_orderkey BIGINT, o_custkey BIGINT, cents BIGINT, o_orderpriority STRING")
+    accepted, rejected = rejects.read_csv_checked(spark, path, schema, {"header": "false"})
+    return accepted.unionByName(rejected.select(F.col(rejects.RECORD).alias("record")), allowMissingColumns=True)
+
+
+@query
+def sql_text_functions(spark, folder):
+    """SQL text with the library's functions: months of a spine, masked customers, guarded means."""
+    sql_functions.register(spark)
+    table(spark, folder, "orders").createOrReplaceTempView("_sql_orders")
+    table(spark, folder, "customer").createOrReplaceTempView("_sql_customer")
+    return spark.sql("""
+        SELECT m.date_month, business_key(array(c.c_mktsegment, o.o_orderpriority)) AS business_key, min(mask_pii(c.c_name)) AS masked, count(o.o_orderkey) AS n_orders,
+               floor(safe_divide(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)), count(o.o_orderkey))) AS mean_cents, min(surrogate_key(array(c.c_mktsegment, o.o_orderpriority))) AS first_key
+        FROM date_spine_month(TIMESTAMP '1994-01-01', TIMESTAMP '2003-01-01') m
+        LEFT JOIN _sql_orders o ON date_trunc('month', o.o_orderdate) = m.date_month LEFT JOIN _sql_customer c ON c.c_custkey = o.o_custkey
+        GROUP BY ALL""")
+
+
 def _csv_load(source: str, stage: Callable[[DataFrame], DataFrame]):
     def run(spark, folder):
         root = scratch_path(spark, "csv")
@@ -827,6 +856,19 @@ def newer_than_mark(spark, folder):
     return tables.newer_than_mark(orders, orders.filter("o_orderdate < '2000-01-01'"), "o_orderdate")
 
 
+@query
+def unread_files_of_orders(spark, folder):
+    """Orders that arrive in three drops, the oldest last, taken file by file: none is passed over."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    root, name, target = scratch_path(spark, "drops"), scratch_table(spark, "marks"), scratch_path(spark, "taken")
+    for drop in ("o_orderdate >= '1999-01-01'", "o_orderdate >= '1997-01-01' AND o_orderdate < '1999-01-01'", "o_orderdate < '1997-01-01'"):
+        orders.filter(drop).write.mode("append").parquet(root)
+        rows, files = marks.read_unread(spark, root, name, orders.schema)
+        rows.write.mode("append").parquet(target)
+        marks.mark_read(files, name)
+    return spark.read.schema(orders.schema).parquet(target)
+
+
 @query
 def incremental_affected_customers(spark, folder):
     """All orders of the customers that ordered since 2001-07-01."""
@@ -960,6 +1002,21 @@ def check_equality_exact(spark, folder):
     return table_checks.equality(ours, theirs, exact=True)
 
 
+@query
+def check_equality_by_checksum(spark, folder):
+    """All lines against the same lines with the dearest ones at another discount: few buckets differ."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag")
+    amended = lines.withColumn("l_discount", F.when(F.col("l_extendedprice") > 104500, F.lit(0.5)).otherwise(F.col("l_discount")))
+    return checksums.equality(lines, amended, exact=True)
+
+
+@query
+def check_cardinality_by_checksum(spark, folder):
+    """How many lines the orders have, with and without the dearest lines."""
+    lines = table(spark, folder, "lineitem")
+    return checksums.cardinality_equality(lines, "l_orderkey", lines.filter("l_extendedprice <= 104500"), "l_orderkey")
+
+
 @query
 def check_expression_is_true(spark, folder):
     return row_checks.expression_is_true(_lines(spark, folder), "l_discount < 0.09 and l_returnflag <> 'R'")
@@ -993,6 +1050,22 @@ def check_mutually_exclusive_ranges_table(spark, folder):
     return table_checks.mutually_exclusive_ranges(spans, "lo", "hi", gaps="not_allowed", hot_rows=4000)
 
 
+@query
+def check_overlapping_ranges(spark, folder):
+    """Days from an order of a customer on, longer for dear orders, so that ranges lie inside earlier ones."""
+    days = F.floor(F.col("o_totalprice") / 500).cast("int")
+    spans = table(spark, folder, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("lo"), F.date_add("o_orderdate", days).alias("hi"))
+    return table_checks.overlapping_ranges(spans, "lo", "hi", "o_custkey")
+
+
+@query
+def check_overlapping_ranges_table(spark, folder):
+    """One order over the whole table: dear orders reach over the keys of the next ones."""
+    width = F.when(F.col("o_totalprice") > 400000, 50).otherwise(1)
+    spans = table(spark, folder, "orders").select(F.col("o_orderkey").alias("lo"), (F.col("o_orderkey") + width).alias("hi"))
+    return table_checks.overlapping_ranges(spans, "lo", "hi")
+
+
 @query
 def check_not_accepted_values(spark, folder):
     return row_checks.not_accepted_values(table(spark, folder, "orders"), "o_orderpriority", ["1-URGENT", "5-LOW", "9-NEVER"])

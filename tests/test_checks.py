@@ -1,6 +1,7 @@
 """Every check with passing and failing data."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,3 +224,26 @@ def test_runner_rejects_bad_specs():
         Check("bad", violations=lambda df: df, error_if="> 1; drop")
     with pytest.raises(ValueError):
         Check("bad", violations=lambda df: df, severity="fatal")
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 40, 1])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_overlapping_ranges_equal_brute_force(spark, rows, hot_rows, keyed):
+    rng = random.Random(hot_rows)
+    data = [(rng.choice([None, 1, 1, 1, 2]), rng.choice([None, *range(200)]), rng.choice([None, *range(260)])) for _ in range(300)]
+    data += [(1, 10, 190), (1, 10, 190), (2, 5, 5)]
+    got = C.overlapping_ranges(spark.createDataFrame(data, "k int, lo int, hi int"), "lo", "hi", "k" if keyed else None, hot_rows, partitions=7)
+    want = []
+    for key in {k for k, _, _ in data} if keyed else {0}:
+        top = None
+        for lo, hi in sorted((lo, hi) for k, lo, hi in data if (k == key or not keyed) and lo is not None and hi is not None and lo < hi):
+            if top is not None and lo < top:
+                want.append(((key,) if keyed else ()) + (lo, hi, top))
+            top = hi if top is None else max(top, hi)
+    assert rows(got) == sorted(want, key=repr) and want
+
+
+def test_a_range_inside_an_earlier_one_is_found(spark, rows):
+    nested = spark.createDataFrame([(1, 100), (2, 3), (50, 60), (100, 101)], "lo int, hi int")
+    assert rows(C.overlapping_ranges(nested, "lo", "hi")) == [(2, 3, 100), (50, 60, 100)]
+    assert C.overlapping_ranges(nested.limit(0), "lo", "hi").count() == 0

@@ -1,13 +1,14 @@
 """Sources, table writes, upserts and the stream form."""
 
+import datetime as dt
 import itertools
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ledgerloom.session import drop_scratch, materialise, scratch_dir, scratch_path, scratch_table
-from ledgerloom.sources import registry, tables
+from ledgerloom.sources import marks, registry, rejects, tables
 from ledgerloom.streaming.upserts import stream_upsert
 
 
@@ -214,3 +215,66 @@ def test_stream_upsert_does_not_depend_on_the_order_of_files(spark, tmp_path, na
         spark.sql(f"DROP TABLE {table}")
     (only,) = results
     assert {r[:2] for r in only} == {(None, 2), (1, 3), (2, 1), (3, 2)}
+
+
+SHAPE = T.StructType().add("k", "long").add("price", "double").add("day", "date").add("note", "string")
+
+
+def write_lines(path, *files):
+    path.mkdir()
+    for i, lines in enumerate(files):
+        (path / f"{i}.csv").write_text("\n".join(["k,price,day,note", *lines]) + "\n")
+    return str(path)
+
+
+def test_rejected_records_are_kept_whole(spark, tmp_path, rows):
+    good = ["1,2.5,2024-01-02,a", "2,,2024-01-02,", '3,1.0,2024-01-03,"x, y"', ""]
+    bad = ["x,2.5,2024-01-02,a", "4,2.5", "5,2.5,2024-01-02,a,b", "6,much,2024-01-02,a", "7,1.0,someday,a"]
+    path = write_lines(tmp_path / "in", good + bad[:2], bad[2:])
+    accepted, rejected = rejects.read_csv_checked(spark, path, SHAPE)
+    assert accepted.schema.names == SHAPE.names
+    assert rows(accepted, "k", "price", "note") == [(1, 2.5, "a"), (2, None, None), (3, 1.0, "x, y")]
+    assert sorted(r[0] for r in rejected.select(rejects.RECORD).collect()) == sorted(bad)
+    assert {r[0].rsplit("/", 1)[1] for r in rejected.select(rejects.FILE).collect()} == {"0.csv", "1.csv"}
+    # a projection of the accepted rows judges records by all columns
+    assert accepted.select("k").count() == 3
+
+
+def test_rejects_of_good_files_are_empty_and_options_are_checked(spark, tmp_path, name):
+    path = write_lines(tmp_path / "in", ["1,2.5,2024-01-02,a"])
+    taken, lost = rejects.create_table_and_rejects(spark, name, path, SHAPE)
+    assert taken.count() == 1 and lost.count() == 0 and spark.table(f"{name}__rejects").columns == [rejects.RECORD, rejects.FILE]
+    spark.sql(f"DROP TABLE {name}__rejects")
+    with pytest.raises(ValueError, match="permissive"):
+        rejects.read_csv_checked(spark, path, SHAPE, {"mode": "DROPMALFORMED"})
+    with pytest.raises(ValueError, match="columns of rejected"):
+        rejects.read_csv_checked(spark, path, T.StructType([*SHAPE.fields, T.StructField(rejects.RECORD, T.StringType())]))
+
+
+def test_files_are_read_once_each_late_and_equal_times_too(spark, tmp_path, name, rows):
+    root, seen = str(tmp_path / "drops"), []
+    schema = T.StructType().add("k", "long").add("day", "date")
+    marked = f"{name}_2"
+
+    def arrive(*drop):
+        spark.createDataFrame([(k, dt.date(2024, 1, d)) for k, d in drop], schema).coalesce(1).write.mode("append").parquet(root)
+
+    def take():
+        taken, files = marks.read_unread(spark, root, marked, schema)
+        seen.extend(k for k, _ in rows(taken))
+        marks.mark_read(files, marked)
+        return files.count()
+
+    arrive((1, 10), (2, 11))
+    assert take() == 1 and take() == 0
+    arrive((3, 11))  # as new as the mark
+    arrive((4, 2))  # older than the mark
+    assert take() == 2 and sorted(seen) == [1, 2, 3, 4]
+
+
+def test_files_that_are_not_marked_come_again(spark, tmp_path, name):
+    root = str(tmp_path / "drops")
+    spark.range(3).coalesce(1).write.parquet(root)
+    for _ in range(2):
+        taken, files = marks.read_unread(spark, root, name, spark.range(0).schema)
+        assert taken.count() == 3 and files.count() == 1
