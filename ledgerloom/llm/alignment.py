@@ -10,6 +10,7 @@ others, so texts are cut there, and what lies between two such spaces is encoded
 from __future__ import annotations
 
 import functools
+import hashlib
 import itertools
 import json
 import os
@@ -258,6 +259,7 @@ def chunks(text: str, size: int) -> list[str]:
 
 _FRAGMENT = "closes boolean, head_a string, head_b string, closed string, tail_a string, tail_b string, n_a long, n_b long, links binary, valid boolean"
 _ALIGNED = "n_a long, n_b long, groups string, links binary"
+_DIGESTED = "n_a long, n_b long, groups_sha256 string, links binary"
 TEXTS = 64  # aligned together
 BATCH_BYTES = "4m"  # of texts at a time: their groups and links are some times longer
 
@@ -268,6 +270,11 @@ def _finished(f: Fragment) -> tuple:
     return f.n_a, f.n_b, _listed(f"{f.head_a}|{f.head_b}", f.closed, ";"), f.links
 
 
+def _digested(f: Fragment) -> tuple:
+    n_a, n_b, groups, links = _finished(f)
+    return n_a, n_b, "" if groups is None else hashlib.sha256(groups.encode()).hexdigest(), links
+
+
 def _aligned(paths: tuple[str, str], schema: str, shown: Callable[[Fragment], tuple], none: Fragment = Fragment()):
     @F.pandas_udf(schema)
     def align(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -312,22 +319,26 @@ def align_long(texts: DataFrame, paths: tuple[str, str], chunk_chars: int) -> Da
     return level.select("key", zero("n_a"), zero("n_b"), groups.alias("groups"), F.when(done, F.col("links")).otherwise(F.lit(b"")).alias("links"))
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, chunk_chars: int = CHUNK_CHARS, keep: list[str] | None = None) -> DataFrame:
-    """``row`` (the columns ``keep`` of ``docs``, or all), n_a, n_b, groups and links.
+def align(
+    docs: DataFrame, path_a: str, path_b: str, chunk_chars: int = CHUNK_CHARS, keep: list[str] | None = None, digest: bool = False
+) -> DataFrame:
+    """``row`` (the columns ``keep`` of ``docs``, or all), n_a, n_b, groups (with ``digest`` groups_sha256) and links.
 
     A (``path_a``, byte-level) encodes a space and the text, B (``path_b``, sentencepiece) the text, to which it adds the space.
     ``groups`` are ``a1,a2|b1;a3|b2,b3``: ids of A and B between places where tokens of both end. ``links`` are the ids
     that end there, as little-endian uint32 a << 16 | b. A null or empty text, and one whose tokens do not spell
-    it, has no tokens: zeros, null groups, empty links. Repeated rows get their own results, of very long texts one for all
+    it, has no tokens: zeros, null groups (an empty digest), empty links. Repeated rows get their own results, of very long texts one for all
     copies; ids and other columns are not read. An empty table gives no row. Both files must exist on every executor.
     """
     paths, text = (path_a, path_b), whole_text(docs)
     row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
     held = docs.select(row, text.alias("text"))
     long = held.filter(F.length("text") > chunk_chars).withColumn("key", F.unhex(F.sha2("text", 256)))
-    short = held.filter(F.length("text") <= chunk_chars).select("row", _aligned(paths, _ALIGNED, _finished)("text").alias("f"))
+    aligned = _aligned(paths, _DIGESTED, _digested) if digest else _aligned(paths, _ALIGNED, _finished)
+    short = held.filter(F.length("text") <= chunk_chars).select("row", aligned("text").alias("f"))
     whole = long.select("row", "key").join(align_long(long.select("key", "text"), paths, chunk_chars), "key")
-    return short.select("row", "f.*").union(whole.select("row", "n_a", "n_b", "groups", "links"))
+    groups = F.coalesce(F.sha2("groups", 256), F.lit("")).alias("groups_sha256") if digest else F.col("groups")
+    return short.select("row", "f.*").union(whole.select("row", "n_a", "n_b", groups, "links"))
 
 
 @dataclass
@@ -379,10 +390,9 @@ def report(docs: DataFrame, path_a: str, path_b: str, chunk_chars: int = CHUNK_C
     ``n_best`` counts the links whose pair is the most frequent one of its id of B in all documents, ties included;
     ``count_sum`` adds up how often the pair of each link is linked in all documents.
     """
-    found = align(docs, path_a, path_b, chunk_chars, keep=["doc_id"])
+    found = align(docs, path_a, path_b, chunk_chars, keep=["doc_id"], digest=True)
     n = F.floor(F.octet_length("links") / 4).cast("long")
-    digest = F.coalesce(F.sha2("groups", 256), F.lit(""))
-    found = found.select("row.doc_id", "n_a", "n_b", n.alias("n_groups"), n.alias("n_links"), digest.alias("groups_sha256"), "links")
+    found = found.select("row.doc_id", "n_a", "n_b", n.alias("n_groups"), n.alias("n_links"), "groups_sha256", "links")
     with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
         found = materialise(found, "links")
     scores = Links.of(found).scores()
