@@ -4,11 +4,13 @@ A batch holds new transactions and amended ones (a known ``transaction_id`` with
 rolling figures look back in time, so it changes them for a customer's rows from the earliest changed one on,
 where both the old and the new time and owner of an amended row count. Only those rows are written again,
 which for a batch in order means the newest partitions. Their look-back, 30 rows and a running sum, is read
-from the stored rows; nothing before is windowed again.
+from the stored rows; nothing before is windowed again. Stored sums per customer and month (``state``) say in
+which months those rows are, and only these partitions are read.
 
-Figures over all rows of a customer go to a table of one row per customer; they are taken again for the
-batch's customers from four stored columns. Figures over the whole table are not stored at all. Both are
-joined on read. Any number of batches, late and amended rows included, gives the result of one full run.
+Figures over all rows of a customer go to a table of one row per customer; for the batch's customers they are
+taken again from the stored sums and counted amounts of the months, not from the transactions. To find amended
+rows the ids of the table are read, unless ``only_new`` says that there are none. Figures over the whole table
+are not stored at all. Both are joined on read. Any number of batches, late and amended rows included, gives the result of one full run.
 
 Accounts, customers and merchants are taken as they are when a transaction is written: a change of theirs
 is not carried to rows already stored.
@@ -22,16 +24,16 @@ from ..functions.casts import AsOf
 from ..functions.expressions import surrogate_key
 from ..operators.ordered import same_keys
 from ..session import materialise
-from ..sources.tables import rows_of_affected, upsert
+from ..sources.tables import in_partitions, rows_of_affected, upsert
+from . import state
 from .accounts import balance_marks, summary_rows, with_balance_marks
 from .analytics import clv_analysis
-from .transactions import MONTH_ROWS, amount_marks, customer_stats, enriched_rows, facts_from_stats, time_measures, with_customer, with_marks, with_scores
+from .transactions import MONTH_ROWS, amount_marks, enriched_rows, facts_from_stats, time_measures, with_customer, with_marks, with_scores
 
-PARTITIONS = ("transaction_year", "transaction_month")
+PARTITIONS = state.PARTITIONS
 CLUSTER = ("customer_id", "transaction_date")
 STATS_KEY = "stats_sk"
 LOOK_BACK = ("rolling_7day_avg", "rolling_30day_avg", "cumulative_spend", "hours_since_last_transaction")
-STATS_COLUMNS = ("customer_id", "transaction_id", "amount_usd", "transaction_date")
 
 
 def replaced_rows(table: str, batch: DataFrame) -> DataFrame:
@@ -63,17 +65,32 @@ def _reached(first: str = "") -> Column:
     return F.col("_all") | (F.col(f"{first}transaction_date") >= F.col("_from"))
 
 
-def _later_rows(stored: DataFrame, fresh: DataFrame, starts: DataFrame, hot_rows: int | None) -> DataFrame:
-    """Stored and fresh rows from each customer's first change on, their look-back figures renewed."""
-    kept = stored.alias("s").join(fresh.select("transaction_id").alias("f"), same_keys("s", "f", ["transaction_id"]), "left_anti")
-    own = kept.alias("r").join(starts.alias("c"), same_keys("r", "c", ["customer_id"])).select("r.*", "_from", "_all")
+def _months(rows: DataFrame) -> set[tuple]:
+    """The months that occur, of which there are no more than partitions."""
+    return {tuple(r) for r in rows.select(*PARTITIONS).distinct().collect()}
+
+
+def reached_rows(stored: DataFrame, reached: DataFrame) -> DataFrame:
+    """Stored rows of the customers and months in ``reached``; no other partition is read."""
+    near, keys = stored.filter(in_partitions(PARTITIONS, _months(reached))), ["customer_id", *PARTITIONS]
+    return near.alias("r").join(reached.alias("c"), same_keys("r", "c", keys)).select("r.*", "_from", "_all")
+
+
+def _tails(stored: DataFrame, fresh: DataFrame, reached: DataFrame) -> DataFrame:
+    """Stored and fresh rows from each customer's first change on, and those before that they look back to."""
+    rows = reached_rows(stored, reached)
+    own = rows.alias("s").join(fresh.select("transaction_id").alias("f"), same_keys("s", "f", ["transaction_id"]), "left_anti")
     later = own.filter(_reached()).drop("_from", "_all")
     # the rows just before: enough for the rolling means, and the running sum so far
     newest = Window.partitionBy("customer_id").orderBy(F.col("transaction_date").desc(), F.col("transaction_id").desc())
     before = own.filter(~F.coalesce(_reached(), F.lit(False))).withColumn("_back", F.row_number().over(newest))
     before = before.filter(F.col("_back") <= MONTH_ROWS).drop("_from", "_all", "_back")
     rows = later.withColumn("_write", F.lit(True)).unionByName(fresh.withColumn("_write", F.lit(True))).unionByName(before.withColumn("_write", F.lit(False)))
-    rows = materialise(rows, "tails")
+    return materialise(rows, "tails")
+
+
+def _later_rows(stored: DataFrame, rows: DataFrame, hot_rows: int | None) -> DataFrame:
+    """The rows to write of ``_tails``, their look-back figures renewed."""
     base = rows.filter("NOT _write").groupBy("customer_id").agg(
         F.min_by(F.col("cumulative_spend") - F.coalesce("amount_usd", F.lit(0)), F.struct("transaction_date", "transaction_id")).alias("_base")
     )
@@ -93,24 +110,33 @@ def refresh_transactions(
     customers: DataFrame,
     merchants: DataFrame,
     hot_rows: int | None = None,
+    only_new: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """``batch``: new and amended staged transactions. Returns the stored rows and the statistics per customer."""
+    """``batch``: new and amended staged transactions. Returns the stored rows and the statistics per customer.
+
+    ``only_new``: no transaction of the batch is stored yet, so none is looked for. The digest of the months lies
+    in a table named after ``stats_table``.
+    """
     spark = batch.sparkSession
     if not spark.catalog.tableExists(table):
         rows = enriched_rows(batch, accounts, customers, merchants, batch.count(), hot_rows, scores=False)
         stored = upsert(rows, table, "transaction_id", PARTITIONS, CLUSTER)
-        changed = stored
+        changed, months = stored, set()
     else:
         stored = spark.table(table)
         batch = materialise(batch, "batch")
         fresh = materialise(enriched_rows(batch, accounts, customers, merchants, batch.count(), hot_rows, scores=False), "fresh")
-        old = materialise(replaced_rows(table, batch).select("transaction_id", "customer_id", "transaction_date", *PARTITIONS), "replaced")
+        state.open_state(spark, table, stats_table)
+        known = enriched_shape(batch).limit(0) if only_new else replaced_rows(table, batch)
+        old = materialise(known.select("transaction_id", "customer_id", "transaction_date", *PARTITIONS), "replaced")
         changed = materialise(old.select("customer_id", "transaction_date").unionByName(fresh.select("customer_id", "transaction_date")), "changed")
-        later = _later_rows(stored, fresh, changed_from(changed), hot_rows)
+        reached = materialise(state.reached_months(spark, stats_table, changed_from(changed), MONTH_ROWS), "reached")
+        tails = _tails(stored, fresh, reached)
+        months = _months(tails.filter("_write")) | _months(old)
         # rows that only move in time keep their partition; the batch's own may leave one
-        stored = upsert(later, table, "transaction_id", PARTITIONS, CLUSTER, moved=old)
-    affected = rows_of_affected(stored.select(*STATS_COLUMNS), changed.select("customer_id"), "customer_id")
-    stats = customer_stats(materialise(affected, "affected"), hot_rows=hot_rows)
+        stored = upsert(_later_rows(stored, tails, hot_rows), table, "transaction_id", PARTITIONS, CLUSTER, moved=old)
+    state.renew(spark, table, stats_table, months)
+    stats = state.stats_from_state(stored, stats_table, changed.select("customer_id").distinct(), hot_rows)
     gone = changed.select("customer_id").distinct().alias("c").join(stats.select("customer_id").alias("s"), same_keys("c", "s", ["customer_id"]), "left_anti")
     stats = stats.unionByName(gone, allowMissingColumns=True).withColumn(STATS_KEY, surrogate_key(["customer_id"]))
     return stored, upsert(stats, stats_table, STATS_KEY).drop(STATS_KEY)

@@ -213,7 +213,7 @@ def upsert(
         touched |= {tuple(r) for r in moved.select(*parts).distinct().collect()}  # at most the table's partitions
     if not touched:
         return spark.table(table).drop(BUCKET)
-    old = target.filter(_in_partitions(parts, touched))
+    old = target.filter(in_partitions(parts, touched))
     if latest_by:
         aligned_new = materialise(_not_older(aligned_new, old, keys, latest_by), "fresh")
     kept = _without_keys(old, aligned_new, keys)
@@ -222,15 +222,32 @@ def upsert(
     # a dynamic overwrite may read the partitions it replaces: they go when all tasks are done
     insert_overwrite(merged.sortWithinPartitions(*parts, *cluster_by), table)
     emptied = touched - left if touched - own else set()
-    if emptied:
-        specs = [", ".join(f"`{p}` = {_literal(v)}" for p, v in zip(parts, values)) for values in sorted(emptied, key=repr)]
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs))
-        spark.catalog.refreshTable(table)
+    drop_partitions(spark, table, parts, emptied)
     return spark.table(table).drop(BUCKET)
 
 
-def _in_partitions(parts: Sequence[str], touched: set[tuple]) -> Column:
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a missing partition value
+
+
+def partitions_of(spark: SparkSession, table: str) -> set[tuple]:
+    """Values of the partitions of a table whose partition columns are integers, from the catalog alone."""
+    folders = [row[0].split("/") for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    values = [[part.split("=", 1)[1] for part in parts] for parts in folders]
+    return {tuple(None if v in (NO_VALUE, "null") else int(v) for v in each) for each in values}
+
+
+def drop_partitions(spark: SparkSession, table: str, parts: Sequence[str], values: set[tuple]) -> None:
+    if not values:
+        return
+    specs = [", ".join(f"`{p}` = {_literal(v)}" for p, v in zip(parts, each)) for each in sorted(values, key=repr)]
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs))
+    spark.catalog.refreshTable(table)
+
+
+def in_partitions(parts: Sequence[str], touched: set[tuple]) -> Column:
     """Rows of the given partitions, in a form that prunes them."""
+    if not touched:
+        return F.lit(False)
     if len(parts) == 1 and all(v[0] is not None for v in touched):
         return F.col(parts[0]).isin([v[0] for v in touched])
     each = [reduce(Column.__and__, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, values)]) for values in touched]

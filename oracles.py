@@ -405,6 +405,11 @@ QUERY_SQL = {
         SELECT a.user_id, a.event_id, b.by_code FROM a JOIN b USING (user_id)""",
     "flag_price_percentiles_split": """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.5), 4) AS median_price,
         round(quantile_cont(l_extendedprice, 0.99), 4) AS p99_price, round(quantile_cont(l_quantity, 0.5), 4) AS median_qty FROM lineitem GROUP BY 1""",
+    "flag_quantity_percentiles_counted": """SELECT l_returnflag, form, p10_qty, median_qty, p99_discount FROM (SELECT l_returnflag, round(quantile_cont(l_quantity, 0.1), 4) AS p10_qty,
+        round(quantile_cont(l_quantity, 0.5), 4) AS median_qty, round(quantile_cont(l_discount, 0.99), 4) AS p99_discount FROM lineitem GROUP BY 1)
+        CROSS JOIN (VALUES ('narrowed'), ('built in')) f(form)""",
+    "customer_figures_in_batches": """SELECT customer_id, n AS total_transactions, amt / 100.0::DOUBLE AS total_spend, high AS high_value_transactions,
+        round(p50, 4) AS median_transaction_amount, round(c75, 4) AS p75_transaction_amount, round(c90, 4) AS p90_transaction_amount FROM spend WHERE customer_id IS NOT NULL""",
     "order_running_total": f"""SELECT o_orderkey, {ts('o_orderdate')} AS o_orderdate, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_cents FROM orders""",
     "star_projection": "SELECT c_custkey AS x_c_custkey_y, c_name AS x_c_name_y, c_nationkey AS x_c_nationkey_y, c_mktsegment AS x_c_mktsegment_y FROM customer",

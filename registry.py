@@ -15,7 +15,7 @@ from ledgerloom.operators import generators, keys, projection, proximity, reshap
 from ledgerloom.operators.keyed import keyed_windows
 from ledgerloom.operators.ordered import global_rank_ntile
 from ledgerloom.operators.percentiles import exact_percentiles
-from ledgerloom.plans import accounts, analytics, customers, loans, quality, refresh, staging, transactions
+from ledgerloom.plans import accounts, analytics, customers, loans, quality, refresh, staging, state, transactions
 from ledgerloom.session import SCRATCH_DATABASE, materialise, scratch_path, scratch_table, tune
 from ledgerloom.sources import catalog, marks, registry as sources, rejects, star_schema as star, tables
 from ledgerloom.streaming.upserts import stream_upsert
@@ -310,6 +310,17 @@ def flag_price_percentiles_split(spark, folder):
     return exact_percentiles(lines, ["l_returnflag"], points, hot_rows=1000)
 
 
+@query
+def flag_quantity_percentiles_counted(spark, folder):
+    """Percentiles from counted values instead of rows, of groups that each hold a third of all rows."""
+    counted = table(spark, folder, "lineitem").groupBy("l_returnflag", "l_linestatus", "l_quantity", "l_discount").agg(F.count(F.lit(1)).alias("times"))
+    points = {"p10_qty": ("l_quantity", 0.1), "median_qty": ("l_quantity", 0.5), "p99_discount": ("l_discount", 0.99)}
+    large = exact_percentiles(counted, ["l_returnflag"], points, hot_rows=100, weight="times")
+    return large.withColumn("form", F.lit("narrowed")).unionByName(
+        exact_percentiles(counted, ["l_returnflag"], points, weight="times").withColumn("form", F.lit("built in"))
+    )
+
+
 @query
 def order_running_total(spark, folder):
     """Running total over the whole table in date order, with no single-task window."""
@@ -903,6 +914,17 @@ def refresh_in_batches(spark, folder):
     return refresh.read_facts(stored, stats, AS_OF)
 
 
+@query
+def customer_figures_in_batches(spark, folder):
+    """Totals and percentiles per customer from the monthly digest that three batches keep up."""
+    bank = Bank(spark, folder)
+    name, stats_name = scratch_table(spark, "enriched"), scratch_table(spark, "stats")
+    for batch, _ in _batches(bank):
+        stored, _ = refresh.refresh_transactions(name, stats_name, batch, bank.accounts, bank.customers, bank.merchants)
+    known = state.stats_from_state(stored, stats_name, stored.select("customer_id").filter("customer_id IS NOT NULL").distinct())
+    return known.select("customer_id", "total_transactions", "total_spend", "high_value_transactions", *transactions.CUSTOMER_POINTS)
+
+
 def _replaced(before: DataFrame | None, batch: DataFrame) -> DataFrame | None:
     """What was known before of the batch's transactions."""
     return None if before is None else before.join(batch.select("transaction_id"), "transaction_id", "left_semi")

@@ -1,11 +1,12 @@
 """The bank plans on hand-made rows at the edges of every rule."""
 
+import re
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.plans import accounts as account_plans, analytics, customers as customer_plans, loans as loan_plans, quality, refresh, staging, transactions as txn_plans
+from ledgerloom.plans import accounts as account_plans, analytics, customers as customer_plans, loans as loan_plans, quality, refresh, staging, state, transactions as txn_plans
 from ledgerloom.session import materialise
 from ledgerloom.sources.registry import SCHEMAS
 
@@ -283,7 +284,7 @@ def test_batches_equal_a_full_run(spark, transactions, accounts, customers, merc
     assert tidy(refresh.read_accounts(summary, accounts), whole) == tidy(whole, whole)
     value = analytics.clv_analysis(full_facts, customers, AS_OF).filter("customer_id is not null")
     assert tidy(refresh.read_clv(clv), value) == tidy(value, value)
-    for name in names:
+    for name in [*names, f"{names[1]}_state"]:
         spark.sql(f"DROP TABLE {name}")
 
 
@@ -298,5 +299,38 @@ def test_a_batch_in_order_leaves_old_partitions_alone(spark, transactions, accou
     full = txn_plans.transaction_enriched(transactions, accounts, customers, merchants)
     scores = lambda df: sorted((r.transaction_id, r.transaction_risk_flag, r.cumulative_spend) for r in df.collect() if r.cumulative_spend is not None)
     assert scores(refresh.read_enriched(stored, stats)) == scores(full)
-    for name in ("inc_order", "inc_order_stats"):
+    for name in ("inc_order", "inc_order_stats", "inc_order_stats_state"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_state_gives_figures_and_months(spark, transactions, accounts, customers, merchants):
+    """Digests give the customer figures; a run that was lost is mended; only the months wanted are read."""
+    go = lambda batch, **options: refresh.refresh_transactions("inc_state", "inc_state_stats", batch, accounts, customers, merchants, **options)
+    march = F.col("transaction_date") >= "2024-03-01"
+    go(transactions.filter(~march))
+    spark.sql("ALTER TABLE inc_state_stats_state SET TBLPROPERTIES ('ledgerloom.open' = 'true')")
+    gone = sorted(state.partitions_of(spark, "inc_state_stats_state"), key=repr)[:1]
+    state.drop_partitions(spark, "inc_state_stats_state", state.PARTITIONS, set(gone))
+    stored, stats = go(transactions.filter(march), only_new=True)
+    assert not state._left_open(spark, "inc_state_stats_state")
+    assert state.partitions_of(spark, "inc_state_stats_state") == state.partitions_of(spark, "inc_state")
+
+    everyone = stored.select("customer_id").distinct()
+    want = txn_plans.customer_stats(stored)
+    for hot_rows in (None, 2):
+        got = state.stats_from_state(stored, "inc_state_stats", everyone, hot_rows)
+        assert dict(got.dtypes) == dict(want.dtypes)
+        assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+
+    # nobody has 30 rows: all months of those who changed; with none wanted before, the months from the change on
+    starts = refresh.changed_from(stored.filter(march).select("customer_id", "transaction_date"))
+    near = lambda back: materialise(state.reached_months(spark, "inc_state_stats", starts, back), "reached")
+    late = {tuple(r) for r in stored.filter(march).select(*state.PARTITIONS).distinct().collect()}
+    assert {tuple(r) for r in near(0).select(*state.PARTITIONS).collect()} == late
+    assert near(1000).join(everyone, "customer_id").count() >= near(1).count() >= near(0).count() > 0
+    rows = refresh.reached_rows(stored, near(0))
+    read = {f for f in rows.inputFiles() if "/inc_state/" in f}
+    assert read and all(any(f"transaction_year={y}/transaction_month={m}/" in f for y, m in late) for f in read)
+    assert re.search(r"PartitionFilters: \[[^\]]*transaction_year", rows._jdf.queryExecution().executedPlan().toString())
+    for name in ("inc_state", "inc_state_stats", "inc_state_stats_state"):
         spark.sql(f"DROP TABLE {name}")
