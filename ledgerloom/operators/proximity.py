@@ -12,11 +12,27 @@ from ..session import materialise, scratch_dir
 LEAST_REACH = 1e-6  # degrees
 CELL = ["_band", "_cell"]
 
+# A point is copied to every slice of the other side of its cell, so that a cell is cut into no more
+# slices than this, unless they would have more points than SLICE_ROWS.
+MOST_SLICES = 64
+SLICE_ROWS = 20_000
+PAIRS_PER_SLICE = 5_000_000  # candidates of two slices that meet; the left side is cut further where it would be more
+PAIRS_PER_TASK = 20_000_000
 
-def _crowded(points: DataFrame, name: str, hot_rows: int) -> DataFrame:
-    """Slices needed by the cells with more than ``hot_rows`` points, and only those."""
-    counts = points.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    return counts.select(*CELL, F.ceil(F.col("_n") / hot_rows).alias(name))
+
+def _slices(n: Column, hot_rows: int) -> Column:
+    """Slices of ``n`` points of a cell: of ``hot_rows``, but not more than MOST_SLICES while none is larger than SLICE_ROWS."""
+    most = F.greatest(F.lit(MOST_SLICES), F.ceil(n / SLICE_ROWS))
+    return F.least(F.ceil(n / hot_rows), most)
+
+
+def _met_cells(a: DataFrame, b: DataFrame, hot_rows: int) -> DataFrame:
+    """Cells with points of both sides: candidate pairs, and slices of each side."""
+    counted = [side.groupBy(*CELL).agg(F.count(F.lit(1)).alias(n)) for side, n in ((a, "_na"), (b, "_nb"))]
+    met = counted[0].join(counted[1], CELL).withColumn("_pairs", F.col("_na") * F.col("_nb"))
+    met = met.withColumn("_nb", _slices(F.col("_nb"), hot_rows))
+    by_work = F.ceil(F.col("_pairs") / F.col("_nb") / PAIRS_PER_SLICE)
+    return met.withColumn("_na", F.greatest(_slices(F.col("_na"), hot_rows), F.least(F.col("_na"), by_work)))
 
 
 def _sliced(points: DataFrame, slices: DataFrame, own: str, own_count: str, key: str, other: str, other_count: str) -> DataFrame:
@@ -46,7 +62,8 @@ def proximity_pairs(
     sideways always covers the radius; bands where that is impossible, near the
     poles or for a radius of thousands of kilometres, have one cell, and all pairs of
     such a band are candidates. A cell with more than ``hot_rows`` points of a side is cut into slices
-    of that size, and each slice meets every slice of the other side once.
+    of that size, or into MOST_SLICES larger ones, and each slice meets every slice of the other side once.
+    The number of tasks follows the candidate pairs, not the bytes of the points.
     """
     scratch_dir(left.sparkSession)
     if unit not in ("mi", "km"):
@@ -86,13 +103,23 @@ def proximity_pairs(
     around = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(F.col("_at") + d, F.col("_cells"))))
     b = b.withColumn("_cell", F.explode(around))
 
-    slices = _crowded(a, "_na", hot_rows).join(_crowded(b, "_nb", hot_rows), CELL, "full")
-    slices = materialise(slices.na.fill(1, ["_na", "_nb"]), "cells")
-    if slices.isEmpty():
+    cells = materialise(_met_cells(a, b, hot_rows), "cells")
+    copies = F.col("_na") + F.col("_nb")  # at least the copies of a point
+    work = cells.agg(F.sum("_pairs").alias("pairs"), F.max(copies).alias("copies"), F.count(F.lit(1)).alias("cells")).first()
+    if not work["cells"]:
         met = a.join(b, CELL)
     else:
-        a = _sliced(a, slices, "_sa", "_na", "left_id", "_sb", "_nb")
-        b = _sliced(b, slices, "_sb", "_nb", "right_id", "_sa", "_na")
-        met = a.join(b, [*CELL, "_sa", "_sb"])
+        on, slices = list(CELL), cells.filter("_na > 1 OR _nb > 1").drop("_pairs")
+        if work["copies"] > 2:
+            a = _sliced(a, slices, "_sa", "_na", "left_id", "_sb", "_nb")
+            b = _sliced(b, slices, "_sb", "_nb", "right_id", "_sa", "_na")
+            on += ["_sa", "_sb"]
+        tasks = math.ceil(work["pairs"] / PAIRS_PER_TASK)
+        if tasks > 1:
+            tasks = max(tasks, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+            a, b = a.repartition(tasks, *on), b.repartition(tasks, *on).hint("merge")
+        met = a.join(b, on)
+    # the band's neighbours reach further than the radius
+    met = met.filter(F.abs(F.col("a_lat") - F.col("b_lat")) <= band_height * 1.001)
     distance = haversine_distance("a_lat", "a_lon", "b_lat", "b_lon", unit)
     return met.select("left_id", "right_id", distance.alias("distance")).filter(F.col("distance") <= radius)

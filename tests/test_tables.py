@@ -261,3 +261,20 @@ def test_fill_periods_with_an_end_before_the_start_is_empty(spark, keys):
 def test_periods_beyond_the_int_range(spark):
     spine = generators.date_spine(spark, "second", "1900-01-01", "2024-01-01").filter("date_second >= timestamp'2023-12-31 23:59:58'")
     assert [str(r[0]) for r in spine.orderBy("date_second").collect()] == ["2023-12-31 23:59:58", "2023-12-31 23:59:59"]
+
+
+@pytest.mark.parametrize("hot_rows", [20000, 1])
+def test_proximity_pairs_of_one_place_are_spread_by_their_number(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(proximity, "PAIRS_PER_TASK", 1000, raising=False)
+    monkeypatch.setattr(proximity, "PAIRS_PER_SLICE", 500, raising=False)
+    side = lambda name, n: spark.range(n).select(F.col("id").alias(name), (F.col("id") % 1 + 10.0).alias("lat"), (F.col("id") % 1 + 20.0).alias("lon"))
+    found = proximity.proximity_pairs(side("left_id", 200), side("right_id", 100), 0.0, hot_rows=hot_rows)
+    tasks = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == found.distinct().count() == 20_000
+    assert len(tasks) > 5 and max(r["count"] for r in tasks) < 8000
+
+
+def test_cells_are_not_cut_into_more_slices_than_copies_allow(spark):
+    n = spark.createDataFrame([(1,), (64,), (1000,), (10_000_000,)], "n long")
+    cut = lambda hot_rows: [r[0] for r in n.select(proximity._slices(F.col("n"), hot_rows)).collect()]
+    assert cut(1) == [1, 64, 64, 500] and cut(100) == [1, 1, 10, 500] and cut(10**9) == [1, 1, 1, 1]
