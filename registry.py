@@ -611,13 +611,14 @@ def proximity_same_place(spark, folder):
 
 def _agreement(forms: dict[str, DataFrame]) -> DataFrame:
     """Rows of each form, and rows that differ from the first one in any column, unrounded."""
-    stored = {name: materialise(df, "form") for name, df in forms.items()}
-    first = next(iter(stored.values()))
-    parts = []
-    for name, df in stored.items():
-        differing = df.exceptAll(first).unionAll(first.exceptAll(df)).agg(F.count(F.lit(1)).alias("n_differing"))
-        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(F.broadcast(differing)).select(F.lit(name).alias("form"), "n_rows", "n_differing"))
-    return reduce(DataFrame.unionAll, parts)
+    # one pass: the rows of each form are counted per distinct row, and nothing is written between
+    names = list(forms)
+    held = [df.select("*", *[F.lit(int(n == name)).cast("bigint").alias(f"_in_{k}") for k, n in enumerate(names)]) for name, df in forms.items()]
+    columns = [F.col(f"`{c}`") for c in forms[names[0]].columns]
+    counted = reduce(DataFrame.unionAll, held).groupBy(*columns).agg(*[F.sum(f"_in_{k}").alias(f"_n_{k}") for k in range(len(names))])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    sums = [F.struct(F.lit(n).alias("form"), total(F.col(f"_n_{k}")).alias("n_rows"), total(F.abs(F.col(f"_n_{k}") - F.col("_n_0"))).alias("n_differing")) for k, n in enumerate(names)]
+    return counted.agg(F.array(*sums).alias("forms")).select(F.inline("forms"))
 
 
 THRESHOLDS = {"above": 10**9, "middle": 60, "one": 1}
