@@ -278,3 +278,14 @@ def test_cells_are_not_cut_into_more_slices_than_copies_allow(spark):
     n = spark.createDataFrame([(1,), (64,), (1000,), (10_000_000,)], "n long")
     cut = lambda hot_rows: [r[0] for r in n.select(proximity._slices(F.col("n"), hot_rows)).collect()]
     assert cut(1) == [1, 64, 64, 500] and cut(100) == [1, 1, 10, 500] and cut(10**9) == [1, 1, 1, 1]
+
+
+def test_late_rows_of_a_file_are_counted_in_bounded_pieces(spark, rows, monkeypatch):
+    import registry
+
+    monkeypatch.setattr(registry, "ROWS_IN_PIECE", 4)
+    # places 0 to 9 of file 1, 10 to 12 of file 2; later ones smaller inside a piece and where two meet
+    values = [5, 4, 6, 7, 6, 8, 9, 9, 1, None, 3, 2, 2]
+    placed = spark.createDataFrame([("x", v, 1 if at < 10 else 2, at) for at, v in enumerate(values)] + [("y", 1, 2, 13)], "k string, v int, _file long, _at long")
+    found = registry._late_rows(placed, ["v"], "k")
+    assert rows(found) == [("x", 13, 5), ("y", 1, 0)]
