@@ -669,7 +669,8 @@ def forms_of_ranges(spark, folder):
 @query
 def forms_of_sequences(spark, folder):
     """Gaps in a sequence, whatever size a key is cut at."""
-    rows = table(spark, folder, "lineitem").select("l_suppkey", "l_orderkey").distinct()
+    # evaluated once: each form reads it several times
+    rows = materialise(table(spark, folder, "lineitem").select("l_suppkey", "l_orderkey").distinct(), "pairs")
     find = lambda t: table_checks.sequential_values(rows, "l_orderkey", group_by=["l_suppkey"], hot_rows=t)
     return _agreement({n: find(t) for n, t in THRESHOLDS.items()})
 

@@ -2,11 +2,13 @@
 
 import datetime as dt
 import math
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import generators, keys, projection, proximity, reshape, unions, values, web
+from ledgerloom.session import scratch_dir
 from ledgerloom.sources import catalog
 
 
@@ -289,3 +291,15 @@ def test_late_rows_of_a_file_are_counted_in_bounded_pieces(spark, rows, monkeypa
     placed = spark.createDataFrame([("x", v, 1 if at < 10 else 2, at) for at, v in enumerate(values)] + [("y", 1, 2, 13)], "k string, v int, _file long, _at long")
     found = registry._late_rows(placed, ["v"], "k")
     assert rows(found) == [("x", 13, 5), ("y", 1, 0)]
+
+
+def test_forms_are_compared_without_writing_them(spark, rows):
+    import registry
+
+    folder, nan = Path(scratch_dir(spark)), float("nan")
+    before = set(folder.glob("form-*"))
+    df = spark.createDataFrame([(1, "a", nan), (1, "a", nan), (2, None, None)], "k int, v string, x double")
+    other = df.dropDuplicates().unionByName(spark.createDataFrame([(3, "c", 0.0)], df.schema))
+    found = registry._agreement({"first": df, "same": df.orderBy(F.desc("k")), "other": other, "none": df.limit(0)})
+    assert rows(found, "form", "n_rows", "n_differing") == [("first", 3, 0), ("none", 0, 3), ("other", 3, 2), ("same", 3, 0)]
+    assert set(folder.glob("form-*")) == before
