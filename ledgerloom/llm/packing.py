@@ -34,6 +34,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # the byte-level step shows printable bytes as themselves, the others as the characters from 256 on
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_PACK = [struct.Struct(f"<{n}H").pack for n in range(32)]
 
 _PIECES = "group long, doc_id long, row long, start long, tokens long, doc_tokens long, ids binary"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -67,11 +68,13 @@ class ChunkEncoder:
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}H", *ids)
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}H", *ids)
 
     def _encode(self, word: str) -> bytes:
         """Ids of a part of a chunk that is pre-tokens of its own."""
         plain = word.lower()
+        if word.isascii() and word.isalpha():
+            return self._packed([t.id for t in self.model.tokenize(plain)])
         if word.isalpha() and plain.isalpha() and max(word) < "\u0180":  # one pre-token, in lower case too
             shown = plain if plain.isascii() else plain.encode().decode("latin-1").translate(_SHOWN)
             return self._packed([t.id for t in self.model.tokenize(shown)])
@@ -80,6 +83,13 @@ class ChunkEncoder:
     def _learn(self, chunks: set[str]) -> None:
         known, words = self.chunks, self.words
         for chunk in chunks:
+            if chunk.isascii() and chunk.isalpha():
+                word = chunk.lower()
+                ids = words.get(word)
+                if ids is None:
+                    ids = words[word] = self._encode(word)
+                known[chunk] = ids
+                continue
             stem = chunk.rstrip(MARKS)
             word = stem.lower()
             # letters that the tokenizer's first step takes apart end in a mark, which joins those after them
