@@ -1,12 +1,14 @@
 """Main text of HTML pages: structure first, and a host's suffix array for what structure leaves open.
 
 A page becomes blocks in page order. Blocks inside the article container are content, blocks inside menus,
-headers, adverts and the like are frame; others are open. Frame and open blocks of a page form a token
-stream; the streams of a host form its suffix array. What stands on another page of the host too is
+headers, adverts and the like are frame; others are open. Structure is in doubt about blocks of an article that
+only a name like notice, side or footer marks, and about what lies in ``main`` beside an article. Frame, open and
+doubtful blocks of a page form a token stream; the streams of a host form its suffix array. What stands on another page of the host too is
 boilerplate: runs of ``DEPTH`` tokens or more wherever they begin, and runs of at least ``MIN_RUN`` tokens,
 or whole blocks, from the start of a block on. The array is in two parts: suffixes at blocks, ``DEPTH``
 tokens long, give the short runs; a hash of the ``DEPTH`` tokens at every place gives the long ones, since
-a run of that length or more is just its places. Unique words of open blocks stay.
+a run of that length or more is just its places. Unique words of open blocks stay; a
+doubtful block goes only if such runs cover it whole.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ DEPTH = 16  # tokens of a suffix that are compared; a repeated run of as many co
 MIN_RUN = 4  # a repeated run of fewer tokens must be a whole block
 COVERED = 0.5  # short runs leave an open block if all runs cover this share of it
 
-CONTENT, OPEN, FRAME, MAIN = 0, 1, 2, 3
+CONTENT, OPEN, FRAME, DOUBT = 0, 1, 2, 3
+MAIN, MAIN_DOUBT = 4, 5  # inside main, until the page tells whether an article has text
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
@@ -47,6 +50,8 @@ _FRAME_WORDS = (
     r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|masthead|topbar|cookies?|consent|gdpr|notice|banner|ads?|advert\w*|sponsor\w*|promo\w*|"
     r"comments?|commentlist|disqus|replies|reply|respond|share|sharing|social|related|recommended|subscribe|subscription|newsletter|signup|login|search|popup|modal|overlay|widget|pagination|pager|skip|toolbar"
 )
+# what these name is the same on all pages of a host if it is frame; inside an article they may also name its own parts
+_DOUBTFUL_WORDS = r"notice|side|footer|masthead|topbar|banner|menu|nav|search|skip|toolbar"
 # with these a frame word still names a piece of frame: share-buttons, but not share-price
 _FRAME_PARTS = (
     r"article|articles|area|author|bar|block|blog|body|bottom|box|btns?|buttons?|center|close|col|column|container|content|count|desktop|div|entry|feed|fixed|floating|follow|form|global|group|header|"
@@ -54,6 +59,7 @@ _FRAME_PARTS = (
     r"stories|story|strip|tab|thread|title|to|toggle|tools|top|unit|us|widgets|wrap|wrapper|zone|\d+"
 )
 _FRAME_NAME = re.compile(rf"(?:(?:{_FRAME_PARTS})-)*(?:{_FRAME_WORDS})(?:-(?:{_FRAME_WORDS}|{_FRAME_PARTS}))*")
+_DOUBTFUL_NAME = re.compile(rf"(?:(?:{_FRAME_PARTS})-)*(?:{_DOUBTFUL_WORDS})(?:-(?:{_DOUBTFUL_WORDS}|{_FRAME_PARTS}))*")
 _ANSWER_NAME = re.compile(rf"(?:(?:{_FRAME_PARTS})-)*(?:comments?|reply|replies|ads?|advert\w*)(?:-(?:{_FRAME_PARTS}))*")
 # ids of these are made from headings; they tell what the text is about
 _ID_IS_TOPIC = frozenset("h1 h2 h3 h4 h5 h6 section p blockquote pre li dt dd figure figcaption table tbody tr td th caption a span".split())
@@ -64,34 +70,39 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 
 
 @lru_cache(maxsize=4096)
-def _names_frame(value: str, pattern: re.Pattern = _FRAME_NAME) -> bool:
-    """Whether a whole name of a class or id is frame words and parts of frames alone."""
+def _frame_names(value: str, pattern: re.Pattern = _FRAME_NAME) -> tuple[str, ...]:
+    """The whole names of a class or id that are frame words and parts of frames alone."""
+    found = []
     for name in value.split():
         words = [w for w in re.split(r"[_-]+", re.sub(r"([a-z])(?=[A-Z])", r"\1-", name).lower()) if w]
         if words != ["social", "media"] and pattern.fullmatch("-".join(words)):
-            return True
-    return False
+            found.append("-".join(words))
+    return tuple(found)
 
 
-def _is_frame(tag: str, attributes: str, in_article: bool) -> bool:
+def _framing(tag: str, attributes: str, in_article: bool) -> int | None:
+    """``FRAME`` for a tag that begins a frame, ``DOUBT`` if only doubtful names inside an article say so."""
     if tag in _FRAME_TAGS or (tag == "header" and not in_article):
-        return True
+        return FRAME
     if not attributes.strip():
-        return False
+        return None
+    kind = None
     for name, value in _ATTRIBUTE.findall(attributes):
         name, found = name.lower(), value.strip("\"'")
         value = found.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
-            return True
+            return FRAME
         if name == "role" and value in _FRAME_ROLES:
-            return True
-        if (name == "class" or name == "id" and not (in_article and tag in _ID_IS_TOPIC)) and tag not in ("html", "body", "article", "main", "h1") and _names_frame(found):
-            return True
+            return FRAME
+        if (name == "class" or name == "id" and not (in_article and tag in _ID_IS_TOPIC)) and tag not in ("html", "body", "article", "main", "h1") and _frame_names(found):
+            if not in_article or not all(map(_DOUBTFUL_NAME.fullmatch, _frame_names(found))):
+                return FRAME
+            kind = DOUBT
         if not in_article and name in ("class", "id") and tag == "div" and re.search(r"(?:^|[\s_-])header(?=$|[\s_-])", value):
-            return True
-        if tag == "article" and name in ("class", "id") and _names_frame(found, _ANSWER_NAME):
-            return True
-    return False
+            return FRAME
+        if tag == "article" and name in ("class", "id") and _frame_names(found, _ANSWER_NAME):
+            return FRAME
+    return kind
 
 
 def blocks_of(page: str | None) -> list[tuple[int, str]]:
@@ -99,7 +110,8 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
 
     Character references are decoded, white space inside a block becomes one space. If no ``article`` has text outside
     frames, ``main`` counts, and if neither has, a container inside a menu or header, which was then left open; without
-    any, no block is content. A form around a container is no frame. Text of ``noscript`` and ``iframe`` is left out, as
+    any, no block is content. A form around a container is no frame. ``DOUBT`` are blocks of the container under a
+    doubtful name, and those of ``main`` beside an article. Text of ``noscript`` and ``iframe`` is left out, as
     are annotations of formulas; formulas and what ``object`` holds stay.
     """
     if not page:
@@ -114,22 +126,24 @@ def _blocks(page: str, around: frozenset[str]) -> tuple[list[tuple[int, str]], b
     """The blocks, where tags ``around`` a container are no frame; whether a container lies in a frame."""
     lost = False
     out: list[tuple[int, str]] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, frame, container: 1 for main, 2 for article
+    stack: list[tuple[str, bool, int, bool]] = []  # tag, frame, container: 1 for main, 2 for article, doubt
     pieces: list[str] = []
-    frames = mains = articles = 0
+    frames = mains = articles = doubts = 0
     at, end = 0, len(page)
 
     def flush() -> None:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append((FRAME if frames else CONTENT if articles else MAIN if mains else OPEN, text))
+                inner = (DOUBT, MAIN_DOUBT) if doubts else (CONTENT, MAIN)
+                out.append((FRAME if frames else inner[0] if articles else inner[1] if mains else OPEN, text))
             pieces.clear()
 
     def pop() -> None:
-        nonlocal frames, mains, articles
-        _, frame, container = stack.pop()
+        nonlocal frames, mains, articles, doubts
+        _, frame, container, doubt = stack.pop()
         frames -= frame
+        doubts -= doubt
         mains -= container == 1
         articles -= container == 2
 
@@ -176,21 +190,24 @@ def _blocks(page: str, around: frozenset[str]) -> tuple[list[tuple[int, str]], b
             if stack[k][0] in _BLOCKS and stack[k][0] != "p":
                 break
         inside = mains + articles > 0
-        frame = _is_frame(tag, found[3], inside)
+        framing = _framing(tag, found[3], inside)
+        frame, doubt = framing == FRAME, framing == DOUBT
         container = 2 if tag == "article" else int(tag == "main" or bool(re.search(r"role\s*=\s*[\"']?main\b", found[3])))
-        if frame:
+        if framing is not None:
             flush()
         elif container and frames and not inside:
-            stack = [(t, f and t not in around, c) for t, f, c in stack]
-            frames = sum(f for _, f, _ in stack)
+            stack = [(t, f and t not in around, c, d) for t, f, c, d in stack]
+            frames = sum(f for _, f, _, _ in stack)
             lost = lost or frames > 0
-        stack.append((tag, frame, container))
+        stack.append((tag, frame, container, doubt))
         frames += frame
+        doubts += doubt
         mains += container == 1
         articles += container == 2
     flush()
-    of_main = OPEN if any(kind == CONTENT for kind, _ in out) else CONTENT
-    return [(of_main if kind == MAIN else kind, text) for kind, text in out], lost
+    beside = any(kind == CONTENT for kind, _ in out)
+    settled = {MAIN: DOUBT, MAIN_DOUBT: FRAME} if beside else {MAIN: CONTENT, MAIN_DOUBT: DOUBT}
+    return [(settled.get(kind, kind), text) for kind, text in out], lost
 
 
 def host_of(url: str | None) -> str:
@@ -204,29 +221,37 @@ def main_text(blocks: list[tuple[int, str]]) -> str:
     return "\n".join(text for kind, text in blocks if kind == CONTENT)
 
 
-def _outside(source: str | None) -> tuple[str, list[tuple[int, str]]]:
-    """The article's text, and the blocks outside it. With an article, open blocks lie outside and are frame."""
+def _outside(source: str | None) -> tuple[str, list[tuple[int, int, str]]]:
+    """The article's text, and the other blocks: kind, blocks of the article before it, text.
+
+    With an article, open blocks lie outside and are frame. Doubtful blocks wait for what other pages repeat, as open ones do.
+    """
     blocks = blocks_of(source)
-    settled = any(kind == CONTENT for kind, _ in blocks)
-    return main_text(blocks), [(FRAME if settled else kind, text) for kind, text in blocks if kind != CONTENT]
+    settled, before, others = any(kind == CONTENT for kind, _ in blocks), 0, []
+    for kind, text in blocks:
+        if kind == CONTENT:
+            before += 1
+        else:
+            others.append((FRAME if settled and kind == OPEN else kind, before, text))
+    return main_text(blocks), others
 
 
 def _streams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Host and blocks outside the article of every page that has some."""
     for frame in frames:
-        rows = [(host_of(u), k, [t for _, t in _outside(h)[1]]) for u, k, h in zip(frame["url"], frame["key"], frame["html"])]
+        rows = [(host_of(u), k, [t for _, _, t in _outside(h)[1]]) for u, k, h in zip(frame["url"], frame["key"], frame["html"])]
         yield pd.DataFrame([r for r in rows if r[2]], columns=["host", "key", "others"])
 
 
 def _parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The article's text; open blocks come along where only they can give a text."""
+    """The article's text; the other blocks come along where some of them may belong to it."""
     for frame in frames:
         rows = []
         for page, url, key, source in zip(frame["page_id"].astype("Int64"), frame["url"], frame["key"], frame["html"]):
             text, others = _outside(source)
-            others = others if any(kind == OPEN for kind, _ in others) else []
-            rows.append((page, url, key, text, [k for k, _ in others], [t for _, t in others]))
-        yield pd.DataFrame(rows, columns=["page_id", "url", "key", "text", "kinds", "others"])
+            others = others if any(kind in (OPEN, DOUBT) for kind, _, _ in others) else []
+            rows.append((page, url, key, text, [k for k, _, _ in others], [n for _, n, _ in others], [t for _, _, t in others]))
+        yield pd.DataFrame(rows, columns=["page_id", "url", "key", "text", "kinds", "places", "others"])
 
 
 def _tokens(text: str) -> list[int]:
@@ -331,7 +356,7 @@ def _left(words: list[str], covered: np.ndarray, long: np.ndarray) -> str:
 def _finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         texts, repeated = [], []
-        for text, kinds, others, found in zip(frame["text"], frame["kinds"], frame["others"], frame["runs"]):
+        for text, kinds, places, others, found in zip(frame["text"], frame["kinds"], frame["places"], frame["others"], frame["runs"]):
             runs = [] if found is None else list(found)
             blocks = [block.split() for block in others]
             size = max(sum(map(len, blocks)), max((r["start"] + r["run"] for r in runs), default=0))
@@ -341,14 +366,19 @@ def _finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if r["run"] >= DEPTH:
                     long[r["start"] : r["start"] + r["run"]] = True
             repeated.append(int(covered.sum()))
-            at, unique = 0, []
-            for kind, words in zip(kinds, blocks):
+            article = text.split("\n") if text else []  # no block holds a line end
+            at, placed, whole = 0, 0, []
+            for kind, place, words in zip(kinds, places, blocks):
                 part = slice(at, at + len(words))
-                left = _left(words, covered[part], long[part]) if kind == OPEN else ""
+                if kind == DOUBT:  # goes as a whole or not at all
+                    left = "" if covered[part].all() else " ".join(words)
+                else:
+                    left = _left(words, covered[part], long[part]) if kind == OPEN else ""
                 if left:
-                    unique.append(left)
+                    whole += [*article[placed:place], left]
+                    placed = place
                 at += len(words)
-            texts.append("\n".join(unique) if unique else text)
+            texts.append("\n".join(whole + article[placed:]))
         yield pd.DataFrame({"page_id": frame["page_id"].astype("Int64"), "url": frame["url"], "text": texts, "n_chars": [len(t) for t in texts], "n_repeated": repeated})
 
 
@@ -357,7 +387,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     ``text``: the blocks of the article in page order, joined by \\n, empty if there is none; blocks inside an
     article container stay even if they are on other pages too. Without a container, the open blocks less
-    what other pages of the host repeat; a block that keeps some of its words is one line. ``n_repeated``: tokens outside the article
+    what other pages of the host repeat; a block that keeps some of its words is one line. Blocks of which structure is in
+    doubt (see ``blocks_of``) stay in their place unless other pages repeat all of them. ``n_repeated``: tokens outside the article
     that other pages of the host repeat. Pages with equal url and html are one page where repetition is
     counted. A null html is empty, a null or broken url is of the host ''. Other columns are not read; an
     empty table gives no row.
@@ -375,5 +406,5 @@ def extract(pages: DataFrame) -> DataFrame:
     covered = starts.join(repeated, ["host", "tokens", "own"]).select("key", "start", "run")
     covered = covered.union(places.join(elsewhere, "gram").select("key", "start", F.lit(DEPTH).alias("run"))).distinct()
     runs = covered.groupBy("key").agg(F.collect_list(F.struct("start", "run")).alias("runs"))
-    parsed = rows.mapInPandas(_parse, "page_id long, url string, key long, text string, kinds array<int>, others array<string>")
+    parsed = rows.mapInPandas(_parse, "page_id long, url string, key long, text string, kinds array<int>, places array<int>, others array<string>")
     return parsed.join(runs, "key", "left").mapInPandas(_finish, "page_id long, url string, text string, n_chars long, n_repeated long")

@@ -109,6 +109,23 @@ def test_long_repeats_go_wherever_they_begin_and_unique_words_stay(llm):
     assert [got[k]["n_repeated"] for k in range(3)] == [40 + 16 + 4 + 20 + 5] * 3
 
 
+def test_the_host_decides_where_structure_is_in_doubt(llm):
+    notice, end = "We set cookies to count our readers", "All rights of this site reserved"
+    body = (
+        "<body><nav><p>Home</p></nav><main><h1>Title {k}</h1><p>Read our free weekly letter now</p><article><p>one {k}</p><p class=notice>{n}</p>"
+        "<p class=side>By the way {k} is odd</p><p>two {k}</p><div class=footer-1><p>Sources of {k}</p><p>{e}</p></div><div class=ad>Buy {k}</div></article>"
+        "<div class=footer>Foot {k}</div></main><p>Outside {k}</p></body>"
+    )
+    rows = [(k, f"http://h.org/{k}", body.format(k=k * 7, n=notice, e=end)) for k in range(3)]
+    rows += [(8, "http://main.org/", f"<main><p>a</p><p class=notice>{notice}</p></main>"), (9, "http://main.org/9", "<main><p>a</p><p class=notice>b</p></main>")]
+    rows += [(10, "http://main.org/10", f"<div class=x>{notice}</div>")]
+    got = extract(llm, rows)
+    for k in range(3):
+        assert got[k]["text"] == "\n".join(t.format(k * 7) for t in ("Title {}", "one {}", "By the way {} is odd", "two {}", "Sources of {}"))
+        assert got[k]["n_chars"] == len(got[k]["text"])
+    assert got[8]["text"] == "a" and got[9]["text"] == "a\nb"
+
+
 def test_suffix_array_finds_the_longest_run_on_another_page():
     import pandas as pd
 
