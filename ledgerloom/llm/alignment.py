@@ -296,8 +296,8 @@ def _composed(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([(frame["key"].iloc[0], frame["chunk"].iloc[0] // FAN, *whole)], columns=["key", "chunk", *Fragment._fields])
 
 
-def align_long(texts: DataFrame, paths: tuple[str, str], chunk_chars: int) -> DataFrame:
-    """key, n_a, n_b, groups, links of texts (key, text) by way of their chunks; equal keys mean equal texts."""
+def align_long(texts: DataFrame, paths: tuple[str, str], chunk_chars: int, digest: bool = False) -> DataFrame:
+    """key, n_a, n_b, groups (with ``digest`` their digest), links of texts (key, text) by way of their chunks; equal keys mean equal texts."""
 
     @F.pandas_udf("array<string>")
     def cut(series: pd.Series) -> pd.Series:
@@ -315,6 +315,8 @@ def align_long(texts: DataFrame, paths: tuple[str, str], chunk_chars: int) -> Da
         most //= FAN
     done = F.col("valid") & F.col("closes")
     groups = F.when(done, F.concat(F.concat_ws("|", "head_a", "head_b"), F.when(F.col("closed") != "", F.concat(F.lit(";"), "closed")).otherwise("")))
+    if digest:
+        groups = F.coalesce(F.sha2(groups, 256), F.lit(""))
     zero = lambda c: F.when(done, F.col(c)).otherwise(0).cast("long").alias(c)
     return level.select("key", zero("n_a"), zero("n_b"), groups.alias("groups"), F.when(done, F.col("links")).otherwise(F.lit(b"")).alias("links"))
 
@@ -336,9 +338,11 @@ def align(
     long = held.filter(F.length("text") > chunk_chars).withColumn("key", F.unhex(F.sha2("text", 256)))
     aligned = _aligned(paths, _DIGESTED, _digested) if digest else _aligned(paths, _ALIGNED, _finished)
     short = held.filter(F.length("text") <= chunk_chars).select("row", aligned("text").alias("f"))
-    whole = long.select("row", "key").join(align_long(long.select("key", "text"), paths, chunk_chars), "key")
-    groups = F.coalesce(F.sha2("groups", 256), F.lit("")).alias("groups_sha256") if digest else F.col("groups")
-    return short.select("row", "f.*").union(whole.select("row", "n_a", "n_b", groups, "links"))
+    rows = long.select("row", "key")
+    if keep is not None:  # few columns: written, their size is known, and what is aligned need not move to meet them
+        rows = materialise(rows, "long")
+    whole = rows.join(align_long(long.select("key", "text"), paths, chunk_chars, digest), "key")
+    return short.select("row", "f.*").union(whole.select("row", "n_a", "n_b", "groups", "links"))
 
 
 @dataclass

@@ -88,6 +88,18 @@ def test_documents(make, odd_texts, size):
     check(op.report(make(docs), BYTE_LEVEL, PIECES, chunk_chars=size).collect(), docs)
 
 
+def test_groups_of_long_texts_are_digested_before_they_meet_their_rows(llm, make, odd_texts):
+    docs = make(odd_texts)
+    found = op.align(docs, BYTE_LEVEL, PIECES, chunk_chars=40, keep=["doc_id"], digest=True)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    long = op.align_long(docs.filter("text IS NOT NULL").selectExpr("unhex(sha2(text, 256)) AS key", "text"), (BYTE_LEVEL, PIECES), 40, digest=True)
+    assert all(len(r["groups"]) in (0, 64) for r in long.collect())
+    whole = op.align(docs, BYTE_LEVEL, PIECES, chunk_chars=40, keep=["doc_id"])
+    want = [(r["row"], r["n_a"], r["n_b"], "" if r["groups"] is None else sha(r["groups"]), r["links"]) for r in whole.collect()]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty_table_and_columns(make, empty):
     assert op.report(empty, BYTE_LEVEL, PIECES).columns == COLUMNS and op.report(empty, BYTE_LEVEL, PIECES).collect() == []
     docs = make([(1, "a b", "s"), (2, None, None)])
