@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.ordered import positions
@@ -19,6 +20,7 @@ from .common import as_row, partitions
 
 MAX_REPEATS = 3
 ROWS_PER_BUCKET = 50_000
+TRIED_SIZES, TRIED_SUMS, TRIED_COPIES = 200, 4096, 3  # looked at to make up for a source's cut document
 SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -140,17 +142,62 @@ def position_at(schedule: Schedule, words: Column) -> Column:
     return inverse_demand(schedule(F.col("rank")), F.coalesce(F.try_divide(words.cast("double"), F.col("target")), F.lit(0.0)))
 
 
+def _made_up(sizes: pd.DataFrame) -> pd.DataFrame:
+    """How many documents of each size (change 1: used once more, -1: once less, 0: the cut one, used whole) bring a source nearest to its target."""
+    rank, gap = sizes["rank"].iloc[0], int(sizes["gap"].iloc[0])
+    items, most = [(0, gap + int(sizes["over"].iloc[0]))], int(sizes["size"].max())
+    for change in (1, -1):
+        own = sorted(zip(sizes["size"][sizes["change"] == change].tolist(), sizes["count"][sizes["change"] == change].tolist()), reverse=True)
+        step = -(-len(own) // TRIED_SIZES) or 1
+        items += [(change, size) for size, count in own[::step] for _ in range(min(count, TRIED_COPIES))]
+    reached: dict[int, tuple] = {0: ()}  # words added: the items that add them, as a chain
+    for change, size in sorted(items, key=lambda item: -item[1]):
+        words = size if change >= 0 else -size
+        fresh = {at + words: ((change, size), chain) for at, chain in reached.items() if abs(at + words - gap) <= most and at + words not in reached}
+        reached |= fresh
+        if gap in reached:
+            break
+        if len(reached) > TRIED_SUMS:
+            reached = {at: reached[at] for at in sorted(reached, key=lambda at: (abs(at - gap), at))[:TRIED_SUMS]}
+    chain, uses = reached[min(reached, key=lambda at: (abs(at - gap), at))], {}
+    while chain:
+        item, chain = chain
+        uses[item] = uses.get(item, 0) + 1
+    return pd.DataFrame([(rank, size, change, n) for (change, size), n in uses.items()], columns=["rank", "size", "change", "uses"])
+
+
+def whole_uses(mixed: DataFrame) -> DataFrame:
+    """rank, place, change of the documents used once more (1) or once less (-1), so that no text is cut and targets are nearly met.
+
+    Documents of a few sizes make up for the one that a source's target cuts; a source misses its target by half of that one at most.
+    """
+    rest, size = F.col("taken") - F.col("rounds") * F.col("size"), F.col("size")
+    last = mixed.filter("size > 0").select("rank", "place", "size", rest.alias("rest"))
+    cut = last.filter("rest > 0 AND rest < size").select("rank", F.col("place").alias("at"), F.col("rest").alias("gap"), (size - F.col("rest")).alias("over"))
+    cut = materialise(cut, "cut")
+    change = F.when(F.col("place") == F.col("at"), 0).when(F.col("rest") > 0, -1).otherwise(1)
+    near = materialise(last.join(cut, "rank").withColumn("change", change), "near")
+    counted = near.groupBy("rank", "size", "change", "gap", "over").count()
+    uses = counted.groupBy("rank").applyInPandas(_made_up, "rank long, size long, change int, uses long")
+    first = F.row_number().over(Window.partitionBy("rank", "size", "change").orderBy("place"))
+    chosen = near.withColumn("nth", first).filter(F.col("nth") <= TRIED_COPIES).join(uses, ["rank", "size", "change"]).filter("nth <= uses")
+    return materialise(chosen.select("rank", "place", F.when(F.col("change") == 0, 1).otherwise(F.col("change")).alias("change")), "changes")
+
+
 def training_order(docs: DataFrame, schedule: Schedule = rising_and_falling, **options) -> DataFrame:
     """``docs`` as the training run reads them: one row per use of a document, range-sorted by position.
 
-    Rows and columns are those of ``docs``, texts stay whole: of the document in which a source reaches its target, the last use
-    counts if the target asks for half of it or more, so a source may miss its target by half a document.
+    Rows and columns are those of ``docs``, texts stay whole: the document in which a source reaches its target is used or not, and others
+    make up for it (see ``whole_uses``), so a source misses its target by few words, and by half a document at most.
     Documents that the mix does not take are left out (see ``mix``); documents without words add nothing to any
     target and stay once, at their place.
     """
     mixed = mix(docs, schedule=schedule, **options)
     rest = F.col("taken") - F.col("rounds") * F.col("size")
-    uses = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("rounds") + F.when((rest > 0) & (2 * rest >= F.col("size")), 1).otherwise(0))
+    met = (F.col("m.rank") == F.col("c.rank")) & (F.col("m.place") == F.col("c.place")) & (F.col("m.size") > 0)
+    mixed = mixed.alias("m").join(whole_uses(mixed).alias("c"), met, "left").select("m.*", "change")
+    last = F.when(rest == F.col("size"), 1).otherwise(0) + F.coalesce("change", F.lit(0))
+    uses = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("rounds") + last)
     use = mixed.withColumn("use", F.explode(F.filter(F.sequence(F.lit(0), uses.cast("int")), lambda i: i < uses)))
     at = position_at(schedule, F.col("place") + F.col("use") * F.col("source_size"))
     placed = use.select("row", at.alias("at"), F.xxhash64("row.doc_id", "row.text").alias("tie"))

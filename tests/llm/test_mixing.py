@@ -68,6 +68,16 @@ def test_training_order_has_whole_texts_and_nearly_the_words_taken(make, odd_tex
     assert all(2 * abs(taken[s] - short[s]) <= size[s] for s in size)
 
 
+def test_other_documents_make_up_for_the_one_that_a_target_cuts(make):
+    rows = [(k, " ".join(f"{k}-{i}" for i in range(k * 37 % 101 + 1)), "ab"[k % 2]) for k in range(60)] + [(100, " ".join(map(str, range(900))), "b")]
+    docs, taken, used = make(rows), Counter(), Counter()
+    for r in mixing.mix(docs).select("row.source", "taken").collect():
+        taken[r["source"]] += r["taken"]
+    for r in mixing.training_order(docs).select("text", "source").collect():
+        used[r["source"]] += len(WORD.findall(r["text"]))
+    assert used == taken
+
+
 def test_demand_inverts_the_schedule(llm):
     row = llm.range(1).select(F.lit(2).alias("rank"))
     points = mixing.rising_and_falling(F.col("rank"))
