@@ -172,11 +172,11 @@ def whole_uses(mixed: DataFrame) -> DataFrame:
     Documents of a few sizes make up for the one that a source's target cuts; a source misses its target by half of that one at most.
     """
     rest, size = F.col("taken") - F.col("rounds") * F.col("size"), F.col("size")
-    last = mixed.filter("size > 0").select("rank", "place", "size", rest.alias("rest"))
+    last = materialise(mixed.filter("size > 0").select("rank", "place", "size", rest.alias("rest")), "last")
     cut = last.filter("rest > 0 AND rest < size").select("rank", F.col("place").alias("at"), F.col("rest").alias("gap"), (size - F.col("rest")).alias("over"))
     cut = materialise(cut, "cut")
     change = F.when(F.col("place") == F.col("at"), 0).when(F.col("rest") > 0, -1).otherwise(1)
-    near = materialise(last.join(cut, "rank").withColumn("change", change), "near")
+    near = last.join(cut, "rank").withColumn("change", change)
     counted = near.groupBy("rank", "size", "change", "gap", "over").count()
     uses = counted.groupBy("rank").applyInPandas(_made_up, "rank long, size long, change int, uses long")
     first = F.row_number().over(Window.partitionBy("rank", "size", "change").orderBy("place"))

@@ -14,7 +14,7 @@ import os
 import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,8 +26,7 @@ SEQUENCE_TOKENS = 2048
 DOCUMENTS_PER_GROUP = 1024
 END_ID = 1  # ends every document
 QUADRATIC = 1.0 / 4096  # cost of a token pair within a piece, against 1 for a token
-CACHED_CHUNKS = 500_000  # per worker; a cache is emptied when full
-CACHED_WORDS = 500_000
+CACHED_CHUNKS = 300_000  # per worker; of a full cache only the chunks that come up again are kept
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks; the apostrophe begins pre-tokens of its own
 # fixed: how the tokenizer splits texts
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -40,8 +39,19 @@ _PIECES = "group long, doc_id long, row long, start long, tokens long, doc_token
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+class Chunks(dict):
+    """Ids by chunk; those of a new one are learned when it is asked for."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        self.learn = learn
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.learn(chunk)
+        return ids
+
+
 class ChunkEncoder:
-    """Token ids of texts as little-endian uint16, from caches of chunks and of their words.
+    """Token ids of texts as little-endian uint16, from a cache of chunks and of their words.
 
     The tokenizer drops white space and never joins over it, so ids of a text are the ids of its chunks
     between spaces and line ends. Nor does it join letters with marks: a chunk of letters with ASCII marks
@@ -63,8 +73,8 @@ class ChunkEncoder:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit into 16 bits")
         self.model = self.tokenizer.model
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.chunks = Chunks(self._learn)  # a chunk's word and marks stand here as chunks of their own
+        self.older: dict[str, bytes] = {}  # the cache before, which filled up
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
@@ -80,43 +90,31 @@ class ChunkEncoder:
             return self._packed([t.id for t in self.model.tokenize(shown)])
         return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def _learn(self, chunks: set[str]) -> None:
-        known, words = self.chunks, self.words
-        for chunk in chunks:
-            if chunk.isascii() and chunk.isalpha():
-                word = chunk.lower()
-                ids = words.get(word)
-                if ids is None:
-                    ids = words[word] = self._encode(word)
-                known[chunk] = ids
-                continue
-            stem = chunk.rstrip(MARKS)
-            word = stem.lower()
-            # letters that the tokenizer's first step takes apart end in a mark, which joins those after them
-            if not (stem.isalpha() and word.isalpha() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))):
-                stem = word = chunk
-            elif not stem.isascii():
-                word = stem
-            ids = words.get(word)
-            if ids is None:
-                ids = words[word] = self._encode(word)
-            if len(stem) < len(chunk):
-                marks = chunk[len(stem) :]
-                end = words.get(marks)
-                if end is None:
-                    end = words[marks] = self._encode(marks)
-                ids += end
-            known[chunk] = ids
+    def _learn(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is not None:
+            return ids
+        if chunk.isascii() and chunk.isalpha():
+            word = chunk.lower()
+            return self._encode(chunk) if word == chunk else self.chunks[word]
+        stem = chunk.rstrip(MARKS)
+        word = stem.lower()
+        # letters that the tokenizer's first step takes apart end in a mark, which joins those after them
+        if not (stem.isalpha() and word.isalpha() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))):
+            stem = word = chunk
+        elif not stem.isascii():
+            word = stem
+        if word == chunk:
+            return self._encode(chunk)
+        ids = self.chunks[word]
+        return ids + self.chunks[chunk[len(stem) :]] if len(stem) < len(chunk) else ids
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for cache, most in ((self.chunks, CACHED_CHUNKS), (self.words, CACHED_WORDS)):
-            if len(cache) > most:
-                cache.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn(set().union(*split).difference(self.chunks))
+        if len(self.chunks) > CACHED_CHUNKS:
+            self.chunks, self.older = Chunks(self._learn), self.chunks
         known = self.chunks.__getitem__
-        for own in split:
-            yield b"".join(map(known, own))
+        for text in texts:
+            yield b"".join(map(known, text.replace("\n", " ").split(" ")))
 
 
 _encoders: dict[str, ChunkEncoder] = {}  # of this Python worker, which runs many tasks

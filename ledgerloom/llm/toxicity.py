@@ -179,7 +179,7 @@ def _counted(chosen: frozenset | None):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[str, int] = {}
-        known: dict[str, set[str]] = {}
+        known: dict[str, tuple[str, ...]] = {}  # most words have no chosen form, and share one empty tuple
         for frame in frames:
             for text in frame["whole"]:
                 found: set[str] = set()
@@ -187,8 +187,8 @@ def _counted(chosen: frozenset | None):
                     if (forms := known.get(word)) is None:
                         if len(known) > CACHED_WORDS:
                             known.clear()
-                        forms = known[word] = forms_of(word) if chosen is None else forms_of(word) & chosen
-                    found |= forms
+                        forms = known[word] = tuple(forms_of(word) if chosen is None else forms_of(word) & chosen)
+                    found.update(forms)
                 for form in found:
                     counts[form] = counts.get(form, 0) + 1
             if len(counts) > CACHED_WORDS:

@@ -121,3 +121,14 @@ def test_query(ask, documents, tokenizer):
     texts = [(int(i), t) for i, t in zip(documents.doc_id, documents.text)]
     sequences = check(texts, ask("op8_packing").to_dict("records"), tokenizer)
     assert sum(r["length"] for s in sequences.values() for r in s) / (2048 * len(sequences)) > 0.98
+
+
+def test_the_cache_of_a_worker_is_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_CHUNKS", 100)
+    encoder, held = packing.ChunkEncoder(TOKENIZER), 0
+    for k in range(40):
+        texts = [f"the The, Größe... w{k}x{i} " + "".join(chr(97 + (k * 50 + i) // 26**j % 26) for j in range(4)) + "!" for i in range(50)]
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        held = max(held, sum(len(v) for v in vars(encoder).values() if isinstance(v, dict)))
+    assert held <= 2 * (100 + 50 * 4)  # a full cache and the one before, each with one batch more

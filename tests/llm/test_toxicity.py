@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 import zlib
 
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from brute import DATA, auc
@@ -96,3 +98,13 @@ def test_held_out_accuracy(llm):
     labels = pq.read_table(folder / "labels.parquet").to_pandas()
     held = QUERIES["op6_toxicity"](llm, str(folder)).toPandas().query("held_out").merge(labels, on="doc_id")
     assert auc(held.score, held.toxic) > 0.97 and (held.predicted == held.toxic).mean() > 0.98
+
+
+def test_words_without_a_chosen_form_take_little_memory():
+    words = [f"w{'abcdefghij'[i % 10]}{i}" for i in range(20_000)]
+    frames = [pd.DataFrame({"whole": [" ".join(words[a : a + 100])]}) for a in range(0, len(words), 100)]
+    tracemalloc.start()
+    assert sum(len(f) for f in toxicity._counted(frozenset({"idiot"}))(iter(frames))) == 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * len(words)
