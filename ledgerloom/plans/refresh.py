@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.casts import AsOf
 from ..functions.expressions import surrogate_key
 from ..operators.ordered import same_keys
-from ..session import materialise
-from ..sources.tables import in_partitions, rows_of_affected, upsert
+from ..session import materialise, setting
+from ..sources.registry import insert_overwrite
+from ..sources.tables import drop_partitions, in_partitions, partition_rows, place_of, refuse_duplicates, rows_of_affected, upsert, write_partitioned
 from . import state
 from .accounts import balance_marks, summary_rows, with_balance_marks
 from .analytics import clv_analysis
@@ -33,9 +34,21 @@ from .transactions import MONTH_ROWS, amount_marks, enriched_rows, facts_from_st
 PARTITIONS = state.PARTITIONS
 CLUSTER = ("customer_id", "transaction_date")
 STATS_KEY = "stats_sk"
+KEY = "transaction_id"
+# what looking back reads of a row
+LOOKED_AT = (KEY, "customer_id", "amount_usd", "transaction_date", "cumulative_spend", *PARTITIONS)
+CODEC = "zstd"  # of the stored tables, which every batch writes again
 LOOK_BACK = ("rolling_7day_avg", "rolling_30day_avg", "cumulative_spend", "hours_since_last_transaction")
 
 
+def derived() -> dict[str, Column]:
+    """Columns that others of a row give."""
+    return {
+        "transaction_sk": surrogate_key([KEY, "customer_id"]),
+        "post_transaction_balance": F.col("pre_transaction_balance") - F.col("amount_usd"),
+    }
+
+
 def replaced_rows(table: str, batch: DataFrame) -> DataFrame:
     """What the table holds for the transactions of ``batch``: none before the first run."""
     spark = batch.sparkSession
@@ -77,29 +90,66 @@ def reached_rows(stored: DataFrame, reached: DataFrame) -> DataFrame:
 
 
 def _tails(stored: DataFrame, fresh: DataFrame, reached: DataFrame) -> DataFrame:
-    """Stored and fresh rows from each customer's first change on, and those before that they look back to."""
-    rows = reached_rows(stored, reached)
-    own = rows.alias("s").join(fresh.select("transaction_id").alias("f"), same_keys("s", "f", ["transaction_id"]), "left_anti")
-    later = own.filter(_reached()).drop("_from", "_all")
+    """Stored and fresh rows from each customer's first change on, and those before that they look back to.
+
+    Only the columns that looking back reads: the others of a row stay where they are until it is written.
+    """
+    rows = reached_rows(stored.select(*LOOKED_AT), reached).withColumn("_later", F.coalesce(_reached(), F.lit(False))).drop("_from", "_all")
+    own = rows.alias("s").join(fresh.select(KEY).alias("f"), same_keys("s", "f", [KEY]), "left_anti")
+    marked = lambda df, write, new: df.withColumn("_write", F.lit(write)).withColumn("_fresh", F.lit(new))
     # the rows just before: enough for the rolling means, and the running sum so far
-    newest = Window.partitionBy("customer_id").orderBy(F.col("transaction_date").desc(), F.col("transaction_id").desc())
-    before = own.filter(~F.coalesce(_reached(), F.lit(False))).withColumn("_back", F.row_number().over(newest))
-    before = before.filter(F.col("_back") <= MONTH_ROWS).drop("_from", "_all", "_back")
-    rows = later.withColumn("_write", F.lit(True)).unionByName(fresh.withColumn("_write", F.lit(True))).unionByName(before.withColumn("_write", F.lit(False)))
+    newest = Window.partitionBy("customer_id").orderBy(F.col("transaction_date").desc(), F.col(KEY).desc())
+    before = own.filter(~F.col("_later")).withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= MONTH_ROWS)
+    later, before = own.filter("_later").drop("_later"), before.drop("_later", "_back")
+    rows = marked(later, True, False).unionByName(marked(fresh.select(*LOOKED_AT), True, True)).unionByName(marked(before, False, False))
     return materialise(rows, "tails")
 
 
-def _later_rows(stored: DataFrame, rows: DataFrame, hot_rows: int | None) -> DataFrame:
-    """The rows to write of ``_tails``, their look-back figures renewed."""
-    base = rows.filter("NOT _write").groupBy("customer_id").agg(
-        F.min_by(F.col("cumulative_spend") - F.coalesce("amount_usd", F.lit(0)), F.struct("transaction_date", "transaction_id")).alias("_base")
-    )
-    measured = time_measures(rows.drop(*LOOK_BACK), hot_rows=hot_rows).filter("_write").drop("_write")
-    joined = measured.alias("m").join(base.alias("b"), same_keys("m", "b", ["customer_id"]), "left").select("m.*", "_base")
+def _look_back(stored: DataFrame, rows: DataFrame, hot_rows: int | None) -> DataFrame:
+    """Keys, places and renewed look-back figures of the rows to write of ``_tails``."""
+    # what the rows before the oldest one read had spent
+    first = F.when(~F.col("_write"), F.struct("transaction_date", KEY))
+    base = F.min_by(F.col("_spent") - F.coalesce("amount_usd", F.lit(0)), first)
+    measured = time_measures(rows.withColumnRenamed("cumulative_spend", "_spent"), {"_base": base}, hot_rows=hot_rows).filter("_write")
     # a running sum stays NULL until its first value
     total = F.coalesce(F.col("cumulative_spend") + F.coalesce("_base", F.lit(0)), F.col("_base"))
     kind = stored.schema["cumulative_spend"].dataType
-    return joined.withColumn("cumulative_spend", total.cast(kind)).drop("_base").select(stored.columns)
+    return measured.withColumn("cumulative_spend", total.cast(kind)).select(KEY, *PARTITIONS, "_fresh", *LOOK_BACK)
+
+
+def _merged(stored: DataFrame, fresh: DataFrame, measures: DataFrame, gone: DataFrame, sizes: dict[tuple, int]) -> DataFrame:
+    """Stored and fresh rows with the look-back figures of ``measures``, without the stored rows in ``gone``.
+
+    One exchange takes the rows to where they are written, and their changes to them.
+    """
+    place = place_of(PARTITIONS, [KEY], sizes)
+    nothing = [F.lit(None).alias(n) for n in LOOK_BACK]
+    dropped = gone.select(KEY, *PARTITIONS, F.lit(False).alias("_fresh"), *nothing, F.lit(True).alias("_gone"))
+    changes = measures.withColumn("_gone", F.lit(False)).unionByName(dropped).withColumn("_place", place).drop(*PARTITIONS)
+    rows = stored.withColumn("_fresh", F.lit(False)).unionByName(fresh.withColumn("_fresh", F.lit(True))).drop(*derived()).withColumn("_place", place)
+    same = (F.col("r._place") == F.col("c._place")) & (F.col("r._fresh") == F.col("c._fresh")) & same_keys("r", "c", [KEY])
+    joined = rows.repartition("_place").alias("r").join(changes.repartition("_place").alias("c"), same, "left")
+    kept = joined.filter(~F.coalesce(F.col("c._gone"), F.lit(False)))
+    renewed = {n: F.when(F.col("c._gone").isNotNull(), F.col(f"c.{n}")).otherwise(F.col(f"r.{n}")) for n in LOOK_BACK}
+    return kept.select(*[renewed.get(n, F.col(f"r.{n}")).alias(n) for n in stored.columns if n not in derived()]).withColumns(derived()).select(*stored.columns)
+
+
+def _write(table: str, stored: DataFrame, fresh: DataFrame, measures: DataFrame, old: DataFrame, months: set[tuple], only_new: bool) -> DataFrame:
+    """Rewrite the given months with fresh rows, renewed figures and without the rows replaced."""
+    spark = stored.sparkSession
+    near = stored.filter(in_partitions(PARTITIONS, months))
+    sizes = partition_rows(near, PARTITIONS) + partition_rows(fresh, PARTITIONS)
+    gone = fresh if only_new else old
+    # the exchange by place is enough for the join, whose other keys lie within it
+    with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        merged = _merged(near, fresh, measures, gone, sizes)
+        if merged.dtypes != stored.dtypes:  # a column changes its type, which files in place cannot
+            whole = materialise(_merged(stored, fresh, measures, gone, partition_rows(stored, PARTITIONS) + partition_rows(fresh, PARTITIONS)), "merged")
+            return write_partitioned(whole, table, PARTITIONS, CLUSTER, derived=derived())
+        insert_overwrite(merged.sortWithinPartitions(*PARTITIONS, *CLUSTER), table)
+    left = sizes if only_new else sizes - partition_rows(old, PARTITIONS)
+    drop_partitions(spark, table, PARTITIONS, {m for m in months if left[m] <= 0})
+    return spark.table(table)
 
 
 def refresh_transactions(
@@ -117,15 +167,30 @@ def refresh_transactions(
     ``only_new``: no transaction of the batch is stored yet, so none is looked for. The digest of the months lies
     in a table named after ``stats_table``.
     """
+    with setting(batch.sparkSession, "spark.sql.parquet.compression.codec", CODEC):
+        return _refreshed(table, stats_table, batch, accounts, customers, merchants, hot_rows, only_new)
+
+
+def _refreshed(
+    table: str,
+    stats_table: str,
+    batch: DataFrame,
+    accounts: DataFrame,
+    customers: DataFrame,
+    merchants: DataFrame,
+    hot_rows: int | None,
+    only_new: bool,
+) -> tuple[DataFrame, DataFrame]:
     spark = batch.sparkSession
     if not spark.catalog.tableExists(table):
         rows = enriched_rows(batch, accounts, customers, merchants, batch.count(), hot_rows, scores=False)
-        stored = upsert(rows, table, "transaction_id", PARTITIONS, CLUSTER)
-        changed, months = stored, set()
+        stored = upsert(rows, table, KEY, PARTITIONS, CLUSTER, derived=derived())
+        changed, months = None, set()
     else:
         stored = spark.table(table)
         batch = materialise(batch, "batch")
         fresh = materialise(enriched_rows(batch, accounts, customers, merchants, batch.count(), hot_rows, scores=False), "fresh")
+        refuse_duplicates(fresh, [KEY])
         state.open_state(spark, table, stats_table)
         known = enriched_shape(batch).limit(0) if only_new else replaced_rows(table, batch)
         old = materialise(known.select("transaction_id", "customer_id", "transaction_date", *PARTITIONS), "replaced")
@@ -133,10 +198,13 @@ def refresh_transactions(
         reached = materialise(state.reached_months(spark, stats_table, changed_from(changed), MONTH_ROWS), "reached")
         tails = _tails(stored, fresh, reached)
         months = _months(tails.filter("_write")) | _months(old)
-        # rows that only move in time keep their partition; the batch's own may leave one
-        stored = upsert(_later_rows(stored, tails, hot_rows), table, "transaction_id", PARTITIONS, CLUSTER, moved=old)
+        if months:
+            stored = _write(table, stored, fresh, _look_back(stored, tails, hot_rows), old, months, only_new)
     state.renew(spark, table, stats_table, months)
-    stats = state.stats_from_state(stored, stats_table, changed.select("customer_id").distinct(), hot_rows)
+    if changed is None:
+        stats = state.stats_from_state(stored, stats_table, None, hot_rows)
+        return stored, upsert(stats.withColumn(STATS_KEY, surrogate_key(["customer_id"])), stats_table, STATS_KEY).drop(STATS_KEY)
+    stats = state.stats_from_state(stored, stats_table, changed.select("customer_id"), hot_rows)
     gone = changed.select("customer_id").distinct().alias("c").join(stats.select("customer_id").alias("s"), same_keys("c", "s", ["customer_id"]), "left_anti")
     stats = stats.unionByName(gone, allowMissingColumns=True).withColumn(STATS_KEY, surrogate_key(["customer_id"]))
     return stored, upsert(stats, stats_table, STATS_KEY).drop(STATS_KEY)
@@ -144,7 +212,9 @@ def refresh_transactions(
 
 def read_enriched(stored: DataFrame, stats: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """The enriched transactions of today."""
-    return with_marks(with_scores(stored, stats), amount_marks(stored, hot_rows=hot_rows))
+    rows = with_scores(stored.drop(*derived()), stats).withColumns(derived())
+    ordered = rows.select(*stored.columns, *[c for c in rows.columns if c not in stored.columns])
+    return with_marks(ordered, amount_marks(stored, hot_rows=hot_rows))
 
 
 def read_facts(stored: DataFrame, stats: DataFrame, as_of: AsOf = None, hot_rows: int | None = None) -> DataFrame:

@@ -1,9 +1,10 @@
 """A stored digest of the transactions, month by month, which refreshes read instead of the history.
 
 One row per customer, month and amount, partitioned like the transactions: how often the amount occurs, and the
-sums of these rows. The sums add up to those of all time, and counted amounts give exact percentiles. A month's
-digest is taken from its rows alone, so the months that a batch rewrites are digested again and no other;
-nothing is ever subtracted. ``transaction_year`` and ``transaction_month`` must be those of ``transaction_date``.
+sums of these rows; a month of very many rows is digested in pieces, each with rows of its own. The sums add up
+to those of all time, and counted amounts give exact percentiles. A month's digest is taken from its rows alone,
+so the months that a batch rewrites are digested again and no other; nothing is ever subtracted. ``transaction_year``
+and ``transaction_month`` must be those of ``transaction_date``.
 
 ``open_state`` marks the table before transactions are written and ``renew`` ends that, so a run that was lost
 between the two is seen by the next one, which digests all months again.
@@ -14,11 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.windows import deviation, deviation_parts
-from ..operators.ordered import same_keys
+from ..operators.ordered import fitting, same_keys
 from ..operators.percentiles import exact_percentiles
-from ..session import materialise
 from ..sources.registry import insert_overwrite
-from ..sources.tables import drop_partitions, in_partitions, partitions_of, rows_of_affected, write_partitioned
+from ..sources.tables import drop_partitions, in_partitions, partition_rows, partitions_of, place_of, rows_of_affected
 from .transactions import CUSTOMER_POINTS, customer_totals
 
 PARTITIONS = ("transaction_year", "transaction_month")
@@ -31,10 +31,16 @@ def state_table(name: str) -> str:
 
 
 def digest(rows: DataFrame) -> DataFrame:
-    """Per customer, month and amount: the rows, and the sums that figures over all time are made of."""
+    """Per customer, month and amount: the rows, and the sums that figures over all time are made of.
+
+    One exchange, by the month or the piece of it, after which the rows are where they are written.
+    """
     sums = {n: c for n, c in customer_totals().items() if n != "avg_spend"} | deviation_parts("amount_usd")
-    grouped = rows.groupBy("customer_id", "amount_usd", *PARTITIONS)
-    return grouped.agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in sums.items()])
+    own = rows.select("transaction_id", "customer_id", "amount_usd", "transaction_date", *PARTITIONS)
+    placed = own.withColumn("_place", place_of(PARTITIONS, ["transaction_id"], partition_rows(rows, PARTITIONS))).repartition("_place")
+    grouped = placed.groupBy("_place", "customer_id", "amount_usd", *PARTITIONS)
+    found = grouped.agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in sums.items()])
+    return found.drop("_place").sortWithinPartitions(*PARTITIONS, "customer_id")
 
 
 def _set_open(spark: SparkSession, state: str, value: bool) -> None:
@@ -57,14 +63,12 @@ def renew(spark: SparkSession, table: str, name: str, months: set[tuple]) -> Non
     """Digest the given months of ``table``, or all if there is no digest, and drop digests of months that are gone."""
     state, rows = state_table(name), spark.table(table)
     if not spark.catalog.tableExists(state):
-        write_partitioned(digest(rows), state, PARTITIONS, ("customer_id",))
+        digest(rows).write.mode("overwrite").format("parquet").partitionBy(*PARTITIONS).saveAsTable(state)
     else:
         present = partitions_of(spark, table)
         drop_partitions(spark, state, PARTITIONS, partitions_of(spark, state) - present)
         if months & present:
-            found = digest(rows.filter(in_partitions(PARTITIONS, months & present)))
-            ordered = found.hint("rebalance", *[F.col(p) for p in PARTITIONS]).sortWithinPartitions(*PARTITIONS, "customer_id")
-            insert_overwrite(ordered, state)
+            insert_overwrite(digest(rows.filter(in_partitions(PARTITIONS, months & present))), state)
     _set_open(spark, state, False)
 
 
@@ -84,18 +88,27 @@ def reached_months(spark: SparkSession, name: str, starts: DataFrame, rows_back:
     return wanted.drop("_rows", "_gap", "_between")
 
 
-def stats_from_state(stored: DataFrame, name: str, changed: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    """``customer_stats`` of the customers in ``changed``, from the digest."""
+def stats_from_state(stored: DataFrame, name: str, changed: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
+    """``customer_stats`` of the customers in ``changed``, or of all, from the digest.
+
+    A few customers are looked up in the digest before it is grouped. Many are after it: a group is sent
+    in less than its rows are.
+    """
     spark = stored.sparkSession
     kinds = dict(stored.groupBy("customer_id").agg(*[c.alias(n) for n, c in customer_totals().items()]).dtypes)
-    own = materialise(rows_of_affected(spark.table(state_table(name)).drop(*PARTITIONS), changed, "customer_id"), "digests")
-    totals = own.groupBy("customer_id").agg(
-        *[F.sum(n).alias(n) for n in SUMMED], F.min("first_transaction_date").alias("first_transaction_date"), F.max("last_transaction_date").alias("last_transaction_date")
-    )
-    totals = totals.withColumn("total_spend", F.col("total_spend").cast(kinds["total_spend"])).withColumn("avg_spend", _mean(kinds))
-    points = exact_percentiles(own, ["customer_id"], CUSTOMER_POINTS, hot_rows=hot_rows, weight="_rows")
-    joined = totals.alias("t").join(points.alias("p"), same_keys("t", "p", ["customer_id"]), "left")
-    rows = joined.select("t.*", *[f"p.{c}" for c in CUSTOMER_POINTS]).withColumn("spend_deviation", deviation())
+    own = spark.table(state_table(name)).drop(*PARTITIONS)
+    few = False
+    if changed is not None:
+        ids = changed.select("customer_id").distinct()
+        near = fitting(ids, changed.count())
+        few = near is not ids
+        own = own.alias("d").join(near.alias("c"), same_keys("d", "c", ["customer_id"]), "left_semi") if few else own
+    totals = {n: F.sum(n) for n in SUMMED} | {"first_transaction_date": F.min("first_transaction_date"), "last_transaction_date": F.max("last_transaction_date")}
+    found = exact_percentiles(own, ["customer_id"], CUSTOMER_POINTS, totals, at_most=spark.table(state_table(name)), hot_rows=hot_rows, weight="_rows")
+    found = found.withColumn("total_spend", F.col("total_spend").cast(kinds["total_spend"])).withColumn("avg_spend", _mean(kinds))
+    rows = found.withColumn("spend_deviation", deviation())
+    if changed is not None and not few:
+        rows = rows_of_affected(rows, changed, "customer_id")
     return rows.select("customer_id", *customer_totals(), *CUSTOMER_POINTS, "spend_deviation")
 
 

@@ -7,7 +7,8 @@ keep the place of every partition through a rename, so partitioned tables are no
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import Counter
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,6 +18,7 @@ from ..session import materialise
 from .registry import insert_overwrite
 
 BUCKET = "_key_bucket"
+PIECE_ROWS = 500_000  # of a partition that one task writes
 BUCKETS = 64  # of a new table without partition columns
 BUCKETS_PROPERTY = "ledgerloom.key_buckets"
 
@@ -47,15 +49,22 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, table: str, partition_by: Sequence[str], cluster_by: Sequence[str] = (), table_format: str = "parquet"
+    df: DataFrame,
+    table: str,
+    partition_by: Sequence[str],
+    cluster_by: Sequence[str] = (),
+    table_format: str = "parquet",
+    derived: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Partitioned rebuild with rows sorted by ``cluster_by`` inside each file.
 
     Rebalancing sends each partition value to as many tasks as its size needs,
-    so a huge month is several files and a small one a single file.
+    so a huge month is several files and a small one a single file. ``derived``: columns of ``df`` that
+    others of a row give; they are taken anew behind the exchange instead of being sent.
     """
-    rows = df.hint("rebalance", *[F.col(c) for c in partition_by]).sortWithinPartitions(*partition_by, *cluster_by)
-    rows.write.mode("overwrite").format(table_format).partitionBy(*partition_by).saveAsTable(table)
+    derived = dict(derived or {})
+    rows = df.drop(*derived).hint("rebalance", *[F.col(c) for c in partition_by]).withColumns(derived).select(*df.columns)
+    rows.sortWithinPartitions(*partition_by, *cluster_by).write.mode("overwrite").format(table_format).partitionBy(*partition_by).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
@@ -154,6 +163,7 @@ def upsert(
     latest_by: str | None = None,
     moved: DataFrame | None = None,
     keys_stay: bool = False,
+    derived: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Update matched keys, insert the others, rewriting only touched partitions, once.
 
@@ -164,7 +174,8 @@ def upsert(
     With ``latest_by`` a row replaces only rows that are not later, so the result does not depend on the
     order of batches. A row whose partition columns change leaves its old partition: the keys' present
     partitions are looked up in the key and partition columns of the table, or taken from ``moved`` (a
-    table with the partition columns), or are the batch's own if ``keys_stay``.
+    table with the partition columns), or are the batch's own if ``keys_stay``. ``derived`` as in
+    ``write_partitioned``, for the first run.
     """
     spark = batch.sparkSession
     keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
@@ -172,7 +183,7 @@ def upsert(
     if not spark.catalog.tableExists(table):
         count = buckets or BUCKETS
         rows = batch if partition_by else with_bucket(batch, keys, count)
-        created = write_partitioned(rows, table, parts, cluster_by, table_format)
+        created = write_partitioned(rows, table, parts, cluster_by, table_format, derived)
         try:
             refuse_duplicates(created, keys)
         except ValueError:
@@ -254,6 +265,27 @@ def in_partitions(parts: Sequence[str], touched: set[tuple]) -> Column:
     return reduce(Column.__or__, each)
 
 
+def partition_rows(df: DataFrame, parts: Sequence[str]) -> Counter:
+    """Rows by partition, of which there are no more than the table has."""
+    return Counter({tuple(r)[:-1]: r[-1] for r in df.groupBy(*parts).agg(F.count(F.lit(1))).collect()})
+
+
+def place_of(parts: Sequence[str], unique_key: Sequence[str], sizes: Mapping[tuple, int]) -> Column:
+    """Equal for rows that one task is to write: a partition, or a piece by key of one of many rows.
+
+    ``sizes``: rows by partition. An exchange by it serves joins and groups by key as well as the files.
+    """
+    cut: dict[int, set[tuple]] = {}
+    for values, rows in sizes.items():
+        cut.setdefault(-(-rows // PIECE_ROWS), set()).add(values)
+    pieces = F.lit(1)
+    for count, values in cut.items():
+        if count > 1:
+            pieces = F.when(in_partitions(parts, values), count).otherwise(pieces)
+    text = lambda columns: [F.col(c).cast("string") for c in columns]
+    return F.xxhash64(*text(parts), F.pmod(F.xxhash64(*text(unique_key)), pieces))
+
+
 def _literal(value) -> str:
     if value is None:
         return "NULL"

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import accounts as account_plans, analytics, customers as customer_plans, loans as loan_plans, quality, refresh, staging, state, transactions as txn_plans
-from ledgerloom.session import materialise
+from ledgerloom.session import materialise, setting
+from ledgerloom.sources import tables
 from ledgerloom.sources.registry import SCHEMAS
 
 AS_OF = "2024-07-01 12:00:00"
@@ -334,3 +335,79 @@ def test_state_gives_figures_and_months(spark, transactions, accounts, customers
     assert re.search(r"PartitionFilters: \[[^\]]*transaction_year", rows._jdf.queryExecution().executedPlan().toString())
     for name in ("inc_state", "inc_state_stats", "inc_state_stats_state"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def _refreshed_in_three(spark, name, transactions, accounts, customers, merchants):
+    """New, amended and moved rows; the last batch puts right what the first had wrong."""
+    draw = F.pmod(F.xxhash64("transaction_id"), F.lit(4))
+    moved = F.col("transaction_date") - F.expr("INTERVAL 40 DAYS")
+    wrong = transactions.filter(draw == 3).withColumn("transaction_date", moved)
+    wrong = wrong.withColumn("transaction_year", F.year(moved)).withColumn("transaction_month", F.month(moved))
+    for batch in (transactions.filter(draw == 0).unionByName(wrong), transactions.filter(draw == 1), transactions.filter(draw >= 2)):
+        stored, stats = refresh.refresh_transactions(name, f"{name}_stats", batch, accounts, customers, merchants)
+    return stored, stats
+
+
+def _rows(df, like):
+    return sorted((tuple(r) for r in df.select([F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in like.dtypes]).collect()), key=repr)
+
+
+def test_months_in_pieces_equal_a_full_run(spark, monkeypatch, transactions, accounts, customers, merchants):
+    """Two rows are many here: months are written and digested in pieces, customers are looked up after the digest is grouped."""
+    monkeypatch.setattr(tables, "PIECE_ROWS", 2)
+    monkeypatch.setattr(state, "fitting", lambda df, rows: df)
+    stored, stats = _refreshed_in_three(spark, "inc_pieces", transactions, accounts, customers, merchants)
+    full = txn_plans.transaction_enriched(transactions, accounts, customers, merchants)
+    assert _rows(refresh.read_enriched(stored, stats), full) == _rows(full, full)
+    sizes = tables.partition_rows(stored, state.PARTITIONS)
+    places = stored.groupBy(tables.place_of(state.PARTITIONS, ["transaction_id"], sizes).alias("place")).count().collect()
+    assert len(sizes) < len(places) <= sum(-(-n // 2) for n in sizes.values())
+    assert state.partitions_of(spark, "inc_pieces") == {tuple(r) for r in stored.select(*state.PARTITIONS).distinct().collect()}
+    for name in ("inc_pieces", "inc_pieces_stats", "inc_pieces_stats_state"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_refresh_sends_whole_rows_once(spark, transactions, accounts, customers, merchants):
+    """Looking back takes a few columns; whole rows go through one exchange, to where they are written."""
+    go = lambda batch: refresh.refresh_transactions("inc_once", "inc_once_stats", batch, accounts, customers, merchants)
+    march = F.col("transaction_date") >= "2024-03-01"
+    stored, _ = go(transactions.filter(~march))
+    fresh = materialise(txn_plans.enriched_rows(transactions.filter(march), accounts, customers, merchants, scores=False), "fresh")
+    reached = materialise(state.reached_months(spark, "inc_once_stats", refresh.changed_from(fresh), 30), "reached")
+    tails = refresh._tails(stored, fresh, reached)
+    assert not {"customer_name", "merchant_name", "transaction_sk", "time_of_day"} & set(tails.columns)
+
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        measures = materialise(refresh._look_back(stored, tails, None), "measures")
+        sizes = tables.partition_rows(stored, state.PARTITIONS) + tables.partition_rows(fresh, state.PARTITIONS)
+        merged = refresh._merged(stored, fresh, measures, stored.limit(0), sizes)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(_place", plan)) == 2 and len(re.findall(r"Exchange", plan.replace("Exchange SinglePartition", ""))) == 2
+    assert merged.count() == transactions.count() and merged.dtypes == stored.dtypes
+    for name in ("inc_once", "inc_once_stats", "inc_once_stats_state"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_batch_may_widen_a_column(spark, transactions, accounts, customers, merchants):
+    march = F.col("transaction_date") >= "2024-03-01"
+    wide = transactions.withColumn("amount_usd", F.col("amount_usd").cast("decimal(18,2)"))
+    for batch in (transactions.filter(~march), wide.filter(march)):
+        stored, stats = refresh.refresh_transactions("inc_wide", "inc_wide_stats", batch, accounts, customers, merchants)
+    assert dict(stored.dtypes)["amount_usd"] == "decimal(18,2)"
+    full = txn_plans.transaction_enriched(wide, accounts, customers, merchants)
+    known = refresh.read_enriched(stored, stats)
+    pick = ["transaction_id", "transaction_sk", "amount_usd", "rolling_7day_avg", "hours_since_last_transaction", "transaction_risk_flag"]
+    assert _rows(known.select(pick), known.select(pick)) == _rows(full.select(pick), known.select(pick))
+    for name in ("inc_wide", "inc_wide_stats", "inc_wide_stats_state"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_two_rows_of_a_batch_for_one_transaction_are_refused(spark, transactions, accounts, customers, merchants):
+    go = lambda batch: refresh.refresh_transactions("inc_twice", "inc_twice_stats", batch, accounts, customers, merchants)
+    stored, _ = go(transactions)
+    rows = stored.count()
+    with pytest.raises(ValueError, match="several batch rows"):
+        go(transactions.unionByName(transactions))
+    assert spark.table("inc_twice").count() == rows
+    for name in ("inc_twice", "inc_twice_stats", "inc_twice_stats_state"):
+        spark.sql(f"DROP TABLE {name}")
