@@ -7,9 +7,11 @@ Only documents with that many frequent shingles in their prefix are indexed by c
 range is cut into more cells than two linked sets can differ in, and the combination of all shingles in
 a cell is one key. Some cell is then the same in both.
 
-Candidates form clusters. The texts of a cluster meet in blocks, where pairs not yet connected are
-verified; the members of a cluster of many blocks are first thinned to those outside its largest
-component. No pair is emitted but the links of a spanning forest.
+Candidates form clusters. A cluster of several blocks is mostly a chain of sets that share a common
+passage each; it is split by the shingles that are rarest inside it, of which linked sets share one, so
+that what is compared follows the near copies and not the square of the chain. The texts of a cluster
+meet in blocks, where pairs not yet connected are verified; the members of a cluster of many blocks are
+first thinned to those outside its largest component. No pair is emitted but the links of a spanning forest.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise
 from .common import partitions, whole_text
@@ -93,6 +95,23 @@ def linked(a: frozenset, b: frozenset, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def _may_link(percent: int) -> Column:
+    """Whether prefixes ``of_a`` and ``of_b`` with ``shared`` shingles leave sets of ``n_a`` and ``n_b`` enough to link.
+
+    A prefix holds all shingles of its set up to its last one, so one of the other prefix up to there that it does not
+    hold is missing in the whole set.
+    """
+    unsigned = lambda c: c.bitwiseXOR(F.lit(-(2**63)))  # noqa: E731  ascending as unsigned
+    least = F.floor((percent * (F.col("n_a") + F.col("n_b")) + 99 + percent) / (100 + percent))
+
+    def near(own: str, n: str, other: str) -> Column:
+        last = unsigned(F.element_at(other, -1))
+        missing = F.size(F.filter(own, lambda x: unsigned(x) <= last)) - F.col("shared")
+        return missing <= F.col(n) - least
+
+    return near("of_a", "n_a", "of_b") & near("of_b", "n_b", "of_a")
+
+
 def _signed(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.int64)
 
@@ -130,6 +149,17 @@ def _keys(words: int, percent: int):
     return run
 
 
+def _sets(words: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for first in range(0, len(frame), 256):
+                part = frame.iloc[first : first + 256]
+                sets = [_signed(s).copy() for s in shingle_sets(lower_bytes(part["text"]), words)]
+                yield pd.DataFrame({"cluster": part["cluster"].array, "sign": part["sign"].array, "shingles": sets})
+
+    return run
+
+
 def _groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, list[int]]]:
     """Frames of whole groups from a sorted stream, with the bounds of the groups."""
     held = None
@@ -185,6 +215,38 @@ def _verify(keys: list[str], words: int, percent: int):
     return run
 
 
+def _stars(keyed: DataFrame, *keys: str) -> DataFrame:
+    """(a, b): the sets of every group of ``keys`` with more than one, each linked to the smallest of the group."""
+    heads = keyed.groupBy(*keys).agg(F.min("sign").alias("a"), F.max("sign").alias("z")).filter("a <> z").select(*keys, "a")
+    return keyed.join(materialise(heads, "heads"), list(keys)).select("a", F.col("sign").alias("b")).distinct()
+
+
+def _split(members: DataFrame, words: int, percent: int) -> DataFrame:
+    """``members`` with clusters above BLOCK cut into smaller ones that still hold all links.
+
+    In an order of the shingles of a cluster, two linked sets have the first one of those they share among all of
+    their shared shingles but the last must_share - 1. So with the rarest first, sets that meet in one of the others
+    hold every link. Sets that meet with none go.
+    """
+    large = members.filter(F.col("size") > BLOCK)
+    sets = large.select("cluster", "sign", "text").mapInPandas(_sets(words), "cluster long, sign long, shingles array<long>")
+    sets = materialise(sets, "sets")
+    tokens = sets.select("cluster", "sign", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    counts = tokens.groupBy("cluster", "token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = tokens.join(materialise(counts, "counts"), ["cluster", "token"]).groupBy("cluster", "sign", "n")
+    # a set: repeated rows of a document are here too
+    rarest_first = shared.agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("order"))
+    beyond = F.floor((percent * F.col("n") + 99) / 100).cast("int") - 1  # must_share(n) - 1
+    kept = rarest_first.withColumn("order", F.slice("order", F.lit(1), F.greatest(F.size("order") - beyond, F.lit(0))))
+    kept = materialise(kept.select("cluster", "sign", F.explode("order.token").alias("token")), "rarest")
+    parts = components(_stars(kept, "cluster", "token")).select(F.col("node").alias("sign"), F.col("component").alias("cluster"))
+    sizes = parts.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    # ids only, so that the texts stay where they are while these can be broadcast
+    parts = materialise(parts.join(sizes, "cluster"), "parts")
+    found = materialise(large.drop("cluster", "size").join(parts, "sign").select(*members.columns), "members")
+    return members.filter(F.col("size") <= BLOCK).union(found)
+
+
 def _unite(members: DataFrame, links: DataFrame) -> DataFrame:
     """``members`` with ``label`` the smallest sign reached by ``links`` so far."""
     found = components(links).select(F.col("node").alias("sign"), F.col("component").alias("found"))
@@ -242,12 +304,14 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
     schema = "doc_id long, version long, sign long, n long, prefix array<long>"
     described = materialise(rows.mapInPandas(_describe(words, percent), schema), "described")
     usable = described.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("sign").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.max("n").alias("n"))
-    classes = materialise(classes.select("sign", "first.doc_id", "first.version", "n"), "classes")
-
-    # one posting per class: the one of its first document
-    firsts = usable.join(classes.drop("n"), ["sign", "doc_id", "version"], "left_semi").dropDuplicates(["sign", "doc_id", "version"])
-    firsts = materialise(firsts.select("sign", "n", "prefix"), "firsts")
+    classes = usable.groupBy("sign").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    classes = materialise(classes.select("sign", "first.doc_id", "first.version", "n", "rows"), "classes")
+
+    # one posting per class: the one of its first document; most classes have one row, which stays where it is
+    several_rows = Filter.of(classes.filter("rows > 1").select(F.col("sign").alias("h"))).column("sign")
+    chosen = usable.filter(several_rows).join(classes.drop("n", "rows"), ["sign", "doc_id", "version"], "left_semi")
+    chosen = chosen.dropDuplicates(["sign", "doc_id", "version"]).select("sign", "n", "prefix")
+    firsts = usable.filter(~several_rows).select("sign", "n", "prefix").union(materialise(chosen, "firsts"))
     postings = firsts.select("sign", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
     counts = materialise(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "counts")
     repeated = Filter.of(counts.select(F.col("token").alias("h")))  # most shingles stand in one document only
@@ -271,13 +335,14 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
     likely = materialise(pairs.filter(F.col("rare") + F.col("most") >= F.col("least")).select("a", "b", "least"), "pairs")
     # and then counted in full
     known = Filter.of(likely.select(F.explode(F.array("a", "b")).alias("h")))
-    prefixes = materialise(firsts.filter(known.column("sign")).select("sign", "prefix"), "prefixes")
-    both = likely.join(prefixes.toDF("a", "of_a"), "a").join(prefixes.toDF("b", "of_b"), "b")
-    edges = materialise(both.filter(F.size(F.array_intersect("of_a", "of_b")) >= F.col("least")).select("a", "b"), "edges")
+    prefixes = materialise(firsts.filter(known.column("sign")).select("sign", "n", "prefix"), "prefixes")
+    both = likely.join(prefixes.toDF("a", "n_a", "of_a"), "a").join(prefixes.toDF("b", "n_b", "of_b"), "b")
+    both = both.withColumn("shared", F.size(F.array_intersect("of_a", "of_b"))).filter(F.col("shared") >= F.col("least"))
+    edges = materialise(both.filter(_may_link(percent)).select("a", "b"), "edges")
 
     def texts_of(signs: DataFrame, name: str) -> DataFrame:
         """``signs`` with the text of their class; only texts that a small filter lets through are exchanged."""
-        heads = materialise(signs.join(classes.drop("n"), "sign"), "heads")
+        heads = materialise(signs.join(classes.drop("n", "rows"), "sign"), "heads")
         needed = Filter.of(heads.select(F.col("version").alias("h")))
         found = rows.filter(needed.column("version")).join(heads.hint("merge"), ["doc_id", "version"])
         # repeated rows stand next to each other here, and change nothing later
@@ -285,13 +350,11 @@ def join_documents(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE
 
     keyed = texts_of(combined, "texts").mapInPandas(_keys(words, percent), "sign long, keys array<long>")
     keyed = materialise(keyed.select("sign", F.explode("keys").alias("key")), "keys")
-    heads = keyed.groupBy("key").agg(F.min("sign").alias("a"), F.max("sign").alias("z")).filter("a <> z").select("key", "a")
-    stars = keyed.join(materialise(heads, "heads"), "key").select("a", F.col("sign").alias("b")).distinct()
-    clusters = components(edges.union(stars)).select(F.col("node").alias("sign"), F.col("component").alias("cluster"))
+    clusters = components(edges.union(_stars(keyed, "key"))).select(F.col("node").alias("sign"), F.col("component").alias("cluster"))
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    members = texts_of(clusters.join(sizes, "cluster"), "members").withColumn("label", F.col("sign"))
+    members = _split(texts_of(clusters.join(sizes, "cluster"), "members"), words, percent)
 
-    links = _links(members, words, percent)
+    links = _links(members.withColumn("label", F.col("sign")), words, percent)
     # a document with several sets joins their classes
     several = usable.groupBy("doc_id").agg(F.min("sign").alias("a"), F.max("sign").alias("z")).filter("a <> z").select("doc_id", "a")
     several = usable.select("doc_id", F.col("sign").alias("b")).join(several, "doc_id").select("a", "b")
@@ -310,4 +373,6 @@ def one_per_group(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE_
     Of rows that repeat one doc_id, those of the kept document stay too.
     """
     found = join_documents(docs, percent, words).filter("doc_id <> component_id").select("doc_id").distinct()
+    # written first: as long as the ids that go can be broadcast, no row of docs is exchanged
+    found = materialise(found, "dropped")
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)

@@ -59,6 +59,33 @@ def test_groups_of_copies(make, mixture, rare, monkeypatch):
     check(mixture, rows_of(jaccard.join_documents(make(mixture), rare=rare)))
 
 
+def test_sets_around_one_passage_are_not_compared_with_each_other(make, monkeypatch):
+    """A passage chains sets of which few are linked; what is compared follows the few."""
+    rng = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(100))
+    texts = [f"{passage} " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(20)) for _ in range(200)]
+    texts += [f"{t} w{k}" for k, t in enumerate(texts[:10])] + near_copies(rng, 60)
+    rng.shuffle(texts)
+    rows, written = [(k, t, None) for k, t in enumerate(texts)], {}
+    keep = jaccard.materialise
+
+    def noted(df, label):
+        written.setdefault(label, []).append(keep(df, label))
+        return written[label][-1]
+
+    monkeypatch.setattr(jaccard, "BLOCK", 20)
+    monkeypatch.setattr(jaccard, "materialise", noted)
+    check(rows, rows_of(jaccard.join_documents(make(rows))))
+    assert written["members"][0].filter("size >= 200").count() >= 200  # the chain
+    assert written["strays"][0].filter("label <> main").count() < 60
+
+
+def test_texts_without_near_copies_are_not_exchanged(make, mixture):
+    kept = jaccard.one_per_group(make(mixture), 80, 5)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_one_id_with_two_texts_joins_both(make):
     a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
     rows = [(3, a, None), (4, a, None), (4, b, None), (9, b, None), (10, "z z z z", None)]
@@ -93,6 +120,19 @@ def test_linked_sets_share_a_key(percent):
         assert jaccard.combinations(a, percent) & jaccard.combinations(b, percent)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_prefixes_of_linked_sets_leave_enough(llm, percent):
+    rng, rows = np.random.default_rng(percent), []
+    for _ in range(400):
+        a = np.unique(rng.integers(0, 2**64, int(rng.integers(1, 120)), dtype=np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) > rng.random() * 0.3], rng.integers(0, 2**64, int(rng.integers(1, 12)), dtype=np.uint64))))
+        of_a, of_b = (s[: jaccard.prefix_length(len(s), percent)].view(np.int64).tolist() for s in (a, b))
+        rows.append((of_a, of_b, len(a), len(b), len(set(of_a) & set(of_b)), jaccard.linked(frozenset(a.tolist()), frozenset(b.tolist()), percent)))
+    pairs = llm.createDataFrame(rows, "of_a array<long>, of_b array<long>, n_a long, n_b long, shared int, linked boolean")
+    found = {tuple(r) for r in pairs.select("linked", jaccard._may_link(percent)).distinct().collect()}
+    assert (True, True) in found and (True, False) not in found and (False, False) in found
+
+
 def test_words_made_to_collide(make):
     """A Thue-Morse word and its complement have one value under every odd base modulo a power of two."""
     from ledgerloom.llm.hashing import shingle_sets
