@@ -8,6 +8,7 @@ cut into smaller ones the same way, and only the rows of small buckets that diff
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -77,6 +78,37 @@ def differing_rows(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     return left.drop("_h1").toDF(*a.columns), right.drop("_h1").toDF(*a.columns)
 
 
+def differing_forms(forms: Sequence[DataFrame]) -> tuple[list[int] | None, list[DataFrame]]:
+    """Rows of each of several tables, and of each the rows in buckets in which not all hold the same rows equally often.
+
+    As ``differing_rows``, with one pass over all tables a level; where nothing differs no row is exchanged. Columns of
+    nested types or other collations are not hashed: then all rows are returned, uncounted.
+    """
+    common = reduce(DataFrame.unionAll, [f.limit(0) for f in forms]).schema
+    if not all(_hashable(f.dataType) for f in common.fields):
+        return None, list(forms)
+    names = [f"_c{i}" for i in range(len(common.fields))]
+    held = [_hashed(df.toDF(*names).select(*[F.col(n).cast(f.dataType).alias(n) for n, f in zip(names, common.fields)])) for df in forms]
+    parts = [F.lit(1).cast("bigint"), *_parts(F.col("_h1")), *_parts(_row_hash(names, 2))]
+    counts: list[int] = []
+    for level in range(1, LEVELS + 1):
+        columns = [p.alias(f"_p{i}") for i, p in enumerate(parts)]
+        each = reduce(DataFrame.unionAll, [df.select(F.lit(k).alias("form"), _bucket(level).alias("bucket"), *columns) for k, df in enumerate(held)])
+        sums = materialise(each.groupBy("form", "bucket").agg(*[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(len(parts))]), "sums")
+        if not counts:
+            of_form = dict(sums.groupBy("form").agg(F.sum("_p0")).collect())
+            counts = [of_form.get(k, 0) for k in range(len(forms))]
+        unlike = reduce(Column.__or__, [F.min(f"_p{i}") != F.max(f"_p{i}") for i in range(len(parts))])
+        found = sums.groupBy("bucket").agg((unlike | (F.count(F.lit(1)) < len(forms))).alias("unlike")).filter("unlike").select("bucket")
+        found = materialise(found, "buckets")
+        many = found.count()
+        if many == 0:
+            return counts, [df.limit(0) for df in forms]
+        near = fitting(found, many)
+        held = [df.join(near, _bucket(level) == F.col("bucket"), "left_semi") for df in held]
+    return counts, [df.drop("_h1").toDF(*f.columns) for df, f in zip(held, forms)]
+
+
 def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """``tables.equality`` for tables that are mostly the same."""
     cols = list(compare_columns or df.columns)

@@ -16,7 +16,8 @@ CELL = ["_band", "_cell"]
 # slices than this, unless they would have more points than SLICE_ROWS.
 MOST_SLICES = 64
 SLICE_ROWS = 20_000
-PAIRS_PER_SLICE = 5_000_000  # candidates of two slices that meet; the left side is cut further where it would be more
+FEW_SLICES, PAIRS_TO_MEET = 8, 100_000  # beyond so few slices of a side, two that meet have so many candidates
+PAIRS_PER_SLICE = 5_000_000  # candidates of two slices that meet; both sides are cut further where it would be more
 PAIRS_PER_TASK = 20_000_000
 
 
@@ -30,9 +31,16 @@ def _met_cells(a: DataFrame, b: DataFrame, hot_rows: int) -> DataFrame:
     """Cells with points of both sides: candidate pairs, and slices of each side."""
     counted = [side.groupBy(*CELL).agg(F.count(F.lit(1)).alias(n)) for side, n in ((a, "_na"), (b, "_nb"))]
     met = counted[0].join(counted[1], CELL).withColumn("_pairs", F.col("_na") * F.col("_nb"))
-    met = met.withColumn("_nb", _slices(F.col("_nb"), hot_rows))
-    by_work = F.ceil(F.col("_pairs") / F.col("_nb") / PAIRS_PER_SLICE)
-    return met.withColumn("_na", F.greatest(_slices(F.col("_na"), hot_rows), F.least(F.col("_na"), by_work)))
+    # more slices would cost copies, which are exchanged, and spread work that is not there
+    worth = F.greatest(F.lit(FEW_SLICES), F.floor(F.sqrt(F.col("_pairs") / PAIRS_TO_MEET)))
+    cut = lambda n: F.least(_slices(n, hot_rows), F.greatest(worth, F.ceil(n / SLICE_ROWS)))
+    met = met.withColumn("_sa", cut(F.col("_na"))).withColumn("_sb", cut(F.col("_nb")))
+    # slices of about equal size on both sides, so that copies grow with the pairs and no faster
+    work = F.col("_pairs") / PAIRS_PER_SLICE
+    more = F.when(work > F.col("_sa") * F.col("_sb"), F.ceil(F.sqrt(work * F.col("_na") / F.col("_nb"))))
+    met = met.withColumn("_sa", F.greatest(F.col("_sa"), F.least(F.col("_na"), F.coalesce(more, F.lit(1)))))
+    met = met.withColumn("_sb", F.greatest(F.col("_sb"), F.least(F.col("_nb"), F.ceil(work / F.col("_sa")))))
+    return met.select(*CELL, "_pairs", F.col("_sa").alias("_na"), F.col("_sb").alias("_nb"))
 
 
 def _sliced(points: DataFrame, slices: DataFrame, own: str, own_count: str, key: str, other: str, other_count: str) -> DataFrame:
@@ -62,7 +70,8 @@ def proximity_pairs(
     sideways always covers the radius; bands where that is impossible, near the
     poles or for a radius of thousands of kilometres, have one cell, and all pairs of
     such a band are candidates. A cell with more than ``hot_rows`` points of a side is cut into slices
-    of that size, or into MOST_SLICES larger ones, and each slice meets every slice of the other side once.
+    of that size, or into MOST_SLICES larger ones, fewer still if the pairs of the cell are few, and each slice meets
+    every slice of the other side once.
     The number of tasks follows the candidate pairs, not the bytes of the points.
     """
     scratch_dir(left.sparkSession)

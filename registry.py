@@ -611,13 +611,15 @@ def proximity_same_place(spark, folder):
 
 def _agreement(forms: dict[str, DataFrame]) -> DataFrame:
     """Rows of each form, and rows that differ from the first one in any column, unrounded."""
-    # one pass: the rows of each form are counted per distinct row, and nothing is written between
+    # by checksums first, so that rows are exchanged only where forms differ; those of each form are counted per distinct row
     names = list(forms)
-    held = [df.select("*", *[F.lit(int(n == name)).cast("bigint").alias(f"_in_{k}") for k, n in enumerate(names)]) for name, df in forms.items()]
+    n_rows, near = checksums.differing_forms(list(forms.values()))
+    held = [df.select("*", *[F.lit(int(n == name)).cast("bigint").alias(f"_in_{k}") for k, n in enumerate(names)]) for name, df in zip(names, near)]
     columns = [F.col(f"`{c}`") for c in forms[names[0]].columns]
     counted = reduce(DataFrame.unionAll, held).groupBy(*columns).agg(*[F.sum(f"_in_{k}").alias(f"_n_{k}") for k in range(len(names))])
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    sums = [F.struct(F.lit(n).alias("form"), total(F.col(f"_n_{k}")).alias("n_rows"), total(F.abs(F.col(f"_n_{k}") - F.col("_n_0"))).alias("n_differing")) for k, n in enumerate(names)]
+    rows = lambda k: total(F.col(f"_n_{k}")) if n_rows is None else F.lit(n_rows[k]).cast("bigint")
+    sums = [F.struct(F.lit(n).alias("form"), rows(k).alias("n_rows"), total(F.abs(F.col(f"_n_{k}") - F.col("_n_0"))).alias("n_differing")) for k, n in enumerate(names)]
     return counted.agg(F.array(*sums).alias("forms")).select(F.inline("forms"))
 
 

@@ -282,6 +282,18 @@ def test_cells_are_not_cut_into_more_slices_than_copies_allow(spark):
     assert cut(1) == [1, 64, 64, 500] and cut(100) == [1, 1, 10, 500] and cut(10**9) == [1, 1, 1, 1]
 
 
+def test_copies_of_points_follow_the_pairs_of_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(proximity, "PAIRS_PER_SLICE", 500)
+    side = lambda n: spark.range(n).select(F.lit(1).alias("_band"), F.lit(1).alias("_cell"))
+    met = proximity._met_cells(side(2000), side(500), 20_000).first()
+    assert met["_pairs"] == 1_000_000 <= 500 * met["_na"] * met["_nb"]
+    assert 2000 * met["_nb"] + 500 * met["_na"] < 3 * 1_000_000 / 500**0.5
+    monkeypatch.undo()
+    few = proximity._met_cells(side(2000), side(500), 1).first()  # not 64 copies of each point for a million pairs
+    assert (few["_na"], few["_nb"]) == (8, 8)
+    assert proximity._met_cells(side(50_000), side(3), 1).first()["_na"] == 8
+
+
 def test_late_rows_of_a_file_are_counted_in_bounded_pieces(spark, rows, monkeypatch):
     import registry
 
@@ -303,3 +315,15 @@ def test_forms_are_compared_without_writing_them(spark, rows):
     found = registry._agreement({"first": df, "same": df.orderBy(F.desc("k")), "other": other, "none": df.limit(0)})
     assert rows(found, "form", "n_rows", "n_differing") == [("first", 3, 0), ("none", 0, 3), ("other", 3, 2), ("same", 3, 0)]
     assert set(folder.glob("form-*")) == before
+
+
+def test_forms_that_agree_are_not_exchanged(spark, rows):
+    import registry
+
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id"))
+    found = registry._agreement({"first": df, "same": df.orderBy(F.desc("id")), "again": df})
+    assert "Range" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == [("again", 1000, 0), ("first", 1000, 0), ("same", 1000, 0)]
+    nested = df.select("k", F.array("id").alias("ids"))  # has no checksum
+    found = registry._agreement({"first": nested, "fewer": nested.filter("k > 0"), "none": nested.limit(0)})
+    assert rows(found) == [("fewer", 857, 143), ("first", 1000, 0), ("none", 0, 1000)]
